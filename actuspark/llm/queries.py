@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, edit_counts, pieces, quality, urls
+from . import decontam, edit_counts, jaccard, pieces, quality, suffix, urls
 from .shared import table
 
 #: The URL rules of the contract (fixed values): host, path, verdict.
@@ -45,6 +45,10 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edit_counts.count_edits(table(spark, sf_dir, "documents"), edits)
 
 
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix.dedup(table(spark, sf_dir, "documents"), keep_text=False)
+
+
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality.quality(table(spark, sf_dir, "documents").select("doc_id", "text"))
     q = F.col("quality")
@@ -52,12 +56,18 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", q["n_words"].alias("n_words"), *[q[k].alias(k) for k in ("word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")], failed.alias("base_failed"), "kept")
 
 
+def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.join(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_decontaminate": op2_decontaminate,
     "op5_url_filter": op5_url_filter,
     "op6_pieces": op6_pieces,
     "op7_token_counts": op7_token_counts,
+    "op8_substring_dedup": op8_substring_dedup,
     "op9_quality": op9_quality,
+    "op10_jaccard_join": op10_jaccard_join,
 }
 
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 import zipfile
 from collections.abc import Callable, Iterator
 from pathlib import Path
@@ -43,6 +44,20 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def save(df: DataFrame) -> DataFrame:
+    """``df`` as a compressed table in the shared folder; for large intermediates, where a checkpoint's plain rows take too much disk."""
+    spark = df.sparkSession
+    top = spark.conf.get("spark.checkpoint.dir", None)
+    if not top:
+        found = spark.sparkContext._jsc.sc().getCheckpointDir()
+        top = found.get() if found.isDefined() else tempfile.mkdtemp(prefix="spark-checkpoint-")
+        if not found.isDefined():
+            spark.sparkContext.setCheckpointDir(top)
+    path = f"{top.rstrip('/')}/table-{uuid.uuid4().hex}"
+    df.write.option("compression", "zstd").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str) -> DataFrame:
     """Apply ``fn`` to each Arrow batch; no batch refers to another."""
 
