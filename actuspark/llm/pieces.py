@@ -33,7 +33,7 @@ from .shared import mix64, ship
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 #: Lattice nodes that a Python worker keeps at most; then it starts anew.
-NODES = 1_500_000
+NODES = 2_500_000
 #: Characters that are sampled together.
 BLOCK = 1_000_000
 PARTS = re.compile(r"\n+| +[^ \n]*|[^ \n]+")
@@ -64,11 +64,32 @@ def decode(ids: list[int], raw: list[bytes]) -> str:
     return b"".join([raw[i] for i in ids])[1:].decode()
 
 
+def _roll(h: np.ndarray, c: np.ndarray) -> np.ndarray:
+    """The hash of a string that is longer by the character ``c``."""
+    return mix64(h * np.uint64(0x9E3779B97F4A7C15) + c + np.uint64(1))
+
+
 class Lattice:
     """Parts that were met, as nodes with the sampling weights of the pieces that end there."""
 
     def __init__(self, pieces: dict[str, tuple[int, float]], byte_ids: list[int], alpha: float):
-        self.pieces = {p: (i, -alpha * math.log(max(r, 0.0) + 2)) for p, (i, r) in pieces.items()}
+        #: By length: hashes of the pieces' prefixes, with the piece of that text or -1, its weight, and whether pieces go on.
+        self.by_size = {}
+        prefixes: dict[str, bool] = {}
+        for p in pieces:
+            for k in range(1, len(p)):
+                prefixes[p[:k]] = True
+            prefixes.setdefault(p, False)
+        for k in sorted({len(p) for p in prefixes}):
+            own = [p for p in prefixes if len(p) == k]
+            h = np.zeros(len(own), np.uint64)
+            for j in range(k):
+                h = _roll(h, np.array([ord(p[j]) for p in own], np.uint64))
+            if len(np.unique(h)) < len(h):
+                raise ValueError("two prefixes of the vocabulary have one hash")
+            o = np.argsort(h)
+            ids, logs = zip(*[(pieces[p][0], -alpha * math.log(max(pieces[p][1], 0.0) + 2)) if p in pieces else (-1, 0.0) for p in own], strict=True)
+            self.by_size[k] = h[o], np.array(ids, np.int64)[o], np.array(logs)[o], np.array([prefixes[p] for p in own])[o]
         self.byte_ids, self.alpha = byte_ids, alpha
         self.longest = max(map(len, pieces), default=1)
         self.byte_weight = -alpha * math.log(2 * len(pieces) + 2)
@@ -82,47 +103,87 @@ class Lattice:
         self.n_nodes = self.n_edges = 0
         self.key, self.back, self.piece = np.empty(1 << 16), np.empty(1 << 16, np.int32), np.empty(1 << 16, np.int32)
 
-    def add(self, part: str) -> int:
-        """The last node of ``part``."""
-        base, n, get, longest = self.n_nodes, len(part), self.pieces.get, self.longest
-        alpha = [0.0] * (n + 1)
-        key: list[float] = []
-        back: list[int] = []
-        ids: list[int] = []
-        key.append(base + 1.0)  # the first node ends a draw
-        back.append(-1)
-        ids.append(-1)
-        for j in range(1, n + 1):
-            found = []
-            for i in range(max(0, j - longest), j):
-                if (p := get(part[i:j])) is not None:
-                    found.append((alpha[i] + p[1], i, p[0]))
-                elif i == j - 1:
-                    c = part[i]
-                    if (k := self.chars.get(c)) is None:
-                        k = self.chars[c] = len(self.char_ids)
-                        self.char_ids.append([self.byte_ids[b] for b in c.encode()])
-                    found.append((alpha[i] + len(self.char_ids[k]) * self.byte_weight, i, self.first_char + k))
-            top = max(f[0] for f in found)
-            weights = [math.exp(f[0] - top) for f in found]
-            total = sum(weights)
-            alpha[j] = top + math.log(total)
-            cum = 0.0
-            for w, (_, i, piece) in zip(weights, found, strict=True):
-                cum += w
-                key.append(base + j + math.ceil(min(cum / total, 1.0) / GRAIN) * GRAIN)
-                back.append(base + i)
-                ids.append(piece)
-            key[-1] = base + j + 1.0
-        m = len(key)
+    def add(self, parts: list[str]) -> None:
+        """Forward filtering over new parts, all at once, one end position after another."""
+        sizes = np.array([len(p) for p in parts], np.int64)
+        text = np.frombuffer("".join(parts).encode("utf-32-le"), np.uint32).astype(np.uint64)
+        n, total = len(parts), len(text)
+        starts = np.cumsum(sizes) - sizes
+        of = np.repeat(np.arange(n), sizes)
+        local = np.arange(total) - starts[of]
+        left = sizes[of] - local  # characters from here to the part's end
+        node = self.n_nodes + np.arange(total) + of  # the node before each character
+        begin, size, piece, weight = [], [], [], []
+        at, h = np.arange(total), np.zeros(total, np.uint64)
+        for k in range(1, self.longest + 1):
+            on = left[at] >= k
+            at, h = at[on], h[on]
+            if not len(at):
+                break
+            h = _roll(h, text[at + k - 1])
+            keys, ids, logs, more = self.by_size[k]
+            j = np.minimum(np.searchsorted(keys, h), len(keys) - 1)
+            known = keys[j] == h
+            hit = known & (ids[j] >= 0)
+            begin.append(at[hit])
+            size.append(np.full(hit.sum(), k))
+            piece.append(ids[j[hit]])
+            weight.append(logs[j[hit]])
+            if k == 1 and not hit.all():
+                odd = at[~hit]
+                points, back = np.unique(text[odd], return_inverse=True)
+                codes = np.array([self._char(chr(int(c))) for c in points])
+                lens = np.array([len(self.char_ids[c]) for c in codes])
+                begin.append(odd)
+                size.append(np.ones(len(odd), np.int64))
+                piece.append(self.first_char + codes[back])
+                weight.append(lens[back] * self.byte_weight)
+            on = known & more[j]
+            at, h = at[on], h[on]
+        begin, size, piece, weight = (np.concatenate(x) for x in (begin, size, piece, weight))
+        stop = local[begin] + size
+        o = np.lexsort((piece, begin, stop))
+        begin, size, piece, weight, stop = begin[o], size[o], piece[o], weight[o], stop[o]
+        source = node[begin] - self.n_nodes
+        target = source + size
+        o = np.lexsort((source, target, stop))
+        source, target, piece, weight, stop = source[o], target[o], piece[o], weight[o], stop[o]
+        alpha = np.zeros(total + n)
+        cuts = np.searchsorted(stop, np.arange(1, int(stop[-1]) + 2))
+        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+            score = alpha[source[a:b]] + weight[a:b]
+            heads = np.flatnonzero(np.concatenate(([True], np.diff(target[a:b]) > 0)))
+            top = np.maximum.reduceat(score, heads)
+            each = np.diff(np.concatenate((heads, [b - a])))
+            alpha[target[a:b][heads]] = top + np.log(np.add.reduceat(np.exp(score - np.repeat(top, each)), heads))
+        chance = np.exp(alpha[source] + weight - alpha[target])
+        # Edges by node; a part's first node has one edge that ends the draw.
+        first = starts + np.arange(n)
+        target, source = np.concatenate((target, first)), np.concatenate((source, np.full(n, -1)))
+        piece, chance = np.concatenate((piece, np.full(n, -1))), np.concatenate((chance, np.ones(n)))
+        o = np.lexsort((piece, source, target))
+        target, source, piece, chance = target[o], source[o], piece[o], chance[o]
+        heads = np.flatnonzero(np.concatenate(([True], np.diff(target) > 0)))
+        each = np.diff(np.concatenate((heads, [len(target)])))
+        cum = np.cumsum(chance)
+        cum -= np.repeat(cum[heads] - chance[heads], each)
+        cum = np.minimum(np.ceil(cum / GRAIN) * GRAIN, 1.0)
+        cum[heads + each - 1] = 1.0
+        m = len(target)
         if self.n_edges + m > len(self.key):
-            size = max(2 * len(self.key), self.n_edges + m)
-            self.key, self.back, self.piece = (np.concatenate([x[: self.n_edges], np.empty(size - self.n_edges, x.dtype)]) for x in (self.key, self.back, self.piece))
+            room = max(2 * len(self.key), self.n_edges + m)
+            self.key, self.back, self.piece = (np.concatenate([x[: self.n_edges], np.empty(room - self.n_edges, x.dtype)]) for x in (self.key, self.back, self.piece))
         s = slice(self.n_edges, self.n_edges + m)
-        self.key[s], self.back[s], self.piece[s] = key, back, ids
+        self.key[s], self.back[s], self.piece[s] = self.n_nodes + target + cum, self.n_nodes + source, piece
+        self.at.update(zip(parts, (self.n_nodes + first + sizes).tolist(), strict=True))
         self.n_edges += m
-        self.n_nodes += n + 1
-        return base + n
+        self.n_nodes += total + n
+
+    def _char(self, c: str) -> int:
+        if (k := self.chars.get(c)) is None:
+            k = self.chars[c] = len(self.char_ids)
+            self.char_ids.append([self.byte_ids[b] for b in c.encode()])
+        return k
 
     def sample(self, nodes: np.ndarray, seeds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Pieces of all parts one after another, and the number of pieces of each part."""
@@ -132,7 +193,7 @@ class Lattice:
         step = 0
         while len(which):
             u = (mix64(seeds[which] + np.uint64((step * 0x9E3779B97F4A7C15) % 2**64)) >> np.uint64(34)).astype(np.float64) * GRAIN
-            edge = np.searchsorted(key, node + u, side="right")
+            edge = np.searchsorted(key, np.minimum(node + u, np.nextafter(node + 1.0, 0)), side="right")
             got = self.piece[edge]
             open_ = got >= 0
             which, edge, got = which[open_], edge[open_], got[open_]
@@ -177,13 +238,13 @@ def encode_block(keys: list, texts: list[str], lattice: Lattice, seed: int) -> l
     nodes: list[int] = []
     parts_of: list[int] = []
     seeds: list[np.ndarray] = []
-    at, add = lattice.at, lattice.add
-    for key, text in zip(keys, texts, strict=True):
-        parts = PARTS.findall(" " + text)
-        for p in parts:
-            if (k := at.get(p)) is None:
-                k = at[p] = add(p)
-            nodes.append(k)
+    found = [PARTS.findall(" " + text) for text in texts]
+    at = lattice.at
+    new = list(dict.fromkeys(p for parts in found for p in parts if p not in at))
+    if new:
+        lattice.add(new)
+    for key, parts in zip(keys, found, strict=True):
+        nodes += [at[p] for p in parts]
         parts_of.append(len(parts))
         seeds.append(mix64(np.uint64(row_seed(key, seed)) + np.arange(len(parts), dtype=np.uint64) * np.uint64(0xD1342543DE82EF95)))
     flat, counts = lattice.sample(np.array(nodes, np.int64), np.concatenate(seeds) if seeds else np.empty(0, np.uint64))
@@ -207,7 +268,7 @@ def _lattice(book: tuple, alpha: float) -> Lattice:
 
 
 def encode(docs: DataFrame, key: str = "doc_id", text: str = "text", model: str = MODEL, alpha: float = 1.0, seed: int = 0, keep_ids: bool = True) -> DataFrame:
-    """key, n_pieces, ids_sha256 (of the ids, comma-joined), lossless and, with ``keep_ids``, ids: a row for each document."""
+    """key, n_pieces, ids_sha256 (of the ids as little-endian 32-bit numbers), lossless and, with ``keep_ids``, ids: a row for each document."""
     spark = docs.sparkSession
     ship(spark)
     book = spark.sparkContext.broadcast(vocabulary(model))
@@ -231,7 +292,7 @@ def encode(docs: DataFrame, key: str = "doc_id", text: str = "text", model: str
                 out = [
                     batch.column(0).slice(a, b - a),
                     pa.array([len(x) for x in ids], pa.int64()),
-                    pa.array([hashlib.sha256(",".join(map(str, x)).encode()).hexdigest() for x in lists], pa.string()),
+                    pa.array([hashlib.sha256(x.astype("<i4").tobytes()).hexdigest() for x in ids], pa.string()),
                     pa.array([b"".join([raw[i] for i in x])[1:] == t.encode() for x, t in zip(lists, texts[a:b], strict=True)], pa.bool_()),
                 ]
                 if keep_ids:
