@@ -166,16 +166,18 @@ def shards(items: list[tuple[str, list[bytes]]], limit: int = SHARD_WORDS) -> li
     return out
 
 
-def find(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", item_key: str = "item_id", item_text: str = "text", window: int = WINDOW, shard_words: int = SHARD_WORDS) -> DataFrame:
-    """key, text, n_words, spans (array of [start, end) word positions) and items (sorted array of strings), a row for each document.
+def find(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", item_key: str = "item_id", item_text: str = "text", window: int = WINDOW, shard_words: int = SHARD_WORDS, carry: tuple[str, ...] = ()) -> DataFrame:
+    """k, text, n_words, spans (array of [start, end) word positions) and items (sorted array of strings), a row for each document.
 
-    A null item id is the item called "" here.
+    A null item id is the item called "" here. Columns ``carry`` follow in a struct rest.
     """
     spark = docs.sparkSession
     ship(spark)
     books = _books(items, item_key, item_text, shard_words)
     schema = "k bigint, text string, n_words bigint, spans array<array<bigint>>, items array<string>"
-    rows = docs.select(F.col(key).alias("k"), F.col(text).alias("text"))
+    rows = docs.select(F.col(key).cast("bigint").alias("k"), F.col(text).alias("text"), *([F.struct(*[F.col(c) for c in carry]).alias("rest")] if carry else []))
+    if carry:
+        schema += f", rest {rows.schema['rest'].dataType.simpleString()}"
     for n, book in enumerate(books):
         kept = spark.sparkContext.broadcast(book)
         first = n == 0
@@ -192,8 +194,8 @@ def find(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "te
                     spans.append(merge([*s, *(old or [])]))
                     found.append(sorted(who | set(named or [])))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("k"), batch.column("text"), pa.array(ns, pa.int64()), pa.array(spans, pa.list_(pa.list_(pa.int64()))), pa.array(found, pa.list_(pa.string()))],
-                    ["k", "text", "n_words", "spans", "items"],
+                    [batch.column("k"), batch.column("text"), pa.array(ns, pa.int64()), pa.array(spans, pa.list_(pa.list_(pa.int64()))), pa.array(found, pa.list_(pa.string())), *([batch.column("rest")] if carry else [])],
+                    ["k", "text", "n_words", "spans", "items", *["rest"] * bool(carry)],
                 )
 
         rows = rows.mapInArrow(run, schema)
@@ -228,6 +230,7 @@ def verdicts(found: DataFrame, per_cent: int = 5) -> DataFrame:
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
         ((n_hit > 0) & (100 * n_hit >= per_cent * F.col("n_words"))).alias("contaminated"),
         "spans",
+        *[c for c in found.columns if c == "rest"],
     )
 
 

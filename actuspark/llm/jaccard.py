@@ -30,12 +30,12 @@ empty result; other columns are not read.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .graph import components
@@ -70,27 +70,29 @@ def prefix_size(n: int, per_cent: int) -> int:
 
 
 def _tag(text: bytes) -> int:
-    return xxhash.xxh3_64_intdigest(text) >> (64 - TAG_BITS)
+    return xxhash.xxh64_intdigest(text, 42) >> (64 - TAG_BITS)
 
 
-MEMBERS = "key bigint, d bigint, v bigint, rd bigint, rv bigint"
+MEMBERS = "key bigint, d bigint, v bigint, rd bigint, rv bigint, x bigint"
 
 
 def _members(batches: Iterator[pa.RecordBatch], words: int, per_cent: int, often: np.ndarray, weight: np.ndarray) -> Iterator[pa.RecordBatch]:
     """Regions (key) of the documents (d, v), and a row without key for each document: the one (rd, rv) of its batch with the same set.
 
-    v is the number of shingles above the text's tag.
+    x is Spark's hash of the text, v is the number of shingles above the text's tag.
     """
     for batch in batches:
         own, found = [], {}
         for d, t in zip(batch.column(0).to_pylist(), byte_texts(batch.column(1)), strict=True):
             s = shingles(t, words)
-            node = (NULL_ID if d is None else d, (len(s) << TAG_BITS) | _tag(t))
+            x = xxhash.xxh64_intdigest(t, 42)
+            node = (NULL_ID if d is None else d, (len(s) << TAG_BITS) | (x >> (64 - TAG_BITS)))
+            x -= (x >> 63) << 64
             if not len(s):
-                own.append((*node, None))
+                own.append((*node, x, None))
                 continue
             name = hashlib.blake2b(s.tobytes(), digest_size=16).digest()
-            own.append((*node, name))
+            own.append((*node, x, name))
             if name not in found:
                 w = np.zeros(len(s), np.int64)
                 if len(often):
@@ -101,15 +103,15 @@ def _members(batches: Iterator[pa.RecordBatch], words: int, per_cent: int, often
                 found[name][0] = node
         reps = [found[n][0] if n else (None, None) for *_, n in own]
         yield pa.RecordBatch.from_arrays(
-            [pa.nulls(len(own), pa.int64()), *[pa.array(x, pa.int64()) for x in zip(*[(d, v, *r) for (d, v, _), r in zip(own, reps, strict=True)], strict=True)]],
-            ["key", "d", "v", "rd", "rv"],
+            [pa.nulls(len(own), pa.int64()), *[pa.array(x, pa.int64()) for x in zip(*[(d, v, *r, x) for (d, v, x, _), r in zip(own, reps, strict=True)], strict=True)]],
+            ["key", "d", "v", "rd", "rv", "x"],
         )
         if found:
             sizes = [len(k) for _, k in found.values()]
             keys = np.concatenate([k for _, k in found.values()]).view(np.int64)
             d, v = (np.repeat(np.array(x, np.int64), sizes) for x in zip(*[n for n, _ in found.values()], strict=True))
             none = pa.nulls(len(keys), pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(d), pa.array(v), none, none], ["key", "d", "v", "rd", "rv"])
+            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(d), pa.array(v), none, none, none], ["key", "d", "v", "rd", "rv", "x"])
 
 
 def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -135,7 +137,8 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         many = np.concatenate((~new[1:], [False])) | ~new
         go = many & ~sent & ~equal
         if go.any():
-            yield pa.RecordBatch.from_arrays([pa.array(x[go]) for x in (key, d, v, pd_, pv)], ["key", "d", "v", "rd", "rv"])
+            more = batch.schema.names[5:]
+            yield pa.RecordBatch.from_arrays([*[pa.array(x[go]) for x in (key, d, v, pd_, pv)], *[pa.nulls(int(go.sum()), pa.int64()) for _ in more]], ["key", "d", "v", "rd", "rv", *more])
         last = (key[-1], d[-1], v[-1], pd_[-1], pv[-1], bool(many[-1]))
 
 
@@ -163,25 +166,25 @@ def _overlap(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 NODE = "struct<d:bigint,v:bigint>"
 
 
-def _size(node: str):
-    return F.shiftright(F.col(f"{node}.v"), TAG_BITS)
+def _size(node: str, shift: int = TAG_BITS) -> Column:
+    return F.shiftright(F.col(f"{node}.v"), shift)
 
 
-def _near_sizes(per_cent: int):
-    return (100 * F.least(_size("a"), _size("b")) >= per_cent * F.greatest(_size("a"), _size("b"))) & (F.col("a") != F.col("b"))
+def _near_sizes(per_cent: int, shift: int) -> Column:
+    return (100 * F.least(_size("a", shift), _size("b", shift)) >= per_cent * F.greatest(_size("a", shift), _size("b", shift))) & (F.col("a") != F.col("b"))
 
 
-def _verify(pairs: DataFrame, sets: DataFrame, per_cent: int) -> DataFrame:
+def verify(pairs: DataFrame, sets: DataFrame, per_cent: int, shift: int = TAG_BITS) -> DataFrame:
     """(a, b, inter, links) for distinct pairs of nodes."""
     flat = pairs.select(F.col("a.d").alias("ad"), F.col("a.v").alias("av"), F.col("b.d").alias("bd"), F.col("b.v").alias("bv"))
     side = lambda x: sets.select(F.col("d").alias(f"{x}d"), F.col("v").alias(f"{x}v"), F.col("set").alias(f"s{x}"))
     joined = flat.join(side("a"), ["ad", "av"]).join(side("b"), ["bd", "bv"])
     joined = joined.select(F.struct(F.col("ad").alias("d"), F.col("av").alias("v")).cast(NODE).alias("a"), F.struct(F.col("bd").alias("d"), F.col("bv").alias("v")).cast(NODE).alias("b"), "sa", "sb")
     got = joined.mapInArrow(_overlap, f"a {NODE}, b {NODE}, inter bigint")
-    return got.withColumn("links", 100 * F.col("inter") >= per_cent * (_size("a") + _size("b") - F.col("inter")))
+    return got.withColumn("links", 100 * F.col("inter") >= per_cent * (_size("a", shift) + _size("b", shift) - F.col("inter")))
 
 
-def _next_pairs(batches: Iterator[pa.RecordBatch], per_cent: int, pivots: int) -> Iterator[pa.RecordBatch]:
+def _next_pairs(batches: Iterator[pa.RecordBatch], per_cent: int, pivots: int, shift: int) -> Iterator[pa.RecordBatch]:
     """From members sorted by (key, open first, node): the pairs of the region's next pivots with members of other components.
 
     Rows: key, open, d, v, cd, cv (component), far (distance to the first pivot).
@@ -193,9 +196,9 @@ def _next_pairs(batches: Iterator[pa.RecordBatch], per_cent: int, pivots: int) -
         for k, open_, d, v, cd, cv, far in zip(*[c.to_pylist() for c in batch.columns], strict=True):
             if k != key:
                 key, chosen = k, []
-            n = v >> TAG_BITS
+            n = v >> shift
             for pd_, pv, pcd, pcv, pfar in chosen:
-                m = pv >> TAG_BITS
+                m = pv >> shift
                 if (cd, cv) != (pcd, pcv) and 100 * min(n, m) >= per_cent * max(n, m) and (far is None or pfar is None or abs(far - pfar) <= eps):
                     out.append((k, {"d": d, "v": v}, {"d": pd_, "v": pv}))
             if open_ and len(chosen) < pivots:
@@ -226,8 +229,8 @@ def _frequent(rows: DataFrame, words: int, sample_docs: int, most: int) -> tuple
     return s[o], c[o]
 
 
-def join(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS, per_cent: int = PER_CENT, pivots: int = PIVOTS, broadcast_docs: int = BROADCAST_DOCS) -> DataFrame:
-    """key, n_shingles, component_id: a row for each document. ``key`` is a whole number."""
+def _resolve(docs: DataFrame, key: str, text: str, words: int, per_cent: int, pivots: int, broadcast_docs: int) -> DataFrame:
+    """d, v, x, node and component (null: its own) of each document."""
     spark = docs.sparkSession
     ship(spark)
     rows = docs.select(F.col(key).cast("bigint").alias("d"), F.col(text).alias("t"))
@@ -240,16 +243,47 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int =
         .sortWithinPartitions("key", "d", "v")
         .mapInArrow(_shared, MEMBERS)
     )
+    compare = lambda pairs: _compare(rows, pairs, words, per_cent, broadcast_docs)
+    labels = link(placed, compare, per_cent, pivots)
+    pivot = F.struct(F.col("rd").alias("d"), F.col("rv").alias("v")).cast(NODE)
+    return placed.where("key is null").select("d", "v", "x", pivot.alias("node")).join(labels, "node", "left")
+
+
+def join(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS, per_cent: int = PER_CENT, pivots: int = PIVOTS, broadcast_docs: int = BROADCAST_DOCS) -> DataFrame:
+    """key, n_shingles, component_id: a row for each document. ``key`` is a whole number."""
+    out = _resolve(docs, key, text, words, per_cent, pivots, broadcast_docs)
+    least = F.coalesce("component.d", "node.d", "d")
+    kind = docs.schema[key].dataType.simpleString()
+    return out.select(
+        F.nullif("d", F.lit(NULL_ID)).cast(kind).alias(key), F.shiftright("v", TAG_BITS).cast("bigint").alias("n_shingles"), F.nullif(least, F.lit(NULL_ID)).cast(kind).alias("component_id")
+    )
+
+
+def representatives(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS, per_cent: int = PER_CENT, pivots: int = PIVOTS, broadcast_docs: int = BROADCAST_DOCS) -> DataFrame:
+    """The rows of ``docs`` without those that link, over any number of steps, with an earlier one; of equal rows one stays, and texts without words stay all."""
+    out = _resolve(docs, key, text, words, per_cent, pivots, broadcast_docs)
+    group = F.coalesce("component", "node", F.struct("d", "v").cast(NODE))
+    kept = out.groupBy(group.alias("g")).agg(F.min(F.struct("d", "x")).alias("first")).select(F.col("first.d").alias("kept_d"), F.col("first.x").alias("kept_x"))
+    own = docs.withColumns({"kept_d": F.coalesce(F.col(key).cast("bigint"), F.lit(NULL_ID)), "kept_x": F.xxhash64(F.coalesce(F.col(text), F.lit("")))})
+    return own.join(kept, ["kept_d", "kept_x"], "left_semi").dropDuplicates(["kept_d", "kept_x"]).select(*docs.columns)
+
+
+def link(placed: DataFrame, compare: Callable[[DataFrame], DataFrame], per_cent: int, pivots: int = PIVOTS, shift: int = TAG_BITS) -> DataFrame:
+    """(node, component) of all nodes that link with another.
+
+    ``placed`` has the shared regions of ``_shared``; ``compare`` gives (a, b, inter, links) for
+    distinct pairs of nodes. A node's number of shingles stands in v above ``shift`` bits.
+    """
     node, pivot = F.struct("d", "v").cast(NODE), F.struct(F.col("rd").alias("d"), F.col("rv").alias("v")).cast(NODE)
     regions = placed.where("key is not null").select("key", node.alias("a"), pivot.alias("b"))
-    judged = _compare(rows, regions.where(_near_sizes(per_cent)).select("a", "b").distinct(), words, per_cent, broadcast_docs)
+    judged = compare(regions.where(_near_sizes(per_cent, shift)).select("a", "b").distinct())
     edges = judged.where("links").select("a", "b")
     labels = components(edges)
     done = None
     while True:
         # Members of regions that still have several components.
         now = regions.join(labels.select(F.col("node").alias("a"), F.col("component").alias("c")), "a", "left").withColumn("c", F.coalesce("c", "a"))
-        now = now.join(judged.select("a", "b", (1 - F.col("inter") / (_size("a") + _size("b") - F.col("inter"))).alias("far")), ["a", "b"], "left")
+        now = now.join(judged.select("a", "b", (1 - F.col("inter") / (_size("a", shift) + _size("b", shift) - F.col("inter"))).alias("far")), ["a", "b"], "left")
         split = now.groupBy("key").agg(F.min("c").alias("c0"), F.max("c").alias("c1")).where("c0 <> c1").select("key")
         now = now.join(split, "key")
         home = now.where(F.col("a") == F.col("b")).select("key", F.col("c").alias("home"))
@@ -261,23 +295,17 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int =
             now.select("key", "open", "a.d", "a.v", F.col("c.d").alias("cd"), F.col("c.v").alias("cv"), "far")
             .repartition("key")
             .sortWithinPartitions("key", F.desc("open"), "d", "v")
-            .mapInArrow(lambda b: _next_pairs(b, per_cent, pivots), f"key bigint, a {NODE}, b {NODE}")
+            .mapInArrow(lambda b: _next_pairs(b, per_cent, pivots, shift), f"key bigint, a {NODE}, b {NODE}")
         )
         used = found.where(F.col("a") == F.col("b")).select("key", "a")
         if used.isEmpty():
             break
         done = cut(used if done is None else done.unionByName(used))
-        fresh = _compare(rows, found.where(F.col("a") != F.col("b")).select("a", "b").distinct(), words, per_cent, broadcast_docs)
+        fresh = compare(found.where(F.col("a") != F.col("b")).select("a", "b").distinct())
         if not fresh.where("links").isEmpty():
             edges = edges.unionByName(fresh.where("links").select("a", "b"))
             labels = components(edges)
-    own = placed.where("key is null").select("d", "v", pivot.alias("node"))
-    out = own.join(labels, "node", "left")
-    least = F.coalesce("component.d", "node.d", "d")
-    kind = docs.schema[key].dataType.simpleString()
-    return out.select(
-        F.nullif("d", F.lit(NULL_ID)).cast(kind).alias(key), F.shiftright("v", TAG_BITS).cast("bigint").alias("n_shingles"), F.nullif(least, F.lit(NULL_ID)).cast(kind).alias("component_id")
-    )
+    return labels
 
 
 def _compare(rows: DataFrame, pairs: DataFrame, words: int, per_cent: int, broadcast_docs: int) -> DataFrame:
@@ -289,4 +317,4 @@ def _compare(rows: DataFrame, pairs: DataFrame, words: int, per_cent: int, broad
     texts = rows.withColumn("d", F.coalesce("d", F.lit(NULL_ID))).join(F.broadcast(only) if few else only, "d", "left_semi")
     made = texts.mapInArrow(lambda b: _sets(b, words), "d bigint, v bigint, set binary")
     made = save(made.join(F.broadcast(ids) if few else ids, ["d", "v"], "left_semi"))
-    return cut(_verify(pairs, made.dropDuplicates(["d", "v"]), per_cent))
+    return cut(verify(pairs, made.dropDuplicates(["d", "v"]), per_cent))

@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, edit_counts, jaccard, pieces, quality, suffix, urls
+import corpus_pipeline
+
+from . import chat, decontam, edit_counts, jaccard, maxent, paragraphs, pieces, quality, suffix, urls
 from .shared import table
 
 #: The URL rules of the contract (fixed values): host, path, verdict.
@@ -20,11 +22,26 @@ URL_RULES = [
 ]
 
 
+def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The model learns from the conversations that are not held out; roles of all rows are recovered from the raw text alone."""
+    raw = chat.transcripts(table(spark, sf_dir, "conversations"))
+    model = chat.fit(raw.where(F.pmod(F.xxhash64("conv_id"), F.lit(5)) != 1))
+    return chat.parse(raw.drop("role"), model)
+
+
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontam.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return decontam.verdicts(found).select(F.col("k").alias("doc_id"), "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
+def op3_paragraph_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return paragraphs.dedup(table(spark, sf_dir, "documents"))
+
+
+def op4_maxent_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return maxent.score_corpus(table(spark, sf_dir, "documents"))
+
+
 def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
     return urls.classify(table(spark, sf_dir, "pages"), rules)
@@ -46,7 +63,7 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return suffix.dedup(table(spark, sf_dir, "documents"), keep_text=False)
+    return suffix.dedup(table(spark, sf_dir, "documents"), keep_text="")
 
 
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -61,13 +78,17 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_chat_format": op1_chat_format,
     "op2_decontaminate": op2_decontaminate,
+    "op3_paragraph_dedup": op3_paragraph_dedup,
+    "op4_maxent_scores": op4_maxent_scores,
     "op5_url_filter": op5_url_filter,
     "op6_pieces": op6_pieces,
     "op7_token_counts": op7_token_counts,
     "op8_substring_dedup": op8_substring_dedup,
     "op9_quality": op9_quality,
     "op10_jaccard_join": op10_jaccard_join,
+    "pipeline": corpus_pipeline.run,
 }
 
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"

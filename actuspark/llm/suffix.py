@@ -32,7 +32,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import xxhash
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .shared import byte_texts, mix64, save, ship
@@ -99,7 +100,12 @@ def _signed(x: np.ndarray) -> np.ndarray:
 
 
 def _tag(text: bytes) -> int:
-    return int.from_bytes(hashlib.blake2b(text, digest_size=4).digest(), "little") >> (32 - TAG_BITS)
+    """As ``tag_of`` has it."""
+    return xxhash.xxh64_intdigest(text, 42) >> (64 - TAG_BITS)
+
+
+def tag_of(text: Column) -> Column:
+    return F.shiftrightunsigned(F.xxhash64(F.coalesce(text, F.lit(""))), 64 - TAG_BITS)
 
 
 def _merged(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -304,14 +310,8 @@ def covered(docs: DataFrame, key: str = "doc_id", text: str = "text", length: in
 
 
 def tagged(rows: DataFrame) -> DataFrame:
-    """Rows (d, t) with null ids replaced and the tag of each text, as the Python side makes it."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            tags = pa.array([_tag(t) for t in byte_texts(batch.column(1))], pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column(0).fill_null(NULL_ID), batch.column(1), tags], ["d", "t", "tag"])
-
-    return rows.mapInArrow(run, "d bigint, t string, tag bigint")
+    """Rows with the columns d and t, with null ids replaced, and the tag of each text."""
+    return rows.withColumns({"d": F.coalesce("d", F.lit(NULL_ID)), "tag": tag_of(F.col("t"))})
 
 
 def _spans(pieces: list | None) -> list[tuple[int, int]]:
@@ -323,30 +323,39 @@ def _spans(pieces: list | None) -> list[tuple[int, int]]:
     return list(zip(a.tolist(), b.tolist(), strict=True))
 
 
-def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH, keep_text: bool = True, group: int = GROUP, chunk: int = CHUNK) -> DataFrame:
-    """key, n_bytes, n_removed, n_spans, kept_sha256 and, with ``keep_text``, kept (binary): a row for each document."""
+def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH, keep_text: str = "bytes", carry: tuple[str, ...] = (), group: int = GROUP, chunk: int = CHUNK) -> DataFrame:
+    """key, n_bytes, n_removed, n_spans, kept_sha256, with ``keep_text`` "bytes" the remaining bytes as kept, with "text" what is left of whole characters as text, and a struct rest of the columns ``carry``: a row for each document."""
     spark = docs.sparkSession
     ship(spark)
     kind = docs.schema[key].dataType.simpleString()
+    kept = {"bytes": ["kept"], "text": ["text"]}.get(keep_text, [])
+    rest = [F.struct(*[F.col(c) for c in carry]).alias("rest")] if carry else []
     pieces = covered(docs, key, text, length, group, chunk)
     pieces = pieces.groupBy("d", F.col("e").bitwiseAND((1 << TAG_BITS) - 1).alias("tag")).agg(F.collect_list(F.struct("s", "e")).alias("pieces"))
-    rows = tagged(docs.select(F.col(key).cast("bigint").alias("d"), F.col(text).alias("t"))).join(pieces, ["d", "tag"], "left").select("d", "t", "pieces")
+    rows = tagged(docs.select(F.col(key).cast("bigint").alias("d"), F.col(text).alias("t"), *rest)).join(pieces, ["d", "tag"], "left").select("d", "t", "pieces", *["rest"] * bool(carry))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: list[tuple] = []
             for t, found in zip(byte_texts(batch.column(1)), batch.column(2).to_pylist(), strict=True):
-                spans, at, kept = _spans(found), 0, []
+                spans, at, left = _spans(found), 0, []
                 for a, b in spans:
-                    kept.append(t[at:a])
+                    left.append(t[at:a])
                     at = b
-                kept.append(t[at:])
-                whole = b"".join(kept)
+                left.append(t[at:])
+                whole = b"".join(left)
                 out.append((len(t), len(t) - len(whole), len(spans), hashlib.sha256(whole).hexdigest(), whole))
             n, gone, k, sha, whole = zip(*out, strict=True)
             cols = [batch.column(0), pa.array(n, pa.int64()), pa.array(gone, pa.int64()), pa.array(k, pa.int64()), pa.array(sha, pa.string())]
-            cols += [pa.array(whole, pa.binary())] * keep_text
-            yield pa.RecordBatch.from_arrays(cols, ["d", "n_bytes", "n_removed", "n_spans", "kept_sha256", *["kept"] * keep_text])
-
-    out = rows.mapInArrow(run, "d bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string" + ", kept binary" * keep_text)
+            if keep_text == "bytes":
+                cols.append(pa.array(whole, pa.binary()))
+            elif keep_text == "text":
+                cols.append(pa.array([x.decode(errors="ignore") for x in whole], pa.string()))
+            cols += batch.columns[3:]
+            yield pa.RecordBatch.from_arrays(cols, ["d", "n_bytes", "n_removed", "n_spans", "kept_sha256", *kept, *["rest"] * bool(carry)])
+
+    schema = "d bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string" + {"bytes": ", kept binary", "text": ", text string"}.get(keep_text, "")
+    if carry:
+        schema += f", rest {rows.schema['rest'].dataType.simpleString()}"
+    out = rows.mapInArrow(run, schema)
     return out.withColumn("d", F.nullif("d", F.lit(NULL_ID)).cast(kind)).withColumnRenamed("d", key)
