@@ -47,8 +47,10 @@ WORDS, PER_CENT = 5, 75
 PIVOTS = 64
 #: Documents in the sample that orders the pivots, and frequent shingles that are kept of it.
 SAMPLE_DOCS, FREQUENT = 8000, 200_000
-#: Up to this many documents to compare are broadcast (16 bytes each); more are joined by a shuffle.
-BROADCAST_DOCS = 400_000
+#: Up to this many pairs to compare are broadcast (about 100 bytes each); more are joined by a shuffle.
+BROADCAST_PAIRS = 300_000
+#: Members of a pivot that are compared in one group.
+GROUP = 4096
 TAG_BITS = 19
 
 
@@ -73,6 +75,11 @@ def _tag(text: bytes) -> int:
     return xxhash.xxh64_intdigest(text, 42) >> (64 - TAG_BITS)
 
 
+def _one(text: bytes, words: int) -> Iterator[tuple[int, np.ndarray]]:
+    s = shingles(text, words)
+    yield (len(s) << TAG_BITS) | _tag(text), s
+
+
 MEMBERS = "key bigint, d bigint, v bigint, rd bigint, rv bigint, x bigint"
 
 
@@ -142,27 +149,6 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last = (key[-1], d[-1], v[-1], pd_[-1], pv[-1], bool(many[-1]))
 
 
-def _sets(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        texts = byte_texts(batch.column(1))
-        sets = [shingles(t, words) for t in texts]
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(0).fill_null(NULL_ID), pa.array([(len(s) << TAG_BITS) | _tag(t) for s, t in zip(sets, texts, strict=True)], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())],
-            ["d", "v", "set"],
-        )
-
-
-def _overlap(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        out = []
-        for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
-            s, t = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-            if len(s) > len(t):
-                s, t = t, s
-            out.append(int((t[np.minimum(np.searchsorted(t, s), len(t) - 1)] == s).sum()))
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.int64())], ["a", "b", "inter"])
-
-
 NODE = "struct<d:bigint,v:bigint>"
 
 
@@ -174,16 +160,6 @@ def _near_sizes(per_cent: int, shift: int) -> Column:
     return (100 * F.least(_size("a", shift), _size("b", shift)) >= per_cent * F.greatest(_size("a", shift), _size("b", shift))) & (F.col("a") != F.col("b"))
 
 
-def verify(pairs: DataFrame, sets: DataFrame, per_cent: int, shift: int = TAG_BITS) -> DataFrame:
-    """(a, b, inter, links) for distinct pairs of nodes."""
-    flat = pairs.select(F.col("a.d").alias("ad"), F.col("a.v").alias("av"), F.col("b.d").alias("bd"), F.col("b.v").alias("bv"))
-    side = lambda x: sets.select(F.col("d").alias(f"{x}d"), F.col("v").alias(f"{x}v"), F.col("set").alias(f"s{x}"))
-    joined = flat.join(side("a"), ["ad", "av"]).join(side("b"), ["bd", "bv"])
-    joined = joined.select(F.struct(F.col("ad").alias("d"), F.col("av").alias("v")).cast(NODE).alias("a"), F.struct(F.col("bd").alias("d"), F.col("bv").alias("v")).cast(NODE).alias("b"), "sa", "sb")
-    got = joined.mapInArrow(_overlap, f"a {NODE}, b {NODE}, inter bigint")
-    return got.withColumn("links", 100 * F.col("inter") >= per_cent * (_size("a", shift) + _size("b", shift) - F.col("inter")))
-
-
 def _next_pairs(batches: Iterator[pa.RecordBatch], per_cent: int, pivots: int, shift: int) -> Iterator[pa.RecordBatch]:
     """From members sorted by (key, open first, node): the pairs of the region's next pivots with members of other components.
 
@@ -229,7 +205,7 @@ def _frequent(rows: DataFrame, words: int, sample_docs: int, most: int) -> tuple
     return s[o], c[o]
 
 
-def _resolve(docs: DataFrame, key: str, text: str, words: int, per_cent: int, pivots: int, broadcast_docs: int) -> DataFrame:
+def _resolve(docs: DataFrame, key: str, text: str, words: int, per_cent: int, pivots: int, broadcast_pairs: int) -> DataFrame:
     """d, v, x, node and component (null: its own) of each document."""
     spark = docs.sparkSession
     ship(spark)
@@ -243,15 +219,14 @@ def _resolve(docs: DataFrame, key: str, text: str, words: int, per_cent: int, pi
         .sortWithinPartitions("key", "d", "v")
         .mapInArrow(_shared, MEMBERS)
     )
-    compare = lambda pairs: _compare(rows, pairs, words, per_cent, broadcast_docs)
-    labels = link(placed, compare, per_cent, pivots)
+    labels = link(placed, lambda pairs: compare(rows, pairs, lambda d, t: _one(t, words), per_cent, TAG_BITS, broadcast_pairs), per_cent, pivots)
     pivot = F.struct(F.col("rd").alias("d"), F.col("rv").alias("v")).cast(NODE)
     return placed.where("key is null").select("d", "v", "x", pivot.alias("node")).join(labels, "node", "left")
 
 
-def join(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS, per_cent: int = PER_CENT, pivots: int = PIVOTS, broadcast_docs: int = BROADCAST_DOCS) -> DataFrame:
+def join(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS, per_cent: int = PER_CENT, pivots: int = PIVOTS, broadcast_pairs: int = BROADCAST_PAIRS) -> DataFrame:
     """key, n_shingles, component_id: a row for each document. ``key`` is a whole number."""
-    out = _resolve(docs, key, text, words, per_cent, pivots, broadcast_docs)
+    out = _resolve(docs, key, text, words, per_cent, pivots, broadcast_pairs)
     least = F.coalesce("component.d", "node.d", "d")
     kind = docs.schema[key].dataType.simpleString()
     return out.select(
@@ -259,24 +234,24 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int =
     )
 
 
-def representatives(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS, per_cent: int = PER_CENT, pivots: int = PIVOTS, broadcast_docs: int = BROADCAST_DOCS) -> DataFrame:
+def representatives(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS, per_cent: int = PER_CENT, pivots: int = PIVOTS, broadcast_pairs: int = BROADCAST_PAIRS) -> DataFrame:
     """The rows of ``docs`` without those that link, over any number of steps, with an earlier one; of equal rows one stays, and texts without words stay all."""
-    out = _resolve(docs, key, text, words, per_cent, pivots, broadcast_docs)
+    out = _resolve(docs, key, text, words, per_cent, pivots, broadcast_pairs)
     group = F.coalesce("component", "node", F.struct("d", "v").cast(NODE))
     kept = out.groupBy(group.alias("g")).agg(F.min(F.struct("d", "x")).alias("first")).select(F.col("first.d").alias("kept_d"), F.col("first.x").alias("kept_x"))
     own = docs.withColumns({"kept_d": F.coalesce(F.col(key).cast("bigint"), F.lit(NULL_ID)), "kept_x": F.xxhash64(F.coalesce(F.col(text), F.lit("")))})
     return own.join(kept, ["kept_d", "kept_x"], "left_semi").dropDuplicates(["kept_d", "kept_x"]).select(*docs.columns)
 
 
-def link(placed: DataFrame, compare: Callable[[DataFrame], DataFrame], per_cent: int, pivots: int = PIVOTS, shift: int = TAG_BITS) -> DataFrame:
+def link(placed: DataFrame, judge: Callable[[DataFrame], DataFrame], per_cent: int, pivots: int = PIVOTS, shift: int = TAG_BITS) -> DataFrame:
     """(node, component) of all nodes that link with another.
 
-    ``placed`` has the shared regions of ``_shared``; ``compare`` gives (a, b, inter, links) for
+    ``placed`` has the shared regions of ``_shared``; ``judge`` gives (a, b, inter, links) for
     distinct pairs of nodes. A node's number of shingles stands in v above ``shift`` bits.
     """
     node, pivot = F.struct("d", "v").cast(NODE), F.struct(F.col("rd").alias("d"), F.col("rv").alias("v")).cast(NODE)
     regions = placed.where("key is not null").select("key", node.alias("a"), pivot.alias("b"))
-    judged = compare(regions.where(_near_sizes(per_cent, shift)).select("a", "b").distinct())
+    judged = judge(regions.where(_near_sizes(per_cent, shift)).select("a", "b").distinct())
     edges = judged.where("links").select("a", "b")
     labels = components(edges)
     done = None
@@ -301,20 +276,70 @@ def link(placed: DataFrame, compare: Callable[[DataFrame], DataFrame], per_cent:
         if used.isEmpty():
             break
         done = cut(used if done is None else done.unionByName(used))
-        fresh = compare(found.where(F.col("a") != F.col("b")).select("a", "b").distinct())
+        fresh = judge(found.where(F.col("a") != F.col("b")).select("a", "b").distinct())
         if not fresh.where("links").isEmpty():
             edges = edges.unionByName(fresh.where("links").select("a", "b"))
             labels = components(edges)
     return labels
 
 
-def _compare(rows: DataFrame, pairs: DataFrame, words: int, per_cent: int, broadcast_docs: int) -> DataFrame:
-    """Exact overlaps of the pairs; the shingle sets are made anew from the texts that the pairs need."""
+def _spread(batches: Iterator[pa.RecordBatch], sets: Callable) -> Iterator[pa.RecordBatch]:
+    """The set of each wanted node, once for each group that it is compared in."""
+    for batch in batches:
+        out, sent = [], set()
+        for d, t, todo in zip(batch.column(0).to_pylist(), byte_texts(batch.column(1)), batch.column(2).to_pylist(), strict=True):
+            need: dict[int, list] = {}
+            for x in todo:
+                need.setdefault(x["v"], []).append(x)
+            for v, s in sets(d, t):
+                if v in need and (d, v) not in sent:
+                    sent.add((d, v))
+                    own = s.tobytes()
+                    out += [(x["bd"], x["bv"], x["salt"], x["role"], d, v, own) for x in need[v]]
+        if out:
+            *cols, own = zip(*out, strict=True)
+            yield pa.RecordBatch.from_arrays([*[pa.array(x, pa.int64()) for x in cols], pa.array(own, pa.binary())], ["bd", "bv", "salt", "role", "d", "v", "set"])
+
+
+def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """From sets sorted by group, the pivot's first: overlaps of the pivot with each member."""
+    group, pivot, last = None, None, None
+    kind = pa.struct([("d", pa.int64()), ("v", pa.int64())])
+    for batch in batches:
+        out = []
+        for bd, bv, salt, role, d, v, own in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+            s = np.frombuffer(own, np.uint64)
+            if role == 0:
+                group, pivot, last = (bd, bv, salt), s, None
+            elif group == (bd, bv, salt) and last != (d, v):
+                last = (d, v)
+                x, y = (s, pivot) if len(s) <= len(pivot) else (pivot, s)
+                inter = int((y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x).sum())
+                out.append(({"d": d, "v": v}, {"d": bd, "v": bv}, inter))
+        if out:
+            x, y, n = zip(*out, strict=True)
+            yield pa.RecordBatch.from_arrays([pa.array(x, kind), pa.array(y, kind), pa.array(n, pa.int64())], ["a", "b", "inter"])
+
+
+def compare(rows: DataFrame, pairs: DataFrame, sets: Callable, per_cent: int, shift: int = TAG_BITS, broadcast_pairs: int = BROADCAST_PAIRS) -> DataFrame:
+    """(a, b, inter, links) for distinct pairs of nodes, exactly.
+
+    ``rows`` has d and t; ``sets(d, text)`` gives the nodes of a text as (v, sorted hashes). Sets are
+    made anew from the texts that the pairs need. Each member's set travels once to its pivot b;
+    pivots with many members are copied to one group for each ``GROUP`` of them.
+    """
     pairs = cut(pairs)
-    ids = cut(pairs.select("a.d", "a.v").unionByName(pairs.select("b.d", "b.v")).distinct())
-    few = ids.count() <= broadcast_docs
-    only = ids.select("d").distinct()
-    texts = rows.withColumn("d", F.coalesce("d", F.lit(NULL_ID))).join(F.broadcast(only) if few else only, "d", "left_semi")
-    made = texts.mapInArrow(lambda b: _sets(b, words), "d bigint, v bigint, set binary")
-    made = save(made.join(F.broadcast(ids) if few else ids, ["d", "v"], "left_semi"))
-    return cut(verify(pairs, made.dropDuplicates(["d", "v"]), per_cent))
+    groups = pairs.groupBy("b").agg(F.ceil(F.count(F.lit(1)) / GROUP).alias("groups"))
+    put = pairs.join(groups, "b").select(F.col("a.d").alias("d"), F.col("a.v").alias("v"), F.col("b.d").alias("bd"), F.col("b.v").alias("bv"), F.pmod(F.xxhash64("a.d", "a.v"), F.col("groups")).alias("salt"), F.lit(1).alias("role"))
+    heads = put.select(F.col("bd").alias("d"), F.col("bv").alias("v"), "bd", "bv", "salt", F.lit(0).alias("role")).distinct()
+    todo = put.unionByName(heads).groupBy("d").agg(F.collect_list(F.struct("v", "bd", "bv", "salt", "role")).alias("todo"))
+    if pairs.count() <= broadcast_pairs:
+        todo = F.broadcast(todo)
+    texts = rows.withColumn("d", F.coalesce("d", F.lit(NULL_ID))).join(todo, "d").select("d", "t", "todo")
+    got = (
+        texts.mapInArrow(lambda b: _spread(b, sets), "bd bigint, bv bigint, salt bigint, role bigint, d bigint, v bigint, set binary")
+        .repartition("bd", "bv", "salt")
+        .sortWithinPartitions("bd", "bv", "salt", "role", "d", "v")
+        .mapInArrow(_meet, f"a {NODE}, b {NODE}, inter bigint")
+    )
+    return cut(got.withColumn("links", 100 * F.col("inter") >= per_cent * (_size("a", shift) + _size("b", shift) - F.col("inter"))))

@@ -27,8 +27,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .jaccard import BROADCAST_DOCS, NODE, PER_CENT, PIVOTS, WORDS, _shared, link, shingles, verify
-from .shared import byte_texts, cut, mix64, save, ship
+from .jaccard import BROADCAST_PAIRS, NODE, PER_CENT, PIVOTS, _shared, compare, link, shingles
+from .shared import byte_texts, mix64, save, ship
 from .suffix import NULL_ID
 
 MIN_WORDS = 5
@@ -89,18 +89,7 @@ def _members(batches: Iterator[pa.RecordBatch], min_words: int, bands: int, rows
         yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(d), pa.array(v), none, none], names)
 
 
-def _sets(batches: Iterator[pa.RecordBatch], min_words: int) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        out = []
-        for d, t, wanted in zip(batch.column(0).to_pylist(), byte_texts(batch.column(1)), batch.column(2).to_pylist(), strict=True):
-            only = set(wanted)
-            out += [(nd, nv, s.tobytes()) for nd, nv, s in _lines(d, t, min_words) if nv in only]
-        if out:
-            d, v, s = zip(*out, strict=True)
-            yield pa.RecordBatch.from_arrays([pa.array(d, pa.int64()), pa.array(v, pa.int64()), pa.array(s, pa.binary())], ["d", "v", "set"])
-
-
-def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", per_cent: int = PER_CENT, min_words: int = MIN_WORDS, recall: float = RECALL, pivots: int = PIVOTS, broadcast_docs: int = BROADCAST_DOCS) -> DataFrame:
+def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", per_cent: int = PER_CENT, min_words: int = MIN_WORDS, recall: float = RECALL, pivots: int = PIVOTS, broadcast_pairs: int = BROADCAST_PAIRS) -> DataFrame:
     """key, paragraph (line number from 0), n_shingles, class_doc and class_paragraph (the first of its class), removed: a row for each paragraph."""
     ship(docs.sparkSession)
     bands, n_rows = tune(per_cent / 100, recall)
@@ -115,16 +104,8 @@ def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", per_cent: in
         .mapInArrow(_shared, schema)
     )
 
-    def compare(pairs: DataFrame) -> DataFrame:
-        pairs = cut(pairs)
-        ids = cut(pairs.select("a.d", "a.v").unionByName(pairs.select("b.d", "b.v")).distinct())
-        wanted = ids.groupBy("d").agg(F.collect_list("v").alias("wanted"))
-        wanted = F.broadcast(wanted) if ids.count() <= broadcast_docs else wanted
-        texts = rows.withColumn("d", F.coalesce("d", F.lit(NULL_ID))).join(wanted, "d").select("d", "t", "wanted")
-        sets = save(texts.mapInArrow(lambda b: _sets(b, min_words), "d bigint, v bigint, set binary"))
-        return cut(verify(pairs, sets.dropDuplicates(["d", "v"]), per_cent, SHIFT))
-
-    labels = link(placed, compare, per_cent, pivots, SHIFT)
+    sets = lambda d, t: ((v, s) for _, v, s in _lines(d, t, min_words))
+    labels = link(placed, lambda pairs: compare(rows, pairs, sets, per_cent, SHIFT, broadcast_pairs), per_cent, pivots, SHIFT)
     line = lambda v: F.shiftright(v, TAG_BITS).bitwiseAND((1 << LINE_BITS) - 1)
     own = placed.where("key is null").select("d", "v", F.struct(F.col("rd").alias("d"), F.col("rv").alias("v")).cast(NODE).alias("node"))
     own = own.join(labels, "node", "left").select("d", "v", F.coalesce("component", "node").alias("c"))

@@ -62,7 +62,7 @@ def corpus(seed):
 def test_same_components_as_brute_force(spark, seed, pivots, few):
     rows = corpus(seed)
     df = spark.createDataFrame([(d, t, "x", 1) for d, t in rows], SCHEMA).repartition(5)
-    got = jaccard.join(df, pivots=pivots, broadcast_docs=few).collect()
+    got = jaccard.join(df, pivots=pivots, broadcast_pairs=few).collect()
     assert sorted(((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got), key=str) == brute(rows)
 
 
