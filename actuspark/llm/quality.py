@@ -129,5 +129,6 @@ def cascade(measured: DataFrame, rules: list[Rule], into: str = "quality", verdi
 
 def quality(df: DataFrame, text: str = "text", into: str = "quality", verdict: str = "kept") -> DataFrame:
     """``df`` with the struct ``into`` and the boolean ``verdict``; every row of the input is in the result."""
-    measured = measure(df, text, into)
-    return cascade(measured, order_rules(measured, into=into), into, verdict)
+    # The sample is measured for itself, so that no other row is measured twice.
+    sample = measure(df.select(text).limit(SAMPLE_ROWS), text, into)
+    return cascade(measure(df, text, into), order_rules(sample, into=into), into, verdict)
