@@ -49,6 +49,8 @@ PIVOTS = 64
 SAMPLE_DOCS, FREQUENT = 8000, 200_000
 #: Up to this many pairs to compare are broadcast (about 100 bytes each); more are joined by a shuffle.
 BROADCAST_PAIRS = 300_000
+#: Up to this many rows of labels, distances and open regions are broadcast (about 50 bytes each).
+BROADCAST_ROWS = 1_000_000
 #: Members of a pivot that are compared in one group.
 GROUP = 4096
 TAG_BITS = 19
@@ -243,6 +245,11 @@ def representatives(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
     return own.join(kept, ["kept_d", "kept_x"], "left_semi").dropDuplicates(["kept_d", "kept_x"]).select(*docs.columns)
 
 
+def small(df: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
+    """``df`` with a broadcast hint if its number of rows allows it."""
+    return F.broadcast(df) if df.count() <= most else df
+
+
 def link(placed: DataFrame, judge: Callable[[DataFrame], DataFrame], per_cent: int, pivots: int = PIVOTS, shift: int = TAG_BITS) -> DataFrame:
     """(node, component) of all nodes that link with another.
 
@@ -256,15 +263,17 @@ def link(placed: DataFrame, judge: Callable[[DataFrame], DataFrame], per_cent: i
     labels = components(edges)
     done = None
     while True:
-        # Members of regions that still have several components.
-        now = regions.join(labels.select(F.col("node").alias("a"), F.col("component").alias("c")), "a", "left").withColumn("c", F.coalesce("c", "a"))
-        now = now.join(judged.select("a", "b", (1 - F.col("inter") / (_size("a", shift) + _size("b", shift) - F.col("inter"))).alias("far")), ["a", "b"], "left")
-        split = now.groupBy("key").agg(F.min("c").alias("c0"), F.max("c").alias("c1")).where("c0 <> c1").select("key")
-        now = now.join(split, "key")
-        home = now.where(F.col("a") == F.col("b")).select("key", F.col("c").alias("home"))
-        now = now.where(F.col("a") != F.col("b")).join(home, "key").withColumn("open", F.col("c") != F.col("home"))
+        # Members of regions that still have several components, and how far each is from the region's pivot.
+        of = lambda x, c: small(labels.select(F.col("node").alias(x), F.col("component").alias(c)))
+        now = regions.where(F.col("a") != F.col("b")).join(of("a", "c"), "a", "left").join(of("b", "home"), "b", "left")
+        now = now.withColumn("c", F.coalesce("c", "a")).withColumn("open", F.col("c") != F.coalesce("home", "b"))
         if done is not None:
-            now = now.join(done, ["key", "a"], "left_anti")
+            now = now.join(small(done), ["key", "a"], "left_anti")
+        keys = cut(now.where("open").select("key").distinct())
+        if keys.isEmpty():
+            break
+        far = judged.select("a", "b", (1 - F.col("inter") / (_size("a", shift) + _size("b", shift) - F.col("inter"))).alias("far"))
+        now = now.join(small(keys), "key", "left_semi").join(small(far), ["a", "b"], "left")
         # A member that the first pivot was not compared with has no distance: its window is everything.
         found = cut(
             now.select("key", "open", "a.d", "a.v", F.col("c.d").alias("cd"), F.col("c.v").alias("cv"), "far")
@@ -273,8 +282,6 @@ def link(placed: DataFrame, judge: Callable[[DataFrame], DataFrame], per_cent: i
             .mapInArrow(lambda b: _next_pairs(b, per_cent, pivots, shift), f"key bigint, a {NODE}, b {NODE}")
         )
         used = found.where(F.col("a") == F.col("b")).select("key", "a")
-        if used.isEmpty():
-            break
         done = cut(used if done is None else done.unionByName(used))
         fresh = judge(found.where(F.col("a") != F.col("b")).select("a", "b").distinct())
         if not fresh.where("links").isEmpty():
@@ -283,10 +290,21 @@ def link(placed: DataFrame, judge: Callable[[DataFrame], DataFrame], per_cent: i
     return labels
 
 
-def _spread(batches: Iterator[pa.RecordBatch], sets: Callable) -> Iterator[pa.RecordBatch]:
-    """The set of each wanted node, once for each group that it is compared in."""
+def signature(s: np.ndarray) -> np.ndarray:
+    """Shingles by the first 8 bits of their hashes. Two sets share at most the sum of the smaller counts."""
+    n = np.bincount((s >> np.uint64(56)).astype(np.int64), minlength=256)
+    return n.astype(np.uint16) if n.max() < 65_535 else np.full(256, 65_535, np.uint16)
+
+
+def _spread(batches: Iterator[pa.RecordBatch], sets: Callable, full: bool) -> Iterator[pa.RecordBatch]:
+    """The set, or its signature, of each wanted node, once for each group that it is compared in."""
+
+    def ready(out: list) -> pa.RecordBatch:
+        *cols, own = zip(*out, strict=True)
+        return pa.RecordBatch.from_arrays([*[pa.array(x, pa.int64()) for x in cols], pa.array(own, pa.binary())], ["bd", "bv", "salt", "role", "d", "v", "set"])
+
     for batch in batches:
-        out, sent = [], set()
+        out, sent, size = [], set(), 0
         for d, t, todo in zip(batch.column(0).to_pylist(), byte_texts(batch.column(1)), batch.column(2).to_pylist(), strict=True):
             need: dict[int, list] = {}
             for x in todo:
@@ -294,27 +312,34 @@ def _spread(batches: Iterator[pa.RecordBatch], sets: Callable) -> Iterator[pa.Re
             for v, s in sets(d, t):
                 if v in need and (d, v) not in sent:
                     sent.add((d, v))
-                    own = s.tobytes()
-                    out += [(x["bd"], x["bv"], x["salt"], x["role"], d, v, own) for x in need[v]]
+                    own = s.tobytes() if full else signature(s).tobytes()
+                    for x in need[v]:
+                        out.append((x["bd"], x["bv"], x["salt"], x["role"], d, v, own))
+                        size += len(own)
+                        if size > 8_000_000:
+                            yield ready(out)
+                            out, size = [], 0
         if out:
-            *cols, own = zip(*out, strict=True)
-            yield pa.RecordBatch.from_arrays([*[pa.array(x, pa.int64()) for x in cols], pa.array(own, pa.binary())], ["bd", "bv", "salt", "role", "d", "v", "set"])
+            yield ready(out)
 
 
-def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From sets sorted by group, the pivot's first: overlaps of the pivot with each member."""
+def _meet(batches: Iterator[pa.RecordBatch], full: bool) -> Iterator[pa.RecordBatch]:
+    """From rows sorted by group, the pivot's first: overlaps of the pivot with each member, or upper bounds from signatures."""
     group, pivot, last = None, None, None
     kind = pa.struct([("d", pa.int64()), ("v", pa.int64())])
     for batch in batches:
         out = []
         for bd, bv, salt, role, d, v, own in zip(*[c.to_pylist() for c in batch.columns], strict=True):
-            s = np.frombuffer(own, np.uint64)
+            s = np.frombuffer(own, np.uint64 if full else np.uint16)
             if role == 0:
                 group, pivot, last = (bd, bv, salt), s, None
             elif group == (bd, bv, salt) and last != (d, v):
                 last = (d, v)
-                x, y = (s, pivot) if len(s) <= len(pivot) else (pivot, s)
-                inter = int((y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x).sum())
+                if full:
+                    x, y = (s, pivot) if len(s) <= len(pivot) else (pivot, s)
+                    inter = int((y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x).sum())
+                else:
+                    inter = int(np.minimum(s, pivot).sum(dtype=np.int64))
                 out.append(({"d": d, "v": v}, {"d": bd, "v": bv}, inter))
         if out:
             x, y, n = zip(*out, strict=True)
@@ -322,13 +347,19 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def compare(rows: DataFrame, pairs: DataFrame, sets: Callable, per_cent: int, shift: int = TAG_BITS, broadcast_pairs: int = BROADCAST_PAIRS) -> DataFrame:
-    """(a, b, inter, links) for distinct pairs of nodes, exactly.
+    """(a, b, inter, links) for those of the distinct pairs of nodes that may link, exactly.
 
-    ``rows`` has d and t; ``sets(d, text)`` gives the nodes of a text as (v, sorted hashes). Sets are
-    made anew from the texts that the pairs need. Each member's set travels once to its pivot b;
-    pivots with many members are copied to one group for each ``GROUP`` of them.
+    ``rows`` has d and t; ``sets(d, text)`` gives the nodes of a text as (v, sorted hashes). First
+    the pairs' signatures meet, whose bound never loses a link; only pairs that may link by it are
+    compared by their sets. Each member travels once to its pivot b; pivots with many members are
+    copied to one group for each ``GROUP`` of them.
     """
-    pairs = cut(pairs)
+    links = 100 * F.col("inter") >= per_cent * (_size("a", shift) + _size("b", shift) - F.least("inter", _size("a", shift), _size("b", shift)))
+    hopeful = _meeting(rows, cut(pairs), sets, False, broadcast_pairs).where(links).select("a", "b")
+    return cut(_meeting(rows, cut(hopeful), sets, True, broadcast_pairs).withColumn("links", links))
+
+
+def _meeting(rows: DataFrame, pairs: DataFrame, sets: Callable, full: bool, broadcast_pairs: int) -> DataFrame:
     groups = pairs.groupBy("b").agg(F.ceil(F.count(F.lit(1)) / GROUP).alias("groups"))
     put = pairs.join(groups, "b").select(F.col("a.d").alias("d"), F.col("a.v").alias("v"), F.col("b.d").alias("bd"), F.col("b.v").alias("bv"), F.pmod(F.xxhash64("a.d", "a.v"), F.col("groups")).alias("salt"), F.lit(1).alias("role"))
     heads = put.select(F.col("bd").alias("d"), F.col("bv").alias("v"), "bd", "bv", "salt", F.lit(0).alias("role")).distinct()
@@ -336,10 +367,9 @@ def compare(rows: DataFrame, pairs: DataFrame, sets: Callable, per_cent: int, sh
     if pairs.count() <= broadcast_pairs:
         todo = F.broadcast(todo)
     texts = rows.withColumn("d", F.coalesce("d", F.lit(NULL_ID))).join(todo, "d").select("d", "t", "todo")
-    got = (
-        texts.mapInArrow(lambda b: _spread(b, sets), "bd bigint, bv bigint, salt bigint, role bigint, d bigint, v bigint, set binary")
+    return (
+        texts.mapInArrow(lambda b: _spread(b, sets, full), "bd bigint, bv bigint, salt bigint, role bigint, d bigint, v bigint, set binary")
         .repartition("bd", "bv", "salt")
         .sortWithinPartitions("bd", "bv", "salt", "role", "d", "v")
-        .mapInArrow(_meet, f"a {NODE}, b {NODE}, inter bigint")
+        .mapInArrow(lambda b: _meet(b, full), f"a {NODE}, b {NODE}, inter bigint")
     )
-    return cut(got.withColumn("links", 100 * F.col("inter") >= per_cent * (_size("a", shift) + _size("b", shift) - F.col("inter"))))
