@@ -92,6 +92,8 @@ def holdout(df: DataFrame, train_end: str, months: int) -> tuple[DataFrame, Data
     return df.where(F.col(MONTH) <= edge), df.where((F.col(MONTH) > edge) & (F.col(MONTH) <= F.lit(train_end).cast("date")))
 
 
+#: Targets are fitted in ten thousands, where the weights of the fit neither vanish nor overflow.
+SCALE = 1e-4
 FEATURES = ("target_lag1", "target_lag12", "mean_12", "slope_12")
 
 
@@ -99,7 +101,13 @@ def fit(train: DataFrame, features: tuple[str, ...] = FEATURES, power: float = 1
     """A Tweedie regression with a log link; rows without a full history are left out of the fit."""
     rows = VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="skip").transform(train.where("target >= 0").fillna(0.0, ["slope_12"]))
     glm = GeneralizedLinearRegression(family="tweedie", variancePower=power, linkPower=0.0, maxIter=15, regParam=0.01, featuresCol="features", labelCol="target", predictionCol="prediction")
-    return glm.fit(rows.withColumn("features", F.col("features")))
+    return glm.fit(rows.withColumn("target", F.col("target") * SCALE))
+
+
+def predict(model, df: DataFrame, features: tuple[str, ...] = FEATURES) -> DataFrame:
+    """``df`` (features as ``signals`` makes them) with its prediction; a history that is too short counts as 0."""
+    rows = VectorAssembler(inputCols=list(features), outputCol="features").transform(scaled(df, features).fillna(0.0, list(features)))
+    return model.transform(rows).withColumn("prediction", F.col("prediction") / SCALE)
 
 
 def scaled(df: DataFrame, features: tuple[str, ...] = FEATURES) -> DataFrame:

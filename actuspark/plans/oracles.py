@@ -53,12 +53,12 @@ ladder AS (
   SELECT *, round(product(link) OVER (PARTITION BY plan_type, claim_type ORDER BY from_lag DESC ROWS UNBOUNDED PRECEDING), 4) AS to_ultimate
   FROM (SELECT *, round(paid_after / nullif(paid_before, 0), 6) AS link FROM links)),
 cf AS (
-  SELECT s.plan_type, s.claim_type, g AS lag, round(coalesce(1 / to_ultimate, 1.0), 6) AS factor
+  SELECT s.plan_type, s.claim_type, g AS clag, round(coalesce(1 / to_ultimate, 1.0), 6) AS factor
   FROM (SELECT DISTINCT plan_type, claim_type FROM ladder) s CROSS JOIN range(0, 24) t(g)
   LEFT JOIN ladder l ON l.plan_type = s.plan_type AND l.claim_type = s.claim_type AND l.from_lag = g),
 done AS (
-  SELECT incurred, p.plan_type, p.claim_type, least("lag", 23) AS lag, CAST(paid AS DOUBLE) AS paid, factor, round(CAST(paid AS DOUBLE) / factor, 2) AS ultimate, factor IS NULL AS factor_missing
-  FROM lagged p LEFT JOIN cf ON p.plan_type = cf.plan_type AND p.claim_type = cf.claim_type AND least(p."lag", 23) = cf.lag WHERE close = DATE '{CLOSES[-1]}'),
+  SELECT incurred, p.plan_type, p.claim_type, CAST(least(p."lag", 23) AS INTEGER) AS lag, CAST(paid AS DOUBLE) AS paid, factor, round(CAST(paid AS DOUBLE) / factor, 2) AS ultimate, factor IS NULL AS factor_missing
+  FROM lagged p LEFT JOIN cf ON p.plan_type = cf.plan_type AND p.claim_type = cf.claim_type AND least(p."lag", 23) = cf.clag WHERE close = DATE '{CLOSES[-1]}'),
 seg AS (SELECT close, incurred, plan_type || ' / ' || claim_type AS segment, "lag", CAST(paid AS DOUBLE) AS paid FROM lagged WHERE "lag" >= 2),
 segc AS (
   SELECT *, round(paid - b, 4) AS change, round((paid - b) / nullif(b, 0), 6) AS change_pct, min("lag") OVER (PARTITION BY incurred, segment) AS first_report_lag
@@ -128,16 +128,16 @@ r AS (SELECT unnest([{{'metric': 'paid', 'expected': CAST(ps - po AS DOUBLE), 'a
 SELECT x.metric, x.expected, x.actual, round(x.actual - x.expected, 4) AS diff, round((x.actual - x.expected) / nullif(x.expected, 0), 6) AS pct FROM r""",
     "l04_signals": f"""WITH {_DENSE}, b AS (SELECT {_KEYS}, CASE WHEN abs(PMPM) < 1e-9 THEN 0.0 ELSE PMPM END AS target FROM dense),
 s AS (SELECT *, avg(target) OVER (PARTITION BY MARKET, SERVICE_CATEGORY, DATE_REPORT_MONTH) AS section, CAST(row_number() OVER {_W} AS INTEGER) AS position FROM b)
-SELECT {_KEYS}, round(target, 3) AS target, position, {", ".join(f"round(lag(target, {n}) OVER {_W}, 3) AS target_lag{n}" for n in (1, 2, 3, 12))},
-  round(CASE WHEN count(target) OVER {_W12} >= 3 THEN avg(target) OVER {_W12} END, 3) AS mean_12, round(CASE WHEN count(target) OVER {_W12} >= 3 THEN var_samp(target) OVER {_W12} END, 3) AS var_12,
+SELECT {_KEYS}, round(target + 1e-7, 3) AS target, position, {", ".join(f"round(lag(target, {n}) OVER {_W} + 1e-7, 3) AS target_lag{n}" for n in (1, 2, 3, 12))},
+  round(CASE WHEN count(target) OVER {_W12} >= 3 THEN avg(target) OVER {_W12} END + 1e-7, 3) AS mean_12, round(CASE WHEN count(target) OVER {_W12} >= 3 THEN var_samp(target) OVER {_W12} END + 1e-7, 3) AS var_12,
   CASE WHEN count(target) OVER {_W12} >= 3 THEN CAST(sum(CASE WHEN abs(target) < 1e-9 THEN 1 ELSE 0 END) OVER {_W12} AS BIGINT) END AS zeros_12,
-  round(CASE WHEN count(target) OVER {_W12} >= 3 THEN regr_slope(target, position) OVER {_W12} END, 3) AS slope_12, round(CASE WHEN count(section) OVER {_W12} >= 3 THEN avg(section) OVER {_W12} END, 3) AS encoding_12 FROM s""",
+  round(CASE WHEN count(target) OVER {_W12} >= 3 THEN regr_slope(target, position) OVER {_W12} END + 1e-7, 3) AS slope_12, round(CASE WHEN count(section) OVER {_W12} >= 3 THEN avg(section) OVER {_W12} END + 1e-7, 3) AS encoding_12 FROM s""",
     "l06_final_output": f"""WITH {_DENSE}, n AS (SELECT {_KEYS}, lag(PMPM, 12) OVER {_W} AS p FROM dense), old AS (SELECT * FROM dense WHERE DATE_REPORT_MONTH < DATE '2001-04-01'),
 last AS (SELECT MARKET, IS_DUAL, SEGMENT, SERVICE_CATEGORY, HCC, arg_max(MM, DATE_REPORT_MONTH) AS lm FROM old GROUP BY ALL)
 SELECT {_KEYS}, round(p, 6) AS PREDICTED_PMPM, coalesce(MM, lm) AS MM, CAST(PD AS DOUBLE) AS PD, CAST(UTIL AS DOUBLE) AS UTIL, round(PMPM, 6) AS ACTUAL_PMPM, MM IS NULL AS CARRIED,
   round(CAST(PD AS DOUBLE) / nullif(CAST(UTIL AS DOUBLE), 0), 6) AS UNIT_COST, round(p - PMPM, 6) AS "ERROR"
 FROM n LEFT JOIN old USING ({_KEYS}) LEFT JOIN last USING (MARKET, IS_DUAL, SEGMENT, SERVICE_CATEGORY, HCC) WHERE p IS NOT NULL AND DATE_REPORT_MONTH >= DATE '2001-01-01'""",
-    "l07_seasonality": f"""WITH {_FACTORS}, av AS (SELECT MARKET, SERVICE_CATEGORY, month, round(CAST(sum(CAST(factor AS DECIMAL(18,4))) AS DOUBLE) / count(factor), 4) AS f FROM fac GROUP BY ALL)
+    "l07_seasonality": f"""WITH {_FACTORS}, av AS (SELECT MARKET, SERVICE_CATEGORY, month, CAST(round(CAST(CAST(sum(CAST(factor AS DECIMAL(18,4))) AS DOUBLE) / count(factor) AS DECIMAL(18,8)), 4) AS DOUBLE) AS f FROM fac GROUP BY ALL)
 SELECT k.MARKET, k.SERVICE_CATEGORY, CAST(g AS INTEGER) AS month, least(greatest(coalesce(f, 1.0), 0.5), 2.0) AS factor, monthname(make_date(2000, CAST(g AS BIGINT), 1)) AS month_name
 FROM (SELECT DISTINCT MARKET, SERVICE_CATEGORY FROM bm) k CROSS JOIN range(1, 13) t(g) LEFT JOIN av ON k.MARKET = av.MARKET AND k.SERVICE_CATEGORY = av.SERVICE_CATEGORY AND month = g""",
     "l09_complete_claims": f"WITH {_CLOSES} SELECT * FROM done",

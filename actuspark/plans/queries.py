@@ -23,9 +23,9 @@ def _dense(spark: SparkSession, d: str) -> DataFrame:
     return forecast.completed_combined(adapters.raw_fact(spark, d), adapters.UNITS)
 
 
-def _rounded(df: DataFrame, places: int = 6) -> DataFrame:
-    """Decimals as doubles, doubles rounded."""
-    return df.select(*[F.col(c).cast("double").alias(c) if k.startswith("decimal") else F.round(c, places).alias(c) if k == "double" else F.col(c) for c, k in df.dtypes])
+def _rounded(df: DataFrame, places: int = 6, nudge: float = 0.0) -> DataFrame:
+    """Decimals as doubles, doubles rounded. A nudge far below the last place settles halves, whatever the order of the sums behind them."""
+    return df.select(*[F.col(c).cast("double").alias(c) if k.startswith("decimal") else F.round(F.col(c) + nudge if nudge else F.col(c), places).alias(c) if k == "double" else F.col(c) for c, k in df.dtypes])
 
 
 def l01_coverage(spark, d):
@@ -42,7 +42,7 @@ def l03_control_totals(spark, d):
 
 
 def l04_signals(spark, d):
-    return _rounded(forecast.signals(_dense(spark, d)), 3)
+    return _rounded(forecast.signals(_dense(spark, d)), 3, 1e-7)
 
 
 def l05_train_and_project(spark, d):
@@ -55,13 +55,7 @@ def l05_train_and_project(spark, d):
     model = forecast.fit(forecast.scaled(forecast.signals(history).where("position > 12")))
     keep = lambda df: df.checkpoint() if spark.conf.get("spark.checkpoint.dir", None) else df.persist(StorageLevel.MEMORY_AND_DISK)
 
-    def predict(df):
-        from pyspark.ml.feature import VectorAssembler
-
-        rows = forecast.scaled(df).fillna(0.0, list(forecast.FEATURES))
-        return model.transform(VectorAssembler(inputCols=list(forecast.FEATURES), outputCol="features").transform(rows))
-
-    made = forecast.project(history, predict, 3, keep).withColumnRenamed("PMPM", "PREDICTED_PMPM")
+    made = forecast.project(history, lambda df: forecast.predict(model, df), 3, keep).withColumnRenamed("PMPM", "PREDICTED_PMPM")
     return _rounded(forecast.final_output(made, dense))
 
 

@@ -80,9 +80,9 @@ def friedman(df: DataFrame, group: str, block: str, treatment: str, value: str)
     cell = Window.partitionBy(group, block)
     rank = F.rank().over(cell.orderBy(value))
     ties = F.count(F.lit(1)).over(Window.partitionBy(group, block, value))
-    rows = df.where(F.col(value).isNotNull()).withColumns({"r": rank, "t": ties, "k": F.count(F.lit(1)).over(cell)}).withColumn("r", F.col("r") + (F.col("t") - 1) / 2)
-    tie = rows.groupBy(group).agg(F.sum(F.col("t") * F.col("t") - 1).alias("ties"), F.count_distinct(block).alias("n"), F.max("k").alias("k"))
-    sums = rows.groupBy(group, treatment).agg(F.sum("r").alias("s")).groupBy(group).agg(F.sum(F.col("s") * F.col("s")).alias("ss"))
+    rows = df.where(F.col(value).isNotNull()).withColumns({"_r": rank, "_t": ties, "_k": F.count(F.lit(1)).over(cell)}).withColumn("_r", F.col("_r") + (F.col("_t") - 1) / 2)
+    tie = rows.groupBy(group).agg(F.sum(F.col("_t") * F.col("_t") - 1).alias("ties"), F.count_distinct(block).alias("n"), F.max("_k").alias("k"))
+    sums = rows.groupBy(group, treatment).agg(F.sum("_r").alias("s")).groupBy(group).agg(F.sum(F.col("s") * F.col("s")).alias("ss"))
     n, k = F.col("n"), F.col("k")
     raw = 12 * F.col("ss") / (n * k * (k + 1)) - 3 * n * (k + 1)
     fix = 1 - F.col("ties") / (n * (k * k * k - k))
