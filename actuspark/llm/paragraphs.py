@@ -18,7 +18,6 @@ read whole.
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,14 +26,16 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .jaccard import BROADCAST_PAIRS, NODE, PER_CENT, PIVOTS, _shared, compare, link, shingles
-from .shared import byte_texts, mix64, save, ship
-from .suffix import NULL_ID
+from .jaccard import BROADCAST_PAIRS, NODE, PER_CENT, PIVOTS, WORDS, _shared, compare, link
+from .shared import LOWER_BYTES, byte_texts, mix64, save, ship
+from .suffix import NULL_ID, pair
 
 MIN_WORDS = 5
 RECALL = 0.998
 TAG_BITS, LINE_BITS = 12, 26
 SHIFT = TAG_BITS + LINE_BITS
+#: Bytes of text that a task hashes together.
+BLOCK = 4_000_000
 
 
 def tune(threshold: float, recall: float = RECALL, most: int = 6) -> tuple[int, int]:
@@ -47,46 +48,91 @@ def tune(threshold: float, recall: float = RECALL, most: int = 6) -> tuple[int,
     return best
 
 
-def bands_of(sets: np.ndarray, bands: int, rows: int) -> np.ndarray:
-    """Band keys of a set of shingle hashes."""
-    salts = mix64(np.arange(1, bands * rows + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-    low = mix64(sets[None, :] ^ salts[:, None]).min(axis=1) if len(sets) < 4096 else np.array([mix64(sets ^ s).min() for s in salts], np.uint64)
-    low = low.reshape(bands, rows)
-    key = mix64(np.arange(bands, dtype=np.uint64))
-    for r in range(rows):
-        key = mix64(key * np.uint64(0x9E3779B97F4A7C15) + low[:, r])
-    return key
-
-
-def _lines(d: int | None, text: bytes, min_words: int):
-    """(d, v, set) of each paragraph."""
-    tag = xxhash.xxh3_64_intdigest(text) >> (64 - TAG_BITS)
-    for line, t in enumerate(text.split(b"\n")):
-        if len(t.split(None, min_words)) >= min_words:
-            s = shingles(t)
-            yield NULL_ID if d is None else d, (((len(s) << LINE_BITS) | line) << TAG_BITS) | tag, s
+def _lines(text: bytes, min_words: int) -> list[tuple[int, list[bytes]]]:
+    """Line number and words of each paragraph."""
+    return [(line, ws) for line, t in enumerate(text.translate(LOWER_BYTES).split(b"\n")) if len(ws := t.split()) >= min_words]
+
+
+def _tag(text: bytes) -> int:
+    return xxhash.xxh3_64_intdigest(text) >> (64 - TAG_BITS)
+
+
+def _batch_sets(paragraphs: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct shingle hashes of all paragraphs one after another, sorted within each, and the number of each."""
+    sizes = np.array([len(ws) for ws in paragraphs])
+    h = np.fromiter((xxhash.xxh3_64_intdigest(w) for ws in paragraphs for w in ws), np.uint64, int(sizes.sum()))
+    of = np.repeat(np.arange(len(sizes)), sizes)
+    k = np.minimum(sizes, WORDS)
+    ends = np.cumsum(sizes)
+    x = np.zeros(len(h), np.uint64)
+    for n in np.unique(k):  # paragraphs of fewer words are one shingle of all their words
+        own = h
+        for j in range(1, n):
+            own = pair(own[: len(h) - j], h[j:])
+        at = np.flatnonzero((k[of] == n) & (np.arange(len(h)) + n <= ends[of]))
+        x[at] = own[at]
+    at = np.flatnonzero(np.arange(len(h)) + k[of] <= ends[of])
+    x, of = x[at], of[at]
+    o = np.lexsort((x, of))
+    x, of = x[o], of[o]
+    new = np.concatenate(([True], (x[1:] != x[:-1]) | (of[1:] != of[:-1])))
+    return x[new], np.bincount(of[new], minlength=len(sizes))
+
+
+def bands_of(sets: np.ndarray, sizes: np.ndarray, bands: int, rows: int) -> np.ndarray:
+    """Band keys (a row a set) of sets of shingle hashes that stand one after another."""
+    salts = mix64(np.arange(1, bands * rows + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
+    heads, mixed = np.cumsum(sizes) - sizes, mix64(sets)
+    keys = np.empty((len(sizes), bands), np.uint64)
+    for b in range(bands):
+        key = np.full(len(sizes), mix64(np.array([b], np.uint64))[0], np.uint64)
+        for r in range(rows):
+            y = mixed * salts[b * rows + r]
+            y ^= y >> np.uint64(32)
+            key = mix64(key * np.uint64(0x9E3779B97F4A7C15) + np.minimum.reduceat(y, heads))
+        keys[:, b] = key
+    return keys
 
 
 def _members(batches: Iterator[pa.RecordBatch], min_words: int, bands: int, rows: int) -> Iterator[pa.RecordBatch]:
     names = ["key", "d", "v", "rd", "rv"]
     for batch in batches:
-        own, found = [], {}
-        for d, t in zip(batch.column(0).to_pylist(), byte_texts(batch.column(1)), strict=True):
-            for nd, nv, s in _lines(d, t, min_words):
-                name = hashlib.blake2b(s.tobytes(), digest_size=16).digest()
-                own.append((nd, nv, name))
-                if name not in found:
-                    found[name] = [(nd, nv), bands_of(s, bands, rows)]
-                elif (nd, nv) < found[name][0]:
-                    found[name][0] = (nd, nv)
-        if not own:
-            continue
-        cols = zip(*[(d, v, *found[n][0]) for d, v, n in own], strict=True)
-        yield pa.RecordBatch.from_arrays([pa.nulls(len(own), pa.int64()), *[pa.array(x, pa.int64()) for x in cols]], names)
-        keys = np.concatenate([k for _, k in found.values()]).view(np.int64)
-        d, v = (np.repeat(np.array(x, np.int64), bands) for x in zip(*[n for n, _ in found.values()], strict=True))
-        none = pa.nulls(len(keys), pa.int64())
-        yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(d), pa.array(v), none, none], names)
+        ids, texts, a = batch.column(0).to_pylist(), byte_texts(batch.column(1)), 0
+        while a < len(texts):
+            d, at, ws, size = [], [], [], 0
+            while a < len(texts) and (not size or size + len(texts[a]) < BLOCK):
+                size += max(1, len(texts[a]))
+                tag = _tag(texts[a])
+                for line, own in _lines(texts[a], min_words):
+                    d.append(NULL_ID if ids[a] is None else ids[a])
+                    at.append((line << TAG_BITS) | tag)
+                    ws.append(own)
+                a += 1
+            if not ws:
+                continue
+            sets, n = _batch_sets(ws)
+            d, v = np.array(d, np.int64), (n.astype(np.int64) << SHIFT) | np.array(at, np.int64)
+            heads = np.cumsum(n) - n
+            one, two = np.add.reduceat(mix64(sets), heads), np.add.reduceat(mix64(sets * np.uint64(0xC2B2AE3D27D4EB4F) + np.uint64(7)), heads)
+            o = np.lexsort((v, d, two, one, n))
+            new = np.concatenate(([True], (one[o][1:] != one[o][:-1]) | (two[o][1:] != two[o][:-1]) | (n[o][1:] != n[o][:-1])))
+            rep = np.empty(len(o), np.int64)
+            rep[o] = o[np.flatnonzero(new)[np.cumsum(new) - 1]]
+            yield pa.RecordBatch.from_arrays([pa.nulls(len(d), pa.int64()), *[pa.array(x) for x in (d, v, d[rep], v[rep])]], names)
+            first = np.sort(o[new])
+            keep = np.repeat(np.isin(np.arange(len(n)), first), n)
+            keys = bands_of(sets[keep], n[first], bands, rows).reshape(-1).view(np.int64)
+            none = pa.nulls(len(keys), pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(np.repeat(d[first], bands)), pa.array(np.repeat(v[first], bands)), none, none], names)
+
+
+def _sets_of(text: bytes, min_words: int) -> Iterator[tuple[int, np.ndarray]]:
+    """(v, set) of each paragraph of a text."""
+    lines, tag = _lines(text, min_words), _tag(text)
+    if lines:
+        sets, n = _batch_sets([ws for _, ws in lines])
+        for (line, _), k, end in zip(lines, n.tolist(), np.cumsum(n).tolist(), strict=True):
+            yield (((k << LINE_BITS) | line) << TAG_BITS) | tag, sets[end - k : end]
 
 
 def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", per_cent: int = PER_CENT, min_words: int = MIN_WORDS, recall: float = RECALL, pivots: int = PIVOTS, broadcast_pairs: int = BROADCAST_PAIRS) -> DataFrame:
@@ -104,7 +150,7 @@ def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", per_cent: in
         .mapInArrow(_shared, schema)
     )
 
-    sets = lambda d, t: ((v, s) for _, v, s in _lines(d, t, min_words))
+    sets = lambda d, t: _sets_of(t, min_words)
     labels = link(placed, lambda pairs: compare(rows, pairs, sets, per_cent, SHIFT, broadcast_pairs), per_cent, pivots, SHIFT)
     line = lambda v: F.shiftright(v, TAG_BITS).bitwiseAND((1 << LINE_BITS) - 1)
     own = placed.where("key is null").select("d", "v", F.struct(F.col("rd").alias("d"), F.col("rv").alias("v")).cast(NODE).alias("node"))
