@@ -1,6 +1,7 @@
 """Goldens and invariants of the health-cost plans, and every SQL against its query on the smallest tables."""
 
 import datetime as dt
+import json
 import os
 
 import duckdb
@@ -105,7 +106,7 @@ def test_friedman_statistic(spark):
 
 
 def test_surveillance_pads_short_arrays(spark):
-    payload = '{"data":[[1,[[2,[[3,[[4,[[5,10,2,7]],9.5],[6,[]]]]]]]]]]}'
+    payload = json.dumps({"data": [[1, [[2, [[3, [[4, [[5, 10, 2, 7]], 9.5], [6, []]]]]]]]]})
     regions = surveillance.flatten_regions(spark.createDataFrame([(payload,)], "payload string"))
     got = sorted((r["region"], r["m2"], r["m10"]) for r in regions.collect())
     assert got == [(4, 9.5, None), (6, None, None)]
