@@ -189,7 +189,8 @@ class Lattice:
         """Pieces of all parts one after another, and the number of pieces of each part."""
         n, key = len(nodes), self.key[: self.n_edges]
         counts = np.zeros(n, np.int64)
-        which, node, steps = np.arange(n), nodes.astype(np.int64), []
+        which = np.argsort(nodes)  # in the order of the table, so that its reads follow each other
+        node, steps = nodes[which].astype(np.int64), []
         step = 0
         while len(which):
             u = (mix64(seeds[which] + np.uint64((step * 0x9E3779B97F4A7C15) % 2**64)) >> np.uint64(34)).astype(np.float64) * GRAIN
