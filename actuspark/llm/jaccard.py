@@ -290,10 +290,22 @@ def link(placed: DataFrame, judge: Callable[[DataFrame], DataFrame], per_cent: i
     return labels
 
 
-def signature(s: np.ndarray) -> np.ndarray:
-    """Shingles by the first 8 bits of their hashes. Two sets share at most the sum of the smaller counts."""
-    n = np.bincount((s >> np.uint64(56)).astype(np.int64), minlength=256)
-    return n.astype(np.uint16) if n.max() < 65_535 else np.full(256, 65_535, np.uint16)
+def signature(s: np.ndarray) -> bytes:
+    """Numbers of shingles by the first bits of their hashes, about two to a count, after a byte for the width of the counts."""
+    bits = max(6, int(len(s)).bit_length() - 1)
+    n = np.bincount((s >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits)
+    wide = 0 if n.max() < 256 else 1 if n.max() < 65_536 else 2
+    return bytes([wide]) + n.astype((np.uint8, np.uint16, np.uint32)[wide]).tobytes()
+
+
+def bound(x: bytes, y: bytes) -> int:
+    """No two sets with these signatures share more: the sum of the smaller counts, at the width of the coarser one."""
+    a, b = (np.frombuffer(t, (np.uint8, np.uint16, np.uint32)[t[0]], offset=1) for t in (x, y))
+    if len(a) < len(b):
+        a, b = b, a
+    if len(a) > len(b):
+        a = a.reshape(len(b), -1).sum(axis=1, dtype=np.int64)
+    return int(np.minimum(a, b).sum(dtype=np.int64))
 
 
 def _spread(batches: Iterator[pa.RecordBatch], sets: Callable, full: bool) -> Iterator[pa.RecordBatch]:
@@ -312,7 +324,7 @@ def _spread(batches: Iterator[pa.RecordBatch], sets: Callable, full: bool) -> It
             for v, s in sets(d, t):
                 if v in need and (d, v) not in sent:
                     sent.add((d, v))
-                    own = s.tobytes() if full else signature(s).tobytes()
+                    own = s.tobytes() if full else signature(s)
                     for x in need[v]:
                         out.append((x["bd"], x["bv"], x["salt"], x["role"], d, v, own))
                         size += len(own)
@@ -330,7 +342,7 @@ def _meet(batches: Iterator[pa.RecordBatch], full: bool) -> Iterator[pa.RecordBa
     for batch in batches:
         out = []
         for bd, bv, salt, role, d, v, own in zip(*[c.to_pylist() for c in batch.columns], strict=True):
-            s = np.frombuffer(own, np.uint64 if full else np.uint16)
+            s = np.frombuffer(own, np.uint64) if full else own
             if role == 0:
                 group, pivot, last = (bd, bv, salt), s, None
             elif group == (bd, bv, salt) and last != (d, v):
@@ -339,7 +351,7 @@ def _meet(batches: Iterator[pa.RecordBatch], full: bool) -> Iterator[pa.RecordBa
                     x, y = (s, pivot) if len(s) <= len(pivot) else (pivot, s)
                     inter = int((y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x).sum())
                 else:
-                    inter = int(np.minimum(s, pivot).sum(dtype=np.int64))
+                    inter = bound(s, pivot)
                 out.append(({"d": d, "v": v}, {"d": bd, "v": bv}, inter))
         if out:
             x, y, n = zip(*out, strict=True)
