@@ -135,4 +135,24 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
   NOT (base_failed OR word_chars < 2 * n_words OR word_chars > 15 * n_words OR 10 * n_symbols > 3 * n_words
     OR 10 * n_dup_lines > 3 * n_lines OR 10 * n_alpha_words < 6 * n_words) AS kept
 FROM b""",
+    "op8_substring_dedup": """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) h FROM documents),
+w AS (SELECT doc_id, s, substr(h, 2 * s + 1, 200) k FROM (SELECT doc_id, h, unnest(range(0, length(h) // 2 - 99)) s FROM d)),
+c AS (SELECT doc_id, s FROM (SELECT doc_id, s, row_number() OVER (PARTITION BY k ORDER BY doc_id, s) i FROM w) WHERE i > 1),
+g AS (SELECT doc_id, s, sum(j) OVER (PARTITION BY doc_id ORDER BY s) AS run FROM (SELECT doc_id, s, CASE WHEN s <= lag(s) OVER (PARTITION BY doc_id ORDER BY s) + 100 THEN 0 ELSE 1 END j FROM c)),
+spans AS (SELECT doc_id, min(s) a, max(s) + 100 b FROM g GROUP BY doc_id, run),
+edges AS (SELECT doc_id, a, b, lag(b, 1, 0) OVER (PARTITION BY doc_id ORDER BY a) p FROM (SELECT * FROM spans UNION ALL SELECT doc_id, length(h) // 2, length(h) // 2 FROM d)),
+kept AS (SELECT doc_id, string_agg(substr(h, 2 * p + 1, 2 * (a - p)), '' ORDER BY a, b) t FROM edges JOIN d USING (doc_id) GROUP BY doc_id),
+tot AS (SELECT doc_id, sum(b - a) r, count(*) n FROM spans GROUP BY 1)
+SELECT doc_id, length(h) // 2 AS n_bytes, CAST(coalesce(r, 0) AS BIGINT) AS n_removed, coalesce(n, 0) AS n_spans, sha256(unhex(t)) AS kept_sha256 FROM d LEFT JOIN tot USING (doc_id) LEFT JOIN kept USING (doc_id)""",
+    "op10_jaccard_join": f"""
+WITH RECURSIVE ws AS (SELECT doc_id, regexp_extract_all({_LOWER.format("coalesce(text, '')")}, {_WORDS}) w FROM documents),
+sh AS (SELECT DISTINCT doc_id, array_to_string(w[p:p + least(5, len(w)) - 1], ' ') g
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - least(5, len(w)) + 2)) p FROM ws WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) n FROM sh GROUP BY 1),
+i AS (SELECT a.doc_id a, b.doc_id b, count(*) i FROM sh a JOIN sh b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2),
+e AS (SELECT a, b FROM i JOIN n x ON a = x.doc_id JOIN n y ON b = y.doc_id WHERE 100 * i >= 75 * (x.n + y.n - i)),
+both_ways AS (SELECT a, b FROM e UNION ALL SELECT b, a FROM e),
+r AS (SELECT doc_id, doc_id c FROM ws UNION SELECT b, c FROM r JOIN both_ways ON a = doc_id)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id FROM (SELECT doc_id, min(c) component_id FROM r GROUP BY 1) LEFT JOIN n USING (doc_id)""",
 }
