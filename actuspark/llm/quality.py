@@ -132,3 +132,13 @@ def quality(df: DataFrame, text: str = "text", into: str = "quality", verdict: s
     # The sample is measured for itself, so that no other row is measured twice.
     sample = measure(df.select(text).limit(SAMPLE_ROWS), text, into)
     return cascade(measure(df, text, into), order_rules(sample, into=into), into, verdict)
+
+
+def keep(df: DataFrame, text: str = "text") -> DataFrame:
+    """The rows of ``df`` that the rules keep, with its columns.
+
+    The row number beside the verdict (any number would do) keeps the optimizer from pushing the
+    verdict's condition below the measured figures, where each mention of a figure would measure it anew.
+    """
+    judged = quality(df, text, "__quality", "__kept").withColumn("__row", F.monotonically_increasing_id())
+    return judged.where(F.col("__kept") & (F.col("__row") >= 0)).select(*df.columns)

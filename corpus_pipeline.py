@@ -25,7 +25,7 @@ from actuspark.llm.shared import save, table
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return quality.quality(docs, into="__quality", verdict="__kept").where("__kept").select(*docs.columns)
+    return quality.keep(docs)
 
 
 def near_copies_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
