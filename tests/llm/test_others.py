@@ -235,6 +235,13 @@ def test_base_scores_and_distribution(spark):
     assert maxent.score_corpus(docs(spark, [])).count() == 0
 
 
+def test_the_forty_most_frequent_tokens_are_classes_of_their_own():
+    book = maxent.Book([(f"w{i}", 1000 - i) for i in range(60)], 60_000, 60)
+    own = {book.class_of(f"w{i}".encode()) for i in range(40)}
+    assert len(own) == 40 and not own & {book.class_of(f"w{i}".encode()) for i in range(40, 60)}
+    assert len({book.class_of(f"x{i}".encode()) for i in range(2000)}) == 23
+
+
 # Pipeline
 
 
