@@ -242,6 +242,23 @@ def test_the_forty_most_frequent_tokens_are_classes_of_their_own():
     assert len({book.class_of(f"x{i}".encode()) for i in range(2000)}) == 23
 
 
+def test_scores_do_not_depend_on_the_limit_of_frequent_tokens(spark):
+    rng = random.Random(11)
+    few = [f"w{i}" for i in range(60)]
+    rows = [(i, " ".join(rng.choice(few) for _ in range(300))) for i in range(40)]
+    df = docs(spark, rows)
+    by = [{r["doc_id"]: r for r in maxent.score_corpus(df, frequent=n).collect()} for n in (1, 10**6)]
+    held = lambda d: zlib.crc32(str(d).encode()) % 5 == 1
+    c = Counter(w for d, t in rows if not held(d) for w in [*t.split(), "\n"])
+    n, v = sum(c.values()), len(c)
+    assert c["\n"] < min(k for w, k in c.items() if w != "\n")
+    for d, t in rows:
+        base = sum(math.log10((c[w] + 0.5) / (n + 0.5 * (v + 1))) for w in [*t.split(), "\n"])
+        for got in by:
+            assert got[d]["n_known"] == got[d]["n_tokens"] == 301 and math.isclose(got[d]["base_score"], base, abs_tol=1e-6)
+        assert math.isclose(by[0][d]["score"], by[1][d]["score"], abs_tol=1e-3)
+
+
 # Pipeline
 
 
