@@ -1,6 +1,7 @@
 """Paragraph dedup by MinHash banding, exact verification and components.
 
-A paragraph is a line of at least ``MIN_WORDS`` words. Its shingle set gets a MinHash signature in
+A paragraph is a line of at least ``min_words`` words (``MIN_WORDS`` unless told, 1 in the query); one of
+fewer words than a shingle has is one shingle of all its words. Its shingle set gets a MinHash signature in
 ``bands`` bands of ``rows`` hashes, tuned so that a pair at the threshold shares a band with a
 probability of at least ``RECALL``. Paragraphs that share a band are compared exactly: first with the
 least of them, then, where components differ, with further pivots until no pair of a bucket is left

@@ -35,7 +35,8 @@ def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_paragraph_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return paragraphs.dedup(table(spark, sf_dir, "documents"))
+    """Every line with a word is a paragraph; one of fewer words than a shingle has is one shingle."""
+    return paragraphs.dedup(table(spark, sf_dir, "documents"), min_words=1)
 
 
 def op4_maxent_scores(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,6 +1,6 @@
 import random
 
-from actuspark.llm import paragraphs
+from actuspark.llm import paragraphs, queries
 
 from .test_jaccard import sets_of
 
@@ -55,3 +55,13 @@ def test_recall_of_the_tuned_bands():
 
 def test_empty_table(spark):
     assert paragraphs.dedup(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_the_query_takes_short_lines(spark, tmp_path):
+    rows = [(1, "Read more\n\nread  MORE\nmore read\nread more now"), (2, " \nread more\nend"), (3, "end")]
+    spark.createDataFrame([(d, t, "x", 1) for d, t in rows], SCHEMA).write.parquet(str(tmp_path / "documents.parquet"))
+    got = {(r["doc_id"], r["paragraph"]): (r["n_shingles"], r["class_doc"], r["class_paragraph"], r["removed"]) for r in queries.op3_paragraph_dedup(spark, str(tmp_path)).collect()}
+    assert got == {
+        (1, 0): (1, 1, 0, False), (1, 2): (1, 1, 0, True), (1, 3): (1, 1, 3, False), (1, 4): (1, 1, 4, False),
+        (2, 1): (1, 1, 0, True), (2, 2): (1, 2, 2, False), (3, 0): (1, 2, 2, True),
+    }
