@@ -49,7 +49,7 @@ def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pieces.encode(table(spark, sf_dir, "documents"), keep_ids=False)
+    return pieces.encode(table(spark, sf_dir, "documents"))
 
 
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from actuspark.llm import chat, decontam, edit_counts, jaccard, maxent, pieces, quality, urls
+from actuspark.llm import chat, decontam, edit_counts, jaccard, maxent, pieces, quality, queries, urls
 
 DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 
@@ -82,6 +82,13 @@ def test_pieces_are_lossless_and_reproducible(spark):
     assert sorted((str(r["doc_id"]), r["text"]) for r in back) == sorted((str(d), t or "") for d, t in rows)
 
 
+def test_the_query_returns_ids_that_decode(spark, tmp_path):
+    rows = [(1, "two  words\n"), (2, None), (3, "é▁x 漢字")]
+    docs(spark, rows).write.parquet(str(tmp_path / "documents.parquet"))
+    got = queries.op6_pieces(spark, str(tmp_path))
+    assert sorted((r["doc_id"], r["text"]) for r in pieces.decode_ids(got).collect()) == [(d, t or "") for d, t in rows]
+
+
 def test_samples_follow_the_lattice():
     """Frequencies of whole segmentations against their probabilities from enumeration."""
     vocab, _, byte_ids = pieces.vocabulary()
