@@ -222,7 +222,7 @@ def m12_mentions(spark, d):
 
 def m01_page_text(spark, d):
     t = text.html_to_text(F.col("html"))
-    return read_table(spark, d, "pages").select("page_id", F.length(t).alias("n_chars"), text.word_count(t).alias("n_words"), F.substring(t, 1, 80).alias("head"))
+    return read_table(spark, d, "pages").select("page_id", F.length(t).alias("n_chars"), text.word_count(t).alias("n_words"), F.substring(t, 1, 80).alias("head"), t.alias("text"))
 
 
 def l20_source_advanced(spark, d):

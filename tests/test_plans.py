@@ -132,6 +132,11 @@ def test_text(spark):
     assert [r["pos"] for r in text.sentences(docs, "doc_id", "text").collect()] == [0, 2]
 
 
+def test_page_text_is_whole(spark):
+    rows = queries.m01_page_text(spark, SF).collect()
+    assert rows and all(len(r["text"]) == r["n_chars"] and r["text"].startswith(r["head"]) for r in rows) and max(r["n_chars"] for r in rows) > 80
+
+
 @pytest.fixture(scope="module")
 def views():
     con = duckdb.connect()
