@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import cut
+from .shared import save
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -18,9 +18,10 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """
     up = F.col(a) > F.col(b)
     ends = edges.select(F.when(up, F.col(a)).otherwise(F.col(b)).alias("hi"), F.when(up, F.col(b)).otherwise(F.col(a)).alias("lo"))
-    now = cut(ends.where("hi is not null and lo is not null and hi <> lo").distinct())
+    now = save(ends.where("hi is not null and lo is not null and hi <> lo").distinct())
     size = now.count()
-    while size:
+    # Stars whose centres are no one's satellites are whole components already.
+    while size and not now.join(now.select(F.col("hi").alias("lo")).distinct(), "lo", "left_semi").unionByName(_shared_satellites(now)).isEmpty():
         # Large star: the greater neighbours of each node go to the least of its neighbourhood.
         both = now.select(F.col("hi").alias("u"), F.col("lo").alias("v")).unionByName(now.select(F.col("lo").alias("u"), F.col("hi").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.when(F.col("m") < F.col("u"), F.col("m")).otherwise(F.col("u")))
@@ -28,11 +29,11 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         # Small star: the smaller neighbours of each node, and the node itself, go to the least of them.
         low = big.groupBy("hi").agg(F.min("lo").alias("m"))
         small = big.join(low, "hi").where("lo <> m").select(F.col("lo").alias("hi"), F.col("m").alias("lo"))
-        after = cut(small.unionByName(low.select("hi", F.col("m").alias("lo"))).distinct())
-        n = after.count()
-        if n == size and after.join(now, ["hi", "lo"], "left_anti").isEmpty():
-            break
-        now, size = after, n
+        now = save(small.unionByName(low.select("hi", F.col("m").alias("lo"))).distinct())
     least = now.select(F.col("lo").alias("node")).distinct()
     return now.select(F.col("hi").alias("node"), F.col("lo").alias("component")).unionByName(least.select("node", F.col("node").alias("component")))
 
+
+def _shared_satellites(edges: DataFrame) -> DataFrame:
+    """Edges of nodes that have several smaller neighbours."""
+    return edges.groupBy("hi").agg(F.count(F.lit(1)).alias("n"), F.min("lo").alias("lo")).where("n > 1").select("hi", "lo")

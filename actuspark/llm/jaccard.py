@@ -4,16 +4,20 @@ Documents are sets of word shingles; two link when their Jaccard similarity is a
 ``per_cent``/100, that is when their Jaccard distance, a metric, is at most epsilon.
 
 1. Coarse regions. Every shingle is a pivot (the set of itself alone). A document's nearest pivots
-   are its shingles, and a global order (rarest in a bounded sample first, then by hash; any order
-   gives the same result) ranks them. A set within epsilon of a document can lack at most
-   n - ceil(t n) of its shingles, so a document that is put into the regions of its first
-   n - ceil(t n) + 1 pivots shares a region with each document that it links with.
-2. Regions join on a pivot document. In each region the least document is the pivot and is compared
-   with the others; those that link to it are one component and need no comparison with each other.
-3. Recursion. The documents of a region in other components become its next pivots, at most
-   ``PIVOTS`` at a time, and are compared with the members of other components that the triangle
-   inequality leaves (their distances to the first pivot differ by at most epsilon) until no
-   document of a region is left. Regions whose members are all in one component end at once.
+   are its shingles, and a global order (fewest documents first, then by hash; any order gives the
+   same result) ranks them. A set within epsilon of a document can lack at most n - ceil(t n) of its
+   shingles, so a document that is put into the regions of its first n - ceil(t n) + 1 pivots shares
+   a region with each document that it links with. The counts come from all documents: each block of
+   documents sends its shingles once to the slice of their hashes, and gets back those that other
+   sets hold as well. A document whose own shingles alone fill the prefix links with nothing and
+   leaves here; the others are few in a corpus of mostly different texts.
+2. Each document is compared with one pivot document: the least of its regions that most of its
+   regions name. What links is one component and needs no comparison with each other.
+3. Recursion. In regions with several components, documents outside the component of the region's
+   least one become the next pivots, at most ``PIVOTS`` at a time, and are compared with the members
+   of other components that the triangle inequality leaves (their distances to the region's first
+   pivot differ by at most epsilon), until no document of a region is left. A round works on the
+   open regions only.
 
 Documents as pivots of the first level alone would not do: unrelated texts are all at a distance
 near 1 of each other, so the windows would copy each document into every region.
@@ -24,36 +28,35 @@ chance below 1e-12). Equal sets are found by their digests and compared once.
 Defined cases: a null text, or one without words, has no shingles and links with nothing; a null
 id comes before all others (its component_id is null where it is the least); rows of one id are
 told apart by their text; equal rows are one document with as many results; an empty table gives an
-empty result; other columns are not read.
+empty result; other columns are not read. The id is a whole number; ids of another type raise.
 """
 
 from __future__ import annotations
 
-import hashlib
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from .graph import components
-from .shared import LOWER_BYTES, byte_texts, cut, save, ship
+from .shared import LOWER_BYTES, byte_texts, fresh_name, save, ship, whole_key
 from .suffix import NULL_ID, pair
 
 WORDS, PER_CENT = 5, 75
-#: Pivot documents of a region in one round.
-PIVOTS = 64
-#: Documents in the sample that orders the pivots, and frequent shingles that are kept of it.
-SAMPLE_DOCS, FREQUENT = 8000, 200_000
-#: Up to this many pairs to compare are broadcast (about 100 bytes each); more are joined by a shuffle.
-BROADCAST_PAIRS = 300_000
-#: Up to this many rows of labels, distances and open regions are broadcast (about 50 bytes each).
-BROADCAST_ROWS = 1_000_000
-#: Members of a pivot that are compared in one group.
-GROUP = 4096
-TAG_BITS = 19
+#: Pivot documents of a region in one round, and in one with more than ``LARGE`` members.
+PIVOTS, FEW, LARGE = 64, 4, 1024
+#: Counts of documents are told apart up to this number; a block sends at most so many documents of one shingle.
+CAP = 16
+#: Bytes and rows of text that a task holds as one block.
+BLOCK_BYTES, BLOCK_ROWS = 8_000_000, 65_536
+#: Slices of the hash space for each shuffle partition.
+SLICES = 4
+ORD_BITS, BLOCK_BITS = 20, 20
 
 
 def shingles(text: bytes, words: int = WORDS) -> np.ndarray:
@@ -69,319 +72,300 @@ def shingles(text: bytes, words: int = WORDS) -> np.ndarray:
     return np.unique(x)
 
 
-def prefix_size(n: int, per_cent: int) -> int:
+def prefix_size(n, per_cent: int):
     return n - -(-n * per_cent // 100) + 1
 
 
-def _tag(text: bytes) -> int:
-    return xxhash.xxh64_intdigest(text, 42) >> (64 - TAG_BITS)
-
-
-def _one(text: bytes, words: int) -> Iterator[tuple[int, np.ndarray]]:
-    s = shingles(text, words)
-    yield (len(s) << TAG_BITS) | _tag(text), s
+def blocks(batches: Iterator[pa.RecordBatch], most: int = BLOCK_BYTES) -> Iterator[tuple[int, list, list[bytes]]]:
+    """(block, ids, texts) of the rows (id, text) of a partition; block numbers are unique among all partitions and leave ``ORD_BITS`` bits for a row."""
+    block = TaskContext.get().partitionId() << BLOCK_BITS
+    for batch in batches:
+        ids, texts, a = batch.column(0).to_pylist(), byte_texts(batch.column(1)), 0
+        while a < len(texts):
+            b, size = a, 0
+            while b < len(texts) and b - a < BLOCK_ROWS and (b == a or size + len(texts[b]) <= most):
+                size += len(texts[b])
+                b += 1
+            yield block, [NULL_ID if d is None else d for d in ids[a:b]], texts[a:b]
+            block += 1
+            a = b
 
 
-MEMBERS = "key bigint, d bigint, v bigint, rd bigint, rv bigint, x bigint"
+def _planes(x: np.ndarray) -> bytes:
+    """64-bit numbers byte by byte, so that the bytes that all share compress."""
+    return x.view(np.uint8).reshape(-1, 8).T.tobytes()
 
 
-def _members(batches: Iterator[pa.RecordBatch], words: int, per_cent: int, often: np.ndarray, weight: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """Regions (key) of the documents (d, v), and a row without key for each document: the one (rd, rv) of its batch with the same set.
+def _whole(x: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(x, np.uint8).reshape(8, -1).T).view(np.uint64).reshape(-1)
 
-    x is Spark's hash of the text, v is the number of shingles above the text's tag.
-    """
-    for batch in batches:
-        own, found = [], {}
-        for d, t in zip(batch.column(0).to_pylist(), byte_texts(batch.column(1)), strict=True):
-            s = shingles(t, words)
-            x = xxhash.xxh64_intdigest(t, 42)
-            node = (NULL_ID if d is None else d, (len(s) << TAG_BITS) | (x >> (64 - TAG_BITS)))
-            x -= (x >> 63) << 64
-            if not len(s):
-                own.append((*node, x, None))
-                continue
-            name = hashlib.blake2b(s.tobytes(), digest_size=16).digest()
-            own.append((*node, x, name))
-            if name not in found:
-                w = np.zeros(len(s), np.int64)
-                if len(often):
-                    at = np.minimum(np.searchsorted(often, s), len(often) - 1)
-                    w = np.where(often[at] == s, weight[at], 0)
-                found[name] = [node, s[np.lexsort((s, w))[: prefix_size(len(s), per_cent)]]]
-            elif node < found[name][0]:
-                found[name][0] = node
-        reps = [found[n][0] if n else (None, None) for *_, n in own]
-        yield pa.RecordBatch.from_arrays(
-            [pa.nulls(len(own), pa.int64()), *[pa.array(x, pa.int64()) for x in zip(*[(d, v, *r, x) for (d, v, x, _), r in zip(own, reps, strict=True)], strict=True)]],
-            ["key", "d", "v", "rd", "rv", "x"],
-        )
-        if found:
-            sizes = [len(k) for _, k in found.values()]
-            keys = np.concatenate([k for _, k in found.values()]).view(np.int64)
-            d, v = (np.repeat(np.array(x, np.int64), sizes) for x in zip(*[n for n, _ in found.values()], strict=True))
-            none = pa.nulls(len(keys), pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(d), pa.array(v), none, none, none], ["key", "d", "v", "rd", "rv", "x"])
 
+#: A row for a document (hashes null), or for shingles of a block: their hashes, the documents (ords) that
+#: hold them and, once known, the counts; hashes without ords tell that CAP documents of a block hold them.
+POSTINGS = "at int, block bigint, ord int, d bigint, x bigint, n int, rep int, hashes binary, ords binary, counts binary"
+_NAMES = [c.split()[0] for c in POSTINGS.split(", ")]
+_KINDS = [{"int": pa.int32(), "bigint": pa.int64(), "binary": pa.binary()}[c.split()[1]] for c in POSTINGS.split(", ")]
 
-def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From rows sorted by (key, d, v): regions with several documents, with the pivot (their least) in rd, rv; rows without key as they are."""
-    last = None
-    for batch in batches:
-        free = batch.column(0).is_null()
-        cols = batch.columns
-        if free.true_count:
-            yield batch.filter(free)
-            if free.true_count == batch.num_rows:
-                continue
-            cols = batch.filter(batch.column(0).is_valid()).columns
-        key, d, v = (c.to_numpy(zero_copy_only=False) for c in cols[:3])
-        sent, pd_, pv = np.zeros(len(key), bool), d.copy(), v.copy()
-        if last is not None:
-            key, d, v, pd_, pv = (np.concatenate(([x], y)) for x, y in zip(last[:5], (key, d, v, pd_, pv), strict=True))
-            sent = np.concatenate(([last[5]], sent))
-        new = np.concatenate(([True], key[1:] != key[:-1]))
-        head = np.flatnonzero(new)[np.cumsum(new) - 1]
-        pd_, pv = pd_[head], pv[head]
-        equal = np.concatenate(([False], (key[1:] == key[:-1]) & (d[1:] == d[:-1]) & (v[1:] == v[:-1])))
-        many = np.concatenate((~new[1:], [False])) | ~new
-        go = many & ~sent & ~equal
-        if go.any():
-            more = batch.schema.names[5:]
-            yield pa.RecordBatch.from_arrays([*[pa.array(x[go]) for x in (key, d, v, pd_, pv)], *[pa.nulls(int(go.sum()), pa.int64()) for _ in more]], ["key", "d", "v", "rd", "rv", *more])
-        last = (key[-1], d[-1], v[-1], pd_[-1], pv[-1], bool(many[-1]))
 
+def _batch(rows: int, **cols) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(cols[k], t) if k in cols else pa.nulls(rows, t) for k, t in zip(_NAMES, _KINDS, strict=True)], _NAMES)
 
-NODE = "struct<d:bigint,v:bigint>"
 
+def _postings(batches: Iterator[pa.RecordBatch], words: int, slices: int) -> Iterator[pa.RecordBatch]:
+    """The documents of each block, and the shingles of its distinct sets by slice."""
+    for block, ids, texts in blocks(batches):
+        x = [xxhash.xxh64_intdigest(t, 42) for t in texts]
+        own, found, reps = [], {}, []
+        for k, t in enumerate(texts):
+            s = shingles(t, words)
+            own.append(s)
+            name = xxhash.xxh3_128_digest(s)
+            first = found.setdefault(name, k) if len(s) else k
+            if ids[k] < ids[first]:  # the least id stands for the set
+                found[name] = k
+            reps.append(name)
+        rep = [found[name] if len(s) else k for k, (name, s) in enumerate(zip(reps, own, strict=True))]
+        n = len(texts)
+        yield _batch(n, at=[block % slices] * n, block=[block] * n, ord=range(n), d=ids, x=[v - ((v >> 63) << 64) for v in x], n=[len(s) for s in own], rep=rep)
+        sets = [(k, s) for k, s in enumerate(own) if rep[k] == k and len(s)]
+        if not sets:
+            continue
+        h = np.concatenate([s for _, s in sets])
+        ord_ = np.repeat(np.array([k for k, _ in sets], np.uint16), [len(s) for _, s in sets])
+        by_hash = np.argsort(h, kind="stable")
+        heads = np.flatnonzero(np.concatenate(([True], h[by_hash][1:] != h[by_hash][:-1])))
+        many = np.repeat(np.diff(np.concatenate((heads, [len(h)]))) >= CAP, np.diff(np.concatenate((heads, [len(h)]))))
+        often = np.zeros(len(h), bool)
+        often[by_hash[many]] = True
+        if often.any():
+            yield _batch(1, at=[block % slices], block=[block], hashes=[_planes(h[often])], ords=[ord_[often].tobytes()], counts=[np.full(often.sum(), CAP, np.uint8).tobytes()])
+            known = np.unique(h[often])
+            at, cuts = _cuts(known, slices)
+            yield _batch(len(at), at=at, block=[block] * len(at), hashes=[_planes(known[a:b]) for a, b in cuts])
+        h, ord_ = h[~often], ord_[~often]
+        if len(h):
+            order = np.argsort(_slice(h, slices), kind="stable")
+            h, ord_ = h[order], ord_[order]
+            at, cuts = _cuts(h, slices)
+            yield _batch(len(at), at=at, block=[block] * len(at), hashes=[_planes(h[a:b]) for a, b in cuts], ords=[ord_[a:b].tobytes() for a, b in cuts])
+
+
+def _slice(h: np.ndarray, slices: int) -> np.ndarray:
+    return (((h >> np.uint64(40)) * np.uint64(slices)) >> np.uint64(24)).astype(np.int32)
+
+
+def _cuts(h: np.ndarray, slices: int) -> tuple[list[int], list[tuple[int, int]]]:
+    """The slices of hashes that are in the order of slices, and where each begins and ends."""
+    of = _slice(h, slices)
+    heads = np.flatnonzero(np.concatenate(([True], of[1:] != of[:-1])))
+    return of[heads].tolist(), list(zip(heads.tolist(), [*heads[1:].tolist(), len(h)], strict=True))
+
+
+def _groups(batches: Iterator[pa.RecordBatch], by: str) -> Iterator[list[dict]]:
+    """Rows of sorted partitions with one value of ``by``."""
+    held: list[dict] = []
+    for batch in batches:
+        for row in batch.to_pylist():
+            if held and row[by] != held[0][by]:
+                yield held
+                held = []
+            held.append(row)
+    if held:
+        yield held
 
-def _size(node: str, shift: int = TAG_BITS) -> Column:
-    return F.shiftright(F.col(f"{node}.v"), shift)
 
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """From rows sorted by slice: the shingles that several sets hold, with their counts, for each block; other rows as they are."""
 
-def _near_sizes(per_cent: int, shift: int) -> Column:
-    return (100 * F.least(_size("a", shift), _size("b", shift)) >= per_cent * F.greatest(_size("a", shift), _size("b", shift))) & (F.col("a") != F.col("b"))
+    def wanted() -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ready = np.array([a is None or b is not None for a, b in zip(batch.column("hashes").to_pylist(), batch.column("counts").to_pylist(), strict=True)])
+            passed.append(batch.filter(pa.array(ready)))
+            yield batch.filter(pa.array(~ready))
+
+    passed: list[pa.RecordBatch] = []
+    for group in _groups(wanted(), "at"):
+        yield from passed
+        passed.clear()
+        hashes = [_whole(r["hashes"]) for r in group]
+        sizes = [len(h) for h in hashes]
+        h = np.concatenate(hashes)
+        marks = np.repeat([r["ords"] is None for r in group], sizes)
+        ords = np.concatenate([np.zeros(k, np.uint16) if r["ords"] is None else np.frombuffer(r["ords"], np.uint16) for r, k in zip(group, sizes, strict=True)])
+        of = np.repeat(np.arange(len(group)), sizes)
+        order = np.argsort(h, kind="stable")
+        s = h[order]
+        heads = np.flatnonzero(np.concatenate(([True], s[1:] != s[:-1])))
+        counts = np.add.reduceat(np.where(marks, CAP, 1)[order], heads)
+        count = np.empty(len(h), np.int64)
+        count[order] = np.repeat(counts, np.diff(np.concatenate((heads, [len(h)]))))
+        go = np.flatnonzero((count > 1) & ~marks)
+        if not len(go):
+            continue
+        of, turns = of[go], np.flatnonzero(np.diff(of[go])) + 1
+        parts = list(zip([0, *turns.tolist()], [*turns.tolist(), len(go)], strict=True))
+        yield _batch(
+            len(parts),
+            at=[group[0]["at"]] * len(parts),
+            block=[group[of[a]]["block"] for a, _ in parts],
+            hashes=[_planes(h[go[a:b]]) for a, b in parts],
+            ords=[ords[go[a:b]].tobytes() for a, b in parts],
+            counts=[np.minimum(count[go[a:b]], CAP).astype(np.uint8).tobytes() for a, b in parts],
+        )
+    yield from passed
 
 
-def _next_pairs(batches: Iterator[pa.RecordBatch], per_cent: int, pivots: int, shift: int) -> Iterator[pa.RecordBatch]:
-    """From members sorted by (key, open first, node): the pairs of the region's next pivots with members of other components.
+PLACED = "node bigint, d bigint, x bigint, n int, rep bigint, set binary, keys array<bigint>"
 
-    Rows: key, open, d, v, cd, cv (component), far (distance to the first pivot).
-    """
-    eps = 1 - per_cent / 100 + 1e-9
-    key, chosen = None, []
-    for batch in batches:
-        out = []
-        for k, open_, d, v, cd, cv, far in zip(*[c.to_pylist() for c in batch.columns], strict=True):
-            if k != key:
-                key, chosen = k, []
-            n = v >> shift
-            for pd_, pv, pcd, pcv, pfar in chosen:
-                m = pv >> shift
-                if (cd, cv) != (pcd, pcv) and 100 * min(n, m) >= per_cent * max(n, m) and (far is None or pfar is None or abs(far - pfar) <= eps):
-                    out.append((k, {"d": d, "v": v}, {"d": pd_, "v": pv}))
-            if open_ and len(chosen) < pivots:
-                chosen.append((d, v, cd, cv, far))
-                out.append((k, {"d": d, "v": v}, {"d": d, "v": v}))
-        if out:
-            ks, a, b = zip(*out, strict=True)
-            kind = pa.struct([("d", pa.int64()), ("v", pa.int64())])
-            yield pa.RecordBatch.from_arrays([pa.array(ks, pa.int64()), pa.array(a, kind), pa.array(b, kind)], ["key", "a", "b"])
-
-
-def _frequent(rows: DataFrame, words: int, sample_docs: int, most: int) -> tuple[np.ndarray, np.ndarray]:
-    """Shingles that several documents of a bounded sample hold, with their counts."""
-    n = rows.count()
-    if not n:
-        return np.empty(0, np.uint64), np.empty(0, np.int64)
-    some = rows.sample(False, min(1.0, sample_docs / n), 11) if n > sample_docs else rows
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            s = np.concatenate([shingles(t, words) for t in byte_texts(batch.column(1))])
-            k, c = np.unique(s, return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(k.view(np.int64)), pa.array(c, pa.int64())], ["s", "c"])
 
-    top = some.mapInArrow(run, "s bigint, c bigint").groupBy("s").agg(F.sum("c").alias("c")).where("c >= 3").orderBy(F.desc("c"), "s").limit(most).collect()
-    s, c = np.array([r["s"] for r in top], np.int64).view(np.uint64), np.array([r["c"] for r in top], np.int64)
-    o = np.argsort(s)
-    return s[o], c[o]
+def _placed(batches: Iterator[pa.RecordBatch], per_cent: int) -> Iterator[pa.RecordBatch]:
+    """From rows sorted by block: the documents; those that may link with their regions (keys) and the shingles that other sets hold too (set)."""
+    for group in _groups(batches, "block"):
+        block = group[0]["block"] << ORD_BITS
+        docs = sorted((r for r in group if r["hashes"] is None), key=lambda r: r["ord"])
+        found = [r for r in group if r["hashes"] is not None]
+        n = np.array([r["n"] for r in docs], np.int64)
+        rep = np.array([r["rep"] for r in docs], np.int64)
+        sets: list = [None] * len(docs)
+        keys: list = [None] * len(docs)
+        if found:
+            h = np.concatenate([_whole(r["hashes"]) for r in found])
+            ords = np.concatenate([np.frombuffer(r["ords"], np.uint16) for r in found]).astype(np.int64)
+            counts = np.concatenate([np.frombuffer(r["counts"], np.uint8) for r in found])
+            shared = np.bincount(ords, minlength=len(docs))
+            need = prefix_size(n, per_cent) - (n - shared)
+            live = (need > 0) & (n > 0) & (rep == np.arange(len(docs)))
+            on = live[ords]
+            h, ords, counts = h[on], ords[on], counts[on]
+            o = np.lexsort((h, counts, ords))
+            h, ords = h[o], ords[o]
+            heads = np.searchsorted(ords, np.arange(len(docs) + 1))
+            for k in np.flatnonzero(live):
+                own = h[heads[k] : heads[k + 1]]
+                sets[k], keys[k] = np.sort(own).tobytes(), own[: need[k]].view(np.int64)
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array(np.arange(len(docs)) + block), pa.array([r["d"] for r in docs], pa.int64()), pa.array([r["x"] for r in docs], pa.int64()), pa.array(n.astype(np.int32)),
+                pa.array(rep + block), pa.array(sets, pa.binary()), pa.array(keys, pa.list_(pa.int64())),
+            ],
+            ["node", "d", "x", "n", "rep", "set", "keys"],
+        )
 
 
-def _resolve(docs: DataFrame, key: str, text: str, words: int, per_cent: int, pivots: int, broadcast_pairs: int) -> DataFrame:
-    """d, v, x, node and component (null: its own) of each document."""
+def _resolve(docs: DataFrame, key: str, text: str, words: int, per_cent: int, pivots: int) -> DataFrame:
+    """node, d, x, n and the component c of each document."""
     spark = docs.sparkSession
     ship(spark)
-    rows = docs.select(F.col(key).cast("bigint").alias("d"), F.col(text).alias("t"))
-    order = spark.sparkContext.broadcast(_frequent(rows, words, SAMPLE_DOCS, FREQUENT))
+    slices = SLICES * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows = docs.select(whole_key(docs, key).alias("d"), F.col(text).alias("t"))
     placed = save(
-        rows.mapInArrow(lambda b: _members(b, words, per_cent, *order.value), MEMBERS)
-        .withColumn("at", F.coalesce("key", F.xxhash64("d")))
+        rows.mapInArrow(lambda b: _postings(b, words, slices), POSTINGS)
         .repartition("at")
-        .drop("at")
-        .sortWithinPartitions("key", "d", "v")
-        .mapInArrow(_shared, MEMBERS)
+        .sortWithinPartitions("at")
+        .mapInArrow(_counted, POSTINGS)
+        .repartition("block")
+        .sortWithinPartitions("block")
+        .mapInArrow(lambda b: _placed(b, per_cent), PLACED)
     )
-    labels = link(placed, lambda pairs: compare(rows, pairs, lambda d, t: _one(t, words), per_cent, TAG_BITS, broadcast_pairs), per_cent, pivots)
-    pivot = F.struct(F.col("rd").alias("d"), F.col("rv").alias("v")).cast(NODE)
-    return placed.where("key is null").select("d", "v", "x", pivot.alias("node")).join(labels, "node", "left")
+    # Equal sets of different blocks: all their shingles are shared ones.
+    live = placed.where("set is not null")
+    same = F.when(F.octet_length("set") == 8 * F.col("n"), F.md5("set")).otherwise(F.col("node").cast("string"))
+    heads = save(live.select("node", same.alias("name")).join(live.groupBy(same.alias("name")).agg(F.min("node").alias("head")), "name").select("node", "head"))
+    sets = live.join(heads.where("node = head").select("node"), "node", "left_semi")
+    labels = link(sets.select("node", "n", F.explode("keys").alias("key")), sets.select("node", "n", "set"), per_cent, pivots)
+    named = heads.join(labels.select(F.col("node").alias("head"), "component"), "head", "left").select(F.col("node").alias("rep"), F.coalesce("component", "head").alias("c"))
+    return placed.select("node", "d", "x", "n", "rep").join(named, "rep", "left").withColumn("c", F.coalesce("c", "rep"))
 
 
-def join(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS, per_cent: int = PER_CENT, pivots: int = PIVOTS, broadcast_pairs: int = BROADCAST_PAIRS) -> DataFrame:
+def join(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS, per_cent: int = PER_CENT, pivots: int = PIVOTS) -> DataFrame:
     """key, n_shingles, component_id: a row for each document. ``key`` is a whole number."""
-    out = _resolve(docs, key, text, words, per_cent, pivots, broadcast_pairs)
-    least = F.coalesce("component.d", "node.d", "d")
+    out = save(_resolve(docs, key, text, words, per_cent, pivots).select("c", "d", "n"))
+    first = out.groupBy("c").agg(F.min("d").alias("first"), F.count(F.lit(1)).alias("copies")).where("copies > 1").select("c", "first")
     kind = docs.schema[key].dataType.simpleString()
-    return out.select(
-        F.nullif("d", F.lit(NULL_ID)).cast(kind).alias(key), F.shiftright("v", TAG_BITS).cast("bigint").alias("n_shingles"), F.nullif(least, F.lit(NULL_ID)).cast(kind).alias("component_id")
-    )
+    back = lambda c: F.nullif(c, F.lit(NULL_ID)).cast(kind)
+    return out.join(first, "c", "left").select(back(F.col("d")).alias(key), F.col("n").cast("bigint").alias("n_shingles"), back(F.coalesce("first", "d")).alias("component_id"))
 
 
-def representatives(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS, per_cent: int = PER_CENT, pivots: int = PIVOTS, broadcast_pairs: int = BROADCAST_PAIRS) -> DataFrame:
-    """The rows of ``docs`` without those that link, over any number of steps, with an earlier one; of equal rows one stays, and texts without words stay all."""
-    out = _resolve(docs, key, text, words, per_cent, pivots, broadcast_pairs)
-    group = F.coalesce("component", "node", F.struct("d", "v").cast(NODE))
-    kept = out.groupBy(group.alias("g")).agg(F.min(F.struct("d", "x")).alias("first")).select(F.col("first.d").alias("kept_d"), F.col("first.x").alias("kept_x"))
-    own = docs.withColumns({"kept_d": F.coalesce(F.col(key).cast("bigint"), F.lit(NULL_ID)), "kept_x": F.xxhash64(F.coalesce(F.col(text), F.lit("")))})
-    return own.join(kept, ["kept_d", "kept_x"], "left_semi").dropDuplicates(["kept_d", "kept_x"]).select(*docs.columns)
+def representatives(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS, per_cent: int = PER_CENT, pivots: int = PIVOTS) -> DataFrame:
+    """The rows of ``docs`` without those that link, over any number of steps, with an earlier one; of equal rows one stays, and texts without words stay all that differ."""
+    out = save(_resolve(docs, key, text, words, per_cent, pivots).select("c", "d", "x"))
+    least = out.groupBy("c").agg(F.min("d").alias("d"))
+    least = out.join(least, ["c", "d"], "left_semi").groupBy("c", "d").agg(F.min("x").alias("x"))
+    d, x = fresh_name(docs, "kept_d"), fresh_name(docs, "kept_x")
+    own = docs.withColumns({d: F.coalesce(whole_key(docs, key), F.lit(NULL_ID)), x: F.xxhash64(F.coalesce(F.col(text), F.lit("")))})
+    return own.join(least.select(F.col("d").alias(d), F.col("x").alias(x)), [d, x], "left_semi").dropDuplicates([d, x]).drop(d, x)
 
 
-def small(df: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
-    """``df`` with a broadcast hint if its number of rows allows it."""
-    return F.broadcast(df) if df.count() <= most else df
+def _near_sizes(n: str, m: str, per_cent: int) -> Column:
+    return 100 * F.least(n, m) >= per_cent * F.greatest(n, m)
 
 
-def link(placed: DataFrame, judge: Callable[[DataFrame], DataFrame], per_cent: int, pivots: int = PIVOTS, shift: int = TAG_BITS) -> DataFrame:
+def link(members: DataFrame, sets: DataFrame, per_cent: int, pivots: int = PIVOTS) -> DataFrame:
     """(node, component) of all nodes that link with another.
 
-    ``placed`` has the shared regions of ``_shared``; ``judge`` gives (a, b, inter, links) for
-    distinct pairs of nodes. A node's number of shingles stands in v above ``shift`` bits.
+    ``members`` has a row (key, node, n) for each region of a node, ``sets`` has (node, n, set): the
+    size of the node's set and the sorted hashes of all its shingles that another set may hold.
     """
-    node, pivot = F.struct("d", "v").cast(NODE), F.struct(F.col("rd").alias("d"), F.col("rv").alias("v")).cast(NODE)
-    regions = placed.where("key is not null").select("key", node.alias("a"), pivot.alias("b"))
-    judged = judge(regions.where(_near_sizes(per_cent, shift)).select("a", "b").distinct())
-    edges = judged.where("links").select("a", "b")
-    labels = components(edges)
-    done = None
-    while True:
-        # Members of regions that still have several components, and how far each is from the region's pivot.
-        of = lambda x, c: small(labels.select(F.col("node").alias(x), F.col("component").alias(c)))
-        now = regions.where(F.col("a") != F.col("b")).join(of("a", "c"), "a", "left").join(of("b", "home"), "b", "left")
-        now = now.withColumn("c", F.coalesce("c", "a")).withColumn("open", F.col("c") != F.coalesce("home", "b"))
-        if done is not None:
-            now = now.join(small(done), ["key", "a"], "left_anti")
-        keys = cut(now.where("open").select("key").distinct())
-        if keys.isEmpty():
-            break
-        far = judged.select("a", "b", (1 - F.col("inter") / (_size("a", shift) + _size("b", shift) - F.col("inter"))).alias("far"))
-        now = now.join(small(keys), "key", "left_semi").join(small(far), ["a", "b"], "left")
-        # A member that the first pivot was not compared with has no distance: its window is everything.
-        found = cut(
-            now.select("key", "open", "a.d", "a.v", F.col("c.d").alias("cd"), F.col("c.v").alias("cv"), "far")
-            .repartition("key")
-            .sortWithinPartitions("key", F.desc("open"), "d", "v")
-            .mapInArrow(lambda b: _next_pairs(b, per_cent, pivots, shift), f"key bigint, a {NODE}, b {NODE}")
-        )
-        used = found.where(F.col("a") == F.col("b")).select("key", "a")
-        done = cut(used if done is None else done.unionByName(used))
-        fresh = judge(found.where(F.col("a") != F.col("b")).select("a", "b").distinct())
-        if not fresh.where("links").isEmpty():
-            edges = edges.unionByName(fresh.where("links").select("a", "b"))
-            labels = components(edges)
-    return labels
-
-
-def signature(s: np.ndarray) -> bytes:
-    """Numbers of shingles by the first bits of their hashes, about two to a count, after a byte for the width of the counts."""
-    bits = max(6, int(len(s)).bit_length() - 1)
-    n = np.bincount((s >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits)
-    wide = 0 if n.max() < 256 else 1 if n.max() < 65_536 else 2
-    return bytes([wide]) + n.astype((np.uint8, np.uint16, np.uint32)[wide]).tobytes()
-
-
-def bound(x: bytes, y: bytes) -> int:
-    """No two sets with these signatures share more: the sum of the smaller counts, at the width of the coarser one."""
-    a, b = (np.frombuffer(t, (np.uint8, np.uint16, np.uint32)[t[0]], offset=1) for t in (x, y))
-    if len(a) < len(b):
-        a, b = b, a
-    if len(a) > len(b):
-        a = a.reshape(len(b), -1).sum(axis=1, dtype=np.int64)
-    return int(np.minimum(a, b).sum(dtype=np.int64))
-
-
-def _spread(batches: Iterator[pa.RecordBatch], sets: Callable, full: bool) -> Iterator[pa.RecordBatch]:
-    """The set, or its signature, of each wanted node, once for each group that it is compared in."""
-
-    def ready(out: list) -> pa.RecordBatch:
-        *cols, own = zip(*out, strict=True)
-        return pa.RecordBatch.from_arrays([*[pa.array(x, pa.int64()) for x in cols], pa.array(own, pa.binary())], ["bd", "bv", "salt", "role", "d", "v", "set"])
-
-    for batch in batches:
-        out, sent, size = [], set(), 0
-        for d, t, todo in zip(batch.column(0).to_pylist(), byte_texts(batch.column(1)), batch.column(2).to_pylist(), strict=True):
-            need: dict[int, list] = {}
-            for x in todo:
-                need.setdefault(x["v"], []).append(x)
-            for v, s in sets(d, t):
-                if v in need and (d, v) not in sent:
-                    sent.add((d, v))
-                    own = s.tobytes() if full else signature(s)
-                    for x in need[v]:
-                        out.append((x["bd"], x["bv"], x["salt"], x["role"], d, v, own))
-                        size += len(own)
-                        if size > 8_000_000:
-                            yield ready(out)
-                            out, size = [], 0
-        if out:
-            yield ready(out)
-
-
-def _meet(batches: Iterator[pa.RecordBatch], full: bool) -> Iterator[pa.RecordBatch]:
-    """From rows sorted by group, the pivot's first: overlaps of the pivot with each member, or upper bounds from signatures."""
-    group, pivot, last = None, None, None
-    kind = pa.struct([("d", pa.int64()), ("v", pa.int64())])
+    regions = members.groupBy("key").agg(F.min("node").alias("pivot"), F.min_by("n", "node").alias("pn"), F.count(F.lit(1)).alias("m")).where("m > 1")
+    placed = save(members.join(regions, "key"))
+    named = placed.where((F.col("node") != F.col("pivot")) & _near_sizes("n", "pn", per_cent)).groupBy("node", "pivot").count()
+    pairs = named.groupBy("node").agg(F.max_by("pivot", "count").alias("b")).select(F.col("node").alias("a"), "b")
+    labels = save(components(compare(pairs, sets, per_cent).where("links").select("a", "b")))
+    of = lambda x, c: labels.select(F.col("node").alias(x), F.col("component").alias(c))
+    now = placed.join(of("node", "c"), "node", "left").join(of("pivot", "home"), "pivot", "left")
+    now = now.select("key", "node", "n", "m", F.coalesce("c", "node").alias("c"), F.coalesce("home", "pivot").alias("home"), F.lit(False).alias("done"), F.lit(None).cast("double").alias("far"))
+    now, edges = save(_open(now)), None
+    if now.isEmpty():
+        return labels
+    sets = save(sets.join(now.select("node").distinct(), "node", "left_semi"))
+    first = True
+    while not now.isEmpty():
+        rank = F.row_number().over(Window.partitionBy("key").orderBy("node"))
+        chosen = now.where("c <> home and not done").withColumn("rank", rank).where(F.col("rank") <= pivots).where(F.col("rank") <= F.when(F.col("m") <= LARGE, pivots).otherwise(FEW))
+        chosen = save(chosen.select("key", F.col("node").alias("p"), F.col("n").alias("pn"), F.col("c").alias("pc"), F.col("far").alias("pfar"), "rank"))
+        met = now.join(chosen, "key").where((F.col("node") != F.col("p")) & (F.col("c") != F.col("pc")) & _near_sizes("n", "pn", per_cent))
+        # A member without a distance to the first pivot has everything in its window.
+        met = met.where(F.coalesce(F.abs(F.col("far") - F.col("pfar")) <= 1 - per_cent / 100 + 1e-9, F.lit(True)))
+        judged = compare(met.select(F.col("node").alias("a"), F.col("p").alias("b")).distinct(), sets, per_cent)
+        linked = now.select("node", "c").distinct()
+        linked = judged.where("links").join(linked.select(F.col("node").alias("a"), F.col("c").alias("ca")), "a").join(linked.select(F.col("node").alias("b"), F.col("c").alias("cb")), "b")
+        fresh = save(linked.select(F.col("ca").alias("a"), F.col("cb").alias("b")).distinct())
+        edges = fresh if edges is None else edges.unionByName(fresh)
+        moved = components(fresh)
+        used = chosen.select("key", F.col("p").alias("node"), F.lit(True).alias("used"))
+        now = now.join(used, ["key", "node"], "left").withColumn("done", F.col("done") | F.coalesce("used", F.lit(False))).drop("used")
+        if first:
+            gone = (1 - F.col("inter") / (F.col("na") + F.col("nb") - F.col("inter"))).alias("away")
+            now = now.join(chosen.where("rank = 1").select("key", F.col("p").alias("b")), "key", "left").join(judged.select(F.col("a").alias("node"), "b", gone), ["node", "b"], "left")
+            now = now.withColumn("far", F.when(F.col("node") == F.col("b"), 0.0).otherwise(F.col("away"))).drop("b", "away")
+            first = False
+        for c in ("c", "home"):
+            now = now.join(moved.select(F.col("node").alias(c), F.col("component").alias("to")), c, "left").withColumn(c, F.coalesce("to", c)).drop("to")
+        now = save(_open(now.select("key", "node", "n", "m", "c", "home", "done", "far")))
+    moved = save(components(edges))
+    grown = labels.join(moved.select(F.col("node").alias("component"), F.col("component").alias("to")), "component", "left").select("node", F.coalesce("to", "component").alias("component"))
+    return grown.unionByName(moved.join(labels.select("node"), "node", "left_anti").select("node", "component"))
+
+
+def _open(now: DataFrame) -> DataFrame:
+    """The members of regions in which a pivot is still to come."""
+    return now.join(now.where("c <> home and not done").select("key").distinct(), "key", "left_semi")
+
+
+def compare(pairs: DataFrame, sets: DataFrame, per_cent: int) -> DataFrame:
+    """(a, b, na, nb, inter, links) of distinct pairs of nodes, exactly."""
+    side = lambda x: sets.select(F.col("node").alias(x), F.col("n").alias(f"n{x}"), F.col("set").alias(f"s{x}"))
+    both = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "na", "nb", "sa", "sb")
+    links = 100 * F.col("inter") >= per_cent * (F.col("na") + F.col("nb") - F.col("inter"))
+    return save(both.mapInArrow(_overlaps, "a bigint, b bigint, na int, nb int, inter bigint").withColumn("links", links))
+
+
+def _overlaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        out = []
-        for bd, bv, salt, role, d, v, own in zip(*[c.to_pylist() for c in batch.columns], strict=True):
-            s = np.frombuffer(own, np.uint64) if full else own
-            if role == 0:
-                group, pivot, last = (bd, bv, salt), s, None
-            elif group == (bd, bv, salt) and last != (d, v):
-                last = (d, v)
-                if full:
-                    x, y = (s, pivot) if len(s) <= len(pivot) else (pivot, s)
-                    inter = int((y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x).sum())
-                else:
-                    inter = bound(s, pivot)
-                out.append(({"d": d, "v": v}, {"d": bd, "v": bv}, inter))
-        if out:
-            x, y, n = zip(*out, strict=True)
-            yield pa.RecordBatch.from_arrays([pa.array(x, kind), pa.array(y, kind), pa.array(n, pa.int64())], ["a", "b", "inter"])
-
-
-def compare(rows: DataFrame, pairs: DataFrame, sets: Callable, per_cent: int, shift: int = TAG_BITS, broadcast_pairs: int = BROADCAST_PAIRS) -> DataFrame:
-    """(a, b, inter, links) for those of the distinct pairs of nodes that may link, exactly.
-
-    ``rows`` has d and t; ``sets(d, text)`` gives the nodes of a text as (v, sorted hashes). First
-    the pairs' signatures meet, whose bound never loses a link; only pairs that may link by it are
-    compared by their sets. Each member travels once to its pivot b; pivots with many members are
-    copied to one group for each ``GROUP`` of them.
-    """
-    links = 100 * F.col("inter") >= per_cent * (_size("a", shift) + _size("b", shift) - F.least("inter", _size("a", shift), _size("b", shift)))
-    hopeful = _meeting(rows, cut(pairs), sets, False, broadcast_pairs).where(links).select("a", "b")
-    return cut(_meeting(rows, cut(hopeful), sets, True, broadcast_pairs).withColumn("links", links))
-
-
-def _meeting(rows: DataFrame, pairs: DataFrame, sets: Callable, full: bool, broadcast_pairs: int) -> DataFrame:
-    groups = pairs.groupBy("b").agg(F.ceil(F.count(F.lit(1)) / GROUP).alias("groups"))
-    put = pairs.join(groups, "b").select(F.col("a.d").alias("d"), F.col("a.v").alias("v"), F.col("b.d").alias("bd"), F.col("b.v").alias("bv"), F.pmod(F.xxhash64("a.d", "a.v"), F.col("groups")).alias("salt"), F.lit(1).alias("role"))
-    heads = put.select(F.col("bd").alias("d"), F.col("bv").alias("v"), "bd", "bv", "salt", F.lit(0).alias("role")).distinct()
-    todo = put.unionByName(heads).groupBy("d").agg(F.collect_list(F.struct("v", "bd", "bv", "salt", "role")).alias("todo"))
-    if pairs.count() <= broadcast_pairs:
-        todo = F.broadcast(todo)
-    texts = rows.withColumn("d", F.coalesce("d", F.lit(NULL_ID))).join(todo, "d").select("d", "t", "todo")
-    return (
-        texts.mapInArrow(lambda b: _spread(b, sets, full), "bd bigint, bv bigint, salt bigint, role bigint, d bigint, v bigint, set binary")
-        .repartition("bd", "bv", "salt")
-        .sortWithinPartitions("bd", "bv", "salt", "role", "d", "v")
-        .mapInArrow(lambda b: _meet(b, full), f"a {NODE}, b {NODE}, inter bigint")
-    )
+        inter = []
+        for s, t in zip(batch.column(4), batch.column(5), strict=True):
+            x, y = (np.frombuffer(v.as_buffer(), np.uint64) for v in (s, t))
+            if len(x) > len(y):
+                x, y = y, x
+            inter.append(int((y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x).sum()) if len(x) else 0)
+        yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(inter, pa.int64())], ["a", "b", "na", "nb", "inter"])

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 import zipfile
@@ -13,6 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
@@ -32,30 +34,50 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Cut the lineage by a checkpoint in the folder that the cluster shares.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder of intermediate tables: ``spark.checkpoint.dir``, or else the checkpoint folder of the session.
 
-    ``spark.checkpoint.dir`` of the session is used as it is; a folder of our own is set only
-    where the session has none, as in local tests.
+    A folder of our own is made only for a local session, where all tasks see it; a cluster without
+    either setting is an error.
     """
-    spark = df.sparkSession
-    if not spark.conf.get("spark.checkpoint.dir", None) and not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="spark-checkpoint-"))
+    top = spark.conf.get("spark.checkpoint.dir", None)
+    if not top:
+        found = spark.sparkContext._jsc.sc().getCheckpointDir()
+        top = found.get() if found.isDefined() else None
+    if not top:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        top = tempfile.mkdtemp(prefix="spark-checkpoint-")
+        spark.sparkContext.setCheckpointDir(top)
+    return top.rstrip("/")
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """Cut the lineage by a checkpoint in the shared folder."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
 def save(df: DataFrame) -> DataFrame:
     """``df`` as a compressed table in the shared folder; for large intermediates, where a checkpoint's plain rows take too much disk."""
-    spark = df.sparkSession
-    top = spark.conf.get("spark.checkpoint.dir", None)
-    if not top:
-        found = spark.sparkContext._jsc.sc().getCheckpointDir()
-        top = found.get() if found.isDefined() else tempfile.mkdtemp(prefix="spark-checkpoint-")
-        if not found.isDefined():
-            spark.sparkContext.setCheckpointDir(top)
-    path = f"{top.rstrip('/')}/table-{uuid.uuid4().hex}"
+    path = f"{shared_folder(df.sparkSession)}/table-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def whole_key(df: DataFrame, key: str) -> Column:
+    """The column ``key``, a whole number, as bigint."""
+    if not isinstance(df.schema[key].dataType, IntegralType):
+        raise TypeError(f"{key} must be a whole number, not {df.schema[key].dataType.simpleString()}")
+    return F.col(key).cast("bigint")
+
+
+def fresh_name(df: DataFrame, name: str) -> str:
+    """``name``, with underscores before it until no column of ``df`` is called so."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
 
 
 def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str) -> DataFrame:

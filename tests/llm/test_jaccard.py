@@ -58,25 +58,13 @@ def corpus(seed):
     return rows
 
 
-@pytest.mark.parametrize("seed,pivots,few", [(1, 64, 400_000), (2, 2, 0)])
-def test_same_components_as_brute_force(spark, seed, pivots, few):
+@pytest.mark.parametrize("seed,pivots", [(1, 64), (2, 8)])
+def test_same_components_as_brute_force(spark, seed, pivots):
     rows = corpus(seed)
     df = spark.createDataFrame([(d, t, "x", 1) for d, t in rows], SCHEMA).repartition(5)
-    got = jaccard.join(df, pivots=pivots, broadcast_pairs=few).collect()
+    got = jaccard.join(df, pivots=pivots).collect()
     assert sorted(((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got), key=str) == brute(rows)
 
 
 def test_empty_table(spark):
     assert jaccard.join(spark.createDataFrame([], SCHEMA)).count() == 0
-
-
-def test_signatures_bound_overlaps():
-    import numpy as np
-
-    rng = np.random.default_rng(1)
-    for n, m in ((5, 900), (300, 310), (40_000, 30_000), (1, 1)):
-        x, y = (np.unique(rng.integers(0, 2**64, k, dtype=np.uint64)) for k in (n, m))
-        y = np.union1d(x[: n // 2], y)
-        assert len(np.intersect1d(x, y)) <= jaccard.bound(jaccard.signature(x), jaccard.signature(y)) <= min(len(x), len(y))
-    same = np.full(70_000, 7, np.uint64)
-    assert jaccard.bound(jaccard.signature(same), jaccard.signature(same)) == 70_000
