@@ -56,7 +56,8 @@ CAP = 16
 BLOCK_BYTES, BLOCK_ROWS = 8_000_000, 65_536
 #: Slices of the hash space for each shuffle partition.
 SLICES = 4
-ORD_BITS, BLOCK_BITS = 20, 20
+#: Bits of a node's number for its place in its block, and for the block's place in its partition.
+ORD_BITS, BLOCK_BITS = 28, 14
 
 
 def shingles(text: bytes, words: int = WORDS) -> np.ndarray:
@@ -79,6 +80,7 @@ def prefix_size(n, per_cent: int):
 def blocks(batches: Iterator[pa.RecordBatch], most: int = BLOCK_BYTES) -> Iterator[tuple[int, list, list[bytes]]]:
     """(block, ids, texts) of the rows (id, text) of a partition; block numbers are unique among all partitions and leave ``ORD_BITS`` bits for a row."""
     block = TaskContext.get().partitionId() << BLOCK_BITS
+    last = block + (1 << BLOCK_BITS)
     for batch in batches:
         ids, texts, a = batch.column(0).to_pylist(), byte_texts(batch.column(1)), 0
         while a < len(texts):
@@ -86,6 +88,8 @@ def blocks(batches: Iterator[pa.RecordBatch], most: int = BLOCK_BYTES) -> Iterat
             while b < len(texts) and b - a < BLOCK_ROWS and (b == a or size + len(texts[b]) <= most):
                 size += len(texts[b])
                 b += 1
+            if block == last:
+                raise ValueError("too many blocks in one partition; read with smaller partitions")
             yield block, [NULL_ID if d is None else d for d in ids[a:b]], texts[a:b]
             block += 1
             a = b

@@ -8,13 +8,15 @@ least of them, then, where components differ, with further pivots until no pair
 open (the recursion of the Jaccard join). Components of the links are the classes, and all
 paragraphs of a class but the first are removed.
 
-Equal sets of a batch are one paragraph before anything is shuffled, so a line that a third of all
-documents hold costs a row for each batch only.
+Equal sets of a block of documents are one paragraph before anything is shuffled, so a line that a
+third of all documents hold costs a row for each block only; equal sets of different blocks meet by
+their digests, and one of each goes into the bands. Shingles are made again, in one more scan, for
+those paragraphs only that share a band with another set.
 
 Defined cases: null texts and lines of fewer words have no paragraphs and are left alone; a null id
 comes before all others; rows of one id are told apart by their text, equal rows are one document
-with as many results; an empty table gives an empty result; other columns are not read. Texts are
-read whole.
+with as many results; an empty table gives an empty result; other columns are not read. The id is a whole
+number; ids of another type raise. Texts are read whole.
 """
 
 from __future__ import annotations
@@ -27,14 +29,12 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .jaccard import BROADCAST_PAIRS, NODE, PER_CENT, PIVOTS, WORDS, _shared, compare, link
-from .shared import LOWER_BYTES, byte_texts, mix64, save, ship
+from .jaccard import ORD_BITS, PER_CENT, PIVOTS, WORDS, blocks, link
+from .shared import LOWER_BYTES, byte_texts, mix64, save, ship, whole_key
 from .suffix import NULL_ID, pair
 
 MIN_WORDS = 5
 RECALL = 0.998
-TAG_BITS, LINE_BITS = 12, 26
-SHIFT = TAG_BITS + LINE_BITS
 #: Bytes of text that a task hashes together.
 BLOCK = 4_000_000
 
@@ -54,10 +54,6 @@ def _lines(text: bytes, min_words: int) -> list[tuple[int, list[bytes]]]:
     return [(line, ws) for line, t in enumerate(text.translate(LOWER_BYTES).split(b"\n")) if len(ws := t.split()) >= min_words]
 
 
-def _tag(text: bytes) -> int:
-    return xxhash.xxh3_64_intdigest(text) >> (64 - TAG_BITS)
-
-
 def _batch_sets(paragraphs: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
     """Distinct shingle hashes of all paragraphs one after another, sorted within each, and the number of each."""
     sizes = np.array([len(ws) for ws in paragraphs])
@@ -95,76 +91,107 @@ def bands_of(sets: np.ndarray, sizes: np.ndarray, bands: int, rows: int) -> np.n
     return keys
 
 
-def _members(batches: Iterator[pa.RecordBatch], min_words: int, bands: int, rows: int) -> Iterator[pa.RecordBatch]:
-    names = ["key", "d", "v", "rd", "rv"]
+#: A paragraph: its place, its number of shingles and the first paragraph of its block with the same set; of those first ones, the set's digest and the bands.
+PARAGRAPHS = "node bigint, d bigint, line int, x bigint, n int, rep bigint, one bigint, two bigint, bands array<bigint>"
+_NAMES = [c.split()[0] for c in PARAGRAPHS.split(", ")]
+
+
+def _paragraphs(batches: Iterator[pa.RecordBatch], min_words: int, bands: int, rows: int) -> Iterator[pa.RecordBatch]:
+    for block, ids, texts in blocks(batches, BLOCK):
+        d, at, x, ws = [], [], [], []
+        for key, t in zip(ids, texts, strict=True):
+            own = _lines(t, min_words)
+            d += [key] * len(own)
+            x += [xxhash.xxh64_intdigest(t, 42)] * len(own)
+            at += [line for line, _ in own]
+            ws += [w for _, w in own]
+        if not ws:
+            continue
+        sets, n = _batch_sets(ws)
+        heads = np.cumsum(n) - n
+        one, two = np.add.reduceat(mix64(sets), heads), np.add.reduceat(mix64(sets * np.uint64(0xC2B2AE3D27D4EB4F) + np.uint64(7)), heads)
+        o = np.lexsort((two, one, n))
+        new = np.concatenate(([True], (one[o][1:] != one[o][:-1]) | (two[o][1:] != two[o][:-1]) | (n[o][1:] != n[o][:-1])))
+        rep = np.empty(len(o), np.int64)
+        rep[o] = o[np.flatnonzero(new)[np.cumsum(new) - 1]]
+        first = rep == np.arange(len(o))
+        keys = bands_of(sets[np.repeat(first, n)], n[first], bands, rows).reshape(-1).view(np.int64)
+        ends = np.concatenate(([0], np.cumsum(np.where(first, bands, 0)))).astype(np.int32)
+        node = block << ORD_BITS
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array(np.arange(len(o)) + node), pa.array(d, pa.int64()), pa.array(at, pa.int32()), pa.array(np.array(x, np.uint64).view(np.int64)), pa.array(n.astype(np.int32)), pa.array(rep + node),
+                pa.array(one.view(np.int64), mask=~first), pa.array(two.view(np.int64), mask=~first), pa.ListArray.from_arrays(pa.array(ends), pa.array(keys)),
+            ],
+            _NAMES,
+        )
+
+
+MEMBERS = "key bigint, node bigint, n int"
+
+
+def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of rows sorted by key, those whose key several rows have."""
+    last = None
+    for batch in batches:
+        key, node, n = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
+        sent = np.zeros(len(key), bool)
+        if last is not None:
+            key, node, n = (np.concatenate(([x], y)) for x, y in zip(last[:3], (key, node, n), strict=True))
+            sent = np.concatenate(([last[3]], sent))
+        same = key[1:] == key[:-1]
+        many = np.concatenate((same, [False])) | np.concatenate(([False], same))
+        go = many & ~sent
+        if go.any():
+            yield pa.RecordBatch.from_arrays([pa.array(key[go]), pa.array(node[go]), pa.array(n[go].astype(np.int32))], ["key", "node", "n"])
+        last = key[-1], node[-1], n[-1], bool(many[-1] or sent[-1])
+
+
+def _sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(node, n, set) of the lines that each text is asked for."""
     for batch in batches:
-        ids, texts, a = batch.column(0).to_pylist(), byte_texts(batch.column(1)), 0
-        while a < len(texts):
-            d, at, ws, size = [], [], [], 0
-            while a < len(texts) and (not size or size + len(texts[a]) < BLOCK):
-                size += max(1, len(texts[a]))
-                tag = _tag(texts[a])
-                for line, own in _lines(texts[a], min_words):
-                    d.append(NULL_ID if ids[a] is None else ids[a])
-                    at.append((line << TAG_BITS) | tag)
-                    ws.append(own)
-                a += 1
-            if not ws:
-                continue
-            sets, n = _batch_sets(ws)
-            d, v = np.array(d, np.int64), (n.astype(np.int64) << SHIFT) | np.array(at, np.int64)
-            heads = np.cumsum(n) - n
-            one, two = np.add.reduceat(mix64(sets), heads), np.add.reduceat(mix64(sets * np.uint64(0xC2B2AE3D27D4EB4F) + np.uint64(7)), heads)
-            o = np.lexsort((v, d, two, one, n))
-            new = np.concatenate(([True], (one[o][1:] != one[o][:-1]) | (two[o][1:] != two[o][:-1]) | (n[o][1:] != n[o][:-1])))
-            rep = np.empty(len(o), np.int64)
-            rep[o] = o[np.flatnonzero(new)[np.cumsum(new) - 1]]
-            yield pa.RecordBatch.from_arrays([pa.nulls(len(d), pa.int64()), *[pa.array(x) for x in (d, v, d[rep], v[rep])]], names)
-            first = np.sort(o[new])
-            keep = np.repeat(np.isin(np.arange(len(n)), first), n)
-            keys = bands_of(sets[keep], n[first], bands, rows).reshape(-1).view(np.int64)
-            none = pa.nulls(len(keys), pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(np.repeat(d[first], bands)), pa.array(np.repeat(v[first], bands)), none, none], names)
-
-
-def _sets_of(text: bytes, min_words: int) -> Iterator[tuple[int, np.ndarray]]:
-    """(v, set) of each paragraph of a text."""
-    lines, tag = _lines(text, min_words), _tag(text)
-    if lines:
-        sets, n = _batch_sets([ws for _, ws in lines])
-        for (line, _), k, end in zip(lines, n.tolist(), np.cumsum(n).tolist(), strict=True):
-            yield (((k << LINE_BITS) | line) << TAG_BITS) | tag, sets[end - k : end]
-
-
-def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", per_cent: int = PER_CENT, min_words: int = MIN_WORDS, recall: float = RECALL, pivots: int = PIVOTS, broadcast_pairs: int = BROADCAST_PAIRS) -> DataFrame:
+        texts, asked = byte_texts(batch.column(0)), batch.column(1).to_pylist()
+        nodes, ws = [], []
+        for t, todo in zip(texts, asked, strict=True):
+            lines = t.translate(LOWER_BYTES).split(b"\n")
+            for x in todo:
+                nodes.append(x["node"])
+                ws.append(lines[x["line"]].split())
+        sets, n = _batch_sets(ws)
+        ends = np.cumsum(n)
+        yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(n.astype(np.int32)), pa.array([sets[b - k : b].tobytes() for k, b in zip(n.tolist(), ends.tolist(), strict=True)], pa.binary())], ["node", "n", "set"])
+
+
+def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", per_cent: int = PER_CENT, min_words: int = MIN_WORDS, recall: float = RECALL, pivots: int = PIVOTS) -> DataFrame:
     """key, paragraph (line number from 0), n_shingles, class_doc and class_paragraph (the first of its class), removed: a row for each paragraph."""
     ship(docs.sparkSession)
     bands, n_rows = tune(per_cent / 100, recall)
-    rows = docs.select(F.col(key).cast("bigint").alias("d"), F.col(text).alias("t"))
-    schema = "key bigint, d bigint, v bigint, rd bigint, rv bigint"
-    placed = save(
-        rows.mapInArrow(lambda b: _members(b, min_words, bands, n_rows), schema)
-        .withColumn("at", F.coalesce("key", F.xxhash64("d", "v")))
-        .repartition("at")
-        .drop("at")
-        .sortWithinPartitions("key", "d", "v")
-        .mapInArrow(_shared, schema)
-    )
-
-    sets = lambda d, t: _sets_of(t, min_words)
-    labels = link(placed, lambda pairs: compare(rows, pairs, sets, per_cent, SHIFT, broadcast_pairs), per_cent, pivots, SHIFT)
-    line = lambda v: F.shiftright(v, TAG_BITS).bitwiseAND((1 << LINE_BITS) - 1)
-    own = placed.where("key is null").select("d", "v", F.struct(F.col("rd").alias("d"), F.col("rv").alias("v")).cast(NODE).alias("node"))
-    own = own.join(labels, "node", "left").select("d", "v", F.coalesce("component", "node").alias("c"))
-    first = own.groupBy("c").agg(F.min(F.struct("d", line(F.col("v")).alias("line"))).alias("first"))
-    out = own.join(first, "c").withColumn("line", line(F.col("v")))
+    rows = docs.select(whole_key(docs, key).alias("d"), F.col(text).alias("t"))
+    found = save(rows.mapInArrow(lambda b: _paragraphs(b, min_words, bands, n_rows), PARAGRAPHS))
+    # One paragraph for each set: the digests meet, then only the least node's bands go on.
+    first = found.where("one is not null")
+    heads = first.groupBy("one", "two", "n").agg(F.min("node").alias("head"))
+    heads = save(first.select("node", "one", "two", "n").join(heads, ["one", "two", "n"]).select("node", "head"))
+    sole = first.join(heads.where("node = head").select("node"), "node", "left_semi")
+    members = save(sole.select(F.explode("bands").alias("key"), "node", "n").repartition("key").sortWithinPartitions("key").mapInArrow(_met, MEMBERS))
+    live = first.join(members.select("node").distinct(), "node", "left_semi")
+    asked = live.groupBy("d", "x").agg(F.collect_list(F.struct("node", "line")).alias("todo"))
+    texts = rows.withColumns({"d": F.coalesce("d", F.lit(NULL_ID)), "x": F.xxhash64(F.coalesce("t", F.lit("")))})
+    # Equal rows are asked alike, and name the same nodes.
+    sets = save(texts.join(asked, ["d", "x"]).select("t", "todo").mapInArrow(_sets_of, "node bigint, n int, set binary").dropDuplicates(["node"]))
+    labels = link(members, sets, per_cent, pivots)
+    named = heads.join(labels.select(F.col("node").alias("head"), "component"), "head", "left").select(F.col("node").alias("rep"), F.coalesce("component", "head").alias("c"))
+    own = save(found.select("d", "line", "n", "rep").join(named, "rep").drop("rep"))
+    many = own.groupBy("c").agg(F.count(F.lit(1)).alias("copies"), F.min("d").alias("first")).where("copies > 1").select("c", "first")
+    line = own.join(many, "c").where("d = first").groupBy("c", "first").agg(F.min("line").alias("first_line"))
+    out = own.join(line, "c", "left").withColumns({"first": F.coalesce("first", "d"), "first_line": F.coalesce("first_line", "line")})
     kind = docs.schema[key].dataType.simpleString()
     back = lambda c: F.nullif(c, F.lit(NULL_ID)).cast(kind)
     return out.select(
         back(F.col("d")).alias(key),
-        F.col("line").alias("paragraph"),
-        F.shiftright("v", SHIFT).alias("n_shingles"),
-        back(F.col("first.d")).alias("class_doc"),
-        F.col("first.line").alias("class_paragraph"),
-        ((F.col("first.d") != F.col("d")) | (F.col("first.line") != F.col("line"))).alias("removed"),
+        F.col("line").cast("bigint").alias("paragraph"),
+        F.col("n").cast("bigint").alias("n_shingles"),
+        back(F.col("first")).alias("class_doc"),
+        F.col("first_line").cast("bigint").alias("class_paragraph"),
+        ((F.col("first") != F.col("d")) | (F.col("first_line") != F.col("line"))).alias("removed"),
     )
