@@ -13,6 +13,7 @@ empty table gives an empty result; other columns are not read. Texts are read wh
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -115,13 +116,14 @@ def count_edits(docs: DataFrame, edits: Column, key: str = "doc_id", text: str =
     spark = docs.sparkSession
     ship(spark)
     with open(ranks, "rb") as f:
-        book = spark.sparkContext.broadcast(f.read())
+        raw = f.read()
+    book, digest = spark.sparkContext.broadcast(raw), hashlib.sha256(raw).hexdigest()
     rows = docs.select(F.col(key).alias(key), F.col(text).alias("text"), edits.alias("edits"))
     kind = rows.schema[0].dataType.simpleString()
     names = ["n_chars", "n_tokens", "n_leaves", "n_edits", "n_chars_after", "n_tokens_after", "n_reencoded"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(book.value)
+        encode = encoder(book.value, digest)
         count = lambda t: len(encode(t))
         for batch in batches:
             out = []
@@ -141,16 +143,17 @@ def count_edits(docs: DataFrame, edits: Column, key: str = "doc_id", text: str =
     return rows.mapInArrow(run, f"`{key}` {kind}, " + ", ".join(f"{n} bigint" for n in names))
 
 
-_encoder: list = []
+_encoder: dict = {}
 
 
-def encoder(raw: bytes):
-    """A text's token ids; made once in each Python worker."""
-    if not _encoder:
+def encoder(raw: bytes, digest: str = ""):
+    """A text's token ids; a Python worker keeps one encoder, that of the ranks with this digest."""
+    if digest not in _encoder:
         import base64
 
         import tiktoken
 
         table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, raw.splitlines())}
-        _encoder.append(tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=table, special_tokens={}).encode_ordinary)
-    return _encoder[0]
+        _encoder.clear()
+        _encoder[digest] = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=table, special_tokens={}).encode_ordinary
+    return _encoder[digest]

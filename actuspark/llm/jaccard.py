@@ -11,13 +11,15 @@ Documents are sets of word shingles; two link when their Jaccard similarity is a
    documents sends its shingles once to the slice of their hashes, and gets back those that other
    sets hold as well. A document whose own shingles alone fill the prefix links with nothing and
    leaves here; the others are few in a corpus of mostly different texts.
-2. Each document is compared with one pivot document: the least of its regions that most of its
-   regions name. What links is one component and needs no comparison with each other.
+   Regions with the same members are one region.
+2. Each document is compared with the pivot document (the least of a region) that most of its regions
+   name, then with the next one. What links is one component and needs no comparison with each other.
 3. Recursion. In regions with several components, documents outside the component of the region's
    least one become the next pivots, at most ``PIVOTS`` at a time, and are compared with the members
    of other components that the triangle inequality leaves (their distances to the region's first
    pivot differ by at most epsilon), until no document of a region is left. A round works on the
-   open regions only.
+   open regions only. Regions of more than ``LARGE`` members are dealt out in parts, each with a copy
+   of up to ``MANY`` pivots, which a member meets all at once.
 
 Documents as pivots of the first level alone would not do: unrelated texts are all at a distance
 near 1 of each other, so the windows would copy each document into every region.
@@ -37,6 +39,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
@@ -48,12 +51,16 @@ from .shared import LOWER_BYTES, byte_texts, fresh_name, save, ship, whole_key
 from .suffix import NULL_ID, pair
 
 WORDS, PER_CENT = 5, 75
-#: Pivot documents of a region in one round, and in one with more than ``LARGE`` members.
-PIVOTS, FEW, LARGE = 64, 4, 1024
+#: Pivot documents of a region in one round; in one of more than ``LARGE`` members, up to ``MANY`` with ``PIVOT_HASHES`` shingles in all.
+PIVOTS, LARGE, MANY, PIVOT_HASHES = 64, 256, 1024, 2_000_000
+#: Members of a large region that a task compares as one part.
+PART = 2048
+#: Pivots that each document meets one after another before the rounds.
+TRIES = 2
 #: Counts of documents are told apart up to this number; a block sends at most so many documents of one shingle.
 CAP = 16
 #: Bytes and rows of text that a task holds as one block.
-BLOCK_BYTES, BLOCK_ROWS = 8_000_000, 65_536
+BLOCK_BYTES, BLOCK_ROWS = 4_000_000, 65_536
 #: Slices of the hash space for each shuffle partition.
 SLICES = 4
 #: Bits of a node's number for its place in its block, and for the block's place in its partition.
@@ -82,15 +89,14 @@ def blocks(batches: Iterator[pa.RecordBatch], most: int = BLOCK_BYTES) -> Iterat
     block = TaskContext.get().partitionId() << BLOCK_BITS
     last = block + (1 << BLOCK_BITS)
     for batch in batches:
-        ids, texts, a = batch.column(0).to_pylist(), byte_texts(batch.column(1)), 0
-        while a < len(texts):
-            b, size = a, 0
-            while b < len(texts) and b - a < BLOCK_ROWS and (b == a or size + len(texts[b]) <= most):
-                size += len(texts[b])
-                b += 1
+        column, a = batch.column(1).cast(pa.binary()), 0
+        sizes = np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy())
+        while a < batch.num_rows:
+            done = int(sizes[a - 1]) if a else 0
+            b = min(a + BLOCK_ROWS, max(a + 1, int(np.searchsorted(sizes, done + most, "right"))))
             if block == last:
                 raise ValueError("too many blocks in one partition; read with smaller partitions")
-            yield block, [NULL_ID if d is None else d for d in ids[a:b]], texts[a:b]
+            yield block, [NULL_ID if d is None else d for d in batch.column(0).slice(a, b - a).to_pylist()], byte_texts(column.slice(a, b - a))
             block += 1
             a = b
 
@@ -256,7 +262,7 @@ def _placed(batches: Iterator[pa.RecordBatch], per_cent: int) -> Iterator[pa.Rec
         )
 
 
-def _resolve(docs: DataFrame, key: str, text: str, words: int, per_cent: int, pivots: int) -> DataFrame:
+def _resolve(docs: DataFrame, key: str, text: str, words: int, per_cent: int, pivots: int, large: int = LARGE) -> DataFrame:
     """node, d, x, n and the component c of each document."""
     spark = docs.sparkSession
     ship(spark)
@@ -276,14 +282,14 @@ def _resolve(docs: DataFrame, key: str, text: str, words: int, per_cent: int, pi
     same = F.when(F.octet_length("set") == 8 * F.col("n"), F.md5("set")).otherwise(F.col("node").cast("string"))
     heads = save(live.select("node", same.alias("name")).join(live.groupBy(same.alias("name")).agg(F.min("node").alias("head")), "name").select("node", "head"))
     sets = live.join(heads.where("node = head").select("node"), "node", "left_semi")
-    labels = link(sets.select("node", "n", F.explode("keys").alias("key")), sets.select("node", "n", "set"), per_cent, pivots)
+    labels = link(sets.select("node", "n", shared_size("set"), F.explode("keys").alias("key")), sets.select("node", "n", "set"), per_cent, pivots, large)
     named = heads.join(labels.select(F.col("node").alias("head"), "component"), "head", "left").select(F.col("node").alias("rep"), F.coalesce("component", "head").alias("c"))
     return placed.select("node", "d", "x", "n", "rep").join(named, "rep", "left").withColumn("c", F.coalesce("c", "rep"))
 
 
-def join(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS, per_cent: int = PER_CENT, pivots: int = PIVOTS) -> DataFrame:
+def join(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS, per_cent: int = PER_CENT, pivots: int = PIVOTS, large: int = LARGE) -> DataFrame:
     """key, n_shingles, component_id: a row for each document. ``key`` is a whole number."""
-    out = save(_resolve(docs, key, text, words, per_cent, pivots).select("c", "d", "n"))
+    out = save(_resolve(docs, key, text, words, per_cent, pivots, large).select("c", "d", "n"))
     first = out.groupBy("c").agg(F.min("d").alias("first"), F.count(F.lit(1)).alias("copies")).where("copies > 1").select("c", "first")
     kind = docs.schema[key].dataType.simpleString()
     back = lambda c: F.nullif(c, F.lit(NULL_ID)).cast(kind)
@@ -300,41 +306,47 @@ def representatives(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
     return own.join(least.select(F.col("d").alias(d), F.col("x").alias(x)), [d, x], "left_semi").dropDuplicates([d, x]).drop(d, x)
 
 
-def _near_sizes(n: str, m: str, per_cent: int) -> Column:
-    return 100 * F.least(n, m) >= per_cent * F.greatest(n, m)
+def _may_link(a: str, b: str, per_cent: int) -> Column:
+    """Whether sets of ``n`` shingles each, ``s`` of which another set may hold too, can link: they share at most the lesser s."""
+    most = F.least(f"{a}s", f"{b}s")
+    return 100 * most >= per_cent * (F.col(f"{a}n") + F.col(f"{b}n") - most)
 
 
-def link(members: DataFrame, sets: DataFrame, per_cent: int, pivots: int = PIVOTS) -> DataFrame:
+def link(members: DataFrame, sets: DataFrame, per_cent: int, pivots: int = PIVOTS, large: int = LARGE) -> DataFrame:
     """(node, component) of all nodes that link with another.
 
-    ``members`` has a row (key, node, n) for each region of a node, ``sets`` has (node, n, set): the
-    size of the node's set and the sorted hashes of all its shingles that another set may hold.
+    ``members`` has a row (key, node, n, s) for each region of a node, ``sets`` has (node, n, set): the
+    size n of the node's set and the sorted hashes of all its shingles that another set may hold; s is their number.
     """
-    regions = members.groupBy("key").agg(F.min("node").alias("pivot"), F.min_by("n", "node").alias("pn"), F.count(F.lit(1)).alias("m")).where("m > 1")
-    placed = save(members.join(regions, "key"))
-    named = placed.where((F.col("node") != F.col("pivot")) & _near_sizes("n", "pn", per_cent)).groupBy("node", "pivot").count()
-    pairs = named.groupBy("node").agg(F.max_by("pivot", "count").alias("b")).select(F.col("node").alias("a"), "b")
-    labels = save(components(compare(pairs, sets, per_cent).where("links").select("a", "b")))
-    of = lambda x, c: labels.select(F.col("node").alias(x), F.col("component").alias(c))
-    now = placed.join(of("node", "c"), "node", "left").join(of("pivot", "home"), "pivot", "left")
-    now = now.select("key", "node", "n", "m", F.coalesce("c", "node").alias("c"), F.coalesce("home", "pivot").alias("home"), F.lit(False).alias("done"), F.lit(None).cast("double").alias("far"))
-    now, edges = save(_open(now)), None
+    placed, edges, labels = _regions(members), None, None
+    named = placed.where((F.col("node") != F.col("pivot")) & _may_link("", "p", per_cent)).groupBy("node", "pivot").agg(F.sum("times").alias("votes"))
+    named = save(named.withColumn("rank", F.row_number().over(Window.partitionBy("node").orderBy(F.desc("votes"), "pivot"))).where(F.col("rank") <= TRIES))
+    for k in range(1, TRIES + 1):
+        pairs = named.where(F.col("rank") == k).select(F.col("node").alias("a"), F.col("pivot").alias("b"))
+        if labels is not None:
+            pairs = _labelled(pairs, labels, "a", "b").where("ca <> cb").select("a", "b")
+        links = compare(pairs, sets, per_cent).where("links").select("a", "b")
+        edges = links if edges is None else edges.unionByName(links)
+        labels = save(components(edges))
+    now = _labelled(placed, labels, "node", "pivot").select("key", "node", "n", "s", "m", F.col("cnode").alias("c"), F.col("cpivot").alias("home"), F.lit(False).alias("done"), F.lit(None).cast("double").alias("far"))
+    now, moves = save(_open(now)), None
     if now.isEmpty():
         return labels
     sets = save(sets.join(now.select("node").distinct(), "node", "left_semi"))
     first = True
     while not now.isEmpty():
-        rank = F.row_number().over(Window.partitionBy("key").orderBy("node"))
-        chosen = now.where("c <> home and not done").withColumn("rank", rank).where(F.col("rank") <= pivots).where(F.col("rank") <= F.when(F.col("m") <= LARGE, pivots).otherwise(FEW))
-        chosen = save(chosen.select("key", F.col("node").alias("p"), F.col("n").alias("pn"), F.col("c").alias("pc"), F.col("far").alias("pfar"), "rank"))
-        met = now.join(chosen, "key").where((F.col("node") != F.col("p")) & (F.col("c") != F.col("pc")) & _near_sizes("n", "pn", per_cent))
+        chosen = _next_pivots(now, pivots, large)
+        wide = F.col("m") > large
+        met = now.where(~wide).join(chosen, "key").where((F.col("node") != F.col("p")) & (F.col("c") != F.col("pc")) & _may_link("", "p", per_cent))
         # A member without a distance to the first pivot has everything in its window.
         met = met.where(F.coalesce(F.abs(F.col("far") - F.col("pfar")) <= 1 - per_cent / 100 + 1e-9, F.lit(True)))
         judged = compare(met.select(F.col("node").alias("a"), F.col("p").alias("b")).distinct(), sets, per_cent)
-        linked = now.select("node", "c").distinct()
-        linked = judged.where("links").join(linked.select(F.col("node").alias("a"), F.col("c").alias("ca")), "a").join(linked.select(F.col("node").alias("b"), F.col("c").alias("cb")), "b")
+        linked = judged.where("links").select("a", "b")
+        if not now.where(wide).isEmpty():
+            linked = linked.unionByName(_crowds(now.where(wide), chosen, sets, per_cent))
+        linked = _labelled(linked, now.select("node", F.col("c").alias("component")).distinct(), "a", "b")
         fresh = save(linked.select(F.col("ca").alias("a"), F.col("cb").alias("b")).distinct())
-        edges = fresh if edges is None else edges.unionByName(fresh)
+        moves = fresh if moves is None else moves.unionByName(fresh)
         moved = components(fresh)
         used = chosen.select("key", F.col("p").alias("node"), F.lit(True).alias("used"))
         now = now.join(used, ["key", "node"], "left").withColumn("done", F.col("done") | F.coalesce("used", F.lit(False))).drop("used")
@@ -343,19 +355,86 @@ def link(members: DataFrame, sets: DataFrame, per_cent: int, pivots: int = PIVOT
             now = now.join(chosen.where("rank = 1").select("key", F.col("p").alias("b")), "key", "left").join(judged.select(F.col("a").alias("node"), "b", gone), ["node", "b"], "left")
             now = now.withColumn("far", F.when(F.col("node") == F.col("b"), 0.0).otherwise(F.col("away"))).drop("b", "away")
             first = False
-        for c in ("c", "home"):
-            now = now.join(moved.select(F.col("node").alias(c), F.col("component").alias("to")), c, "left").withColumn(c, F.coalesce("to", c)).drop("to")
-        now = save(_open(now.select("key", "node", "n", "m", "c", "home", "done", "far")))
-    moved = save(components(edges))
+        now = _labelled(now, moved, "c", "home").drop("c", "home").withColumnsRenamed({"cc": "c", "chome": "home"})
+        now = save(_open(now.select("key", "node", "n", "s", "m", "c", "home", "done", "far")))
+    moved = save(components(moves))
     grown = labels.join(moved.select(F.col("node").alias("component"), F.col("component").alias("to")), "component", "left").select("node", F.coalesce("to", "component").alias("component"))
     return grown.unionByName(moved.join(labels.select("node"), "node", "left_anti").select("node", "component"))
 
 
+def _regions(members: DataFrame) -> DataFrame:
+    """key, node, n, s of the members of regions with several of them, m (their number), the least one (pivot, pn, ps), and times: for how many equal regions a region stands."""
+    names = [F.bit_xor(F.xxhash64("node", F.lit(k))).alias(f"name{k}") for k in (1, 2)]
+    regions = members.groupBy("key").agg(F.min("node").alias("pivot"), F.min_by("n", "node").alias("pn"), F.min_by("s", "node").alias("ps"), F.count(F.lit(1)).alias("m"), *names).where("m > 1")
+    sole = regions.groupBy("pivot", "pn", "ps", "m", "name1", "name2").agg(F.min("key").alias("key"), F.count(F.lit(1)).alias("times"))
+    return save(members.join(sole.drop("name1", "name2"), "key"))
+
+
+def _labelled(df: DataFrame, labels: DataFrame, *columns: str) -> DataFrame:
+    """``df`` with the component of each of its columns of nodes, in a column with a c before its name; a node without a label is its own."""
+    for x in columns:
+        df = df.join(labels.select(F.col("node").alias(x), F.col("component").alias(f"c{x}")), x, "left").withColumn(f"c{x}", F.coalesce(f"c{x}", x))
+    return df
+
+
+def _next_pivots(now: DataFrame, pivots: int, large: int) -> DataFrame:
+    """key, p, pn, ps, pc, pfar, rank: the next documents outside the component of their region's least one."""
+    w = Window.partitionBy("key").orderBy("node")
+    first = now.where("c <> home and not done").withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= MANY)
+    room = F.when(F.col("m") <= large, F.col("rank") <= pivots).otherwise((F.col("hashes") <= PIVOT_HASHES) | (F.col("rank") == 1))
+    chosen = first.withColumn("hashes", F.sum("s").over(w)).where(room)
+    return save(chosen.select("key", F.col("node").alias("p"), F.col("n").alias("pn"), F.col("s").alias("ps"), F.col("c").alias("pc"), F.col("far").alias("pfar"), "rank"))
+
+
+def _crowds(now: DataFrame, chosen: DataFrame, sets: DataFrame, per_cent: int) -> DataFrame:
+    """(a, b): links of members of large regions with pivots of other components, one for each of these components."""
+    parts = F.ceil(F.col("m") / PART).cast("int")
+    one = now.select("key", "node", "c", F.pmod(F.xxhash64("node"), parts).cast("int").alias("part"), F.lit(1).alias("role"))
+    heads = chosen.join(now.select("key", "m").distinct(), "key").select("key", F.col("p").alias("node"), F.col("pc").alias("c"), F.explode(F.sequence(F.lit(0), parts - 1)).alias("part"), F.lit(0).alias("role"))
+    rows = one.unionByName(heads.select(*one.columns)).join(sets, "node")
+    rows = rows.repartition("key", "part").sortWithinPartitions("key", "part", "role").select("key", "part", "role", "node", "c", "n", "set")
+    return save(rows.mapInArrow(lambda b: _met_at_once(b, per_cent), "a bigint, b bigint"))
+
+
+def _met_at_once(batches: Iterator[pa.RecordBatch], per_cent: int) -> Iterator[pa.RecordBatch]:
+    """From rows sorted by (key, part), the pivots first: a link of each member with each other component."""
+    at, heads, index = None, [], None
+    for batch in batches:
+        out: list[tuple[int, int]] = []
+        for key, part, role, node, c, n, own in zip(*[x.to_pylist() for x in batch.columns], strict=True):
+            s = np.frombuffer(own, np.uint64)
+            if at != (key, part):
+                at, heads, index = (key, part), [], None
+            if role == 0:
+                heads.append((node, c, n, s))
+                continue
+            if index is None:
+                h, of = np.concatenate([x[3] for x in heads]), np.repeat(np.arange(len(heads)), [len(x[3]) for x in heads])
+                o = np.argsort(h, kind="stable")
+                names, comps, sizes = (np.array([x[k] for x in heads]) for k in range(3))
+                index = h[o], of[o]
+            lo, hi = np.searchsorted(index[0], s, "left"), np.searchsorted(index[0], s, "right")
+            size = hi - lo
+            spots = np.arange(size.sum()) + np.repeat(lo - (np.cumsum(size) - size), size)
+            inter = np.bincount(index[1][spots], minlength=len(heads))
+            hit = np.flatnonzero((100 * inter >= per_cent * (n + sizes - inter)) & (comps != c))
+            if len(hit):
+                out += [(node, int(names[hit[k]])) for k in np.unique(comps[hit], return_index=True)[1]]
+        if out:
+            a, b = zip(*out, strict=True)
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
+
 def _open(now: DataFrame) -> DataFrame:
     """The members of regions in which a pivot is still to come."""
     return now.join(now.where("c <> home and not done").select("key").distinct(), "key", "left_semi")
 
 
+def shared_size(column: str) -> Column:
+    """The number of hashes in a set."""
+    return F.shiftright(F.octet_length(column), 3).alias("s")
+
+
 def compare(pairs: DataFrame, sets: DataFrame, per_cent: int) -> DataFrame:
     """(a, b, na, nb, inter, links) of distinct pairs of nodes, exactly."""
     side = lambda x: sets.select(F.col("node").alias(x), F.col("n").alias(f"n{x}"), F.col("set").alias(f"s{x}"))

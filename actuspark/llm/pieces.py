@@ -26,6 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -34,8 +35,8 @@ from .shared import mix64, ship
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 #: Lattice nodes that a Python worker keeps at most; then it starts anew.
 NODES = 2_500_000
-#: Characters that are sampled together.
-BLOCK = 1_000_000
+#: Characters that are sampled together, and characters of new parts that are filtered together; one longer text or part is taken alone.
+BLOCK, NEW = 300_000, 200_000
 PARTS = re.compile(r"\n+| +[^ \n]*|[^ \n]+")
 GRAIN = 2.0**-30
 
@@ -171,7 +172,7 @@ class Lattice:
         cum[heads + each - 1] = 1.0
         m = len(target)
         if self.n_edges + m > len(self.key):
-            room = max(2 * len(self.key), self.n_edges + m)
+            room = max(len(self.key) * 5 // 4, self.n_edges + m)
             self.key, self.back, self.piece = (np.concatenate([x[: self.n_edges], np.empty(room - self.n_edges, x.dtype)]) for x in (self.key, self.back, self.piece))
         s = slice(self.n_edges, self.n_edges + m)
         self.key[s], self.back[s], self.piece[s] = self.n_nodes + target + cum, self.n_nodes + source, piece
@@ -242,8 +243,13 @@ def encode_block(keys: list, texts: list[str], lattice: Lattice, seed: int) -> l
     found = [PARTS.findall(" " + text) for text in texts]
     at = lattice.at
     new = list(dict.fromkeys(p for parts in found for p in parts if p not in at))
-    if new:
-        lattice.add(new)
+    while new:
+        k, size = 1, len(new[0])
+        while k < len(new) and size + len(new[k]) <= NEW:
+            size += len(new[k])
+            k += 1
+        lattice.add(new[:k])
+        new = new[k:]
     for key, parts in zip(keys, found, strict=True):
         nodes += [at[p] for p in parts]
         parts_of.append(len(parts))
@@ -259,9 +265,10 @@ def encode_block(keys: list, texts: list[str], lattice: Lattice, seed: int) -> l
 _kept: dict[tuple, Lattice] = {}
 
 
-def _lattice(book: tuple, alpha: float) -> Lattice:
+def _lattice(book: tuple, alpha: float, digest: str) -> Lattice:
+    """The lattice of the model with this digest; a Python worker keeps one."""
     pieces, _, byte_ids = book
-    name = (alpha, len(pieces), tuple(byte_ids[:4]))
+    name = (alpha, digest)
     if name not in _kept:
         _kept.clear()
         _kept[name] = Lattice(pieces, byte_ids, alpha)
@@ -273,28 +280,28 @@ def encode(docs: DataFrame, key: str = "doc_id", text: str = "text", model: str
     spark = docs.sparkSession
     ship(spark)
     book = spark.sparkContext.broadcast(vocabulary(model))
+    with open(model, "rb") as f:
+        digest = hashlib.sha256(f.read()).hexdigest()
     rows = docs.select(F.col(key).alias(key), F.col(text).alias("text"))
     kind = rows.schema[0].dataType.simpleString()
     schema = f"`{key}` {kind}, n_pieces bigint, ids_sha256 string, lossless boolean" + ", ids array<int>" * keep_ids
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lattice, raw = _lattice(book.value, alpha), book.value[1]
+        lattice, raw = _lattice(book.value, alpha, digest), book.value[1]
         for batch in batches:
-            texts = ["" if t is None else t for t in batch.column(1).to_pylist()]
-            keys = batch.column(0).to_pylist()
-            a = 0
-            while a < len(texts):
-                b, size = a, 0
-                while b < len(texts) and (b == a or size + len(texts[b]) <= BLOCK):
-                    size += len(texts[b])
-                    b += 1
-                ids = encode_block(keys[a:b], texts[a:b], lattice, seed)
+            column, a = batch.column(1), 0
+            sizes = np.cumsum(pc.fill_null(pc.utf8_length(column), 0).to_numpy())
+            while a < batch.num_rows:
+                done = int(sizes[a - 1]) if a else 0
+                b = max(a + 1, int(np.searchsorted(sizes, done + BLOCK, "right")))
+                keys, texts = batch.column(0).slice(a, b - a), ["" if t is None else t for t in column.slice(a, b - a).to_pylist()]
+                ids = encode_block(keys.to_pylist(), texts, lattice, seed)
                 lists = [x.tolist() for x in ids]
                 out = [
-                    batch.column(0).slice(a, b - a),
+                    keys,
                     pa.array([len(x) for x in ids], pa.int64()),
                     pa.array([hashlib.sha256(x.astype("<i4").tobytes()).hexdigest() for x in ids], pa.string()),
-                    pa.array([b"".join([raw[i] for i in x])[1:] == t.encode() for x, t in zip(lists, texts[a:b], strict=True)], pa.bool_()),
+                    pa.array([b"".join([raw[i] for i in x])[1:] == t.encode() for x, t in zip(lists, texts, strict=True)], pa.bool_()),
                 ]
                 if keep_ids:
                     ends = np.cumsum([0, *map(len, ids)]).astype(np.int32)

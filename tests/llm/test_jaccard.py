@@ -58,11 +58,11 @@ def corpus(seed):
     return rows
 
 
-@pytest.mark.parametrize("seed,pivots", [(1, 64), (2, 8)])
-def test_same_components_as_brute_force(spark, seed, pivots):
+@pytest.mark.parametrize("seed,pivots,large", [(1, 64, 256), (2, 16, 20)])
+def test_same_components_as_brute_force(spark, seed, pivots, large):
     rows = corpus(seed)
     df = spark.createDataFrame([(d, t, "x", 1) for d, t in rows], SCHEMA).repartition(5)
-    got = jaccard.join(df, pivots=pivots).collect()
+    got = jaccard.join(df, pivots=pivots, large=large).collect()
     assert sorted(((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got), key=str) == brute(rows)
 
 
