@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import windows as W
-from ..functions.derive import MONEY, collapse_category, first_positive, is_dual, pmpm, quarter_label, rate_per_k, ratio, snap_zero, unit_cost, yyyymm_to_date
+from ..functions.derive import MONEY, collapse_category, first_positive, floor_zero, is_dual, pmpm, quarter_label, rate_per_k, ratio, snap_zero, unit_cost, yyyymm_to_date
 from ..operators import checks, frames
 
 ENROL = ["MARKET", "IS_DUAL", "SEGMENT"]
@@ -54,16 +54,20 @@ def completed_combined(raw: DataFrame, units: tuple[str, ...]) -> DataFrame:
 
 
 def control_totals(raw: DataFrame, dense: DataFrame, units: tuple[str, ...]) -> DataFrame:
-    """Source, orphan and output totals; output and orphans make up the source."""
+    """Source, orphan and output totals; output and orphans make up the source.
+
+    Member months of the months that have claims must tie (hard); paid and units are reported (soft).
+    """
     facts, exp = claims(raw, units), exposure(raw)
     gone = frames.orphans(facts, exp, [*ENROL, MONTH])
     total = lambda df, n: df.agg(F.coalesce(F.sum("PD"), F.lit(0)).alias(f"pd_{n}"), F.coalesce(F.sum("UTIL"), F.lit(0)).alias(f"util_{n}"))
     one = total(facts, "source").join(total(gone, "orphan")).join(total(dense, "output"))
     one = one.withColumns({"pd_kept": F.col("pd_source") - F.col("pd_orphan"), "util_kept": F.col("util_source") - F.col("util_orphan")})
-    seen = frames.reachable(exp, dense.select(*ENROL).distinct(), ENROL).agg(F.sum("MM").alias("mm_source"))
+    bounds = facts.agg(F.min(MONTH).alias("_first"), F.max(MONTH).alias("_last"))
+    seen = frames.reachable(exp.join(F.broadcast(bounds)).where(F.col(MONTH).between(F.col("_first"), F.col("_last"))), dense.select(*ENROL).distinct(), ENROL).agg(F.sum("MM").alias("mm_source"))
     once = frames.dedup_sum(dense, [*ENROL, MONTH], [], "MM").withColumnRenamed("MM", "mm_output")
     one = one.join(seen).join(once)
-    return checks.control_table(one, [("paid", "pd_kept", "pd_output", True), ("units", "util_kept", "util_output", True), ("paid with orphans", "pd_source", "pd_output", False), ("member months", "mm_source", "mm_output", False)])
+    return checks.control_table(one, [("paid", "pd_kept", "pd_output", False), ("units", "util_kept", "util_output", False), ("paid with orphans", "pd_source", "pd_output", False), ("member months", "mm_source", "mm_output", True)])
 
 
 def signals(dense: DataFrame, metric: str = "PMPM") -> DataFrame:
@@ -98,8 +102,8 @@ FEATURES = ("target_lag1", "target_lag12", "mean_12", "slope_12")
 
 
 def fit(train: DataFrame, features: tuple[str, ...] = FEATURES, power: float = 1.5):
-    """A Tweedie regression with a log link; rows without a full history are left out of the fit."""
-    rows = VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="skip").transform(train.where("target >= 0").fillna(0.0, ["slope_12"]))
+    """A Tweedie regression with a log link; a negative target counts as 0; rows without a full history are left out of the fit."""
+    rows = VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="skip").transform(train.withColumn("target", floor_zero(F.col("target"))).where("target is not null").fillna(0.0, ["slope_12"]))
     glm = GeneralizedLinearRegression(family="tweedie", variancePower=power, linkPower=0.0, maxIter=15, regParam=0.01, featuresCol="features", labelCol="target", predictionCol="prediction")
     return glm.fit(rows.withColumn("target", F.col("target") * SCALE))
 

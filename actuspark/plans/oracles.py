@@ -102,6 +102,14 @@ yr AS (SELECT MARKET, SERVICE_CATEGORY, year(m) AS y, CAST(sum(PD) AS DOUBLE) /
 fac AS (SELECT bm.MARKET, bm.SERVICE_CATEGORY, y, month(m) AS month, round_even(CAST(PD AS DOUBLE) / MM / nullif(rate, 0), 4) AS factor FROM bm JOIN yr ON bm.MARKET = yr.MARKET AND bm.SERVICE_CATEGORY = yr.SERVICE_CATEGORY AND year(m) = y)"""
 )
 
+_FACTORS_M = (
+    _DENSE
+    + """,
+bm AS (SELECT MARKET, DATE_REPORT_MONTH AS m, sum(PD) AS PD, sum(MM) AS MM FROM dense GROUP BY ALL),
+yr AS (SELECT MARKET, year(m) AS y, CAST(sum(PD) AS DOUBLE) / sum(MM) AS rate FROM bm GROUP BY ALL HAVING count(DISTINCT m) = 12),
+fac AS (SELECT bm.MARKET, y, month(m) AS month, round_even(CAST(PD AS DOUBLE) / MM / nullif(rate, 0), 4) AS factor FROM bm JOIN yr ON bm.MARKET = yr.MARKET AND year(m) = y)"""
+)
+
 _W12 = "(PARTITION BY MARKET, IS_DUAL, SEGMENT, SERVICE_CATEGORY, HCC ORDER BY DATE_REPORT_MONTH ROWS BETWEEN 12 PRECEDING AND 1 PRECEDING)"
 _W = "(PARTITION BY MARKET, IS_DUAL, SEGMENT, SERVICE_CATEGORY, HCC ORDER BY DATE_REPORT_MONTH)"
 _KEYS = "MARKET, IS_DUAL, SEGMENT, SERVICE_CATEGORY, HCC, DATE_REPORT_MONTH"
@@ -122,10 +130,10 @@ SELECT (SELECT max(mon) FROM c) AS VAL_DATE, ENTY, MAJ_SRV_CAT, min(ym[1:6]) AS
     "l03_control_totals": f"""WITH {_DENSE}, t AS (SELECT
   (SELECT sum(PD) FROM cl) ps, (SELECT sum(UTIL) FROM cl) us, (SELECT coalesce(sum(PD), 0) FROM cl ANTI JOIN mm USING (MARKET, IS_DUAL, SEGMENT, DATE_REPORT_MONTH)) po,
   (SELECT coalesce(sum(UTIL), 0) FROM cl ANTI JOIN mm USING (MARKET, IS_DUAL, SEGMENT, DATE_REPORT_MONTH)) uo, (SELECT sum(PD) FROM dense) pd, (SELECT sum(UTIL) FROM dense) ud,
-  (SELECT sum(MM) FROM mm SEMI JOIN dense USING (MARKET, IS_DUAL, SEGMENT)) ms, (SELECT sum(MM) FROM (SELECT DISTINCT MARKET, IS_DUAL, SEGMENT, DATE_REPORT_MONTH, MM FROM dense)) md),
+  (SELECT sum(MM) FROM mm SEMI JOIN dense USING (MARKET, IS_DUAL, SEGMENT) WHERE DATE_REPORT_MONTH BETWEEN (SELECT min(DATE_REPORT_MONTH) FROM cl) AND (SELECT max(DATE_REPORT_MONTH) FROM cl)) ms, (SELECT sum(MM) FROM (SELECT DISTINCT MARKET, IS_DUAL, SEGMENT, DATE_REPORT_MONTH, MM FROM dense)) md),
 r AS (SELECT unnest([{{'metric': 'paid', 'expected': CAST(ps - po AS DOUBLE), 'actual': CAST(pd AS DOUBLE)}}, {{'metric': 'units', 'expected': CAST(us - uo AS DOUBLE), 'actual': CAST(ud AS DOUBLE)}},
   {{'metric': 'paid with orphans', 'expected': CAST(ps AS DOUBLE), 'actual': CAST(pd AS DOUBLE)}}, {{'metric': 'member months', 'expected': CAST(ms AS DOUBLE), 'actual': CAST(md AS DOUBLE)}}]) x FROM t)
-SELECT x.metric, x.expected, x.actual, round(x.actual - x.expected, 4) AS diff, round((x.actual - x.expected) / nullif(x.expected, 0), 6) AS pct FROM r""",
+SELECT x.metric, x.expected, x.actual, x.metric = 'member months' AS hard, round(x.actual - x.expected, 4) AS diff, round((x.actual - x.expected) / nullif(x.expected, 0), 6) AS pct FROM r""",
     "l04_signals": f"""WITH {_DENSE}, b AS (SELECT {_KEYS}, CASE WHEN abs(PMPM) < 1e-9 THEN 0.0 ELSE PMPM END AS target FROM dense),
 s AS (SELECT *, avg(target) OVER (PARTITION BY MARKET, SERVICE_CATEGORY, DATE_REPORT_MONTH) AS section, CAST(row_number() OVER {_W} AS INTEGER) AS position FROM b)
 SELECT {_KEYS}, round(target + 1e-7, 3) AS target, position, {", ".join(f"round(lag(target, {n}) OVER {_W} + 1e-7, 3) AS target_lag{n}" for n in (1, 2, 3, 12))},
@@ -166,11 +174,14 @@ ac AS (SELECT month(DATE_REPORT_MONTH) AS m, MARKET, SERVICE_CATEGORY, sum(PD) A
 r AS (SELECT MARKET, SERVICE_CATEGORY, coalesce(sum(a), 0) AS a, coalesce(sum(e), 0) AS e, sum(mm) AS mm FROM ac FULL JOIN ex USING (m, MARKET, SERVICE_CATEGORY) GROUP BY ROLLUP (MARKET, SERVICE_CATEGORY))
 SELECT coalesce(MARKET, 'all') AS MARKET, coalesce(SERVICE_CATEGORY, 'all') AS SERVICE_CATEGORY, round(CAST(a AS DOUBLE), 2) AS actual, round(CAST(e AS DOUBLE), 2) AS expected, round(CAST(a - e AS DOUBLE), 2) AS variance,
   round(CAST(a AS DOUBLE) / nullif(CAST(e AS DOUBLE), 0), 6) AS ae_ratio, round(CAST(a - e AS DOUBLE) / nullif(mm, 0), 4) AS variance_per_member FROM r""",
-    "l17_ma_bid": """WITH p AS (SELECT s_suppkey AS county, round(abs(s_acctbal) / 10 + 500, 2) AS base, 2.5 + s_suppkey % 6 * 0.5 AS stars, round((abs(s_acctbal) / 10 + 500) * (0.8::DOUBLE + s_suppkey % 5 * 0.1::DOUBLE), 2) AS bid, 0.9::DOUBLE + s_suppkey % 4 * 0.1::DOUBLE AS risk FROM supplier),
+    "l17_ma_bid": """WITH c AS (SELECT s_suppkey AS county, abs(CAST(s_acctbal AS DECIMAL(12,2))) * CAST(0.1 AS DECIMAL(2,1)) + 500 AS cost FROM supplier),
+p AS (SELECT county, round(cost, 2) AS base, 2.5 + county % 6 * 0.5 AS stars, round(cost * CAST(CASE county % 5 WHEN 0 THEN 0.8 WHEN 1 THEN 0.9 WHEN 2 THEN 1.0 WHEN 3 THEN 1.1 ELSE 1.2 END AS DECIMAL(2,1)), 2) AS bid,
+  CAST(CASE county % 4 WHEN 0 THEN 0.9 WHEN 1 THEN 1.0 WHEN 2 THEN 1.1 ELSE 1.2 END AS DECIMAL(2,1)) AS risk FROM c),
 q AS (SELECT *, CAST(ntile(4) OVER (ORDER BY base, county) AS INTEGER) AS quartile FROM p),
-b AS (SELECT *, round(base * (([1.15::DOUBLE, 1.075, 1.0, 0.95])[quartile] + CASE WHEN stars >= 4 THEN 0.05::DOUBLE ELSE 0.0::DOUBLE END), 4) AS benchmark FROM q),
-s AS (SELECT *, greatest(benchmark - bid, 0.0::DOUBLE) AS sv FROM b), t AS (SELECT *, round(sv * CASE WHEN stars >= 4.5 THEN 0.70::DOUBLE WHEN stars >= 3.5 THEN 0.65::DOUBLE ELSE 0.50::DOUBLE END, 4) AS rb FROM s)
-SELECT county, quartile, round(benchmark, 2) AS benchmark, round(round(sv, 4), 2) AS savings, round(rb, 2) AS rebate, round((bid + rb) * risk, 2) AS payment FROM t""",
+b AS (SELECT *, round(base * CAST(CASE quartile WHEN 1 THEN 1.150 WHEN 2 THEN 1.075 WHEN 3 THEN 1.000 ELSE 0.950 END AS DECIMAL(4,3)) * CAST(CASE WHEN stars >= 4 THEN 1.05 ELSE 1.00 END AS DECIMAL(3,2)), 4) AS benchmark FROM q),
+s AS (SELECT *, CASE WHEN benchmark > bid THEN benchmark - bid ELSE 0 END AS sv FROM b),
+t AS (SELECT *, round(sv * CAST(CASE WHEN stars >= 4.5 THEN 0.70 WHEN stars >= 3.5 THEN 0.65 ELSE 0.50 END AS DECIMAL(3,2)), 4) AS rb FROM s)
+SELECT county, quartile, CAST(round(benchmark, 2) AS DOUBLE) AS benchmark, CAST(round(sv, 2) AS DOUBLE) AS savings, CAST(round(rb, 2) AS DOUBLE) AS rebate, CAST(round((bid + rb) * risk, 2) AS DOUBLE) AS payment FROM t""",
     "l18_surveillance_regions": f"WITH {_EVENTS} SELECT week, lab_type, 1 AS region_type, region, CAST(count(*) AS DOUBLE) AS m2, CAST(NULL AS DOUBLE) AS m3 FROM e GROUP BY week, lab_type, region",
     "l18_surveillance_viruses": f"WITH {_EVENTS} SELECT week, lab_type, 1 AS region_type, region, virus, CAST(NULL AS INTEGER) AS cumulative, 0 AS week3, CAST(count(*) AS INTEGER) AS n FROM e GROUP BY week, lab_type, region, virus",
     "l20_source_advanced": f"WITH {_LINES} SELECT max(mon) AS new_max, CAST(max(mon) - INTERVAL 1 MONTH AS DATE) AS stored_max, true AS advanced FROM c",
@@ -186,4 +197,21 @@ SELECT o_orderkey, near_key, near_day FROM (SELECT l.o_orderkey, r.o_orderkey AS
     "m05_keywords": """WITH w AS (SELECT doc_id, unnest(regexp_extract_all(lower(text), '[a-z]{4,}')) AS word FROM documents),
 f AS (SELECT doc_id, word, count(*) AS n FROM w WHERE word NOT IN ('that', 'with', 'from', 'this', 'were', 'have', 'they', 'their', 'dass', 'nicht', 'eine', 'pour', 'avec', 'dans', 'para', 'como') GROUP BY ALL)
 SELECT doc_id, word, n, CAST(rank AS INTEGER) AS rank FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY n DESC, word) AS rank FROM f) WHERE rank <= 5""",
+    "k08_friedman": f"""WITH {_FACTORS_M}, r AS (SELECT *, rank() OVER (PARTITION BY MARKET, y ORDER BY factor) + (count(*) OVER (PARTITION BY MARKET, y, factor) - 1) / 2.0::DOUBLE AS r,
+  count(*) OVER (PARTITION BY MARKET, y, factor) AS t, count(*) OVER (PARTITION BY MARKET, y) AS k FROM fac WHERE factor IS NOT NULL),
+a AS (SELECT MARKET, sum(t * t - 1) AS ties, count(DISTINCT y) AS n, max(k) AS k FROM r GROUP BY 1), b AS (SELECT MARKET, sum(s * s) AS ss FROM (SELECT MARKET, month, sum(r) AS s FROM r GROUP BY ALL) GROUP BY 1)
+SELECT MARKET, n, k, round(CAST((12 * ss / (n * k * (k + 1)) - 3 * n * (k + 1)) / nullif(1 - CAST(ties AS DOUBLE) / (n * (k * k * k - k)), 0) AS DOUBLE), 4) AS statistic FROM a JOIN b USING (MARKET) WHERE k >= 3 AND n >= 2""",
+    "m01_page_text": r"""WITH a AS (SELECT page_id, regexp_replace(html, '<(script|style)[^>]*>.*?</(script|style)>', ' ', 'gis') AS t FROM pages),
+b AS (SELECT page_id, regexp_replace(regexp_replace(t, '</?(p|div|br|li|h[1-6]|tr|article|section)[^>]*>', chr(10), 'gi'), '<[^>]+>', ' ', 'g') AS t FROM a),
+c AS (SELECT page_id, replace(replace(replace(replace(replace(t, '&nbsp;', ' '), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&amp;', '&') AS t FROM b),
+d AS (SELECT page_id, trim(regexp_replace(t, '[ \t\r\n]+', ' ', 'g'), ' ') AS t FROM c)
+SELECT page_id, CAST(length(t) AS INTEGER) AS n_chars, CAST(CASE WHEN t = '' THEN 0 ELSE len(string_split(t, ' ')) END AS INTEGER) AS n_words, t AS text FROM d""",
+    "m12_mentions": """WITH w AS (SELECT doc_id, unnest(regexp_extract_all(lower(text), '[a-z]+')) AS alias FROM documents),
+al(name, alias) AS (VALUES ('english', 'the'), ('english', 'and'), ('german', 'der'), ('german', 'und'), ('french', 'les'), ('spanish', 'los')),
+d AS (SELECT doc_id, name, count(*) AS n, 'dictionary' AS kind, 0 AS k FROM w JOIN al USING (alias) GROUP BY doc_id, name),
+p AS (SELECT doc_id, unnest(regexp_extract_all(text, '[A-Z]{3,5}')) AS name, 'ticker' AS kind, 1 AS k FROM documents
+  UNION ALL SELECT doc_id, unnest(regexp_extract_all(text, '[A-Z][a-z]+ [A-Z][a-z]+')), 'phrase', 2 FROM documents),
+e AS (SELECT * FROM d UNION ALL SELECT doc_id, name, count(*) AS n, kind, k FROM p WHERE kind <> 'ticker' OR name <> 'THE' GROUP BY doc_id, name, kind, k HAVING count(*) >= 2),
+m AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY doc_id, lower(name) ORDER BY k, n DESC, name) AS r FROM e) WHERE r = 1)
+SELECT doc_id, name, n, kind, CAST(rank AS INTEGER) AS rank FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY n DESC, name) AS rank FROM m) WHERE rank <= 10""",
 }

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -90,31 +92,36 @@ def actual_vs_expected(actual: DataFrame, forecast: DataFrame, weights: DataFram
     )
 
 
-#: Benchmark percentage by cost quartile (lowest cost first), rebate share and bonus by star rating (fixed values).
-QUARTILE_PCT = (1.15, 1.075, 1.0, 0.95)
-REBATES = ((4.5, 0.70), (3.5, 0.65), (0.0, 0.50))
-BONUS = ((4.0, 0.05), (0.0, 0.0))
+#: Benchmark percentage by cost quartile (lowest cost first), rebate share and quality factor by star rating (fixed values).
+QUARTILE_PCT = ("1.150", "1.075", "1.000", "0.950")
+REBATES = ((4.5, "0.70"), (3.5, "0.65"), (0.0, "0.50"))
+BONUS = ((4.0, "1.05"), (0.0, "1.00"))
 
 
 def _by_stars(c, table):
     out = None
     for least, v in table:
-        out = F.when(c >= least, v) if out is None else out.when(c >= least, v)
+        out = F.when(c >= least, F.lit(Decimal(v))) if out is None else out.when(c >= least, F.lit(Decimal(v)))
     return out
 
 
+def benchmark(base, quartile, stars):
+    """Base cost times the quartile's percentage times the quality factor, rounded once to 4 places; exact on decimals."""
+    pct = F.element_at(F.array(*[F.lit(Decimal(x)) for x in QUARTILE_PCT]), quartile)
+    return F.round(base * pct * _by_stars(stars, BONUS), 4)
+
+
 def ma_bid(plans: DataFrame) -> DataFrame:
     """county, base_cost, stars, bid, risk -> benchmark, savings, rebate and payment per member.
 
     The quartile ranks counties over the whole country: one row a county.
     """
     ranked = plans.withColumn("quartile", F.ntile(4).over(Window.orderBy("base_cost", "county")))
-    pct = F.element_at(F.array(*[F.lit(x) for x in QUARTILE_PCT]), F.col("quartile"))
-    out = ranked.withColumn("benchmark", F.round(F.col("base_cost") * (pct + _by_stars(F.col("stars"), BONUS)), 4))
-    return payment(out)
+    return payment(ranked.withColumn("benchmark", benchmark(F.col("base_cost"), F.col("quartile"), F.col("stars"))))
 
 
 def payment(df: DataFrame) -> DataFrame:
-    savings = F.greatest(F.col("benchmark") - F.col("bid"), F.lit(0.0))
+    gain = F.col("benchmark") - F.col("bid")
+    savings = F.when(gain > 0, gain).otherwise(F.lit(0))
     out = df.withColumns({"savings": F.round(savings, 4), "rebate": F.round(savings * _by_stars(F.col("stars"), REBATES), 4)})
     return out.withColumn("payment", F.round((F.col("bid") + F.col("rebate")) * F.col("risk"), 2))

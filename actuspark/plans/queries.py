@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,7 +39,7 @@ def l02_completed_combined(spark, d):
 
 def l03_control_totals(spark, d):
     raw = adapters.raw_fact(spark, d)
-    return forecast.control_totals(raw, forecast.completed_combined(raw, adapters.UNITS), adapters.UNITS).drop("hard")
+    return forecast.control_totals(raw, forecast.completed_combined(raw, adapters.UNITS), adapters.UNITS)
 
 
 def l04_signals(spark, d):
@@ -134,20 +135,22 @@ def f18_year_month_cube(spark, d):
 
 
 def _rebill_claims(spark, d):
-    """Denied (returned) and rebilled (not returned) lines as claims."""
-    lines = read_table(spark, d, "lineitem").join(read_table(spark, d, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
+    """Denied (returned) and rebilled (not returned) lines as claims; the flag is filtered at the scan."""
     claim = F.concat_ws("-", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", F.date_format("l_shipdate", "yyyyMMdd"), F.col("l_quantity").cast("int"))
-    rows = lines.select(
-        claim.alias("claim"),
-        F.col("l_orderkey").alias("ref"),
-        F.col("o_custkey").alias("member"),
-        (F.col("l_suppkey") % 10).alias("provider"),
-        F.to_date("l_shipdate").alias("day"),
-        F.col("o_orderstatus").alias("line_of_business"),
-        F.col("l_extendedprice").cast(MONEY).alias("paid"),
-        "l_returnflag",
-    ).dropDuplicates(["claim"])
-    return rows.where("l_returnflag = 'R'"), rows.where("l_returnflag = 'N'")
+
+    def lines(flag: str) -> DataFrame:
+        rows = read_table(spark, d, "lineitem").where(F.col("l_returnflag") == flag).join(read_table(spark, d, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
+        return rows.select(
+            claim.alias("claim"),
+            F.col("l_orderkey").alias("ref"),
+            F.col("o_custkey").alias("member"),
+            (F.col("l_suppkey") % 10).alias("provider"),
+            F.to_date("l_shipdate").alias("day"),
+            F.col("o_orderstatus").alias("line_of_business"),
+            F.col("l_extendedprice").cast(MONEY).alias("paid"),
+        ).dropDuplicates(["claim"])
+
+    return lines("R"), lines("N")
 
 
 def e21_link_rebills(spark, d):
@@ -174,10 +177,12 @@ def l16_actual_vs_expected(spark, d):
 
 
 def l17_ma_bid(spark, d):
-    """Suppliers as counties: cost from the balance, stars and risk from the key."""
-    k, cost = F.col("s_suppkey"), F.abs("s_acctbal") / 10 + 500
-    plans = read_table(spark, d, "supplier").select(k.alias("county"), F.round(cost, 2).alias("base_cost"), (F.lit(2.5) + k % 6 * 0.5).alias("stars"), F.round(cost * (F.lit(0.8) + k % 5 * 0.1), 2).alias("bid"), (F.lit(0.9) + k % 4 * 0.1).alias("risk"))
-    return planning.ma_bid(plans).select("county", "quartile", F.round("benchmark", 2).alias("benchmark"), F.round("savings", 2).alias("savings"), F.round("rebate", 2).alias("rebate"), "payment")
+    """Suppliers as counties: cost from the balance, stars and risk from the key; amounts are decimals until the end."""
+    k, tenth = F.col("s_suppkey"), F.lit(Decimal("0.1"))
+    cost = F.abs(F.col("s_acctbal").cast("decimal(12,2)")) * tenth + 500
+    some = lambda n: (k % n).cast("decimal(3,0)") * tenth
+    plans = read_table(spark, d, "supplier").select(k.alias("county"), F.round(cost, 2).alias("base_cost"), (F.lit(2.5) + k % 6 * 0.5).alias("stars"), F.round(cost * (F.lit(Decimal("0.8")) + some(5)), 2).alias("bid"), (F.lit(Decimal("0.9")) + some(4)).alias("risk"))
+    return planning.ma_bid(plans).select("county", "quartile", *[F.round(c, 2).cast("double").alias(c) for c in ("benchmark", "savings", "rebate", "payment")])
 
 
 def _payloads(spark, d):
@@ -222,7 +227,7 @@ def m12_mentions(spark, d):
 
 def m01_page_text(spark, d):
     t = text.html_to_text(F.col("html"))
-    return read_table(spark, d, "pages").select("page_id", F.length(t).alias("n_chars"), text.word_count(t).alias("n_words"), F.substring(t, 1, 80).alias("head"), t.alias("text"))
+    return read_table(spark, d, "pages").select("page_id", F.length(t).alias("n_chars"), text.word_count(t).alias("n_words"), t.alias("text"))
 
 
 def l20_source_advanced(spark, d):

@@ -162,3 +162,13 @@ def test_query_equals_its_sql(spark, views, name):
 def test_entry(spark):
     assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
     assert __spark_entry__.entry(spark).count() == 24
+
+
+def test_the_quality_bonus_multiplies_the_quartile_percentage(spark):
+    from decimal import Decimal
+
+    from pyspark.sql import functions as F
+
+    row = spark.createDataFrame([(Decimal("1000.00"), 1, 4.0), (Decimal("1000.00"), 4, 3.5)], "base decimal(12,2), q int, stars double")
+    got = [str(r[0]) for r in row.select(planning.benchmark(F.col("base"), F.col("q"), F.col("stars"))).collect()]
+    assert got == ["1207.5000", "950.0000"]
