@@ -387,7 +387,7 @@ def _next_pivots(now: DataFrame, pivots: int, large: int) -> DataFrame:
 
 
 def _crowds(now: DataFrame, chosen: DataFrame, sets: DataFrame, per_cent: int) -> DataFrame:
-    """(a, b): links of members of large regions with pivots of other components, one for each of these components."""
+    """(a, b): links of members of large regions with pivots of other components, those of a part without the ones that join nothing new."""
     parts = F.ceil(F.col("m") / PART).cast("int")
     one = now.select("key", "node", "c", F.pmod(F.xxhash64("node"), parts).cast("int").alias("part"), F.lit(1).alias("role"))
     heads = chosen.join(now.select("key", "m").distinct(), "key").select("key", F.col("p").alias("node"), F.col("pc").alias("c"), F.explode(F.sequence(F.lit(0), parts - 1)).alias("part"), F.lit(0).alias("role"))
@@ -397,14 +397,20 @@ def _crowds(now: DataFrame, chosen: DataFrame, sets: DataFrame, per_cent: int) -
 
 
 def _met_at_once(batches: Iterator[pa.RecordBatch], per_cent: int) -> Iterator[pa.RecordBatch]:
-    """From rows sorted by (key, part), the pivots first: a link of each member with each other component."""
-    at, heads, index = None, [], None
+    """From rows sorted by (key, part), the pivots first: the links of members with pivots that join components within the part."""
+    at, heads, index, up = None, [], None, {}
+
+    def root(x: int) -> int:
+        while (y := up.get(x, x)) != x:
+            up[x] = x = up.get(y, y)
+        return x
+
     for batch in batches:
         out: list[tuple[int, int]] = []
         for key, part, role, node, c, n, own in zip(*[x.to_pylist() for x in batch.columns], strict=True):
             s = np.frombuffer(own, np.uint64)
             if at != (key, part):
-                at, heads, index = (key, part), [], None
+                at, heads, index, up = (key, part), [], None, {}
             if role == 0:
                 heads.append((node, c, n, s))
                 continue
@@ -418,8 +424,10 @@ def _met_at_once(batches: Iterator[pa.RecordBatch], per_cent: int) -> Iterator[p
             spots = np.arange(size.sum()) + np.repeat(lo - (np.cumsum(size) - size), size)
             inter = np.bincount(index[1][spots], minlength=len(heads))
             hit = np.flatnonzero((100 * inter >= per_cent * (n + sizes - inter)) & (comps != c))
-            if len(hit):
-                out += [(node, int(names[hit[k]])) for k in np.unique(comps[hit], return_index=True)[1]]
+            for k in hit.tolist():
+                if (x := root(c)) != (y := root(int(comps[k]))):
+                    up[x] = y
+                    out.append((node, int(names[k])))
         if out:
             a, b = zip(*out, strict=True)
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
