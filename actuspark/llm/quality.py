@@ -7,8 +7,8 @@ the verdict.
 
 Defined cases: a null or blank text has no words and every figure is 0 (so the base rule on the
 number of words rejects it); repeated rows are judged one by one; an empty table gives an empty
-result; all added columns live in one struct whose name the caller chooses, so columns of the input
-never clash with them. Texts of any length are read whole.
+result; all added columns live in one struct whose name the caller chooses, and the names of working
+columns are made to differ from those of the input, so none of its columns is lost. Texts of any length are read whole.
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import BLANKS
+from .shared import BLANKS, fresh_name
 
 WORD = r"[^\x20\x09-\x0D]+"
 SYMBOLS = "#*$%&|<>"
@@ -54,8 +54,8 @@ RULES = BASE_RULES + METHOD_RULES
 
 def measure(df: DataFrame, text: str = "text", into: str = "quality") -> DataFrame:
     """Add a struct ``into`` with n_words, word_chars, n_symbols, n_lines, n_dup_lines, n_repeat_words, n_alpha_words."""
-    w, t = f"{into}__words", F.coalesce(F.col(text), F.lit(""))
-    wins, order, spots = f"{into}__windows", f"{into}__order", f"{into}__spots"
+    t = F.coalesce(F.col(text), F.lit(""))
+    w, wins, order, spots = (fresh_name(df, f"{into}__{k}") for k in ("words", "windows", "order", "spots"))
     word = F.col(w)
     last = F.size(w) - 3
     lines = F.filter(F.split(t, "\n", -1), lambda x: F.length(F.translate(x, BLANKS, "")) > 0)
@@ -140,5 +140,6 @@ def keep(df: DataFrame, text: str = "text") -> DataFrame:
     The row number beside the verdict (any number would do) keeps the optimizer from pushing the
     verdict's condition below the measured figures, where each mention of a figure would measure it anew.
     """
-    judged = quality(df, text, "__quality", "__kept").withColumn("__row", F.monotonically_increasing_id())
-    return judged.where(F.col("__kept") & (F.col("__row") >= 0)).select(*df.columns)
+    into, kept, row = (fresh_name(df, k) for k in ("__quality", "__kept", "__row"))
+    judged = quality(df, text, into, kept).withColumn(row, F.monotonically_increasing_id())
+    return judged.where(F.col(kept) & (F.col(row) >= 0)).select(*df.columns)

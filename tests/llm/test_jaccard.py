@@ -68,3 +68,12 @@ def test_same_components_as_brute_force(spark, seed, pivots, large):
 
 def test_empty_table(spark):
     assert jaccard.join(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_columns_of_the_input_keep_their_values(spark):
+    rows = [(1, "a b c d e f", "mine", 7), (2, "a b c d e f", "other", 8), (None, "x", "third", 9)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, kept_d string, kept_x int")
+    got = sorted(jaccard.representatives(df).collect(), key=str)
+    assert [tuple(r) for r in got] == [rows[0], rows[2]]
+    with pytest.raises(TypeError):
+        jaccard.join(df, key="kept_d")

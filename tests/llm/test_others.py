@@ -300,3 +300,9 @@ def test_kept_rows_use_sparks_hash(spark):
         x = xxhash.xxh64_intdigest(t.encode(), 42)
         assert spark.range(1).select(F.xxhash64(F.lit(t)).alias("x")).first()["x"] == x - ((x >> 63) << 64)
     assert jaccard.prefix_size(100, 75) == 26
+
+
+def test_quality_keeps_clashing_columns(spark):
+    text = " ".join(f"word{i}" for i in range(60))
+    df = spark.createDataFrame([(1, text, "a", "b", "c"), (2, "too few", "d", "e", "f")], "doc_id bigint, text string, __row string, __quality__words string, __kept string")
+    assert [tuple(r) for r in quality.keep(df).collect()] == [(1, text, "a", "b", "c")]
