@@ -205,7 +205,7 @@ SELECT MARKET, n, k, round(CAST((12 * ss / (n * k * (k + 1)) - 3 * n * (k + 1))
 b AS (SELECT page_id, regexp_replace(regexp_replace(t, '</?(p|div|br|li|h[1-6]|tr|article|section)[^>]*>', chr(10), 'gi'), '<[^>]+>', ' ', 'g') AS t FROM a),
 c AS (SELECT page_id, replace(replace(replace(replace(replace(t, '&nbsp;', ' '), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&amp;', '&') AS t FROM b),
 d AS (SELECT page_id, trim(regexp_replace(t, '[ \t\r\n]+', ' ', 'g'), ' ') AS t FROM c)
-SELECT page_id, CAST(length(t) AS INTEGER) AS n_chars, CAST(CASE WHEN t = '' THEN 0 ELSE len(string_split(t, ' ')) END AS INTEGER) AS n_words, t AS text FROM d""",
+SELECT page_id, CAST(length(t) AS INTEGER) AS n_chars, CAST(CASE WHEN t = '' THEN 0 ELSE len(string_split(t, ' ')) END AS INTEGER) AS n_words, substr(t, 1, 80) AS head, t AS text FROM d""",
     "m12_mentions": """WITH w AS (SELECT doc_id, unnest(regexp_extract_all(lower(text), '[a-z]+')) AS alias FROM documents),
 al(name, alias) AS (VALUES ('english', 'the'), ('english', 'and'), ('german', 'der'), ('german', 'und'), ('french', 'les'), ('spanish', 'los')),
 d AS (SELECT doc_id, name, count(*) AS n, 'dictionary' AS kind, 0 AS k FROM w JOIN al USING (alias) GROUP BY doc_id, name),
