@@ -34,6 +34,8 @@ from .shared import LOWER_BYTES, byte_texts, mix64, save, ship, whole_key
 from .suffix import NULL_ID, pair
 
 MIN_WORDS = 5
+#: Buckets of more members are compared in parts; paragraphs' sets are short, so this is less than for whole documents.
+LARGE = 64
 RECALL = 0.998
 #: Bytes of text that a task hashes together.
 BLOCK = 4_000_000
@@ -179,7 +181,7 @@ def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", per_cent: in
     texts = rows.withColumns({"d": F.coalesce("d", F.lit(NULL_ID)), "x": F.xxhash64(F.coalesce("t", F.lit("")))})
     # Equal rows are asked alike, and name the same nodes.
     sets = save(texts.join(asked, ["d", "x"]).select("t", "todo").mapInArrow(_sets_of, "node bigint, n int, set binary").dropDuplicates(["node"]))
-    labels = link(members.withColumn("s", F.col("n")), sets, per_cent, pivots)
+    labels = link(members.withColumn("s", F.col("n")), sets, per_cent, pivots, LARGE)
     named = heads.join(labels.select(F.col("node").alias("head"), "component"), "head", "left").select(F.col("node").alias("rep"), F.coalesce("component", "head").alias("c"))
     own = save(found.select("d", "line", "n", "rep").join(named, "rep").drop("rep"))
     many = own.groupBy("c").agg(F.count(F.lit(1)).alias("copies"), F.min("d").alias("first")).where("copies > 1").select("c", "first")
