@@ -119,3 +119,31 @@ def truncate(c: Column, n: int, mark: str = "...") -> Column:
 
 def category_rank(c: Column, order: list[str]) -> Column:
     return reduce(lambda out, kv: F.when(c == kv[1], kv[0]).otherwise(out), enumerate(order), F.lit(len(order)))
+
+
+def to_number(c: Column, kind: str = "double") -> Column:
+    """Null where the text is no number."""
+    return c.try_cast(kind)
+
+
+def weighted_mean(num: Column, den: Column) -> Column:
+    """An aggregate: the sum of ``num`` over the sum of ``den``."""
+    return ratio(F.sum(num), F.sum(den))
+
+
+def approx_median(c: Column, exact: bool = False) -> Column:
+    return F.median(c) if exact else F.percentile_approx(c, 0.5)
+
+
+def video_id(url: Column) -> Column:
+    """The eleven-character id of a video link (query, short link or embedded), or of a bare id; else null."""
+    host, path, query = (F.coalesce(F.try_parse_url(url, F.lit(p)), F.lit("")) for p in ("HOST", "PATH", "QUERY"))
+    first = lambda c, pattern: F.nullif(F.regexp_extract(c, pattern, 1), F.lit(""))
+    short = F.when(host.endswith("youtu.be"), first(path, r"^/([\w-]{11})(?:/|$)"))
+    full = F.when(host.contains("youtube.com"), F.coalesce(first(query, r"(?:^|&)v=([\w-]{11})(?:&|$)"), first(path, r"/(?:embed|shorts|live)/([\w-]{11})")))
+    return F.coalesce(short, full, first(url, r"^([\w-]{11})$"))
+
+
+def month_number(name: Column) -> Column:
+    """1 to 12 of an English month name; null for other texts."""
+    return F.month(F.try_to_date(F.concat(F.lit("2000 "), F.initcap(name)), "yyyy MMMM"))

@@ -96,3 +96,9 @@ def segment_change(by_segment: DataFrame) -> DataFrame:
 def year_month_cube(claims: DataFrame, close: str) -> DataFrame:
     rows = claims.where(F.col("close") == F.lit(close).cast("date")).select(F.year("incurred").alias("year"), F.month("incurred").alias("month"), "paid")
     return rows.cube("year", "month").agg(F.sum("paid").cast("double").alias("paid"))
+
+
+def pivot_year_month(df: DataFrame, measure: str, month: str = "incurred") -> DataFrame:
+    """A row for each year with the columns 1 to 12, 0 where there is nothing."""
+    rows = df.select(F.year(month).alias("year"), F.month(month).alias("_month"), measure)
+    return rows.groupBy("year").pivot("_month", list(range(1, 13))).agg(F.sum(measure)).fillna(0)

@@ -215,3 +215,28 @@ e AS (SELECT * FROM d UNION ALL SELECT doc_id, name, count(*) AS n, kind, k FROM
 m AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY doc_id, lower(name) ORDER BY k, n DESC, name) AS r FROM e) WHERE r = 1)
 SELECT doc_id, name, n, kind, CAST(rank AS INTEGER) AS rank FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY n DESC, name) AS rank FROM m) WHERE rank <= 10""",
 }
+
+_SPLIT = "MARKET, IS_DUAL, SEGMENT, SERVICE_CATEGORY, HCC"
+
+ORACLE_SQL |= {
+    "c22_train_start": f"""WITH {_DENSE}, s AS (SELECT {_SPLIT}, CAST(min(DATE_REPORT_MONTH) + INTERVAL 12 MONTH AS DATE) AS TRAIN_START FROM dense GROUP BY ALL)
+SELECT *, CAST(greatest(date_diff('month', TRAIN_START, DATE '2000-12-01') + 1, 0) AS INTEGER) AS n_train_months FROM s""",
+    "c24_projection_flags": f"""WITH {_DENSE}
+SELECT {_SPLIT}, DATE_REPORT_MONTH, SEGMENT || CASE WHEN IS_DUAL = 1 THEN '_DUAL' ELSE '_NON_DUAL' END AS POPULATION, DATE_REPORT_MONTH >= DATE '2001-01-01' AS IS_PROJECTION,
+  CASE WHEN DATE_REPORT_MONTH >= DATE '2001-01-01' THEN CAST(date_diff('month', DATE '2001-01-01', DATE_REPORT_MONTH) + 1 AS INTEGER) END AS HORIZON_MONTH,
+  DATE '2000-12-31' AS VAL_DATE, DATE '2000-12-01' AS TRAIN_END, DATE '2001-01-01' AS PROJECTION_START, DATE '2002-09-01' AS PROJECTION_END FROM dense""",
+    "d09_usable_splits": f"""WITH {_DENSE}, n AS (SELECT {_SPLIT}, row_number() OVER (PARTITION BY {_SPLIT} ORDER BY DATE_REPORT_MONTH) AS p FROM dense)
+SELECT {_SPLIT}, count(*) AS n_rows, count(*) FILTER (WHERE p > 3) AS n_with_features, count(*) FILTER (WHERE p > 3) >= 12 AS usable FROM n GROUP BY ALL""",
+    "d13_flat_series": f"""SELECT MARKET, SERVICE_CATEGORY, bool_and(factor = 1) AS flat FROM ({ORACLE_SQL["l07_seasonality"]}) GROUP BY ALL""",
+    "e07_pair_metrics": f"""WITH {_DENSE}
+SELECT MARKET, DATE_REPORT_MONTH, round(CAST(sum(PD) AS DOUBLE) / CAST(sum(MM) AS DOUBLE), 6) AS PMPM_rate, round(CAST(sum(UTIL) AS DOUBLE) * 12000 / CAST(sum(MM) AS DOUBLE), 6) AS UTIL_rate FROM dense GROUP BY ALL""",
+    "f07_weighted_mean": f"""WITH {_DENSE}
+SELECT MARKET, SERVICE_CATEGORY, round(CAST(sum(PD) AS DOUBLE) / CAST(sum(MM) AS DOUBLE), 6) AS pmpm, median(CAST(PD AS DOUBLE)) AS median_paid FROM dense GROUP BY ALL""",
+    "j04_year_month_pivot": f"""WITH {_CLOSES}
+SELECT year(incurred) AS year, {", ".join(f'CAST(coalesce(sum(paid) FILTER (WHERE month(incurred) = {m}), 0) AS DOUBLE) AS "{m}"' for m in range(1, 13))} FROM paid WHERE close = DATE '{CLOSES[-1]}' GROUP BY 1""",
+    "k12_backtest": f"""WITH {_DENSE}, g(o) AS (VALUES (DATE '2000-03-01'), (DATE '2000-06-01'), (DATE '2000-09-01')),
+r AS (SELECT {_SPLIT}, o, round(CAST(sum(PD) AS DOUBLE) / CAST(sum(MM) AS DOUBLE), 4) AS p FROM dense, g WHERE DATE_REPORT_MONTH > o - INTERVAL 12 MONTH AND DATE_REPORT_MONTH <= o GROUP BY ALL),
+h AS (SELECT *, unnest(range(1, 7)) AS k FROM r),
+e AS (SELECT k, p - PMPM AS e FROM h JOIN dense d USING ({_SPLIT}) WHERE d.DATE_REPORT_MONTH = CAST(o + to_months(CAST(k AS INTEGER)) AS DATE))
+SELECT CAST(k AS INTEGER) AS HORIZON, count(*) AS n, round(sqrt(avg(e * e)), 4) AS rmse, round(avg(e), 4) AS bias, round(quantile_cont(-e, 0.1), 4) AS low, round(quantile_cont(-e, 0.9), 4) AS high FROM e GROUP BY 1""",
+}

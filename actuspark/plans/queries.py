@@ -9,10 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import windows as W
-from ..functions.derive import MONEY
+from ..functions.derive import MONEY, approx_median, rate_per_k, ratio, weighted_mean
 from ..operators import checks, frames
 from ..sources.readers import read_table
-from . import adapters, calendar_index, claims, forecast, planning, seasonality, surveillance, text
+from . import adapters, calendar_index, claims, forecast, planning, scenarios, seasonality, surveillance, text
 
 #: Words of the corpora that carry no topic, and words that mark a conclusion (fixed values).
 STOP = ["that", "with", "from", "this", "were", "have", "they", "their", "dass", "nicht", "eine", "pour", "avec", "dans", "para", "como"]
@@ -259,6 +259,53 @@ def e18_nearest_date(spark, d):
     return frames.nearest_by_date(left, right, "day", "near_day", ["o_orderkey"], ["o_custkey"]).select("o_orderkey", "near_key", "near_day")
 
 
+def c24_projection_flags(spark, d):
+    """The dense table with its population, run metadata and the flags of a projection from 2001 on."""
+    rows = scenarios.populations(scenarios.projection_flags(_dense(spark, d), "2001-01-01"))
+    rows = scenarios.stamp_run(rows, "2000-12-31", "2000-12-01", 21)
+    return rows.select(*forecast.SPLIT, forecast.MONTH, "POPULATION", "IS_PROJECTION", "HORIZON_MONTH", "VAL_DATE", "TRAIN_END", "PROJECTION_START", "PROJECTION_END")
+
+
+def d09_usable_splits(spark, d):
+    return scenarios.usable_splits(forecast.signals(_dense(spark, d)), ["target_lag12", "slope_12"], forecast.SPLIT, 12)
+
+
+def c22_train_start(spark, d):
+    """First month with a year of history, and months from there to the end of 2000."""
+    out = scenarios.train_start(_dense(spark, d), forecast.SPLIT, 12)
+    return out.withColumn("n_train_months", scenarios.n_train_months(F.lit("2000-12-01").cast("date"), F.col("TRAIN_START")))
+
+
+def f07_weighted_mean(spark, d):
+    """PMPM weighted by exposure, and the exact median of paid, by market and category."""
+    out = _dense(spark, d).groupBy("MARKET", "SERVICE_CATEGORY").agg(F.round(weighted_mean(F.col("PD"), F.col("MM")), 6).alias("pmpm"), approx_median(F.col("PD").cast("double"), exact=True).alias("median_paid"))
+    return _rounded(out)
+
+
+def j04_year_month_pivot(spark, d):
+    paid, _ = adapters.closes(spark, d)
+    return _rounded(claims.pivot_year_month(paid.where(F.col("close") == F.lit(CLOSE).cast("date")), "paid"))
+
+
+def d13_flat_series(spark, d):
+    return seasonality.flat_series(l07_seasonality(spark, d), ["MARKET", "SERVICE_CATEGORY"])
+
+
+def e07_pair_metrics(spark, d):
+    """Rates of both metrics of each market and month, as rows and then paired."""
+    keys = ["MARKET", forecast.MONTH]
+    total = _dense(spark, d).groupBy(*keys).agg(F.sum("PD").alias("PD"), F.sum("UTIL").alias("UTIL"), F.sum("MM").alias("MM"))
+    both = F.explode(F.array(*[F.struct(F.lit(m).alias("metric"), v.alias("rate")) for m, v in (("PMPM", ratio(F.col("PD"), F.col("MM"))), ("UTIL", rate_per_k(F.col("UTIL"), F.col("MM"))))])).alias("x")
+    return _rounded(scenarios.pair_metrics(total.select(*keys, both).select(*keys, "x.*"), keys, "metric", "rate"))
+
+
+def k12_backtest(spark, d):
+    """Error and residual percentiles by horizon of the trailing year's rate, over three origins."""
+    scored = scenarios.backtest(_dense(spark, d), ["2000-03-01", "2000-06-01", "2000-09-01"], 6)
+    error = forecast.holdout_metrics(scored, ["HORIZON"], "PREDICTED", "ACTUAL")
+    return _rounded(error.join(forecast.intervals(scored, ["HORIZON"], "PREDICTED", "ACTUAL").drop("n"), "HORIZON"), 4)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -266,6 +313,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         l07_seasonality, l07_clustered_shapes, k08_friedman, l09_complete_claims, l10_pmpm_dashboard, l11_restatement_grid, l11_restatement_by_segment,
         l12_top_movers, l12_segment_change, l13_chain_ladder, f18_year_month_cube, e21_link_rebills, l14_nsaf, l15_nsaf_bridge, l16_actual_vs_expected,
         l17_ma_bid, l18_surveillance_regions, l18_surveillance_viruses, l19_transcript_report, m01_page_text, m05_keywords, m12_mentions,
-        l20_source_advanced, l21_reconcile, n11_density, j09_gaps, e18_nearest_date,
+        l20_source_advanced, l21_reconcile, n11_density, j09_gaps, e18_nearest_date, c22_train_start, c24_projection_flags, d09_usable_splits,
+        d13_flat_series, e07_pair_metrics, f07_weighted_mean, j04_year_month_pivot, k12_backtest,
     )
 }

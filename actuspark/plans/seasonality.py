@@ -91,3 +91,8 @@ def friedman(df: DataFrame, group: str, block: str, treatment: str, value: str)
 
 def residual_trend(df: DataFrame, keys: list[str], x: str, y: str) -> DataFrame:
     return df.groupBy(*keys).agg(F.round(F.regr_slope(F.col(y), F.col(x)), 4).alias("slope"), F.round(F.regr_r2(F.col(y), F.col(x)), 4).alias("r2"))
+
+
+def flat_series(factors: DataFrame, keys: list[str]) -> DataFrame:
+    """keys and flat: whether all of a group's factors are 1."""
+    return factors.groupBy(*keys).agg(F.every(F.coalesce(F.col("factor"), F.lit(1.0)) == 1.0).alias("flat"))

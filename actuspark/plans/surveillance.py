@@ -6,7 +6,7 @@ metrics; arrays that are cut short give nulls.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 METRICS = tuple(f"m{k}" for k in range(2, 11))
@@ -35,3 +35,12 @@ def flatten_viruses(regions: DataFrame) -> DataFrame:
     keep = ["week", "lab_type", "region_type", "region"]
     rows = _walk(regions, "viruses", keep, "x")
     return rows.select(*keep, _at("x", 0, "int").alias("virus"), _at("x", 1, "int").alias("cumulative"), _at("x", 2, "int").alias("week3"), _at("x", 3, "int").alias("n"))
+
+
+def read_surveillance(spark: SparkSession, path: str) -> DataFrame:
+    """Landed payloads, one JSON text a file."""
+    return spark.read.text(path, wholetext=True).select(F.col("value").alias("payload"))
+
+
+def by_lab_type(df: DataFrame, lab_type: int) -> DataFrame:
+    return df.where(F.col("lab_type") == lab_type)
