@@ -7,7 +7,8 @@ can contain are skipped with a table of the items' word pairs; that filter loses
 of two words or more only walks over such pairs.
 
 The items are split into shards of at most ``SHARD_WORDS`` words, one automaton each, so what is
-broadcast is bounded; hits of several shards are merged exactly, by document.
+broadcast is bounded; hits of several shards are merged exactly, by document. ``verdicts`` judges whole
+documents; ``strip`` removes spans over a length or coverage limit from their texts.
 
 Defined cases: a null text or item has no words; an item without words is never met; repeated rows
 of documents give repeated results; items with the same id count once; an empty table of items
@@ -22,6 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from .shared import byte_texts, ship
 
@@ -234,6 +236,29 @@ def verdicts(found: DataFrame, per_cent: int = 5) -> DataFrame:
     )
 
 
+def strip(found: DataFrame, longest: int = WINDOW, per_cent: int = 5) -> DataFrame:
+    """``found`` (of ``find`` or ``verdicts``) with the text without the spans over a limit, and n_cut, the number of words that went.
+
+    Over the length limit are spans of at least ``longest`` words; where the spans of a document cover
+    ``per_cent`` of its words or more, all of them go. Texts without such spans stay as they are, null ones too.
+    """
+    ship(found.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            todo = []
+            for n, spans in zip(batch.column("n_words").to_pylist(), batch.column("spans").to_pylist(), strict=True):
+                all_go = 100 * sum(b - a for a, b in spans) >= per_cent * n
+                todo.append([x for x in spans if all_go or x[1] - x[0] >= longest])
+            texts = batch.column("text")
+            if any(todo):
+                texts = pa.array([strip_spans(t.encode(), spans).decode() if spans else t for t, spans in zip(texts.to_pylist(), todo, strict=True)], pa.string())
+            columns = [texts if name == "text" else batch.column(name) for name in batch.schema.names]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array([sum(b - a for a, b in spans) for spans in todo], pa.int64())], [*batch.schema.names, "n_cut"])
+
+    return found.mapInArrow(run, StructType([*found.schema.fields, StructField("n_cut", LongType())]))
+
+
 def strip_spans(text: bytes, spans: list[list[int]]) -> bytes:
     """The text without the words of the spans and what stands between them."""
     norm = text.translate(NORMAL)
