@@ -9,7 +9,8 @@ again as the next stage's input; ``run`` does the same in the shared folder.
    shingles, the one with the least id stays.
 3. repeated substrings: bytes that an earlier string of 100 bytes covers are cut out; the rest of a
    character that is cut in two goes as well, and n_chars is counted anew.
-4. benchmark: documents that the contamination rule names go; all others stay as they are.
+4. benchmark: documents that the contamination rule names go; the others lose the hit spans of 13 words
+   or more (n_chars is counted anew for them) and stay as they are without such spans.
 5. pieces: a reproducible sampled segmentation of each text; a row for each document.
 
 Null, empty, repeated and clashing columns are handled as the operators' modules say.
@@ -41,7 +42,11 @@ def repeats_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     rest = tuple(c for c in docs.columns if c not in ("doc_id", "text"))
     judged = decontam.verdicts(decontam.find(docs, table(spark, sf_dir, "benchmark"), carry=rest)).where(~F.col("contaminated"))
-    return judged.select(*[F.col("k").alias(c) if c == "doc_id" else F.col(c) if c == "text" else F.col(f"rest.{c}").alias(c) for c in docs.columns])
+    cut = decontam.strip(judged)
+    kept = {c: F.col(f"rest.{c}") for c in rest} | {"doc_id": F.col("k"), "text": F.col("text")}
+    if "n_chars" in rest:
+        kept["n_chars"] = F.when(F.col("n_cut") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("rest.n_chars"))
+    return cut.select(*[kept[c].alias(c) for c in docs.columns])
 
 
 def pieces_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
