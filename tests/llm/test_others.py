@@ -305,6 +305,16 @@ def test_pipeline_stages(spark, tmp_path):
     assert sorted(got) == kept[4] and all(r["lossless"] for r in got.values())
 
 
+def test_the_benchmark_stage_cuts_spans_out_of_kept_documents(spark, tmp_path):
+    item, rest = " ".join(f"b{i}" for i in range(20)), " ".join(f"w{i}" for i in range(1000))
+    rows = [(1, f"{rest} {item}, end", "en", "s", 7), (2, f"one two {item}", "en", "s", 7), (3, rest, None, "s", None), (None, None, "en", "s", 7), (5, "", "en", "s", 0)]
+    before = spark.createDataFrame(rows, DOCS)
+    spark.createDataFrame([(1, item)], "item_id int, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    out = corpus_pipeline.benchmark_stage(spark, before, str(tmp_path))
+    assert out.schema.names == before.schema.names
+    assert {r["doc_id"]: (r["text"], r["n_chars"], r["lang"]) for r in out.collect()} == {1: (f"{rest} , end", len(rest) + 6, "en"), 3: (rest, None, None), None: (None, 7, "en"), 5: ("", 0, "en")}
+
+
 def test_kept_rows_use_sparks_hash(spark):
     import xxhash
 
