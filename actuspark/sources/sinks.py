@@ -24,11 +24,12 @@ def conform_types(df: DataFrame, schema: StructType) -> DataFrame:
 
 
 def upsert(df: DataFrame, path: str, on: list[str]) -> str:
-    """Write the old rows of ``path`` without those that ``df`` replaces, with ``df``, to a new version beside it; the version's path."""
+    """Write the old rows of ``path`` without those that ``df`` replaces, with ``df``, to a new version beside it; the version's path. Null keys equal each other."""
     spark = df.sparkSession
     old = spark.read.parquet(path)
     version = f"{path.rstrip('/')}-{uuid.uuid4().hex[:8]}"
-    old.join(df, on, "left_anti").unionByName(conform_types(df, old.schema)).write.parquet(version)
+    new = df.select(*[F.col(k).alias(f"_new_{k}") for k in on])
+    old.join(new, [F.col(k).eqNullSafe(F.col(f"_new_{k}")) for k in on], "left_anti").unionByName(conform_types(df, old.schema)).write.parquet(version)
     return version
 
 
