@@ -163,10 +163,17 @@ def test_quality_defined_cases(spark):
 def test_the_order_of_rules_never_changes_the_verdict(spark):
     rng = random.Random(1)
     rows = [(i, " ".join(words(rng, rng.choice([5, 60, 200]), 0.1)) + "\n###" * rng.randrange(0, 40)) for i in range(40)]
-    measured = quality.measure(docs(spark, rows))
-    a = quality.cascade(measured, list(quality.RULES)).select("doc_id", "kept").collect()
-    b = quality.cascade(measured, list(reversed(quality.RULES))).select("doc_id", "kept").collect()
+    a = quality.quality(docs(spark, rows), rules=list(quality.RULES)).select("doc_id", "kept").collect()
+    b = quality.quality(docs(spark, rows), rules=list(reversed(quality.RULES))).select("doc_id", "kept").collect()
     assert sorted(a) == sorted(b)
+    assert sorted(r["doc_id"] for r in quality.keep(docs(spark, rows)).collect()) == sorted(r["doc_id"] for r in a if r["kept"])
+    assert sorted(r.name for r in quality.order_rules(docs(spark, rows * 5))) == sorted(r.name for r in quality.RULES)
+
+
+def test_a_rule_after_a_rejection_measures_nothing(spark):
+    asked = quality.Rule("never", lambda f: F.raise_error(F.lit("measured")).cast("boolean"))
+    short = quality.BASE_RULES[0]
+    assert [r["kept"] for r in quality.quality(docs(spark, [(1, "a b"), (2, None)]), rules=[short, asked]).collect()] == [False, False]
 
 
 def test_urls(spark):
