@@ -21,7 +21,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import BLANKS, fresh_name
+from .shared import BLANKS, fresh_name, save
 
 WORD = r"[^\x20\x09-\x0D]+"
 SYMBOLS = "#*$%&|<>"
@@ -111,7 +111,9 @@ def order_rules(df: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RUL
     taken = df.select(F.col(text).alias("t")).sample(SAMPLE_SHARE, seed=9).where(F.length("t") <= SAMPLE_CHARS).take(sample_rows)
     if not taken:
         return list(rules)
-    sample = spark.range(1).select(F.explode(F.array(*[F.lit(r["t"]) for r in taken])).alias("t")).withColumn("w", words_of(F.col("t"))).persist()
+    sample = spark.range(1).select(F.explode(F.array(*[F.lit(r["t"]) for r in taken])).alias("t")).withColumn("w", words_of(F.col("t")))
+    # As a table, so that the plans of the rules do not hold the texts.
+    sample = save(sample).persist()
     try:
         sample.count()
         fig = figures(F.col("t"), F.col("w")).__getitem__
