@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 
-from . import chat, decontam, edit_counts, jaccard, maxent, paragraphs, pieces, quality, suffix, urls
+from . import chat, decontam, divergence, edit_counts, exact, jaccard, maxent, paragraphs, pieces, quality, search, suffix, urls
 from .shared import table
 
 #: The URL rules of the contract (fixed values): host, path, verdict.
@@ -78,6 +78,19 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.join(table(spark, sf_dir, "documents"))
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.rank(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_divergence_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The contract keeps the largest id; the operator keeps the smallest one unless told so."""
+    return exact.dedup(table(spark, sf_dir, "documents"), keep="largest").withColumnRenamed("k", "doc_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_format": op1_chat_format,
     "op2_decontaminate": op2_decontaminate,
@@ -89,12 +102,17 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_quality": op9_quality,
     "op10_jaccard_join": op10_jaccard_join,
+    "op11_lexical_search": op11_lexical_search,
+    "op12_divergence_audit": op12_divergence_audit,
+    "op13_exact_dedup": op13_exact_dedup,
     "pipeline": corpus_pipeline.run,
 }
 
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORDS = r"'[^\x20\x09-\x0D]+'"
 _ITEM_WORDS = r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'"
+_SEARCH_TERMS = r"'[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'"
+_AUDIT_TERMS = r"'[^\x00-\x40\x5B-\x60\x7B-\x7F]+'"
 
 ORACLE_SQL: dict[str, str] = {
     "op2_decontaminate": f"""
@@ -156,4 +174,38 @@ e AS (SELECT a, b FROM i JOIN n x ON a = x.doc_id JOIN n y ON b = y.doc_id WHERE
 both_ways AS (SELECT a, b FROM e UNION ALL SELECT b, a FROM e),
 r AS (SELECT doc_id, doc_id c FROM ws UNION SELECT b, c FROM r JOIN both_ways ON a = doc_id)
 SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id FROM (SELECT doc_id, min(c) component_id FROM r GROUP BY 1) LEFT JOIN n USING (doc_id)""",
+    "op11_lexical_search": f"""
+WITH d AS (SELECT doc_id, {_LOWER.format(f"unnest(regexp_extract_all(coalesce(text, ''), {_SEARCH_TERMS}))")} t FROM documents),
+n AS (SELECT doc_id, count(*) n FROM d GROUP BY 1),
+c AS (SELECT count(*) docs, CAST(sum(n) AS BIGINT) l FROM n),
+tf AS (SELECT doc_id, t, count(*) tf FROM d GROUP BY 1, 2),
+w AS (SELECT t, CAST(floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1))) AS BIGINT) w FROM tf, c GROUP BY t, docs),
+m AS (SELECT doc_id, 100 - 75 + ((75 * n * docs) // l) m FROM n, c),
+i AS (SELECT item_id, {_LOWER.format(f"unnest(regexp_extract_all(coalesce(text, ''), {_SEARCH_TERMS}))")} t FROM benchmark),
+s AS (SELECT item_id, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) score
+  FROM i JOIN w USING (t) JOIN tf USING (t) JOIN m USING (doc_id) GROUP BY 1, 2),
+r AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) k FROM s WHERE score > 0)
+SELECT item_id, CAST(k AS INTEGER) AS rank, doc_id, score FROM r WHERE k <= 10""",
+    "op12_divergence_audit": f"""
+WITH d AS (SELECT row_number() OVER () i, coalesce(lang, '') lang, coalesce(source, '') source, regexp_extract_all(coalesce(text, ''), {_AUDIT_TERMS}) ws FROM documents),
+o AS (SELECT i, lang, source, {_LOWER.format("unnest(ws)")} t FROM d),
+c AS (SELECT lang, source, t, count(*) n FROM o GROUP BY ALL),
+kept AS (SELECT lang, t, count(*) n FROM o GROUP BY ALL HAVING count(DISTINCT i) >= 10),
+v AS (SELECT lang, count(*) v, sum(n) total FROM kept GROUP BY 1),
+g AS (SELECT DISTINCT lang, source FROM d),
+gt AS (SELECT lang, source, t, coalesce(c.n, 0) n FROM g JOIN kept USING (lang) LEFT JOIN c USING (lang, source, t)),
+gn AS (SELECT lang, source, sum(n) total FROM gt GROUP BY ALL),
+p AS (SELECT lang, source, t, gt.n, 1 + (1000000000 * (gt.n + 2)::HUGEINT) // (gn.total + 2 * v) p FROM gt JOIN gn USING (lang, source) JOIN v USING (lang)),
+q AS (SELECT lang, t, 1 + (1000000000 * (n + 2)::HUGEINT) // (total + 2 * v) q FROM kept JOIN v USING (lang)),
+pairs AS (
+  SELECT a.lang, a.source, 'pair' part, b.source item, coalesce(sum((x.p - y.p) * (x.p - y.p) // (x.p + y.p)), 0) f
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+    LEFT JOIN p x ON x.lang = a.lang AND x.source = a.source LEFT JOIN p y ON y.lang = b.lang AND y.source = b.source AND y.t = x.t GROUP BY ALL),
+terms AS (SELECT lang, source, 'term' part, t item, (p - q) * (p - q) // (p + q) f FROM p JOIN q USING (lang, t) WHERE n > 0 AND p > q),
+r AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY f DESC, encode(item)) k FROM (SELECT * FROM pairs UNION ALL SELECT * FROM terms))
+SELECT lang, source, part, item, CAST(f AS BIGINT) AS value, CAST(k AS INTEGER) AS rank FROM r WHERE part = 'pair' OR k <= 10""",
+    "op13_exact_dedup": f"""
+WITH d AS (SELECT doc_id, {_LOWER.format("coalesce(text, '')")} t FROM documents)
+SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size, row_number() OVER (PARTITION BY t ORDER BY doc_id DESC) = 1 AS kept, sha256(t) AS text_sha256
+FROM d WINDOW w AS (PARTITION BY t)""",
 }

@@ -7,7 +7,7 @@ import re
 import tempfile
 import uuid
 import zipfile
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from pathlib import Path
 
 import numpy as np
@@ -80,22 +80,26 @@ def fresh_name(df: DataFrame, name: str) -> str:
     return name
 
 
-def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str) -> DataFrame:
-    """Apply ``fn`` to each Arrow batch; no batch refers to another."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows and (out := fn(batch)) is not None:
-                yield out
-
-    return df.mapInArrow(run, schema)
-
-
 def byte_texts(column: pa.Array) -> list[bytes]:
     """Each text as UTF-8 bytes; a null text is empty."""
     return [b"" if x is None else x for x in column.cast(pa.binary()).to_pylist()]
 
 
+def split_words(text: bytes, table: bytes, size: int = 1 << 20) -> Iterator[list[bytes]]:
+    """The words of ``text`` after ``table``, which turns what is no word into spaces; lists from at most about ``size`` bytes each."""
+    norm = text.translate(table)
+    start = 0
+    while len(norm) - start > size:
+        end = norm.rfind(b" ", start, start + size)
+        if end < start:
+            end = norm.find(b" ", start + size)
+        if end < start:
+            break
+        yield norm[start:end].split()
+        start = end + 1
+    yield norm[start:].split()
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """A bijective scrambling of 64-bit integers (the finaliser of splitmix64)."""
     x = x.astype(np.uint64, copy=True)
