@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 from ..functions.derive import MONEY
 from ..sources.readers import read_table
 
+#: The tables that the monthly fact is made of.
+SOURCES = ("customer", "lineitem", "nation", "orders", "part", "region")
 UNITS = ("IP_UNITS", "OP_UNITS", "PH_UNITS", "RX_UNITS")
 
 

@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GeneralizedLinearRegression
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import windows as W
 from ..functions.derive import MONEY, collapse_category, first_positive, floor_zero, is_dual, pmpm, quarter_label, rate_per_k, ratio, snap_zero, unit_cost, yyyymm_to_date
 from ..operators import checks, frames
+from ..sources import scratch
+from ..sources.versions import VersionedTable, state_of
 
 ENROL = ["MARKET", "IS_DUAL", "SEGMENT"]
 SPLIT = [*ENROL, "SERVICE_CATEGORY", "HCC"]
@@ -179,5 +182,20 @@ def reconcile_paths(df: DataFrame, a: str, b: str) -> DataFrame:
     return df.agg(F.count(d).alias("n"), F.round(F.avg(d), 6).alias("mean_abs_pct"))
 
 
+def stored_monthly(raw: Callable[[], DataFrame], units: tuple[str, ...], sources: list[str], spark: SparkSession) -> DataFrame:
+    """The latest slice of the monthly table of ``raw``, which later steps read instead of building it anew.
+
+    The table is kept in the shared folder under the state of its ``sources`` (paths): changed files make
+    another table. Its slices are valuation dates.
+    """
+    state = hashlib.sha256(repr(state_of(spark, sources)).encode()).hexdigest()[:32]
+    table = VersionedTable(spark, f"{scratch.folder(spark)}/monthly-{state}")
+    if not table.slices():
+        rows = raw()
+        table.replace(completed_combined(rows, units).join(F.broadcast(derive_val_date(rows))))
+    latest = max(table.slices()).split("=", 1)[1]
+    return table.read().where(F.col("VAL_DATE") == F.lit(latest).cast("date")).drop("VAL_DATE")
+
+
 def source_advanced(new: DataFrame, stored: DataFrame, c: str = "VAL_DATE") -> DataFrame:
     return new.agg(F.max(c).alias("new_max")).join(stored.agg(F.max(c).alias("stored_max"))).withColumn("advanced", F.coalesce(F.col("new_max") > F.col("stored_max"), F.col("new_max").isNotNull()))

@@ -21,7 +21,8 @@ CLOSE = adapters.CLOSES[-1]
 
 
 def _dense(spark: SparkSession, d: str) -> DataFrame:
-    return forecast.completed_combined(adapters.raw_fact(spark, d), adapters.UNITS)
+    """The stored monthly table, built from the source when it is first asked for."""
+    return forecast.stored_monthly(lambda: adapters.raw_fact(spark, d), adapters.UNITS, [f"{d}/{t}.parquet" for t in adapters.SOURCES], spark)
 
 
 def _rounded(df: DataFrame, places: int = 6, nudge: float = 0.0) -> DataFrame:
@@ -34,12 +35,13 @@ def l01_coverage(spark, d):
 
 
 def l02_completed_combined(spark, d):
-    return _rounded(_dense(spark, d))
+    """The monthly table as it is built; the queries after it read the stored one."""
+    return _rounded(forecast.completed_combined(adapters.raw_fact(spark, d), adapters.UNITS))
 
 
 def l03_control_totals(spark, d):
     raw = adapters.raw_fact(spark, d)
-    return forecast.control_totals(raw, forecast.completed_combined(raw, adapters.UNITS), adapters.UNITS)
+    return forecast.control_totals(raw, _dense(spark, d), adapters.UNITS)
 
 
 def l04_signals(spark, d):

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -14,8 +12,16 @@ def write_slice(df: DataFrame, path: str, keys: tuple[str, ...] = ("VAL_DATE",))
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*keys).parquet(path)
 
 
-def write_scenario(df: DataFrame, path: str) -> None:
-    write_slice(df, path, ("VAL_DATE", "TRAIN_END", "HCC"))
+def write_scenario(df: DataFrame, path: str, keys: tuple[str, ...] = ("VAL_DATE", "TRAIN_END", "HCC")) -> None:
+    """Replace the scenarios that ``df`` holds; a table from before the keys were partitions is replaced whole, as its rows name no scenario."""
+    spark = df.sparkSession
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    legacy = fs.exists(at) and not set(keys) <= set(spark.read.parquet(path).columns)
+    if legacy:
+        df.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(*keys).parquet(path)
+    else:
+        write_slice(df, path, keys)
 
 
 def conform_types(df: DataFrame, schema: StructType) -> DataFrame:
@@ -23,16 +29,6 @@ def conform_types(df: DataFrame, schema: StructType) -> DataFrame:
     return df.select(*[(F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
-def upsert(df: DataFrame, path: str, on: list[str]) -> str:
-    """Write the old rows of ``path`` without those that ``df`` replaces, with ``df``, to a new version beside it; the version's path. Null keys equal each other."""
-    spark = df.sparkSession
-    old = spark.read.parquet(path)
-    version = f"{path.rstrip('/')}-{uuid.uuid4().hex[:8]}"
-    new = df.select(*[F.col(k).alias(f"_new_{k}") for k in on])
-    old.join(new, [F.col(k).eqNullSafe(F.col(f"_new_{k}")) for k in on], "left_anti").unionByName(conform_types(df, old.schema)).write.parquet(version)
-    return version
-
-
 def overwrite_table(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 

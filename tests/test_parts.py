@@ -97,13 +97,6 @@ def test_sinks_read_back(spark, tmp_path):
     assert [(r["rank"], r["name"]) for r in report[1]] == [(1, "a"), (2, "b")] and report[2] is None
 
 
-def test_upsert_replaces_null_keys(spark, tmp_path):
-    schema = "k string, m int, v int"
-    spark.createDataFrame([("a", 1, 1), (None, 1, 2), (None, 2, 3)], schema).write.parquet(str(tmp_path / "t"))
-    version = sinks.upsert(spark.createDataFrame([(None, 1, 9), ("b", None, 8)], schema), str(tmp_path / "t"), ["k", "m"])
-    assert rows(spark.read.parquet(version)) == sorted([("a", 1, 1), (None, 1, 9), (None, 2, 3), ("b", None, 8)], key=str)
-
-
 def test_closes_land_once(spark, tmp_path):
     source, out = str(tmp_path / "in"), str(tmp_path / "out")
     spark.createDataFrame([("c1", 1), ("c2", 2)], "close string, n int").write.parquet(source)

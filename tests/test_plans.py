@@ -13,7 +13,7 @@ from actuspark.functions import derive, windows
 from actuspark.operators import checks, frames
 from actuspark.plans import calendar_index, forecast, planning, queries, seasonality, surveillance, text
 from actuspark.plans.oracles import ORACLE_SQL
-from actuspark.sources import sinks
+from actuspark.sources import sinks, versions
 
 SF = "/root/testdata/sf0.001"
 D = dt.date
@@ -120,9 +120,48 @@ def test_sinks_are_idempotent(spark, tmp_path):
         sinks.write_slice(df, str(tmp_path / "t"))
     sinks.write_slice(df.where("VAL_DATE = 'a'").withColumn("v", F.lit(9)), str(tmp_path / "t"))
     assert sorted((r["VAL_DATE"], r["v"]) for r in spark.read.parquet(str(tmp_path / "t")).collect()) == [("a", 9), ("b", 2)]
-    df.write.parquet(str(tmp_path / "u"))
-    version = sinks.upsert(spark.createDataFrame([("b", 5), ("c", 6)], df.schema), str(tmp_path / "u"), ["VAL_DATE"])
-    assert sorted((r["VAL_DATE"], r["v"]) for r in spark.read.parquet(version).collect()) == [("a", 1), ("b", 5), ("c", 6)]
+    legacy = df.select("v")
+    legacy.write.parquet(str(tmp_path / "w"))
+    rows = df.selectExpr("VAL_DATE", "'2000-12-01' AS TRAIN_END", "'A' AS HCC", "v")
+    for part in (rows, rows.where("v = 1").withColumn("v", F.lit(7))):
+        sinks.write_scenario(part, str(tmp_path / "w"))
+    assert sorted(r["v"] for r in spark.read.parquet(str(tmp_path / "w")).collect()) == [2, 7]
+
+
+def test_versions_are_published_whole(spark, tmp_path):
+    df = spark.createDataFrame([("2000-01-01", 1, "a"), ("2000-02-01", 1, "b"), ("2000-02-01", None, "c")], "VAL_DATE string, id int, v string").withColumn("VAL_DATE", F.col("VAL_DATE").cast("date"))
+    table = versions.VersionedTable(spark, str(tmp_path / "t"))
+    with pytest.raises(ValueError):
+        table.read()
+    table.replace(df)
+    before = table.slices()
+    rows = lambda: sorted(((str(r["VAL_DATE"]), r["id"], r["v"]) for r in table.read().collect()), key=str)
+    table.upsert(df.where("VAL_DATE = '2000-02-01'").selectExpr("VAL_DATE", "id", "'new' AS v").unionByName(df.limit(1).selectExpr("date'2000-02-01' AS VAL_DATE", "5 AS id", "'more' AS v")), ["id"])
+    want = [("2000-01-01", 1, "a"), ("2000-02-01", 1, "new"), ("2000-02-01", 5, "more"), ("2000-02-01", None, "new")]
+    assert rows() == sorted(want, key=str)
+    # The slice that was not touched is still the first version's, and a reader of one slice lists one folder.
+    assert table.slices()["VAL_DATE=2000-01-01"] == before["VAL_DATE=2000-01-01"] != table.slices()["VAL_DATE=2000-02-01"]
+    assert len(table.read().where("VAL_DATE = date'2000-01-01'").inputFiles()) >= 1
+    with pytest.raises(Exception):
+        table.replace(df.withColumn("v", F.raise_error(F.lit("no"))))
+    assert rows() == sorted(want, key=str)
+
+
+def test_the_monthly_table_is_built_once_and_read(spark, tmp_path):
+    import shutil
+
+    own = str(tmp_path / "sf")
+    shutil.copytree(SF, own)
+    os.chmod(own, 0o755)
+    plan = lambda df: df._jdf.queryExecution().toString()
+    for name in ("l04_signals", "l06_final_output", "l07_seasonality", "l16_actual_vs_expected", "k12_backtest", "d13_flat_series"):
+        assert "lineitem" not in plan(queries.QUERIES[name](spark, own)).lower()
+    first = queries._dense(spark, own).inputFiles()
+    assert queries._dense(spark, own).inputFiles() == first
+    os.remove(f"{own}/nation.parquet")
+    shutil.copyfile(f"{SF}/nation.parquet", f"{own}/nation.parquet")
+    os.utime(f"{own}/nation.parquet", (1, 1))
+    assert queries._dense(spark, own).inputFiles() != first
 
 
 def test_text(spark):
