@@ -182,20 +182,24 @@ def reconcile_paths(df: DataFrame, a: str, b: str) -> DataFrame:
     return df.agg(F.count(d).alias("n"), F.round(F.avg(d), 6).alias("mean_abs_pct"))
 
 
-def stored_monthly(raw: Callable[[], DataFrame], units: tuple[str, ...], sources: list[str], spark: SparkSession) -> DataFrame:
-    """The latest slice of the monthly table of ``raw``, which later steps read instead of building it anew.
+def stored(spark: SparkSession, name: str, sources: list[str], build: Callable[[], DataFrame]) -> DataFrame:
+    """The latest slice of the table ``name``, which later steps read instead of building it anew.
 
-    The table is kept in the shared folder under the state of its ``sources`` (paths): changed files make
-    another table. Its slices are valuation dates.
+    The table is kept in the shared folder under the state of its ``sources`` (paths) and of this code: changed
+    ones make another table. Its slices are valuation dates, the column VAL_DATE of what ``build`` gives.
     """
-    state = hashlib.sha256(repr(state_of(spark, sources)).encode()).hexdigest()[:32]
-    table = VersionedTable(spark, f"{scratch.folder(spark)}/monthly-{state}")
+    state = hashlib.sha256(repr((scratch.code_state(), state_of(spark, sources))).encode()).hexdigest()[:32]
+    table = VersionedTable(spark, f"{scratch.folder(spark)}/{name}-{state}")
     if not table.slices():
-        rows = raw()
-        table.replace(completed_combined(rows, units).join(F.broadcast(derive_val_date(rows))))
+        table.replace(build())
     latest = max(table.slices()).split("=", 1)[1]
     return table.read().where(F.col("VAL_DATE") == F.lit(latest).cast("date")).drop("VAL_DATE")
 
 
+def stamped_monthly(raw: DataFrame, units: tuple[str, ...]) -> DataFrame:
+    """The monthly table with its valuation date."""
+    return completed_combined(raw, units).join(F.broadcast(derive_val_date(raw)))
+
+
 def source_advanced(new: DataFrame, stored: DataFrame, c: str = "VAL_DATE") -> DataFrame:
     return new.agg(F.max(c).alias("new_max")).join(stored.agg(F.max(c).alias("stored_max"))).withColumn("advanced", F.coalesce(F.col("new_max") > F.col("stored_max"), F.col("new_max").isNotNull()))

@@ -239,4 +239,12 @@ r AS (SELECT {_SPLIT}, o, round(CAST(sum(PD) AS DOUBLE) / CAST(sum(MM) AS DOUBLE
 h AS (SELECT *, unnest(range(1, 7)) AS k FROM r),
 e AS (SELECT k, p - PMPM AS e FROM h JOIN dense d USING ({_SPLIT}) WHERE d.DATE_REPORT_MONTH = CAST(o + to_months(CAST(k AS INTEGER)) AS DATE))
 SELECT CAST(k AS INTEGER) AS HORIZON, count(*) AS n, round(sqrt(avg(e * e)), 4) AS rmse, round(avg(e), 4) AS bias, round(quantile_cont(-e, 0.1), 4) AS low, round(quantile_cont(-e, 0.9), 4) AS high FROM e GROUP BY 1""",
+    "k01_first_level": f"""WITH {_DENSE}, s AS (
+  SELECT SEGMENT || CASE WHEN IS_DUAL = 1 THEN '_DUAL' ELSE '_NON_DUAL' END AS POPULATION, CASE WHEN abs(PMPM) < 1e-9 THEN 0.0 ELSE PMPM END AS y, CAST(MM AS DOUBLE) AS mm,
+    lag(CASE WHEN abs(PMPM) < 1e-9 THEN 0.0 ELSE PMPM END, 1) OVER {_W} AS l1, lag(CASE WHEN abs(PMPM) < 1e-9 THEN 0.0 ELSE PMPM END, 12) OVER {_W} AS l12 FROM dense),
+f AS (SELECT POPULATION, greatest(y, 0) AS y, unnest([{{'feature': 'target_lag1', 'v': l1}}, {{'feature': 'target_lag12', 'v': l12}}, {{'feature': 'MM', 'v': mm}}], recursive := true) FROM s WHERE l12 IS NOT NULL),
+e AS (SELECT POPULATION, feature, min(v) AS lo, max(v) AS hi, ln(avg(y)) AS score FROM f GROUP BY ALL),
+b AS (SELECT POPULATION, feature, CASE WHEN v IS NULL THEN 0 ELSE 1 + len(list_filter(range(1, 8), lambda k: lo + (hi - lo) * k / 8 < v)) END AS bin,
+  exp(0.5 * score) - y * exp(-0.5 * score) AS g, 0.5 * exp(0.5 * score) + 0.5 * y * exp(-0.5 * score) AS h FROM f JOIN e USING (POPULATION, feature))
+SELECT POPULATION, feature, CAST(bin AS INTEGER) AS bin, round(sum(g), 2) AS g, round(sum(h), 2) AS h, count(*) AS n FROM b GROUP BY ALL""",
 }

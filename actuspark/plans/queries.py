@@ -12,7 +12,7 @@ from ..functions import windows as W
 from ..functions.derive import MONEY, approx_median, rate_per_k, ratio, weighted_mean
 from ..operators import checks, frames
 from ..sources.readers import read_table
-from . import adapters, calendar_index, claims, forecast, planning, scenarios, seasonality, surveillance, text
+from . import adapters, calendar_index, claims, forecast, planning, projection, scenarios, seasonality, surveillance, text
 
 #: Words of the corpora that carry no topic, and words that mark a conclusion (fixed values).
 STOP = ["that", "with", "from", "this", "were", "have", "they", "their", "dass", "nicht", "eine", "pour", "avec", "dans", "para", "como"]
@@ -22,7 +22,22 @@ CLOSE = adapters.CLOSES[-1]
 
 def _dense(spark: SparkSession, d: str) -> DataFrame:
     """The stored monthly table, built from the source when it is first asked for."""
-    return forecast.stored_monthly(lambda: adapters.raw_fact(spark, d), adapters.UNITS, [f"{d}/{t}.parquet" for t in adapters.SOURCES], spark)
+    return forecast.stored(spark, "monthly", _sources(d), lambda: forecast.stamped_monthly(adapters.raw_fact(spark, d), adapters.UNITS))
+
+
+def _sources(d: str) -> list[str]:
+    return [f"{d}/{t}.parquet" for t in adapters.SOURCES]
+
+
+def _predictions(spark: SparkSession, d: str) -> DataFrame:
+    """The stored forecast of 21 months from three months before the end of the table on."""
+
+    def build() -> DataFrame:
+        dense = _dense(spark, d)
+        edge = str(dense.agg(F.add_months(F.max(forecast.MONTH), -3)).first()[0])
+        return projection.train_and_project(dense, edge).withColumn("VAL_DATE", F.lit(edge).cast("date"))
+
+    return forecast.stored(spark, "predictions", _sources(d), build)
 
 
 def _rounded(df: DataFrame, places: int = 6, nudge: float = 0.0) -> DataFrame:
@@ -49,17 +64,29 @@ def l04_signals(spark, d):
 
 
 def l05_train_and_project(spark, d):
-    """A model of all splits, three projected months, and actuals beside them where the history is held out."""
-    from pyspark.storagelevel import StorageLevel
+    """Boosted trees of each metric and population: 21 months ahead of each series, with the attribution of each feature in units."""
+    return _rounded(_predictions(spark, d))
+
+
+def l06_fitted_output(spark, d):
+    """The final output of the fitted forecasts: both metrics of a series and month side by side, actuals where there are any, the last exposure carried on."""
+    made = _predictions(spark, d).select(*forecast.SPLIT, forecast.MONTH, F.col("METRIC").alias("metric"), F.col("PREDICTED").alias("rate"))
+    both = scenarios.pair_metrics(made, [*forecast.SPLIT, forecast.MONTH], "metric", "rate", projection.METRICS)
+    out = forecast.final_output(both.withColumnRenamed("PMPM_rate", "PREDICTED_PMPM"), _dense(spark, d))
+    return _rounded(out.join(both.select(*forecast.SPLIT, forecast.MONTH, F.col("UTIL_K_rate").alias("PREDICTED_UTIL_K")), [*forecast.SPLIT, forecast.MONTH]))
+
+
+def k01_first_level(spark, d):
+    """Gradient and hessian sums by bin of the first level of each population's first tree."""
+    return _rounded(projection.first_level(_dense(spark, d), "PMPM"), 2)
 
-    dense = _dense(spark, d).persist(StorageLevel.MEMORY_AND_DISK)
-    edge = dense.agg(F.add_months(F.max(forecast.MONTH), -3).alias("e")).first()["e"]
-    history = dense.where(F.col(forecast.MONTH) <= F.lit(edge))
-    model = forecast.fit(forecast.scaled(forecast.signals(history).where("position > 12")))
-    keep = lambda df: df.checkpoint() if spark.conf.get("spark.checkpoint.dir", None) else df.persist(StorageLevel.MEMORY_AND_DISK)
 
-    made = forecast.project(history, lambda df: forecast.predict(model, df), 3, keep).withColumnRenamed("PMPM", "PREDICTED_PMPM")
-    return _rounded(forecast.final_output(made, dense))
+def k12_fitted_backtest(spark, d):
+    """Error and residual percentiles by method and horizon of models fitted at each of three origins."""
+    scored = projection.backtest(_dense(spark, d), ["2000-03-01", "2000-06-01", "2000-09-01"], 6)
+    keys = ["METHOD", "HORIZON"]
+    error = forecast.holdout_metrics(scored, keys, "PREDICTED", "ACTUAL")
+    return _rounded(error.join(forecast.intervals(scored, keys, "PREDICTED", "ACTUAL").drop("n"), keys), 4)
 
 
 def l06_final_output(spark, d):
@@ -311,7 +338,7 @@ def k12_backtest(spark, d):
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
-        l08_wcd_monthly, l08_wcd_relativities, l01_coverage, l02_completed_combined, l03_control_totals, l04_signals, l05_train_and_project, l06_final_output,
+        l08_wcd_monthly, l08_wcd_relativities, l01_coverage, l02_completed_combined, l03_control_totals, l04_signals, l05_train_and_project, l06_final_output, l06_fitted_output, k01_first_level, k12_fitted_backtest,
         l07_seasonality, l07_clustered_shapes, k08_friedman, l09_complete_claims, l10_pmpm_dashboard, l11_restatement_grid, l11_restatement_by_segment,
         l12_top_movers, l12_segment_change, l13_chain_ladder, f18_year_month_cube, e21_link_rebills, l14_nsaf, l15_nsaf_bridge, l16_actual_vs_expected,
         l17_ma_bid, l18_surveillance_regions, l18_surveillance_viruses, l19_transcript_report, m01_page_text, m05_keywords, m12_mentions,
