@@ -182,18 +182,23 @@ def reconcile_paths(df: DataFrame, a: str, b: str) -> DataFrame:
     return df.agg(F.count(d).alias("n"), F.round(F.avg(d), 6).alias("mean_abs_pct"))
 
 
-def stored(spark: SparkSession, name: str, sources: list[str], build: Callable[[], DataFrame]) -> DataFrame:
-    """The latest slice of the table ``name``, which later steps read instead of building it anew.
+def stored(spark: SparkSession, name: str, sources: list[str], build: Callable[[], DataFrame], by: str = "VAL_DATE") -> DataFrame:
+    """The table ``name``, which later steps read instead of building it anew; its slices are the values of ``by``.
 
     The table is kept in the shared folder under the state of its ``sources`` (paths) and of this code: changed
-    ones make another table. Its slices are valuation dates, the column VAL_DATE of what ``build`` gives.
+    ones make another table.
     """
     state = hashlib.sha256(repr((scratch.code_state(), state_of(spark, sources))).encode()).hexdigest()[:32]
-    table = VersionedTable(spark, f"{scratch.folder(spark)}/{name}-{state}")
+    table = VersionedTable(spark, f"{scratch.folder(spark)}/{name}-{state}", by)
     if not table.slices():
         table.replace(build())
-    latest = max(table.slices()).split("=", 1)[1]
-    return table.read().where(F.col("VAL_DATE") == F.lit(latest).cast("date")).drop("VAL_DATE")
+    return table.read() if table.slices() else build()
+
+
+def latest_slice(df: DataFrame) -> DataFrame:
+    """The rows of the last valuation date: its one-row aggregate prunes the other slices as the plan runs."""
+    last = df.agg(F.max("VAL_DATE").alias("_last"))
+    return df.join(F.broadcast(last), F.col("VAL_DATE") == F.col("_last")).drop("VAL_DATE", "_last")
 
 
 def stamped_monthly(raw: DataFrame, units: tuple[str, ...]) -> DataFrame:

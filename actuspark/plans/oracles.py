@@ -248,3 +248,43 @@ b AS (SELECT POPULATION, feature, CASE WHEN v IS NULL THEN 0 ELSE 1 + len(list_f
   exp(0.5 * score) - y * exp(-0.5 * score) AS g, 0.5 * exp(0.5 * score) + 0.5 * y * exp(-0.5 * score) AS h FROM f JOIN e USING (POPULATION, feature))
 SELECT POPULATION, feature, CAST(bin AS INTEGER) AS bin, round(sum(g), 2) AS g, round(sum(h), 2) AS h, count(*) AS n FROM b GROUP BY ALL""",
 }
+
+_AS_OF = "DATE '2000-06-30'"
+_TRIANGLE = (
+    _REBILLS
+    + f""",
+more AS (
+  SELECT DISTINCT concat_ws('-', l_orderkey, l_partkey, l_suppkey, l_linenumber, strftime(l_shipdate, '%Y%m%d'), CAST(l_quantity AS INTEGER)) AS claim, l_returnflag AS flag,
+    CAST(CAST(l_shipdate AS DATE) + to_months(l_linenumber) AS DATE) AS paid_day, CASE WHEN l_linenumber = 7 THEN CAST(l_shipdate AS DATE) + 90 END AS reversed_day, l_partkey % 2 = 0 AS recouped FROM lineitem),
+dd AS (SELECT d.*, reversed_day, recouped, CAST(date_trunc('month', day) AS DATE) AS cohort FROM d JOIN more m ON d.claim = m.claim AND m.flag = 'R' WHERE day <= {_AS_OF}),
+rr AS (SELECT r.*, paid_day FROM r JOIN more m ON r.claim = m.claim AND m.flag = 'N' WHERE paid_day <= {_AS_OF}),
+pay AS (SELECT dd.cohort, dd.claim, tier, rr.paid AS amount, paid_day, reversed_day, dd.recouped FROM linked JOIN rr ON r_claim = rr.claim JOIN dd ON d_claim = dd.claim),
+entries AS (
+  SELECT cohort, least(greatest(date_diff('month', cohort, paid_day), 0), 18) AS age, amount FROM pay WHERE tier <= 3
+  UNION ALL SELECT cohort, least(greatest(date_diff('month', cohort, greatest(reversed_day, paid_day)), 0), 18), -amount FROM pay WHERE tier <= 3 AND reversed_day <= {_AS_OF} AND recouped),
+sums AS (SELECT cohort, age, sum(amount) AS amount FROM entries GROUP BY ALL),
+grid AS (SELECT cohort, gross, unnest(range(0, least(18, date_diff('month', cohort, {_AS_OF})) + 1)) AS age FROM (SELECT cohort, sum(paid) AS gross FROM dd GROUP BY 1)),
+tri AS (SELECT cohort, age, gross, sum(coalesce(amount, 0)) OVER (PARTITION BY cohort ORDER BY age) AS o FROM grid LEFT JOIN sums USING (cohort, age)),
+dev AS (
+  SELECT age, link, round(product(link) OVER (ORDER BY age DESC ROWS UNBOUNDED PRECEDING), 6) AS to_ultimate
+  FROM (SELECT a.age, round(coalesce(CAST(sum(b.o) AS DOUBLE) / nullif(CAST(sum(a.o) AS DOUBLE), 0), 1.0), 6) AS link FROM tri a JOIN tri b ON a.cohort = b.cohort AND b.age = a.age + 1 GROUP BY a.age)),
+coh AS (
+  SELECT t.cohort, t.age, CAST(gross AS DOUBLE) AS gross, round(CAST(o AS DOUBLE) / CAST(gross AS DOUBLE), 6) AS observed, round(CAST(o AS DOUBLE) / CAST(gross AS DOUBLE) * coalesce(to_ultimate, 1.0), 6) AS ultimate, to_ultimate IS NULL AS final
+  FROM tri t JOIN (SELECT cohort, max(age) AS age FROM tri GROUP BY 1) m ON t.cohort = m.cohort AND t.age = m.age LEFT JOIN dev ON t.age = dev.age)"""
+)
+
+ORACLE_SQL |= {
+    "l14_development": f"WITH {_TRIANGLE} SELECT CAST(age AS INTEGER) AS age, link, to_ultimate FROM dev",
+    "l14_cohorts": f"WITH {_TRIANGLE} SELECT cohort, CAST(age AS INTEGER) AS age, gross, observed, ultimate, round(1 - ultimate, 6) AS nsaf, final FROM coh",
+    "l14_nsaf_classes": f"""WITH {_TRIANGLE},
+own AS (SELECT d_claim, sum(rr.paid) FILTER (tier <= 3) AS linked, count(*) FILTER (tier = 4) AS in_review FROM linked JOIN rr ON r_claim = rr.claim GROUP BY 1),
+k AS (SELECT dd.*, linked, coalesce(reversed_day <= {_AS_OF}, false) AS gone, CASE WHEN coalesce(reversed_day <= {_AS_OF}, false) THEN 'D' WHEN linked IS NOT NULL THEN 'matched' WHEN in_review > 0 THEN 'C' WHEN day + 365 > {_AS_OF} THEN 'A' ELSE 'B' END AS c FROM dd LEFT JOIN own ON dd.claim = d_claim),
+g AS (SELECT lob, c, cohort, count(*) AS n, sum(CASE WHEN gone THEN 0 ELSE paid END) AS gross, sum(CASE WHEN gone AND recouped THEN 0 ELSE coalesce(linked, 0) END) AS own FROM k GROUP BY ALL),
+s AS (SELECT lob, c, sum(n) AS n, sum(g.gross) AS gross, sum(own) AS own, sum(CAST(round(CAST(g.gross AS DOUBLE) * greatest(ultimate, 0), 4) AS DECIMAL(18,4))) AS developed FROM g LEFT JOIN coh USING (cohort) GROUP BY ALL),
+mr AS (SELECT lob, CAST(own AS DOUBLE) / CAST(gross AS DOUBLE) AS r FROM s WHERE c = 'matched'),
+t AS (SELECT s.*, r, CASE c WHEN 'C' THEN CAST(round(CAST(gross AS DOUBLE) * coalesce(r, 0), 4) AS DECIMAL(18,4)) WHEN 'A' THEN developed ELSE own END AS applied FROM s LEFT JOIN mr USING (lob))
+SELECT lob AS line_of_business, c AS "class", CAST(n AS BIGINT) AS n_claims, CAST(gross AS DOUBLE) AS gross, round(CAST(applied AS DOUBLE), 2) AS "offset",
+  CASE c WHEN 'matched' THEN 'linked payments' WHEN 'A' THEN 'developed' WHEN 'B' THEN 'none' WHEN 'C' THEN 'matched ratio' ELSE 'reversed' END AS basis, round(r, 6) AS matched_ratio,
+  round(CAST(sum(applied) OVER (PARTITION BY lob) AS DOUBLE) / CAST(sum(gross) OVER (PARTITION BY lob) AS DOUBLE), 6) AS offset_ratio,
+  round(1 - CAST(sum(applied) OVER (PARTITION BY lob) AS DOUBLE) / CAST(sum(gross) OVER (PARTITION BY lob) AS DOUBLE), 6) AS net_factor FROM t""",
+}

@@ -7,33 +7,43 @@ from decimal import Decimal
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.derive import MONEY, ratio
+from ..functions.derive import MONEY, lag_months, ratio
 
 
 def link_rebills(denials: DataFrame, rebills: DataFrame, near: int = 3, window: int = 365) -> DataFrame:
-    """Each rebill with at most one denial, at the first tier that links it.
+    """Each rebill with at most one denial, at the first tier that links it; a denial can have several rebills, which all offset it.
 
     Tier 1: the explicit reference; 2: member, provider and date; 3: dates at most ``near`` days
-    apart and one denial only; 4: within ``window`` days after the denial, for review. Dates are
-    bucketed, so every join is on equal keys.
+    apart and one candidate only; 4: the last denial within ``window`` days before it, for review, not
+    accepted. A rebill that a tier links is no candidate of the next one. The denials of a member, provider
+    and day are one row, and tier 4 takes the last one by a window over time buckets, so that a member with very many
+    claims makes no pairs and is cut by time.
     """
-    d = denials.select(F.col("claim").alias("d_claim"), F.col("ref").alias("d_ref"), F.col("member").alias("d_member"), F.col("provider").alias("d_provider"), F.col("day").alias("d_day"))
-    r = rebills.select(F.col("claim").alias("r_claim"), F.col("ref").alias("r_ref"), F.col("member").alias("r_member"), F.col("provider").alias("r_provider"), F.col("day").alias("r_day"))
-    who = (F.col("d_member") == F.col("r_member")) & (F.col("d_provider") == F.col("r_provider"))
+    d = denials.select(F.col("claim").alias("d_claim"), "ref", "member", "provider", F.col("day").alias("d_day"))
+    r = rebills.select(F.col("claim").alias("r_claim"), "ref", "member", "provider", F.col("day").alias("r_day"))
+    who = ["member", "provider"]
     gap = F.datediff("r_day", "d_day")
-    t1 = r.join(d, (F.col("d_ref") == F.col("r_ref")) & (F.col("d_provider") == F.col("r_provider"))).withColumn("tier", F.lit(1))
-    near_days = d.withColumn("near_day", F.explode(F.sequence(F.date_sub("d_day", near), F.date_add("d_day", near))))
-    close = r.join(near_days, who & (F.col("near_day") == F.col("r_day"))).drop("near_day")
-    t2 = close.where("d_day = r_day").withColumn("tier", F.lit(2))
-    sole = Window.partitionBy("r_claim")
-    t3 = close.withColumn("n", F.count(F.lit(1)).over(sole)).where("n = 1").drop("n").withColumn("tier", F.lit(3))
+
+    def linked(rows: DataFrame, tier: int) -> DataFrame:
+        best = rows.groupBy("r_claim").agg(F.min(F.struct(F.abs(gap).alias("far"), "d_claim", gap.alias("days"))).alias("x"))
+        return best.select("r_claim", "x.d_claim", F.lit(tier).alias("tier"), "x.days")
+
+    by_ref = d.groupBy("ref", "provider", "d_day").agg(F.min("d_claim").alias("d_claim"))
+    t1 = linked(r.join(by_ref, ["ref", "provider"]), 1)
+    rest = r.join(t1.select("r_claim"), "r_claim", "left_anti")
+    days = d.groupBy(*who, "d_day").agg(F.min("d_claim").alias("d_claim"), F.count(F.lit(1)).alias("n"))
+    t2 = linked(rest.withColumn("d_day", F.col("r_day")).join(days, [*who, "d_day"]), 2)
+    rest = rest.join(t2.select("r_claim"), "r_claim", "left_anti")
+    close = rest.withColumn("d_day", F.explode(F.sequence(F.date_sub("r_day", near), F.date_add("r_day", near)))).join(days, [*who, "d_day"])
+    sole = close.groupBy("r_claim").agg(F.sum("n").alias("n"), F.min("d_claim").alias("d_claim"), F.min("d_day").alias("d_day"), F.min("r_day").alias("r_day")).where("n = 1")
+    t3 = linked(sole, 3)
+    rest = rest.join(t3.select("r_claim"), "r_claim", "left_anti")
     bucket = lambda c: F.floor(F.unix_date(c) / window)
-    spread = d.withColumn("bucket", F.explode(F.array(bucket(F.col("d_day")), bucket(F.col("d_day")) + 1)))
-    t4 = r.withColumn("b", bucket(F.col("r_day"))).join(spread, who & (F.col("bucket") == F.col("b"))).where(gap.between(0, window)).drop("bucket", "b")
-    t4 = t4.withColumn("tier", F.lit(4))
-    every = t1.unionByName(t2).unionByName(t3).unionByName(t4)
-    w = Window.partitionBy("r_claim").orderBy("tier", F.abs(gap), "d_claim")
-    return every.withColumn("_r", F.row_number().over(w)).where("_r = 1").select("r_claim", "d_claim", "tier", gap.alias("days"))
+    before = days.select(*who, F.explode(F.array(bucket("d_day"), bucket("d_day") + 1)).alias("bucket"), F.col("d_day").alias("at"), F.lit(0).alias("kind"), F.struct("d_day", "d_claim").alias("denial"), F.lit(None).cast(r.schema["r_claim"].dataType).alias("r_claim"))
+    after = rest.select(*who, bucket("r_day").alias("bucket"), F.col("r_day").alias("at"), F.lit(1).alias("kind"), F.lit(None).cast(before.schema["denial"].dataType).alias("denial"), "r_claim")
+    last = F.last("denial", ignorenulls=True).over(Window.partitionBy(*who, "bucket").orderBy("at", "kind").rowsBetween(Window.unboundedPreceding, 0))
+    found = before.unionByName(after).withColumn("denial", last).where("kind = 1").select("r_claim", F.col("at").alias("r_day"), "denial.*").where(gap <= window)
+    return t1.unionByName(t2).unionByName(t3).unionByName(linked(found, 4))
 
 
 def nsaf(denials: DataFrame, rebills: DataFrame, links: DataFrame, strata: str = "line_of_business") -> DataFrame:
@@ -65,9 +75,88 @@ def nsaf_bridge(result: DataFrame, strata: str = "line_of_business") -> DataFram
     return result.select(strata, F.explode(lines).alias("x")).select(strata, "x.line_no", "x.line", F.round("x.amount", 2).alias("amount"))
 
 
-def develop(offset_ratio: float, factor: float) -> float:
-    """A ratio seen so far, developed to ultimate."""
-    return offset_ratio * factor
+def classify(denials: DataFrame, rebills: DataFrame, links: DataFrame, as_of: str, window: int = 365) -> DataFrame:
+    """The denials known at ``as_of`` with class, gross and offset by what was paid until then.
+
+    ``denials``: claim, day (of the recovery), paid, and where an appeal overturned them reversed_day and recouped (whether the rebill's
+    payment was taken back); ``rebills``: claim, paid, paid_day. Classes: matched (tiers 1 to 3 with a payment); D, overturned: the recovery is
+    taken back, and a rebill that was not recouped stays a cost; C, a rebill was paid but its link awaits review (tier 4);
+    A, the time to rebill is still open; B, it is over: no offset. Offsets above the recovery stay negative savings.
+    """
+    end = F.lit(as_of).cast("date")
+    paid = rebills.where(F.col("paid_day") <= end).select(F.col("claim").alias("r_claim"), F.col("paid").alias("rebill"))
+    by_denial = links.join(paid, "r_claim").groupBy(F.col("d_claim").alias("claim")).agg(F.sum(F.when(F.col("tier") <= 3, F.col("rebill"))).alias("linked"), F.count_if(F.col("tier") == 4).alias("in_review"))
+    rows = denials.where(F.col("day") <= end).join(by_denial, "claim", "left")
+    none = F.lit(0).cast(MONEY)
+    over = F.coalesce(F.col("reversed_day") <= end, F.lit(False))
+    kind = F.when(over, "D").when(F.col("linked").isNotNull(), "matched").when(F.col("in_review") > 0, "C").when(F.date_add("day", window) > end, "A").otherwise("B")
+    offset = F.when(over & F.col("recouped"), none).otherwise(F.coalesce("linked", none))
+    return rows.withColumns({"class": kind, "gross": F.when(over, none).otherwise(F.col("paid")).cast(MONEY), "offset": offset.cast(MONEY)}).drop("linked", "in_review")
+
+
+def offset_triangle(denials: DataFrame, rebills: DataFrame, links: DataFrame, as_of: str, ages: int = 18) -> DataFrame:
+    """cohort (month of recovery), age (months since), gross and offset paid up to that age, for the ages that ``as_of`` has seen; payments after the last age count there.
+
+    Two time axes: a cohort's recoveries, and when their offsets were paid. An appeal that takes a rebill back is a negative entry
+    at the age of the reversal.
+    """
+    end = F.lit(as_of).cast("date")
+    month = lambda c: F.trunc(c, "month")
+    known = denials.where(F.col("day") <= end).select(F.col("claim").alias("d_claim"), month("day").alias("cohort"), "paid", "reversed_day", "recouped")
+    age = lambda c: F.least(F.greatest(lag_months(c, F.col("cohort")), F.lit(0)), F.lit(ages))
+    pays = links.where("tier <= 3").join(rebills.where(F.col("paid_day") <= end).select(F.col("claim").alias("r_claim"), "paid_day", F.col("paid").alias("amount")), "r_claim").join(known, "d_claim")
+    back = F.when((F.col("reversed_day") <= end) & F.col("recouped"), F.struct(age(F.greatest("reversed_day", "paid_day")).alias("age"), (-F.col("amount")).alias("amount")))
+    entries = pays.select("cohort", F.explode(F.array_compact(F.array(F.struct(age(F.col("paid_day")).alias("age"), F.col("amount").alias("amount")), back))).alias("e")).groupBy("cohort", "e.age").agg(F.sum("e.amount").alias("amount"))
+    cohorts = known.groupBy("cohort").agg(F.sum("paid").alias("gross")).withColumn("age", F.explode(F.sequence(F.lit(0), F.least(F.lit(ages), lag_months(end, F.col("cohort"))))))
+    w = Window.partitionBy("cohort").orderBy("age")
+    return cohorts.join(entries, ["cohort", "age"], "left").select("cohort", "age", "gross", F.sum(F.coalesce("amount", F.lit(0).cast(MONEY))).over(w).alias("offset"))
+
+
+def offset_development(triangle: DataFrame) -> DataFrame:
+    """age, link (offsets at the next age over offsets at this one, of the cohorts that have seen both) and to_ultimate (the product of the links from here on); one row an age."""
+    later = triangle.select("cohort", (F.col("age") - 1).alias("age"), F.col("offset").alias("next"))
+    links = triangle.join(later, ["cohort", "age"]).groupBy("age").agg(F.sum("offset").alias("before"), F.sum("next").alias("after"))
+    links = links.select("age", F.round(F.coalesce(ratio(F.col("after"), F.col("before")), F.lit(1.0)), 6).alias("link"))
+    return links.withColumn("to_ultimate", F.round(F.product("link").over(Window.orderBy(F.desc("age")).rowsBetween(Window.unboundedPreceding, 0)), 6))
+
+
+def developed_cohorts(triangle: DataFrame, development: DataFrame) -> DataFrame:
+    """Each cohort at its last age: the observed offset ratio, the ratio developed to ultimate, the factor by which gross savings are stated net, and whether it is final."""
+    last = triangle.groupBy("cohort").agg(F.max("age").alias("age"), F.max("gross").alias("gross"), F.max_by("offset", "age").alias("offset"))
+    rows = last.join(development, "age", "left").withColumn("observed", F.round(ratio(F.col("offset"), F.col("gross")), 6))
+    ultimate = F.round(ratio(F.col("offset"), F.col("gross")) * F.coalesce("to_ultimate", F.lit(1.0)), 6)
+    return rows.select("cohort", "age", F.col("gross").cast("double").alias("gross"), "observed", ultimate.alias("ultimate"), F.round(1 - ultimate, 6).alias("nsaf"), F.col("to_ultimate").isNull().alias("final"))
+
+
+def nsaf_by_class(classified: DataFrame, cohorts: DataFrame, strata: str = "line_of_business") -> DataFrame:
+    """By stratum and class: claims, gross, the offset applied and its basis, and the stratum's offset ratio, matched ratio and net factor.
+
+    Matched and overturned claims take their own payments, C the stratum's matched ratio, A its cohort's developed ratio, B nothing.
+    """
+    rate = cohorts.select("cohort", F.greatest("ultimate", F.lit(0.0)).alias("rate"))
+    rows = classified.withColumn("cohort", F.trunc("day", "month")).groupBy(strata, "class", "cohort").agg(F.count(F.lit(1)).alias("n"), F.sum("gross").alias("gross"), F.sum("offset").alias("own"))
+    rows = rows.join(rate, "cohort", "left").groupBy(strata, "class").agg(F.sum("n").alias("n_claims"), F.sum("gross").alias("gross"), F.sum("own").alias("own"), F.sum(F.round(F.col("gross") * F.coalesce("rate", F.lit(0.0)), 4).cast(MONEY)).alias("developed"))
+    matched = rows.where("class = 'matched'").select(strata, ratio(F.col("own"), F.col("gross")).alias("matched_ratio"))
+    rows = rows.join(matched, strata, "left")
+    applied = F.when(F.col("class") == "C", F.round(F.col("gross") * F.coalesce("matched_ratio", F.lit(0.0)), 4).cast(MONEY)).when(F.col("class") == "A", F.col("developed")).otherwise(F.col("own"))
+    rows = rows.withColumn("applied", applied.cast(MONEY))
+    total = rows.groupBy(strata).agg(ratio(F.sum("applied"), F.sum("gross")).alias("offset_ratio"))
+    basis = F.element_at(F.create_map(*[F.lit(x) for pair in CLASS_BASIS for x in pair]), F.col("class"))
+    return rows.join(total, strata).select(
+        strata,
+        "class",
+        "n_claims",
+        F.col("gross").cast("double").alias("gross"),
+        F.round(F.col("applied").cast("double"), 2).alias("offset"),
+        basis.alias("basis"),
+        F.round("matched_ratio", 6).alias("matched_ratio"),
+        F.round("offset_ratio", 6).alias("offset_ratio"),
+        F.round(1 - F.col("offset_ratio"), 6).alias("net_factor"),
+    )
+
+
+#: What the offset of each class rests on.
+CLASS_BASIS = (("matched", "linked payments"), ("A", "developed"), ("B", "none"), ("C", "matched ratio"), ("D", "reversed"))
 
 
 def allocation_weights(df: DataFrame, group: list[str], measure: str) -> DataFrame:

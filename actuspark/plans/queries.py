@@ -22,7 +22,7 @@ CLOSE = adapters.CLOSES[-1]
 
 def _dense(spark: SparkSession, d: str) -> DataFrame:
     """The stored monthly table, built from the source when it is first asked for."""
-    return forecast.stored(spark, "monthly", _sources(d), lambda: forecast.stamped_monthly(adapters.raw_fact(spark, d), adapters.UNITS))
+    return forecast.latest_slice(forecast.stored(spark, "monthly", _sources(d), lambda: forecast.stamped_monthly(adapters.raw_fact(spark, d), adapters.UNITS)))
 
 
 def _sources(d: str) -> list[str]:
@@ -37,7 +37,7 @@ def _predictions(spark: SparkSession, d: str) -> DataFrame:
         edge = str(dense.agg(F.add_months(F.max(forecast.MONTH), -3)).first()[0])
         return projection.train_and_project(dense, edge).withColumn("VAL_DATE", F.lit(edge).cast("date"))
 
-    return forecast.stored(spark, "predictions", _sources(d), build)
+    return forecast.latest_slice(forecast.stored(spark, "predictions", _sources(d), build))
 
 
 def _rounded(df: DataFrame, places: int = 6, nudge: float = 0.0) -> DataFrame:
@@ -164,22 +164,31 @@ def f18_year_month_cube(spark, d):
 
 
 def _rebill_claims(spark, d):
-    """Denied (returned) and rebilled (not returned) lines as claims; the flag is filtered at the scan."""
+    """Denied (returned) and rebilled (not returned) lines as claims, stored once by kind.
+
+    A rebill is paid its line number of months later; every seventh line's denial is overturned after 90 days, and half of those rebills are recouped.
+    """
     claim = F.concat_ws("-", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", F.date_format("l_shipdate", "yyyyMMdd"), F.col("l_quantity").cast("int"))
 
-    def lines(flag: str) -> DataFrame:
-        rows = read_table(spark, d, "lineitem").where(F.col("l_returnflag") == flag).join(read_table(spark, d, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
+    def build() -> DataFrame:
+        rows = read_table(spark, d, "lineitem").where(F.col("l_returnflag").isin("R", "N")).join(read_table(spark, d, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
+        day = F.to_date("l_shipdate")
         return rows.select(
+            F.when(F.col("l_returnflag") == "R", "denial").otherwise("rebill").alias("kind"),
             claim.alias("claim"),
             F.col("l_orderkey").alias("ref"),
             F.col("o_custkey").alias("member"),
             (F.col("l_suppkey") % 10).alias("provider"),
-            F.to_date("l_shipdate").alias("day"),
+            day.alias("day"),
             F.col("o_orderstatus").alias("line_of_business"),
             F.col("l_extendedprice").cast(MONEY).alias("paid"),
-        ).dropDuplicates(["claim"])
+            F.add_months(day, F.col("l_linenumber")).alias("paid_day"),
+            F.when(F.col("l_linenumber") == 7, F.date_add(day, 90)).alias("reversed_day"),
+            (F.col("l_partkey") % 2 == 0).alias("recouped"),
+        ).dropDuplicates(["kind", "claim"])
 
-    return lines("R"), lines("N")
+    claims_table = forecast.stored(spark, "rebills", [f"{d}/{t}.parquet" for t in ("lineitem", "orders")], build, "kind")
+    return claims_table.where("kind = 'denial'").drop("kind"), claims_table.where("kind = 'rebill'").drop("kind")
 
 
 def e21_link_rebills(spark, d):
@@ -191,6 +200,35 @@ def l14_nsaf(spark, d):
     return planning.nsaf(denials, rebills, planning.link_rebills(denials, rebills))
 
 
+#: The day at which the classes and the development are seen.
+AS_OF = "2000-06-30"
+
+
+def _triangle(spark, d):
+    denials, rebills = _rebill_claims(spark, d)
+    return planning.offset_triangle(denials, rebills, planning.link_rebills(denials, rebills), AS_OF)
+
+
+def l14_development(spark, d):
+    """Factors to ultimate of the offsets by age."""
+    return planning.offset_development(_triangle(spark, d))
+
+
+def l14_cohorts(spark, d):
+    """Observed and developed offset ratios of each month's recoveries."""
+    triangle = _triangle(spark, d)
+    return planning.developed_cohorts(triangle, planning.offset_development(triangle))
+
+
+def l14_nsaf_classes(spark, d):
+    """Net savings by line of business and class of claim."""
+    denials, rebills = _rebill_claims(spark, d)
+    links = planning.link_rebills(denials, rebills)
+    triangle = planning.offset_triangle(denials, rebills, links, AS_OF)
+    cohorts = planning.developed_cohorts(triangle, planning.offset_development(triangle))
+    return planning.nsaf_by_class(planning.classify(denials, rebills, links, AS_OF), cohorts)
+
+
 def l15_nsaf_bridge(spark, d):
     return planning.nsaf_bridge(l14_nsaf(spark, d))
 
@@ -340,7 +378,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         l08_wcd_monthly, l08_wcd_relativities, l01_coverage, l02_completed_combined, l03_control_totals, l04_signals, l05_train_and_project, l06_final_output, l06_fitted_output, k01_first_level, k12_fitted_backtest,
         l07_seasonality, l07_clustered_shapes, k08_friedman, l09_complete_claims, l10_pmpm_dashboard, l11_restatement_grid, l11_restatement_by_segment,
-        l12_top_movers, l12_segment_change, l13_chain_ladder, f18_year_month_cube, e21_link_rebills, l14_nsaf, l15_nsaf_bridge, l16_actual_vs_expected,
+        l12_top_movers, l12_segment_change, l13_chain_ladder, f18_year_month_cube, e21_link_rebills, l14_nsaf, l14_development, l14_cohorts, l14_nsaf_classes, l15_nsaf_bridge, l16_actual_vs_expected,
         l17_ma_bid, l18_surveillance_regions, l18_surveillance_viruses, l19_transcript_report, m01_page_text, m05_keywords, m12_mentions,
         l20_source_advanced, l21_reconcile, n11_density, j09_gaps, e18_nearest_date, c22_train_start, c24_projection_flags, d09_usable_splits,
         d13_flat_series, e07_pair_metrics, f07_weighted_mean, j04_year_month_pivot, k12_backtest,
