@@ -7,7 +7,7 @@ Documents are sets of word shingles; two link when their Jaccard similarity is a
    are its shingles, and a global order (fewest documents first, then by hash; any order gives the
    same result) ranks them. A set within epsilon of a document can lack at most n - ceil(t n) of its
    shingles, so a document that is put into the regions of its first n - ceil(t n) + 1 pivots shares
-   a region with each document that it links with. The counts come from all documents: each block of
+   a region with each document that it links with. The counts come from all documents (in steps of an eighth of a doubling): each block of
    documents sends its shingles once to the slice of their hashes, and gets back those that other
    sets hold as well. A document whose own shingles alone fill the prefix links with nothing and
    leaves here; the others are few in a corpus of mostly different texts.
@@ -57,12 +57,12 @@ PIVOTS, LARGE, MANY, PIVOT_HASHES = 64, 256, 1024, 2_000_000
 PART = 2048
 #: Pivots that each document meets one after another before the rounds.
 TRIES = 2
-#: Counts of documents are told apart up to this number; a block sends at most so many documents of one shingle.
+#: A block sends at most so many documents of one shingle; of a shingle that more of them hold, it sends their number.
 CAP = 16
 #: Bytes and rows of text that a task holds as one block.
 BLOCK_BYTES, BLOCK_ROWS = 4_000_000, 65_536
-#: Slices of the hash space for each shuffle partition.
-SLICES = 4
+#: Slices of the hash space for each shuffle partition at least, and bytes of text for each slice at most (so a slice's hashes and counts take some 100 MB).
+SLICES, SLICE_BYTES = 4, 32_000_000
 #: Bits of a node's number for its place in its block, and for the block's place in its partition.
 ORD_BITS, BLOCK_BITS = 28, 14
 
@@ -111,7 +111,8 @@ def _whole(x: bytes) -> np.ndarray:
 
 
 #: A row for a document (hashes null), or for shingles of a block: their hashes, the documents (ords) that
-#: hold them and, once known, the counts; hashes without ords tell that CAP documents of a block hold them.
+#: hold them and, once known, the levels of their counts; hashes without ords tell how many documents of a block hold them
+#: (32-bit counts), and come back with the levels of the counts over all blocks.
 POSTINGS = "at int, block bigint, ord int, d bigint, x bigint, n int, rep int, hashes binary, ords binary, counts binary"
 _NAMES = [c.split()[0] for c in POSTINGS.split(", ")]
 _KINDS = [{"int": pa.int32(), "bigint": pa.int64(), "binary": pa.binary()}[c.split()[1]] for c in POSTINGS.split(", ")]
@@ -148,10 +149,10 @@ def _postings(batches: Iterator[pa.RecordBatch], words: int, slices: int) -> Ite
         often = np.zeros(len(h), bool)
         often[by_hash[many]] = True
         if often.any():
-            yield _batch(1, at=[block % slices], block=[block], hashes=[_planes(h[often])], ords=[ord_[often].tobytes()], counts=[np.full(often.sum(), CAP, np.uint8).tobytes()])
-            known = np.unique(h[often])
+            yield _batch(1, at=[block % slices], block=[block], hashes=[_planes(h[often])], ords=[ord_[often].tobytes()], counts=[np.zeros(often.sum(), np.uint8).tobytes()])
+            known, inside = np.unique(h[often], return_counts=True)
             at, cuts = _cuts(known, slices)
-            yield _batch(len(at), at=at, block=[block] * len(at), hashes=[_planes(known[a:b]) for a, b in cuts])
+            yield _batch(len(at), at=at, block=[block] * len(at), hashes=[_planes(known[a:b]) for a, b in cuts], counts=[inside[a:b].astype(np.uint32).tobytes() for a, b in cuts])
         h, ord_ = h[~often], ord_[~often]
         if len(h):
             order = np.argsort(_slice(h, slices), kind="stable")
@@ -171,6 +172,11 @@ def _cuts(h: np.ndarray, slices: int) -> tuple[list[int], list[tuple[int, int]]]
     return of[heads].tolist(), list(zip(heads.tolist(), [*heads[1:].tolist(), len(h)], strict=True))
 
 
+def _level(count: np.ndarray) -> np.ndarray:
+    """Counts as bytes, in steps of an eighth of a doubling."""
+    return np.minimum(8 * np.log2(count), 255).astype(np.uint8)
+
+
 def _groups(batches: Iterator[pa.RecordBatch], by: str) -> Iterator[list[dict]]:
     """Rows of sorted partitions with one value of ``by``."""
     held: list[dict] = []
@@ -189,7 +195,8 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     def wanted() -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ready = np.array([a is None or b is not None for a, b in zip(batch.column("hashes").to_pylist(), batch.column("counts").to_pylist(), strict=True)])
+            has = {c: batch.column(c).is_valid().to_numpy(zero_copy_only=False) for c in ("hashes", "ords", "counts")}
+            ready = ~has["hashes"] | (has["ords"] & has["counts"])
             passed.append(batch.filter(pa.array(ready)))
             yield batch.filter(pa.array(~ready))
 
@@ -200,16 +207,16 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = [_whole(r["hashes"]) for r in group]
         sizes = [len(h) for h in hashes]
         h = np.concatenate(hashes)
-        marks = np.repeat([r["ords"] is None for r in group], sizes)
         ords = np.concatenate([np.zeros(k, np.uint16) if r["ords"] is None else np.frombuffer(r["ords"], np.uint16) for r, k in zip(group, sizes, strict=True)])
+        times = np.concatenate([np.frombuffer(r["counts"], np.uint32) if r["ords"] is None else np.ones(k, np.uint32) for r, k in zip(group, sizes, strict=True)])
         of = np.repeat(np.arange(len(group)), sizes)
         order = np.argsort(h, kind="stable")
         s = h[order]
         heads = np.flatnonzero(np.concatenate(([True], s[1:] != s[:-1])))
-        counts = np.add.reduceat(np.where(marks, CAP, 1)[order], heads)
+        counts = np.add.reduceat(times[order].astype(np.int64), heads)
         count = np.empty(len(h), np.int64)
         count[order] = np.repeat(counts, np.diff(np.concatenate((heads, [len(h)]))))
-        go = np.flatnonzero((count > 1) & ~marks)
+        go = np.flatnonzero(count > 1)
         if not len(go):
             continue
         of, turns = of[go], np.flatnonzero(np.diff(of[go])) + 1
@@ -219,8 +226,8 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             at=[group[0]["at"]] * len(parts),
             block=[group[of[a]]["block"] for a, _ in parts],
             hashes=[_planes(h[go[a:b]]) for a, b in parts],
-            ords=[ords[go[a:b]].tobytes() for a, b in parts],
-            counts=[np.minimum(count[go[a:b]], CAP).astype(np.uint8).tobytes() for a, b in parts],
+            ords=[None if group[of[a]]["ords"] is None else ords[go[a:b]].tobytes() for a, b in parts],
+            counts=[_level(count[go[a:b]]).tobytes() for a, b in parts],
         )
     yield from passed
 
@@ -233,7 +240,8 @@ def _placed(batches: Iterator[pa.RecordBatch], per_cent: int) -> Iterator[pa.Rec
     for group in _groups(batches, "block"):
         block = group[0]["block"] << ORD_BITS
         docs = sorted((r for r in group if r["hashes"] is None), key=lambda r: r["ord"])
-        found = [r for r in group if r["hashes"] is not None]
+        found = [r for r in group if r["ords"] is not None]
+        told = [r for r in group if r["hashes"] is not None and r["ords"] is None]
         n = np.array([r["n"] for r in docs], np.int64)
         rep = np.array([r["rep"] for r in docs], np.int64)
         sets: list = [None] * len(docs)
@@ -242,6 +250,11 @@ def _placed(batches: Iterator[pa.RecordBatch], per_cent: int) -> Iterator[pa.Rec
             h = np.concatenate([_whole(r["hashes"]) for r in found])
             ords = np.concatenate([np.frombuffer(r["ords"], np.uint16) for r in found]).astype(np.int64)
             counts = np.concatenate([np.frombuffer(r["counts"], np.uint8) for r in found])
+            if told:
+                known = np.concatenate([_whole(r["hashes"]) for r in told])
+                o = np.argsort(known, kind="stable")
+                spot = o[np.minimum(np.searchsorted(known[o], h), len(known) - 1)]
+                counts = np.where(known[spot] == h, np.concatenate([np.frombuffer(r["counts"], np.uint8) for r in told])[spot], counts)
             shared = np.bincount(ords, minlength=len(docs))
             need = prefix_size(n, per_cent) - (n - shared)
             live = (need > 0) & (n > 0) & (rep == np.arange(len(docs)))
@@ -266,7 +279,8 @@ def _resolve(docs: DataFrame, key: str, text: str, words: int, per_cent: int, pi
     """node, d, x, n and the component c of each document."""
     spark = docs.sparkSession
     ship(spark)
-    slices = SLICES * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    size = docs.agg(F.coalesce(F.sum(F.octet_length(text)), F.lit(0)).alias("bytes")).first()["bytes"]
+    slices = min(max(SLICES * int(spark.conf.get("spark.sql.shuffle.partitions")), size // SLICE_BYTES), 1 << 24)
     rows = docs.select(whole_key(docs, key).alias("d"), F.col(text).alias("t"))
     placed = save(
         rows.mapInArrow(lambda b: _postings(b, words, slices), POSTINGS)
@@ -319,23 +333,25 @@ def link(members: DataFrame, sets: DataFrame, per_cent: int, pivots: int = PIVOT
     size n of the node's set and the sorted hashes of all its shingles that another set may hold; s is their number.
     """
     placed, edges, labels = _regions(members), None, None
+    size = placed.count()
     named = placed.where((F.col("node") != F.col("pivot")) & _may_link("", "p", per_cent)).groupBy("node", "pivot").agg(F.sum("times").alias("votes"))
-    named = save(named.withColumn("rank", F.row_number().over(Window.partitionBy("node").orderBy(F.desc("votes"), "pivot"))).where(F.col("rank") <= TRIES))
+    named = save(named.withColumn("rank", F.row_number().over(Window.partitionBy("node").orderBy(F.desc("votes"), "pivot"))).where(F.col("rank") <= TRIES), size)
     for k in range(1, TRIES + 1):
         pairs = named.where(F.col("rank") == k).select(F.col("node").alias("a"), F.col("pivot").alias("b"))
         if labels is not None:
             pairs = _labelled(pairs, labels, "a", "b").where("ca <> cb").select("a", "b")
         links = compare(pairs, sets, per_cent).where("links").select("a", "b")
         edges = links if edges is None else edges.unionByName(links)
-        labels = save(components(edges))
+        labels = save(components(edges, rows=size), size)
     now = _labelled(placed, labels, "node", "pivot").select("key", "node", "n", "s", "m", F.col("cnode").alias("c"), F.col("cpivot").alias("home"), F.lit(False).alias("done"), F.lit(None).cast("double").alias("far"))
-    now, moves = save(_open(now)), None
-    if now.isEmpty():
+    now, moves = save(_open(now), size), None
+    size = now.count()
+    if not size:
         return labels
     sets = save(sets.join(now.select("node").distinct(), "node", "left_semi"))
     first = True
-    while not now.isEmpty():
-        chosen = _next_pivots(now, pivots, large)
+    while size:
+        chosen = _next_pivots(now, pivots, large, size)
         wide = F.col("m") > large
         met = now.where(~wide).join(chosen, "key").where((F.col("node") != F.col("p")) & (F.col("c") != F.col("pc")) & _may_link("", "p", per_cent))
         # A member without a distance to the first pivot has everything in its window.
@@ -345,9 +361,9 @@ def link(members: DataFrame, sets: DataFrame, per_cent: int, pivots: int = PIVOT
         if not now.where(wide).isEmpty():
             linked = linked.unionByName(_crowds(now.where(wide), chosen, sets, per_cent))
         linked = _labelled(linked, now.select("node", F.col("c").alias("component")).distinct(), "a", "b")
-        fresh = save(linked.select(F.col("ca").alias("a"), F.col("cb").alias("b")).distinct())
+        fresh = save(linked.select(F.col("ca").alias("a"), F.col("cb").alias("b")).distinct(), size)
         moves = fresh if moves is None else moves.unionByName(fresh)
-        moved = components(fresh)
+        moved = components(fresh, rows=size)
         used = chosen.select("key", F.col("p").alias("node"), F.lit(True).alias("used"))
         now = now.join(used, ["key", "node"], "left").withColumn("done", F.col("done") | F.coalesce("used", F.lit(False))).drop("used")
         if first:
@@ -356,7 +372,8 @@ def link(members: DataFrame, sets: DataFrame, per_cent: int, pivots: int = PIVOT
             now = now.withColumn("far", F.when(F.col("node") == F.col("b"), 0.0).otherwise(F.col("away"))).drop("b", "away")
             first = False
         now = _labelled(now, moved, "c", "home").drop("c", "home").withColumnsRenamed({"cc": "c", "chome": "home"})
-        now = save(_open(now.select("key", "node", "n", "s", "m", "c", "home", "done", "far")))
+        now = save(_open(now.select("key", "node", "n", "s", "m", "c", "home", "done", "far")), size)
+        size = now.count()
     moved = save(components(moves))
     grown = labels.join(moved.select(F.col("node").alias("component"), F.col("component").alias("to")), "component", "left").select("node", F.coalesce("to", "component").alias("component"))
     return grown.unionByName(moved.join(labels.select("node"), "node", "left_anti").select("node", "component"))
@@ -377,13 +394,13 @@ def _labelled(df: DataFrame, labels: DataFrame, *columns: str) -> DataFrame:
     return df
 
 
-def _next_pivots(now: DataFrame, pivots: int, large: int) -> DataFrame:
+def _next_pivots(now: DataFrame, pivots: int, large: int, rows: int) -> DataFrame:
     """key, p, pn, ps, pc, pfar, rank: the next documents outside the component of their region's least one."""
     w = Window.partitionBy("key").orderBy("node")
     first = now.where("c <> home and not done").withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= MANY)
     room = F.when(F.col("m") <= large, F.col("rank") <= pivots).otherwise((F.col("hashes") <= PIVOT_HASHES) | (F.col("rank") == 1))
     chosen = first.withColumn("hashes", F.sum("s").over(w)).where(room)
-    return save(chosen.select("key", F.col("node").alias("p"), F.col("n").alias("pn"), F.col("s").alias("ps"), F.col("c").alias("pc"), F.col("far").alias("pfar"), "rank"))
+    return save(chosen.select("key", F.col("node").alias("p"), F.col("n").alias("pn"), F.col("s").alias("ps"), F.col("c").alias("pc"), F.col("far").alias("pfar"), "rank"), rows)
 
 
 def _crowds(now: DataFrame, chosen: DataFrame, sets: DataFrame, per_cent: int) -> DataFrame:
