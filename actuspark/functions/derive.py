@@ -147,3 +147,14 @@ def video_id(url: Column) -> Column:
 def month_number(name: Column) -> Column:
     """1 to 12 of an English month name; null for other texts."""
     return F.month(F.try_to_date(F.concat(F.lit("2000 "), F.initcap(name)), "yyyy MMMM"))
+
+
+def chi_square_tail(x: Column, degrees: Column) -> Column:
+    """The probability that a chi-square variable of ``degrees`` exceeds ``x``: one minus the regularised incomplete gamma function, by its series of positive terms."""
+    a, h = degrees.cast("double") / 2, x.cast("double") / 2
+    # ln of Gamma(a + 1): a (a - 1) ... down to 1, or to 1/2 and the root of pi.
+    log_gamma = F.aggregate(F.sequence(F.lit(0), F.ceil(a).cast("int") - 1), F.when(degrees % 2 == 1, F.log(F.sqrt(F.pi()))).otherwise(F.lit(0.0)), lambda s, i: s + F.log(a - i))
+    first = F.exp(a * F.log(h) - h - log_gamma)
+    start = F.struct(first.alias("term"), first.alias("sum"))
+    series = F.aggregate(F.sequence(F.lit(1), F.lit(400)), start, lambda s, n: F.struct((s["term"] * h / (a + n)).alias("term"), (s["sum"] + s["term"] * h / (a + n)).alias("sum")))["sum"]
+    return F.when(h <= 0, F.lit(1.0)).when(h > 250, F.lit(0.0)).otherwise(F.greatest(F.lit(0.0), 1 - series))

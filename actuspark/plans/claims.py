@@ -102,3 +102,29 @@ def pivot_year_month(df: DataFrame, measure: str, month: str = "incurred") -> Da
     """A row for each year with the columns 1 to 12, 0 where there is nothing."""
     rows = df.select(F.year(month).alias("year"), F.month(month).alias("_month"), measure)
     return rows.groupBy("year").pivot("_month", list(range(1, 13))).agg(F.sum(measure)).fillna(0)
+
+
+def period_averages(dashboard: DataFrame, close: str) -> DataFrame:
+    """year, period (Q1 to Q4, YTD, FY), n_months and the simple average of the monthly PMPM.
+
+    Quarters and the year to date take the months up to the reportable month's in every year, so years compare;
+    the full year needs its twelve months.
+    """
+    edge = reportable_month(F.lit(close).cast("date"))
+    within = F.month("incurred") <= F.month(edge)
+    periods = F.array_compact(F.array(F.when(within, F.concat(F.lit("Q"), F.quarter("incurred"))), F.when(within, "YTD"), F.lit("FY")))
+    rows = dashboard.select(F.year("incurred").alias("year"), F.explode(periods).alias("period"), F.col("pmpm").cast("decimal(18,4)").alias("pmpm"))
+    out = rows.groupBy("year", "period").agg(F.count(F.lit(1)).alias("n_months"), F.round((F.sum("pmpm").cast("double") / F.count("pmpm")), 4).alias("average"))
+    return out.where("period <> 'FY' or n_months = 12")
+
+
+def verdicts(changes: DataFrame) -> DataFrame:
+    """For each close and dimension (claim_type: IP or Non-IP; plan_type: HMO or PPO): both movements and which is the bigger mover.
+
+    ``changes``: close, segment (plan / claim) and change. The first side wins only if it is larger in size.
+    """
+    plan, claim = F.split("segment", " / ")[0], F.split("segment", " / ")[1]
+    total = lambda cond: F.round(F.sum(F.when(cond, F.col("change").cast(MONEY)).otherwise(0)).cast("double"), 2)
+    sums = changes.groupBy("close").agg(total(claim == "IP").alias("a1"), total(claim == "Non-IP").alias("b1"), total(plan == "HMO").alias("a2"), total(plan == "PPO").alias("b2"))
+    rows = F.array(*[F.struct(F.lit(d).alias("dimension"), F.lit(x).alias("first"), F.lit(y).alias("second"), F.col(f"a{k}").alias("first_change"), F.col(f"b{k}").alias("second_change")) for k, d, x, y in ((1, "claim_type", "IP", "Non-IP"), (2, "plan_type", "HMO", "PPO"))])
+    return sums.select("close", F.inline(rows)).withColumn("bigger", F.when(F.abs("first_change") > F.abs("second_change"), F.col("first")).otherwise(F.col("second")))

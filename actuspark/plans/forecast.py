@@ -208,3 +208,11 @@ def stamped_monthly(raw: DataFrame, units: tuple[str, ...]) -> DataFrame:
 
 def source_advanced(new: DataFrame, stored: DataFrame, c: str = "VAL_DATE") -> DataFrame:
     return new.agg(F.max(c).alias("new_max")).join(stored.agg(F.max(c).alias("stored_max"))).withColumn("advanced", F.coalesce(F.col("new_max") > F.col("stored_max"), F.col("new_max").isNotNull()))
+
+
+def require_advanced(new: DataFrame, stored: DataFrame, c: str = "VAL_DATE") -> DataFrame:
+    """``new`` itself; raises unless it is newer than what is stored."""
+    seen = source_advanced(new, stored, c).first()
+    if not seen["advanced"]:
+        raise checks.CheckFailed(f"the source is at {seen['new_max']}, and {seen['stored_max']} is stored already")
+    return new

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from . import transcripts
 from .adapters import CLOSES
 
 _LINES = """
@@ -184,7 +185,9 @@ t AS (SELECT *, round(sv * CAST(CASE WHEN stars >= 4.5 THEN 0.70 WHEN stars >= 3
 SELECT county, quartile, CAST(round(benchmark, 2) AS DOUBLE) AS benchmark, CAST(round(sv, 2) AS DOUBLE) AS savings, CAST(round(rb, 2) AS DOUBLE) AS rebate, CAST(round((bid + rb) * risk, 2) AS DOUBLE) AS payment FROM t""",
     "l18_surveillance_regions": f"WITH {_EVENTS} SELECT week, lab_type, 1 AS region_type, region, CAST(count(*) AS DOUBLE) AS m2, CAST(NULL AS DOUBLE) AS m3 FROM e GROUP BY week, lab_type, region",
     "l18_surveillance_viruses": f"WITH {_EVENTS} SELECT week, lab_type, 1 AS region_type, region, virus, CAST(NULL AS INTEGER) AS cumulative, 0 AS week3, CAST(count(*) AS INTEGER) AS n FROM e GROUP BY week, lab_type, region, virus",
-    "l20_source_advanced": f"WITH {_LINES} SELECT max(mon) AS new_max, CAST(max(mon) - INTERVAL 1 MONTH AS DATE) AS stored_max, true AS advanced FROM c",
+    "l20_source_advanced": f"""WITH {_LINES}, m AS (SELECT max(mon) AS new_max FROM c),
+s(stored, k) AS (VALUES ('older', -1), ('equal', 0), ('newer', 1), ('none', NULL)), t AS (SELECT stored, new_max, CAST(new_max + to_months(CAST(k AS INTEGER)) AS DATE) AS stored_max FROM m, s)
+SELECT *, coalesce(new_max > stored_max, new_max IS NOT NULL) AS advanced FROM t""",
     "l21_reconcile": f"""WITH {_DENSE}, a AS (SELECT DATE_REPORT_MONTH AS m, CAST(sum(PD) AS DOUBLE) AS a FROM cl GROUP BY 1), b AS (SELECT DATE_REPORT_MONTH AS m, CAST(sum(PD) AS DOUBLE) AS b FROM dense GROUP BY 1)
 SELECT count(a) AS n, round(avg(abs((a - b) / nullif(a, 0))), 6) AS mean_abs_pct FROM a JOIN b USING (m)""",
     "n11_density": f"""WITH {_DENSE}, s AS (SELECT MARKET, IS_DUAL, SEGMENT, SERVICE_CATEGORY, HCC, count(*) AS months, count(*) FILTER (PD = 0) AS zeros FROM dense GROUP BY ALL)
@@ -200,7 +203,9 @@ SELECT doc_id, word, n, CAST(rank AS INTEGER) AS rank FROM (SELECT *, row_number
     "k08_friedman": f"""WITH {_FACTORS_M}, r AS (SELECT *, rank() OVER (PARTITION BY MARKET, y ORDER BY factor) + (count(*) OVER (PARTITION BY MARKET, y, factor) - 1) / 2.0::DOUBLE AS r,
   count(*) OVER (PARTITION BY MARKET, y, factor) AS t, count(*) OVER (PARTITION BY MARKET, y) AS k FROM fac WHERE factor IS NOT NULL),
 a AS (SELECT MARKET, sum(t * t - 1) AS ties, count(DISTINCT y) AS n, max(k) AS k FROM r GROUP BY 1), b AS (SELECT MARKET, sum(s * s) AS ss FROM (SELECT MARKET, month, sum(r) AS s FROM r GROUP BY ALL) GROUP BY 1)
-SELECT MARKET, n, k, round(CAST((12 * ss / (n * k * (k + 1)) - 3 * n * (k + 1)) / nullif(1 - CAST(ties AS DOUBLE) / (n * (k * k * k - k)), 0) AS DOUBLE), 4) AS statistic FROM a JOIN b USING (MARKET) WHERE k >= 3 AND n >= 2""",
+SELECT MARKET, n, k, round(CAST((12 * ss / (n * k * (k + 1)) - 3 * n * (k + 1)) / nullif(1 - CAST(ties AS DOUBLE) / (n * (k * k * k - k)), 0) AS DOUBLE), 4) AS statistic,
+  round(greatest(0, 1 - list_sum(list_transform(range(0, 401), lambda j: exp(((k - 1) / 2.0::DOUBLE + j) * ln(x / 2) - x / 2 - lgamma((k - 1) / 2.0::DOUBLE + j + 1))))), 6) AS p_value
+FROM (SELECT *, CAST((12 * ss / (n * k * (k + 1)) - 3 * n * (k + 1)) / nullif(1 - CAST(ties AS DOUBLE) / (n * (k * k * k - k)), 0) AS DOUBLE) AS x FROM a JOIN b USING (MARKET)) WHERE k >= 3 AND n >= 2""",
     "m01_page_text": r"""WITH a AS (SELECT page_id, regexp_replace(html, '<(script|style)[^>]*>.*?</(script|style)>', ' ', 'gis') AS t FROM pages),
 b AS (SELECT page_id, regexp_replace(regexp_replace(t, '</?(p|div|br|li|h[1-6]|tr|article|section)[^>]*>', chr(10), 'gi'), '<[^>]+>', ' ', 'g') AS t FROM a),
 c AS (SELECT page_id, replace(replace(replace(replace(replace(t, '&nbsp;', ' '), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&amp;', '&') AS t FROM b),
@@ -288,3 +293,75 @@ SELECT lob AS line_of_business, c AS "class", CAST(n AS BIGINT) AS n_claims, CAS
   round(CAST(sum(applied) OVER (PARTITION BY lob) AS DOUBLE) / CAST(sum(gross) OVER (PARTITION BY lob) AS DOUBLE), 6) AS offset_ratio,
   round(1 - CAST(sum(applied) OVER (PARTITION BY lob) AS DOUBLE) / CAST(sum(gross) OVER (PARTITION BY lob) AS DOUBLE), 6) AS net_factor FROM t""",
 }
+
+_listed = lambda words: ", ".join(f"'{w}'" for w in words)
+_CLEAN = r"trim(regexp_replace(coalesce(text, ''), '[ \t\r\n]+', ' ', 'g'), ' ')"
+_SENTENCES = rf"""clean AS (SELECT doc_id, {_CLEAN} AS t FROM documents),
+sents AS (
+  SELECT doc_id, CAST(p - 1 AS INTEGER) AS pos, parts[p] AS sentence FROM (
+    SELECT doc_id, parts, unnest(range(1, len(parts) + 1)) AS p FROM (
+      SELECT doc_id, string_split(regexp_replace(regexp_replace(t, '{transcripts.STAMP}', '. \1', 'g'), '([.!?]) ([A-Z0-9"''(\[])', '\1' || chr(10) || '\2', 'g'), chr(10)) AS parts FROM clean))
+  WHERE len(string_split(parts[p], ' ')) >= 7)"""
+_SHORT = lambda c, n: f"CASE WHEN length({c}) <= {n} THEN {c} ELSE regexp_extract(substr({c}, 1, {n - 2}), '(?s)^(.*) ', 1) || '...' END"
+
+
+def _hits(units: str, keys: str, text: str) -> str:
+    """SQL of all mentions in the relation ``units``: aliases by lists of pieces, none that another match contains; tickers; capitalised phrases."""
+    low = f"regexp_extract_all(lower({text}), '{transcripts.PIECE}')"
+    # Letters beyond ASCII are letters at a word's edge, which the other engine's pattern knows only of ASCII ones.
+    text = rf"regexp_replace({text}, '[^\x00-\x7F\p{{P}}\p{{S}}\p{{Z}}\p{{C}}\p{{M}}]', '_', 'g')"
+    return rf"""(
+  WITH pc AS (SELECT {keys}, {low} AS p FROM {units}),
+  st AS (SELECT {keys}, unnest(list_transform(list_filter(range(1, len(p) + 1), lambda i: regexp_matches(p[i], '^{transcripts.WORD}')), lambda i: {{'i': i, 'w': p[i], 'tail': p[i:i + 8]}}), recursive := true) FROM pc),
+  al AS (SELECT phrase, min(name) AS name, any_value(len(regexp_extract_all(phrase, '{transcripts.WORD}'))) AS n, any_value(regexp_extract(phrase, '{transcripts.WORD}')) AS w FROM (SELECT name, lower(unnest(aliases)) AS phrase FROM named) GROUP BY phrase),
+  ph AS (SELECT {keys}, i, 2 * n - 1 AS span, name FROM st JOIN al USING (w) WHERE array_to_string(tail[1:2 * n - 1], '') = phrase),
+  tk AS (SELECT {keys}, x AS ticker, pl FROM (SELECT {keys}, unnest(l) AS x, unnest(range(len(l))) AS pl FROM (SELECT {keys}, regexp_extract_all({text}, '{transcripts.TICKER_TOKEN}') AS l FROM {units})) WHERE regexp_matches(x, '^[A-Z]{{2,5}}(\.[A-Z])?$')),
+  cp AS (SELECT {keys}, regexp_replace(x, '^[ .,:;!?()\[\]]+|[ .,:;!?()\[\]]+$', '', 'g') AS name, pl FROM (SELECT {keys}, unnest(l) AS x, unnest(range(len(l))) AS pl FROM (SELECT {keys}, regexp_extract_all({text}, '{transcripts.CAPITALISED}') AS l FROM {units})))
+  SELECT {keys}, 0 AS kind, i AS pl, name, ticker FROM ph JOIN named USING (name)
+    WHERE NOT EXISTS (SELECT 1 FROM ph o WHERE {" AND ".join(f"o.{k} = ph.{k}" for k in keys.split(", "))} AND o.i <= ph.i AND o.i + o.span >= ph.i + ph.span AND o.span > ph.span)
+  UNION ALL SELECT {keys}, 0, pl, name, ticker FROM tk JOIN named USING (ticker)
+  UNION ALL SELECT {keys}, 1, pl, ticker, ticker FROM tk WHERE ticker NOT IN (SELECT ticker FROM named WHERE ticker IS NOT NULL) AND ticker NOT IN ({_listed(transcripts.STOP_TICKERS)})
+  UNION ALL SELECT {keys}, 2, pl, name, NULL FROM cp WHERE length(name) >= 4 AND name <> upper(name) AND (len(string_split(name, ' ')) >= 2 OR string_split(name, ' ')[-1] IN ({_listed(transcripts.COMPANY_SUFFIXES)}))
+    AND lower(string_split(name, ' ')[1]) NOT IN ({_listed(transcripts.NO_FIRST_WORDS)}) AND lower(name) <> 'all in')"""
+
+
+#: The dictionary of ``queries.NAMED``.
+_NAMED = """named(name, ticker, aliases) AS (VALUES ('Apache Foundation', NULL, ['Apache License', 'Apache License, Version 2.0', 'apache']), ('Free Software', 'GNU', ['GNU General Public License', 'General Public License', 'GPL']),
+  ('Institute', 'MIT', ['MIT License']), ('Commons', 'CC', ['Creative Commons', 'CC BY-NC']))"""
+
+ORACLE_SQL |= {
+    "l19_transcript_report": rf"""WITH {_SENTENCES},
+w AS (SELECT doc_id, unnest(l) AS word, unnest(range(len(l))) AS pl FROM (SELECT doc_id, regexp_extract_all(lower(t), '{transcripts.WORD}') AS l FROM clean)),
+f AS (SELECT doc_id, word, count(*) AS n, min(pl) AS pl FROM w WHERE regexp_matches(word, '^[a-z]{{4,}}$') AND word NOT IN ({_listed(transcripts.STOPWORDS)}) GROUP BY ALL),
+top AS (SELECT doc_id, word, least(n, 7) AS points FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY n DESC, pl) AS k FROM f) WHERE k <= 30),
+held AS (SELECT s.doc_id, s.pos, sum(points) AS points FROM sents s JOIN top ON s.doc_id = top.doc_id AND contains(lower(sentence), word) GROUP BY ALL),
+g AS (SELECT s.*, round((coalesce(points, 0) + 5 * len(list_intersect(list_distinct(regexp_extract_all(lower(sentence), '{transcripts.WORD}')), [{_listed(transcripts.SIGNAL_WORDS)}]))
+  + CASE WHEN regexp_matches(sentence, '{transcripts.TICKER_LIKE}') THEN 4 ELSE 0 END) / greatest(1.0::DOUBLE, length(sentence) / 180.0::DOUBLE), 6) AS score FROM sents s LEFT JOIN held USING (doc_id, pos)),
+r AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, pos DESC) AS rank, least(6, greatest(3, round_even(count(*) OVER (PARTITION BY doc_id) / 35.0::DOUBLE, 0))) AS k FROM g),
+z AS (SELECT *, regexp_replace(sentence, '(?i)^(Speaker [0-9]+)[: \-]+', '') AS s FROM r WHERE rank <= k)
+SELECT doc_id, pos, CAST(rank AS INTEGER) AS rank, score, {_SHORT("s", 280)} AS sentence FROM z""",
+    "l19_mentions": rf"""WITH {_NAMED}, {_SENTENCES},
+c AS (SELECT doc_id, kind, lower(name) AS low, count(*) AS n, max_by(name, pl) AS name, max(ticker) AS ticker FROM {_hits("clean", "doc_id", "t")} GROUP BY ALL HAVING kind < 2 OR count(*) >= 2),
+b AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY doc_id, low ORDER BY kind) AS f FROM c) WHERE f = 1),
+t AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY n DESC, low) AS rank FROM b) WHERE rank <= 25),
+h AS (SELECT DISTINCT doc_id, pos, kind, lower(name) AS low FROM {_hits("sents", "doc_id, pos", "sentence")}),
+x AS (SELECT doc_id, kind, low, list({_SHORT("sentence", 220)} ORDER BY pos) AS s FROM h JOIN sents USING (doc_id, pos) GROUP BY ALL)
+SELECT doc_id, CAST(rank AS INTEGER) AS rank, name, ticker, n, CASE WHEN kind = 0 THEN 'high' WHEN kind = 1 AND n > 1 THEN 'medium' ELSE 'low' END AS confidence,
+  ['known aliases', 'ticker pattern', 'capitalized phrase heuristic'][kind + 1] AS source, s[1] AS context_1, s[2] AS context_2 FROM t LEFT JOIN x USING (doc_id, kind, low)""",
+}
+
+ORACLE_SQL |= {
+    "l10_pmpm_averages": f"""WITH p AS ({ORACLE_SQL["l10_pmpm_dashboard"]}), e AS (SELECT month(last_day(CAST(DATE '{CLOSES[-1]}' - INTERVAL 2 MONTH AS DATE))) AS m),
+x AS (SELECT year(incurred) AS year, 'Q' || quarter AS period, pmpm FROM p, e WHERE month(incurred) <= m UNION ALL SELECT year(incurred), 'YTD', pmpm FROM p, e WHERE month(incurred) <= m UNION ALL SELECT year(incurred), 'FY', pmpm FROM p)
+SELECT CAST(year AS INTEGER) AS year, period, count(*) AS n_months, round(CAST(sum(CAST(pmpm AS DECIMAL(18,4))) AS DOUBLE) / count(*), 4) AS average FROM x GROUP BY year, period HAVING period <> 'FY' OR count(*) = 12""",
+    "l12_verdicts": f"""WITH g AS ({ORACLE_SQL["l12_segment_change"]}), d AS (SELECT close, string_split(segment, ' / ') AS s, CAST(change AS DECIMAL(18,4)) AS c FROM g),
+v AS (
+  SELECT close, 'claim_type' AS dimension, 'IP' AS "first", 'Non-IP' AS "second", sum(c) FILTER (s[2] = 'IP') AS a, sum(c) FILTER (s[2] = 'Non-IP') AS b FROM d GROUP BY close
+  UNION ALL SELECT close, 'plan_type', 'HMO', 'PPO', sum(c) FILTER (s[1] = 'HMO'), sum(c) FILTER (s[1] = 'PPO') FROM d GROUP BY close)
+SELECT close, dimension, "first", "second", round(CAST(coalesce(a, 0) AS DOUBLE), 2) AS first_change, round(CAST(coalesce(b, 0) AS DOUBLE), 2) AS second_change, CASE WHEN abs(coalesce(a, 0)) > abs(coalesce(b, 0)) THEN "first" ELSE "second" END AS bigger FROM v""",
+    "l17_mlr": f"""WITH q AS ({ORACLE_SQL["l17_ma_bid"]}), s AS (
+  SELECT s_suppkey AS county, CAST(CASE s_suppkey % 4 WHEN 0 THEN 0.9 WHEN 1 THEN 1.0 WHEN 2 THEN 1.1 ELSE 1.2 END AS DECIMAL(2,1)) AS risk,
+    round((abs(CAST(s_acctbal AS DECIMAL(12,2))) * CAST(0.1 AS DECIMAL(2,1)) + 500) * CAST(CASE s_suppkey % 5 WHEN 0 THEN 0.8 WHEN 1 THEN 0.9 WHEN 2 THEN 1.0 WHEN 3 THEN 1.1 ELSE 1.2 END AS DECIMAL(2,1)), 2) AS bid FROM supplier),
+m AS (SELECT county, round(CAST(bid * risk AS DOUBLE) * 6 / 7, 4) AS medical, payment FROM q JOIN s USING (county))
+SELECT *, round(medical / payment, 6) AS mlr, round(medical / payment, 6) >= 0.85 AS meets_floor FROM m""",
+}

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.derive import MONEY, lag_months, ratio
+from ..operators.checks import CheckFailed
 
 
 def link_rebills(denials: DataFrame, rebills: DataFrame, near: int = 3, window: int = 365) -> DataFrame:
@@ -167,7 +168,7 @@ def allocation_weights(df: DataFrame, group: list[str], measure: str) -> DataFra
 
 def actual_vs_expected(actual: DataFrame, forecast: DataFrame, weights: DataFrame, period: list[str], dims: list[str]) -> DataFrame:
     """Forecast allocated by weight, against actuals: variance, ratio and per member, rolled up over ``dims``."""
-    expected = forecast.join(weights.select(*period, *dims, "weight"), period).select(*period, *dims, F.round(F.col("forecast") * F.col("weight"), 4).cast(MONEY).alias("expected"))
+    expected = allocate(forecast, weights, period, dims)
     both = actual.join(expected, [*period, *dims], "full_outer")
     rolled = both.rollup(*dims).agg(F.sum("actual").alias("a"), F.sum("expected").alias("e"), F.sum("member_months").alias("m"))
     a, e = F.coalesce("a", F.lit(0).cast(MONEY)), F.coalesce("e", F.lit(0).cast(MONEY))
@@ -214,3 +215,24 @@ def payment(df: DataFrame) -> DataFrame:
     savings = F.when(gain > 0, gain).otherwise(F.lit(0))
     out = df.withColumns({"savings": F.round(savings, 4), "rebate": F.round(savings * _by_stars(F.col("stars"), REBATES), 4)})
     return out.withColumn("payment", F.round((F.col("bid") + F.col("rebate")) * F.col("risk"), 2))
+
+
+def medical_loss_ratio(plans: DataFrame, medical: str, revenue: str, floor: str = "0.85") -> DataFrame:
+    """``plans`` with mlr (expected medical cost over revenue) and meets_floor."""
+    mlr = F.round(ratio(F.col(medical), F.col(revenue)), 6)
+    return plans.withColumns({"mlr": mlr, "meets_floor": mlr >= float(floor)})
+
+
+def assert_rolls_up(expected: DataFrame, forecast: DataFrame, period: list[str], tolerance: float = 0.01) -> DataFrame:
+    """``expected`` itself; raises if its total of a period is not the forecast's, or a period of the forecast has no allocation."""
+    both = forecast.select(*period, "forecast").join(expected.groupBy(*period).agg(F.sum("expected").cast("double").alias("total")), period, "full_outer")
+    gap = both.where(~(F.coalesce(F.abs(F.col("total") - F.col("forecast")), F.lit(float("inf"))) <= tolerance)).limit(5).collect()
+    if gap:
+        raise CheckFailed(f"allocation does not add up to the forecast: {[r.asDict() for r in gap]}")
+    return expected
+
+
+def allocate(forecast: DataFrame, weights: DataFrame, period: list[str], dims: list[str]) -> DataFrame:
+    """The forecast of each period dealt out over ``dims`` by weight, checked against its total."""
+    out = forecast.join(weights.select(*period, *dims, "weight"), period).select(*period, *dims, F.round(F.col("forecast") * F.col("weight"), 4).cast(MONEY).alias("expected"))
+    return assert_rolls_up(out, forecast, period)

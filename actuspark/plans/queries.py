@@ -12,11 +12,10 @@ from ..functions import windows as W
 from ..functions.derive import MONEY, approx_median, rate_per_k, ratio, weighted_mean
 from ..operators import checks, frames
 from ..sources.readers import read_table
-from . import adapters, calendar_index, claims, forecast, planning, projection, scenarios, seasonality, surveillance, text
+from . import adapters, calendar_index, claims, forecast, planning, projection, scenarios, seasonality, surveillance, text, transcripts
 
-#: Words of the corpora that carry no topic, and words that mark a conclusion (fixed values).
+#: Words of the corpora that carry no topic (fixed values).
 STOP = ["that", "with", "from", "this", "were", "have", "they", "their", "dass", "nicht", "eine", "pour", "avec", "dans", "para", "como"]
-SIGNALS = ["tion", "ment", "ung"]
 CLOSE = adapters.CLOSES[-1]
 
 
@@ -139,6 +138,10 @@ def l10_pmpm_dashboard(spark, d):
     return claims.pmpm_dashboard(claims.complete_claims(paid, claims.completion_factors(claims.chain_ladder(paid)), CLOSE), members, CLOSE)
 
 
+def l10_pmpm_averages(spark, d):
+    return claims.period_averages(l10_pmpm_dashboard(spark, d), CLOSE)
+
+
 def l11_restatement_grid(spark, d):
     return _rounded(claims.restatement_grid(*adapters.closes(spark, d)))
 
@@ -155,6 +158,10 @@ def l12_segment_change(spark, d):
     return claims.segment_change(claims.restatement_by_segment(adapters.closes(spark, d)[0]))
 
 
+def l12_verdicts(spark, d):
+    return claims.verdicts(l12_segment_change(spark, d))
+
+
 def l13_chain_ladder(spark, d):
     return _rounded(claims.chain_ladder(adapters.closes(spark, d)[0]))
 
@@ -252,6 +259,16 @@ def l17_ma_bid(spark, d):
     return planning.ma_bid(plans).select("county", "quartile", *[F.round(c, 2).cast("double").alias(c) for c in ("benchmark", "savings", "rebate", "payment")])
 
 
+def l17_mlr(spark, d):
+    """The medical loss ratio of each county's payment, with six sevenths of the risk-adjusted bid as medical cost."""
+    k, tenth = F.col("s_suppkey"), F.lit(Decimal("0.1"))
+    risk = (F.lit(Decimal("0.9")) + (k % 4).cast("decimal(3,0)") * tenth).alias("risk")
+    plans = l17_ma_bid(spark, d).join(read_table(spark, d, "supplier").select(k.alias("county"), risk, F.abs(F.col("s_acctbal").cast("decimal(12,2)")).alias("balance"), (k % 5).cast("decimal(3,0)").alias("step")), "county")
+    bid = F.round((F.col("balance") * tenth + 500) * (F.lit(Decimal("0.8")) + F.col("step") * tenth), 2)
+    medical = F.round((bid * F.col("risk")).cast("double") * 6 / 7, 4)
+    return planning.medical_loss_ratio(plans.withColumn("medical", medical), "medical", "payment").select("county", "medical", "payment", "mlr", "meets_floor")
+
+
 def _payloads(spark, d):
     """Weekly payloads of the events: two laboratory types, ten regions, event types as viruses."""
     e = read_table(spark, d, "events").select(F.floor(F.datediff("ts", F.lit("2024-01-01").cast("date")) / 7).alias("w"), (F.col("user_id") % 2).alias("lab"), (F.col("user_id") % 10).alias("r"), F.length("event_type").alias("v"), "value")
@@ -281,7 +298,24 @@ def m05_keywords(spark, d):
 
 
 def l19_transcript_report(spark, d):
-    return text.summarize(_docs(spark, d), "doc_id", "text", STOP, SIGNALS)
+    """The extractive summary of each document."""
+    return transcripts.summaries(_docs(spark, d), "doc_id", "text")
+
+
+#: Licences stand for companies, as texts name them: name, ticker, aliases.
+NAMED = [
+    ("Apache Foundation", None, ["Apache License", "Apache License, Version 2.0", "apache"]),
+    ("Free Software", "GNU", ["GNU General Public License", "General Public License", "GPL"]),
+    ("Institute", "MIT", ["MIT License"]),
+    ("Commons", "CC", ["Creative Commons", "CC BY-NC"]),
+]
+
+
+def l19_mentions(spark, d):
+    """Mentions of the dictionary, tickers and capitalised phrases of each document with two contexts."""
+    named = spark.createDataFrame(NAMED, "name string, ticker string, aliases array<string>")
+    found = transcripts.mentions(_docs(spark, d), "doc_id", "text", named)
+    return found.select("doc_id", "rank", "name", "ticker", "n", "confidence", "source", *[F.get("contexts", F.lit(k)).alias(f"context_{k + 1}") for k in (0, 1)])
 
 
 def m12_mentions(spark, d):
@@ -298,8 +332,13 @@ def m01_page_text(spark, d):
 
 
 def l20_source_advanced(spark, d):
-    raw = forecast.extract_snapshot(adapters.raw_fact(spark, d)).select("VAL_DATE", "MAJ_SRV_CAT", "YR_MO")
-    return forecast.source_advanced(raw, raw.select(F.add_months("VAL_DATE", -1).alias("VAL_DATE")))
+    """The source against a stored snapshot that is a month older, of the same month, a month newer, and empty."""
+    raw = forecast.extract_snapshot(adapters.raw_fact(spark, d)).select("VAL_DATE").distinct()
+    out = None
+    for case, stored in (("older", raw.select(F.add_months("VAL_DATE", -1).alias("VAL_DATE"))), ("equal", raw), ("newer", raw.select(F.add_months("VAL_DATE", 1).alias("VAL_DATE"))), ("none", raw.where("false"))):
+        own = forecast.source_advanced(raw, stored).select(F.lit(case).alias("stored"), "*")
+        out = own if out is None else out.unionByName(own)
+    return out
 
 
 def l21_reconcile(spark, d):
@@ -377,9 +416,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         l08_wcd_monthly, l08_wcd_relativities, l01_coverage, l02_completed_combined, l03_control_totals, l04_signals, l05_train_and_project, l06_final_output, l06_fitted_output, k01_first_level, k12_fitted_backtest,
-        l07_seasonality, l07_clustered_shapes, k08_friedman, l09_complete_claims, l10_pmpm_dashboard, l11_restatement_grid, l11_restatement_by_segment,
-        l12_top_movers, l12_segment_change, l13_chain_ladder, f18_year_month_cube, e21_link_rebills, l14_nsaf, l14_development, l14_cohorts, l14_nsaf_classes, l15_nsaf_bridge, l16_actual_vs_expected,
-        l17_ma_bid, l18_surveillance_regions, l18_surveillance_viruses, l19_transcript_report, m01_page_text, m05_keywords, m12_mentions,
+        l07_seasonality, l07_clustered_shapes, k08_friedman, l09_complete_claims, l10_pmpm_dashboard, l10_pmpm_averages, l11_restatement_grid, l11_restatement_by_segment,
+        l12_top_movers, l12_segment_change, l12_verdicts, l13_chain_ladder, f18_year_month_cube, e21_link_rebills, l14_nsaf, l14_development, l14_cohorts, l14_nsaf_classes, l15_nsaf_bridge, l16_actual_vs_expected,
+        l17_ma_bid, l17_mlr, l18_surveillance_regions, l18_surveillance_viruses, l19_transcript_report, l19_mentions, m01_page_text, m05_keywords, m12_mentions,
         l20_source_advanced, l21_reconcile, n11_density, j09_gaps, e18_nearest_date, c22_train_start, c24_projection_flags, d09_usable_splits,
         d13_flat_series, e07_pair_metrics, f07_weighted_mean, j04_year_month_pivot, k12_backtest,
     )

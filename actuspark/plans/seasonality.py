@@ -8,7 +8,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.derive import clip, month_name, ratio
+from ..functions.derive import chi_square_tail, clip, month_name, ratio
 from ..operators.frames import complete_groups
 
 MONTHS = [str(m) for m in range(1, 13)]
@@ -76,7 +76,7 @@ def scaffold(keys_df: DataFrame, factors: DataFrame, keys: list[str]) -> DataFra
 
 
 def friedman(df: DataFrame, group: str, block: str, treatment: str, value: str) -> DataFrame:
-    """Friedman's statistic by group with mean ranks for ties and the tie correction."""
+    """Friedman's statistic by group with mean ranks for ties and the tie correction, and its p-value with k - 1 degrees of freedom."""
     cell = Window.partitionBy(group, block)
     rank = F.rank().over(cell.orderBy(value))
     ties = F.count(F.lit(1)).over(Window.partitionBy(group, block, value))
@@ -86,7 +86,7 @@ def friedman(df: DataFrame, group: str, block: str, treatment: str, value: str)
     n, k = F.col("n"), F.col("k")
     raw = 12 * F.col("ss") / (n * k * (k + 1)) - 3 * n * (k + 1)
     fix = 1 - F.col("ties") / (n * (k * k * k - k))
-    return tie.join(sums, group).where("k >= 3 and n >= 2").select(group, "n", "k", F.round(F.try_divide(raw, fix), 4).alias("statistic"))
+    return tie.join(sums, group).where("k >= 3 and n >= 2").select(group, "n", "k", F.round(F.try_divide(raw, fix), 4).alias("statistic"), F.round(chi_square_tail(F.try_divide(raw, fix), k - 1), 6).alias("p_value"))
 
 
 def residual_trend(df: DataFrame, keys: list[str], x: str, y: str) -> DataFrame:

@@ -42,25 +42,6 @@ def top_words(freq: DataFrame, key: str, n: int = 30) -> DataFrame:
     return freq.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n)
 
 
-def score_sentences(sents: DataFrame, top: DataFrame, key: str, signals: list[str]) -> DataFrame:
-    """Each sentence's score: capped frequencies of the top words it holds and 5 for each signal word, less for long sentences."""
-    words = sents.select(key, "pos", F.explode(F.array_distinct(F.regexp_extract_all(F.lower("sentence"), F.lit("[a-z]+"), F.lit(0)))).alias("word"))
-    held = words.join(top.select(key, "word", "n"), [key, "word"]).groupBy(key, "pos").agg(F.sum(F.least("n", F.lit(7))).alias("points"))
-    low = F.lower("sentence")
-    extra = sum((F.when(low.contains(s), 5).otherwise(0) for s in signals), F.lit(0))
-    out = sents.join(held, [key, "pos"], "left")
-    return out.withColumn("score", F.round((F.coalesce("points", F.lit(0)) + extra) / F.greatest(F.lit(1.0), F.length("sentence") / 180.0), 6)).drop("points")
-
-
-def summarize(docs: DataFrame, key: str, text: str, stop: list[str], signals: list[str], most: int = 6) -> DataFrame:
-    """The best sentences of each document in reading order: min(most, max(3, sentences / 35)) of them; later ones win ties."""
-    sents = sentences(docs, key, text)
-    scored = score_sentences(sents, top_words(keyword_freq(docs, key, text, stop), key), key, signals)
-    n = scored.groupBy(key).agg(F.least(F.lit(most), F.greatest(F.lit(3), F.bround(F.count(F.lit(1)) / 35).cast("int"))).alias("k"))
-    w = Window.partitionBy(key).orderBy(F.desc("score"), F.desc("pos"))
-    return scored.join(n, key).withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= F.col("k")).select(key, "pos", "rank", "score", F.substring("sentence", 1, 220).alias("sentence"))
-
-
 def dictionary_mentions(docs: DataFrame, aliases: DataFrame, key: str, text: str) -> DataFrame:
     """Mentions of each name: words of the text that are one of its aliases (name, alias in lower case)."""
     word = F.explode(F.regexp_extract_all(F.lower(F.col(text)), F.lit("[a-z]+"), F.lit(0)))
@@ -86,10 +67,3 @@ def merge_mentions(key: str, *sources: tuple[str, DataFrame]) -> DataFrame:
 def top_mentions(mentions: DataFrame, key: str, n: int) -> DataFrame:
     w = Window.partitionBy(key).orderBy(F.desc("n"), "name")
     return mentions.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n)
-
-
-def mention_contexts(sents: DataFrame, mentions: DataFrame, key: str, n: int = 2) -> DataFrame:
-    """The first sentences that hold each mention, cut at 220 characters."""
-    w = Window.partitionBy(key, "name").orderBy("pos")
-    rows = sents.join(mentions.select(key, "name"), key).where(F.contains("sentence", F.col("name")))
-    return rows.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= n).groupBy(key, "name").agg(F.array_sort(F.collect_list(F.struct("pos", F.substring("sentence", 1, 220).alias("sentence")))).alias("contexts"))

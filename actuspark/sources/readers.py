@@ -39,10 +39,13 @@ def read_feed(spark: SparkSession, path: str) -> DataFrame:
 
 
 def captions_to_text(payload: Column) -> Column:
-    """The words of a JSON caption payload."""
+    """The words of a caption payload: the segments of JSON events, or the text nodes of XML."""
     parsed = F.from_json(payload, "events array<struct<segs:array<struct<utf8:string>>>>")
-    parts = F.flatten(F.transform(parsed["events"], lambda e: F.transform(F.coalesce(e["segs"], F.array().cast("array<struct<utf8:string>>")), lambda s: s["utf8"])))
-    return F.trim(F.regexp_replace(F.array_join(parts, " "), r"\s+", " "))
+    events = F.flatten(F.transform(parsed["events"], lambda e: F.transform(F.coalesce(e["segs"], F.array().cast("array<struct<utf8:string>>")), lambda s: s["utf8"])))
+    is_xml = F.ltrim(payload).startswith("<")
+    nodes = F.from_xml(F.when(is_xml, payload), "text array<struct<_VALUE string, _start string>>", {"valueTag": "_VALUE"})
+    lines = F.transform(nodes["text"], lambda t: F.coalesce(t["_VALUE"], F.lit("")))
+    return F.trim(F.regexp_replace(F.array_join(F.when(is_xml, lines).otherwise(events), " "), r"\s+", " "))
 
 
 def read_docs(spark: SparkSession, path: str) -> DataFrame:

@@ -182,10 +182,3 @@ def test_shapes(spark):
     assert rows(seasonality.residual_trend(line, ["g"], "x", "y")) == [("a", 2.0, 1.0)]
     grid = spark.createDataFrame([("a", D(2024, 1, 31), 1.0), ("a", D(2024, 2, 29), 2.0)], "k string, close date, v double")
     assert claims.pivot_reports(grid, ["k"], ("2024-01-31", "2024-02-29"), "v").first()[:] == ("a", 1.0, 2.0)
-
-
-def test_contexts(spark):
-    docs = spark.createDataFrame([(1, "Alpha one two three four five six. Nothing one two three four five six. Alpha again two three four five six. Alpha third two three four five six.")], "doc_id int, text string")
-    sents = text.sentences(docs, "doc_id", "text")
-    got = text.mention_contexts(sents, spark.createDataFrame([(1, "Alpha")], "doc_id int, name string"), "doc_id").first()
-    assert [c["pos"] for c in got["contexts"]] == [0, 2]
