@@ -65,6 +65,14 @@ def raw_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return claims.unionByName(members, allowMissingColumns=True)
 
 
+def member_months(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row for each member, place and month of enrolment: age group, sex and risk follow from the member's key."""
+    k = F.col("o_custkey")
+    rows = _orders(spark, sf_dir).select(F.col("ENTY").alias("MARKET"), "SEGMENT", F.col("O_MONTH").alias("DATE_REPORT_MONTH"), "o_custkey").distinct()
+    age = F.element_at(F.array(F.lit("Pediatric"), F.lit("Adult"), F.lit("Senior")), (k % 3 + 1).cast("int"))
+    return rows.select("MARKET", "SEGMENT", "DATE_REPORT_MONTH", age.alias("AGE_GROUP"), (k % 2).cast("int").alias("FEMALE"), (8 + k % 5).cast("decimal(4,0)").alias("RISK"), F.lit(1).cast("bigint").alias("MED_MM"))
+
+
 def closes(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Claims (close, month, plan, claim type, paid) and members (close, month, plan, months) at three closes.
 

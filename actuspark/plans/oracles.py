@@ -135,12 +135,6 @@ SELECT (SELECT max(mon) FROM c) AS VAL_DATE, ENTY, MAJ_SRV_CAT, min(ym[1:6]) AS
 r AS (SELECT unnest([{{'metric': 'paid', 'expected': CAST(ps - po AS DOUBLE), 'actual': CAST(pd AS DOUBLE)}}, {{'metric': 'units', 'expected': CAST(us - uo AS DOUBLE), 'actual': CAST(ud AS DOUBLE)}},
   {{'metric': 'paid with orphans', 'expected': CAST(ps AS DOUBLE), 'actual': CAST(pd AS DOUBLE)}}, {{'metric': 'member months', 'expected': CAST(ms AS DOUBLE), 'actual': CAST(md AS DOUBLE)}}]) x FROM t)
 SELECT x.metric, x.expected, x.actual, x.metric = 'member months' AS hard, round(x.actual - x.expected, 4) AS diff, round((x.actual - x.expected) / nullif(x.expected, 0), 6) AS pct FROM r""",
-    "l04_signals": f"""WITH {_DENSE}, b AS (SELECT {_KEYS}, CASE WHEN abs(PMPM) < 1e-9 THEN 0.0 ELSE PMPM END AS target FROM dense),
-s AS (SELECT *, avg(target) OVER (PARTITION BY MARKET, SERVICE_CATEGORY, DATE_REPORT_MONTH) AS section, CAST(row_number() OVER {_W} AS INTEGER) AS position FROM b)
-SELECT {_KEYS}, round(target + 1e-7, 3) AS target, position, {", ".join(f"round(lag(target, {n}) OVER {_W} + 1e-7, 3) AS target_lag{n}" for n in (1, 2, 3, 12))},
-  round(CASE WHEN count(target) OVER {_W12} >= 3 THEN avg(target) OVER {_W12} END + 1e-7, 3) AS mean_12, round(CASE WHEN count(target) OVER {_W12} >= 3 THEN var_samp(target) OVER {_W12} END + 1e-7, 3) AS var_12,
-  CASE WHEN count(target) OVER {_W12} >= 3 THEN CAST(sum(CASE WHEN abs(target) < 1e-9 THEN 1 ELSE 0 END) OVER {_W12} AS BIGINT) END AS zeros_12,
-  round(CASE WHEN count(target) OVER {_W12} >= 3 THEN regr_slope(target, position) OVER {_W12} END + 1e-7, 3) AS slope_12, round(CASE WHEN count(section) OVER {_W12} >= 3 THEN avg(section) OVER {_W12} END + 1e-7, 3) AS encoding_12 FROM s""",
     "l06_final_output": f"""WITH {_DENSE}, n AS (SELECT {_KEYS}, lag(PMPM, 12) OVER {_W} AS p FROM dense), old AS (SELECT * FROM dense WHERE DATE_REPORT_MONTH < DATE '2001-04-01'),
 last AS (SELECT MARKET, IS_DUAL, SEGMENT, SERVICE_CATEGORY, HCC, arg_max(MM, DATE_REPORT_MONTH) AS lm FROM old GROUP BY ALL)
 SELECT {_KEYS}, round(p, 6) AS PREDICTED_PMPM, coalesce(MM, lm) AS MM, CAST(PD AS DOUBLE) AS PD, CAST(UTIL AS DOUBLE) AS UTIL, round(PMPM, 6) AS ACTUAL_PMPM, MM IS NULL AS CARRIED,
@@ -365,3 +359,23 @@ SELECT close, dimension, "first", "second", round(CAST(coalesce(a, 0) AS DOUBLE)
 m AS (SELECT county, round(CAST(bid * risk AS DOUBLE) * 6 / 7, 4) AS medical, payment FROM q JOIN s USING (county))
 SELECT *, round(medical / payment, 6) AS mlr, round(medical / payment, 6) >= 0.85 AS meets_floor FROM m""",
 }
+
+_settled = lambda x: f"CAST(round(CAST({x} AS DECIMAL(28,10)), 6) AS DOUBLE)"
+
+_SIGNALS = f"""WITH {_DENSE}, b AS (SELECT {_KEYS}, CASE WHEN abs(PMPM) < 1e-9 THEN 0.0 ELSE PMPM END AS target FROM dense),
+s AS (SELECT *, avg(target) OVER (PARTITION BY MARKET, SERVICE_CATEGORY, DATE_REPORT_MONTH) AS section, CAST(row_number() OVER {_W} AS INTEGER) AS position FROM b),
+sig AS (SELECT {_KEYS}, {_settled('target')} AS target, position, {", ".join(f"{_settled(f'lag(target, {n}) OVER {_W}')} AS target_lag{n}" for n in (1, 2, 3, 12))},
+  {_settled(f'CASE WHEN count(target) OVER {_W12} >= 3 THEN avg(target) OVER {_W12} END')} AS mean_12, round(CASE WHEN count(target) OVER {_W12} >= 3 THEN var_samp(target) OVER {_W12} END, 2) AS var_12,
+  CASE WHEN count(target) OVER {_W12} >= 3 THEN CAST(sum(CASE WHEN abs(target) < 1e-9 THEN 1 ELSE 0 END) OVER {_W12} AS BIGINT) END AS zeros_12,
+  {_settled(f'CASE WHEN count(target) OVER {_W12} >= 3 THEN regr_slope(target, position) OVER {_W12} END')} AS slope_12, {_settled(f'CASE WHEN count(section) OVER {_W12} >= 3 THEN avg(section) OVER {_W12} END')} AS encoding_12 FROM s)"""
+
+ORACLE_SQL["l04_signals"] = f"{_SIGNALS} SELECT * FROM sig"
+ORACLE_SQL["l04_enriched"] = f"""{_SIGNALS},
+days AS (SELECT CAST(d AS DATE) AS d, CAST(date_trunc('month', d) AS DATE) AS DATE_REPORT_MONTH FROM (SELECT unnest(generate_series((SELECT min(DATE_REPORT_MONTH) FROM dense), last_day((SELECT max(DATE_REPORT_MONTH) FROM dense)), INTERVAL 1 DAY)) AS d)),
+cal AS (SELECT DATE_REPORT_MONTH, CAST(month(DATE_REPORT_MONTH) AS INTEGER) AS MONTH_NBR, CAST(date_diff('month', (SELECT min(DATE_REPORT_MONTH) FROM dense), DATE_REPORT_MONTH) AS INTEGER) AS LINEAR_MONTH, count(*) FILTER (isodow(d) <= 5) AS WORKDAY FROM days GROUP BY 1),
+mem AS (SELECT DISTINCT enty AS MARKET, segment AS SEGMENT, omon AS DATE_REPORT_MONTH, o_custkey AS k FROM o),
+pop AS (SELECT MARKET, SEGMENT, DATE_REPORT_MONTH, {", ".join(f"round(CAST(count(*) FILTER (k % 3 = {n}) AS DOUBLE) / count(*), 6) AS {a}_SHARE" for n, a in enumerate(("PEDIATRIC", "ADULT", "SENIOR")))},
+  round(CAST(count(*) FILTER (k % 2 = 1) AS DOUBLE) / count(*), 6) AS FEMALE_SHARE, round(CAST(sum(8 + k % 5) AS DOUBLE) / count(*), 6) AS PROSP_RISK FROM mem GROUP BY ALL),
+fac AS ({ORACLE_SQL["l07_seasonality"]})
+SELECT sig.*, MONTH_NBR, LINEAR_MONTH, WORKDAY, PEDIATRIC_SHARE, ADULT_SHARE, SENIOR_SHARE, FEMALE_SHARE, PROSP_RISK, coalesce(factor, 1.0) AS SEASONAL_FACTOR
+FROM sig LEFT JOIN cal USING (DATE_REPORT_MONTH) LEFT JOIN pop USING (MARKET, SEGMENT, DATE_REPORT_MONTH) LEFT JOIN fac ON sig.MARKET = fac.MARKET AND sig.SERVICE_CATEGORY = fac.SERVICE_CATEGORY AND MONTH_NBR = fac.month"""

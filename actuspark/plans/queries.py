@@ -12,7 +12,7 @@ from ..functions import windows as W
 from ..functions.derive import MONEY, approx_median, rate_per_k, ratio, weighted_mean
 from ..operators import checks, frames
 from ..sources.readers import read_table
-from . import adapters, calendar_index, claims, forecast, planning, projection, scenarios, seasonality, surveillance, text, transcripts
+from . import adapters, calendar_index, claims, enrichment, forecast, planning, projection, scenarios, seasonality, surveillance, text, transcripts
 
 #: Words of the corpora that carry no topic (fixed values).
 STOP = ["that", "with", "from", "this", "were", "have", "they", "their", "dass", "nicht", "eine", "pour", "avec", "dans", "para", "como"]
@@ -39,9 +39,9 @@ def _predictions(spark: SparkSession, d: str) -> DataFrame:
     return forecast.latest_slice(forecast.stored(spark, "predictions", _sources(d), build))
 
 
-def _rounded(df: DataFrame, places: int = 6, nudge: float = 0.0) -> DataFrame:
-    """Decimals as doubles, doubles rounded. A nudge far below the last place settles halves, whatever the order of the sums behind them."""
-    return df.select(*[F.col(c).cast("double").alias(c) if k.startswith("decimal") else F.round(F.col(c) + nudge if nudge else F.col(c), places).alias(c) if k == "double" else F.col(c) for c, k in df.dtypes])
+def _rounded(df: DataFrame, places: int = 6) -> DataFrame:
+    """Decimals as doubles, doubles rounded."""
+    return df.select(*[F.col(c).cast("double").alias(c) if k.startswith("decimal") else F.round(c, places).alias(c) if k == "double" else F.col(c) for c, k in df.dtypes])
 
 
 def l01_coverage(spark, d):
@@ -58,8 +58,20 @@ def l03_control_totals(spark, d):
     return forecast.control_totals(raw, _dense(spark, d), adapters.UNITS)
 
 
+def _settled(rows: DataFrame) -> DataFrame:
+    """The signals to six places by way of ten, where two orders of a sum meet again, so that halves are exact decimals; variances, which doubles hold to fewer places, to two."""
+    exact = ("target", "target_lag1", "target_lag2", "target_lag3", "target_lag12", "mean_12", "slope_12", "encoding_12")
+    return rows.withColumns({c: F.round(F.col(c).cast("decimal(28,10)"), 6).cast("double") for c in exact} | {"var_12": F.round("var_12", 2)})
+
+
 def l04_signals(spark, d):
-    return _rounded(forecast.signals(_dense(spark, d)), 3, 1e-7)
+    return _settled(forecast.signals(_dense(spark, d)))
+
+
+def l04_enriched(spark, d):
+    """The signals with calendar, population, risk and seasonal factor."""
+    dense = _dense(spark, d)
+    return _rounded(_settled(enrichment.enrich_signals(forecast.signals(dense), dense, adapters.member_months(spark, d), l07_seasonality(spark, d))))
 
 
 def l05_train_and_project(spark, d):
@@ -415,7 +427,7 @@ def k12_backtest(spark, d):
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
-        l08_wcd_monthly, l08_wcd_relativities, l01_coverage, l02_completed_combined, l03_control_totals, l04_signals, l05_train_and_project, l06_final_output, l06_fitted_output, k01_first_level, k12_fitted_backtest,
+        l08_wcd_monthly, l08_wcd_relativities, l01_coverage, l02_completed_combined, l03_control_totals, l04_signals, l04_enriched, l05_train_and_project, l06_final_output, l06_fitted_output, k01_first_level, k12_fitted_backtest,
         l07_seasonality, l07_clustered_shapes, k08_friedman, l09_complete_claims, l10_pmpm_dashboard, l10_pmpm_averages, l11_restatement_grid, l11_restatement_by_segment,
         l12_top_movers, l12_segment_change, l12_verdicts, l13_chain_ladder, f18_year_month_cube, e21_link_rebills, l14_nsaf, l14_development, l14_cohorts, l14_nsaf_classes, l15_nsaf_bridge, l16_actual_vs_expected,
         l17_ma_bid, l17_mlr, l18_surveillance_regions, l18_surveillance_viruses, l19_transcript_report, l19_mentions, m01_page_text, m05_keywords, m12_mentions,
