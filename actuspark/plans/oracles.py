@@ -379,3 +379,9 @@ pop AS (SELECT MARKET, SEGMENT, DATE_REPORT_MONTH, {", ".join(f"round(CAST(count
 fac AS ({ORACLE_SQL["l07_seasonality"]})
 SELECT sig.*, MONTH_NBR, LINEAR_MONTH, WORKDAY, PEDIATRIC_SHARE, ADULT_SHARE, SENIOR_SHARE, FEMALE_SHARE, PROSP_RISK, coalesce(factor, 1.0) AS SEASONAL_FACTOR
 FROM sig LEFT JOIN cal USING (DATE_REPORT_MONTH) LEFT JOIN pop USING (MARKET, SEGMENT, DATE_REPORT_MONTH) LEFT JOIN fac ON sig.MARKET = fac.MARKET AND sig.SERVICE_CATEGORY = fac.SERVICE_CATEGORY AND MONTH_NBR = fac.month"""
+
+ORACLE_SQL["k10_cluster_factors"] = f"""WITH {_FACTORS}, av AS (SELECT MARKET, SERVICE_CATEGORY, month, CAST(round(CAST(CAST(sum(CAST(factor AS DECIMAL(18,4))) AS DOUBLE) / count(factor) AS DECIMAL(18,8)), 4) AS DOUBLE) AS f FROM fac GROUP BY ALL),
+g AS (SELECT MARKET, SERVICE_CATEGORY, m AS month, coalesce(f, 1.0) AS f FROM (SELECT DISTINCT MARKET, SERVICE_CATEGORY FROM av) CROSS JOIN range(1, 13) t(m) LEFT JOIN av USING (MARKET, SERVICE_CATEGORY) WHERE av.month = m OR av.month IS NULL),
+fl AS (SELECT MARKET, SERVICE_CATEGORY, bool_and(f = 1) AS flat FROM g GROUP BY ALL),
+md AS (SELECT SERVICE_CATEGORY, month, median(f) AS med FROM g JOIN fl USING (MARKET, SERVICE_CATEGORY) WHERE NOT flat GROUP BY ALL)
+SELECT MARKET, SERVICE_CATEGORY, CAST(month AS INTEGER) AS month, least(greatest(CASE WHEN flat THEN 1.0 ELSE coalesce(med, 1.0) END, 0.5), 2.0) AS factor FROM g JOIN fl USING (MARKET, SERVICE_CATEGORY) LEFT JOIN md USING (SERVICE_CATEGORY, month)"""

@@ -121,6 +121,24 @@ def l07_clustered_shapes(spark, d):
     return seasonality.repair_small(seasonality.cluster_shapes(vectors, 4), keys, 2).select(*keys, "cluster")
 
 
+def _shapes(spark, d, keys):
+    by_month = _dense(spark, d).groupBy(*keys, forecast.MONTH).agg(F.sum("PD").alias("PD"), F.sum("MM").alias("MM"))
+    return seasonality.month_vectors(seasonality.average_years(seasonality.norm_factors(by_month, keys, forecast.MONTH, "PD", "MM"), keys), keys)
+
+
+def k10_cluster_factors(spark, d):
+    """Factors of given clusters (one for each service category): medians by cluster and month."""
+    keys = ["MARKET", "SERVICE_CATEGORY"]
+    shapes = _shapes(spark, d, keys)
+    return seasonality.cluster_factors(shapes, shapes.select(*keys, F.col("SERVICE_CATEGORY").alias("cluster")), keys)
+
+
+def k07_sweep(spark, d):
+    """Inertia and Euclidean silhouette of the shapes by market, category and segment for two to five clusters."""
+    found = seasonality.sweep_k(_shapes(spark, d, ["MARKET", "SERVICE_CATEGORY", "SEGMENT"]), [2, 3, 4, 5])
+    return _rounded(spark.createDataFrame(found, "k int, inertia double, silhouette double"))
+
+
 def k08_friedman(spark, d):
     keys = ["MARKET"]
     by_month = _dense(spark, d).groupBy(*keys, forecast.MONTH).agg(F.sum("PD").alias("PD"), F.sum("MM").alias("MM"))
@@ -428,7 +446,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         l08_wcd_monthly, l08_wcd_relativities, l01_coverage, l02_completed_combined, l03_control_totals, l04_signals, l04_enriched, l05_train_and_project, l06_final_output, l06_fitted_output, k01_first_level, k12_fitted_backtest,
-        l07_seasonality, l07_clustered_shapes, k08_friedman, l09_complete_claims, l10_pmpm_dashboard, l10_pmpm_averages, l11_restatement_grid, l11_restatement_by_segment,
+        l07_seasonality, l07_clustered_shapes, k07_sweep, k10_cluster_factors, k08_friedman, l09_complete_claims, l10_pmpm_dashboard, l10_pmpm_averages, l11_restatement_grid, l11_restatement_by_segment,
         l12_top_movers, l12_segment_change, l12_verdicts, l13_chain_ladder, f18_year_month_cube, e21_link_rebills, l14_nsaf, l14_development, l14_cohorts, l14_nsaf_classes, l15_nsaf_bridge, l16_actual_vs_expected,
         l17_ma_bid, l17_mlr, l18_surveillance_regions, l18_surveillance_viruses, l19_transcript_report, l19_mentions, m01_page_text, m05_keywords, m12_mentions,
         l20_source_advanced, l21_reconcile, n11_density, j09_gaps, e18_nearest_date, c22_train_start, c24_projection_flags, d09_usable_splits,

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.ml.clustering import KMeans
-from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.derive import chi_square_tail, clip, month_name, ratio
 from ..operators.frames import complete_groups
+from ..sources import scratch
 
 MONTHS = [str(m) for m in range(1, 13)]
 
@@ -53,17 +55,77 @@ def repair_small(clustered: DataFrame, keys: list[str], least: int) -> DataFrame
     return rows.withColumn("cluster", F.when((F.col("size") < least) & (F.size("valid") > 0), best).otherwise(F.col("cluster"))).drop("size", "valid")
 
 
-def sweep_k(vectors: DataFrame, ks: list[int], seed: int = 7) -> list[tuple[int, float, float]]:
-    """(k, within-cluster cost, silhouette) for each k."""
-    rows = VectorAssembler(inputCols=MONTHS, outputCol="shape").transform(vectors).persist()
+def inertia(clustered: DataFrame) -> DataFrame:
+    """One row: n and the sum of squared distances of the shapes to the centres of their clusters."""
+    centres = clustered.groupBy("cluster").agg(*[F.avg(m).alias(f"c{m}") for m in MONTHS])
+    square = sum(((F.col(m) - F.col(f"c{m}")) * (F.col(m) - F.col(f"c{m}")) for m in MONTHS), F.lit(0.0))
+    return clustered.join(centres, "cluster").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum(square), 6).alias("inertia"))
+
+
+def silhouette(clustered: DataFrame, block: int = 2000) -> float | None:
+    """The mean silhouette of shapes in their clusters by Euclidean distances; null below two clusters.
+
+    All distances count, so points are dealt into blocks of about ``block`` and a task compares two blocks as arrays: it gives
+    each point's sum of distances to each cluster there, and Spark adds the sums up. A point alone in its cluster has 0.
+    """
+    scratch.ship(clustered.sparkSession)
+    parts = 1 + clustered.count() // block
+    shape = F.array(*[F.col(m) for m in MONTHS])
+    rows = clustered.select(F.xxhash64(F.monotonically_increasing_id()).alias("_h"), F.monotonically_increasing_id().alias("id"), "cluster", shape.alias("shape"))
+    rows = rows.select("id", "cluster", "shape", F.pmod("_h", F.lit(parts)).cast("int").alias("own"))
+    every = F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))
+    left = rows.select(F.col("own").alias("i"), every.alias("j"), F.lit(0).alias("role"), "id", "cluster", "shape")
+    right = rows.select(every.alias("i"), F.col("own").alias("j"), F.lit(1).alias("role"), "id", "cluster", "shape")
+
+    def run(pair: pd.DataFrame) -> pd.DataFrame:
+        points, others = pair[pair["role"] == 0], pair[pair["role"] == 1]
+        out = []
+        if len(points) and len(others):
+            x = np.stack(points["shape"].to_numpy())
+            for cluster, own in others.groupby("cluster"):
+                far = np.sqrt(((x[:, None, :] - np.stack(own["shape"].to_numpy())[None, :, :]) ** 2).sum(axis=2))
+                out.append(pd.DataFrame({"id": points["id"], "cluster": points["cluster"], "other": cluster, "far": far.sum(axis=1), "n": len(own)}))
+        return pd.concat(out) if out else pd.DataFrame({"id": [], "cluster": [], "other": [], "far": [], "n": []})
+
+    sums = left.unionByName(right).groupBy("i", "j").applyInPandas(run, "id bigint, cluster int, other int, far double, n bigint")
+    sums = sums.groupBy("id", "cluster", "other").agg(F.sum("far").alias("far"), F.sum("n").alias("n"))
+    same = F.col("cluster") == F.col("other")
+    point = sums.groupBy("id").agg(F.max(F.when(same, F.col("n"))).alias("n"), F.max(F.when(same, F.try_divide(F.col("far"), F.col("n") - 1))).alias("a"), F.min(F.when(~same, F.col("far") / F.col("n"))).alias("b"))
+    value = F.when(F.col("n") == 1, 0.0).otherwise(F.coalesce(F.try_divide(F.col("b") - F.col("a"), F.greatest("a", "b")), F.lit(0.0)))
+    return point.where("b is not null").agg(F.avg(value)).first()[0]
+
+
+def sweep_k(vectors: DataFrame, ks: list[int], seed: int = 7) -> list[tuple[int, float, float | None]]:
+    """(k, inertia, mean Euclidean silhouette) for each k."""
     out = []
-    for k in ks:
-        model = KMeans(k=k, seed=seed, featuresCol="shape", predictionCol="cluster").fit(rows)
-        out.append((k, model.summary.trainingCost, ClusteringEvaluator(featuresCol="shape", predictionCol="cluster").evaluate(model.transform(rows))))
-    rows.unpersist()
+    with scratch.space(vectors.sparkSession) as keep:
+        shapes = keep(vectors)
+        for k in ks:
+            made = keep(cluster_shapes(shapes, k, seed))
+            out.append((k, inertia(made).first()["inertia"], silhouette(made)))
     return out
 
 
+def cluster_factors(vectors: DataFrame, labels: DataFrame, keys: list[str]) -> DataFrame:
+    """keys, month and factor from given clusters: the median of each cluster and month over its groups, clipped.
+
+    Flat groups (all twelve factors are 1) stand apart: they stay 1 and are no members of a cluster.
+    """
+    flat = F.forall(F.array(*[F.col(m) for m in MONTHS]), lambda v: v == 1.0)
+    months = vectors.withColumn("flat", flat).select(*keys, "flat", F.posexplode(F.array(*[F.col(m) for m in MONTHS])).alias("at", "own")).withColumn("month", F.col("at") + 1)
+    rows = months.join(labels.select(*keys, "cluster"), keys, "left")
+    medians = rows.where("not flat and cluster is not null").groupBy("cluster", "month").agg(F.median("own").alias("median"))
+    out = rows.join(medians, ["cluster", "month"], "left")
+    return out.select(*keys, "month", clip(F.when(F.col("flat"), 1.0).otherwise(F.col("median"))).alias("factor"))
+
+
+def flat_apart(vectors: DataFrame, k: int, seed: int = 7) -> DataFrame:
+    """``vectors`` with clusters of those that vary; flat ones get none."""
+    flat = F.forall(F.array(*[F.col(m) for m in MONTHS]), lambda v: v == 1.0)
+    varied = cluster_shapes(vectors.where(~flat), k, seed)
+    return varied.unionByName(vectors.where(flat).withColumn("cluster", F.lit(None).cast("int")))
+
+
 def cluster_median(factors: DataFrame, clusters: DataFrame, keys: list[str]) -> DataFrame:
     return factors.join(clusters.select(*keys, "cluster"), keys).groupBy("cluster", "month").agg(F.median("factor").alias("factor"))
 
