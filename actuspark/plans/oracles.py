@@ -385,3 +385,7 @@ g AS (SELECT MARKET, SERVICE_CATEGORY, m AS month, coalesce(f, 1.0) AS f FROM (S
 fl AS (SELECT MARKET, SERVICE_CATEGORY, bool_and(f = 1) AS flat FROM g GROUP BY ALL),
 md AS (SELECT SERVICE_CATEGORY, month, median(f) AS med FROM g JOIN fl USING (MARKET, SERVICE_CATEGORY) WHERE NOT flat GROUP BY ALL)
 SELECT MARKET, SERVICE_CATEGORY, CAST(month AS INTEGER) AS month, least(greatest(CASE WHEN flat THEN 1.0 ELSE coalesce(med, 1.0) END, 0.5), 2.0) AS factor FROM g JOIN fl USING (MARKET, SERVICE_CATEGORY) LEFT JOIN md USING (SERVICE_CATEGORY, month)"""
+
+ORACLE_SQL["l18_labelled"] = f"""WITH {_EVENTS}
+SELECT week, CASE lab_type WHEN 0 THEN 'Clinical Labs' WHEN 1 THEN 'Public Health Labs' END AS lab, coalesce(r_name, CAST(region AS VARCHAR)) AS place, count(*) AS n, count(DISTINCT virus) AS n_viruses
+FROM e LEFT JOIN region ON region = r_regionkey GROUP BY ALL"""

@@ -319,6 +319,19 @@ def l18_surveillance_viruses(spark, d):
     return surveillance.flatten_viruses(surveillance.flatten_regions(_payloads(spark, d)))
 
 
+#: Laboratory types (fixed values); a type without a label shows its id.
+LAB_TYPES = [(0, "Clinical Labs"), (1, "Public Health Labs")]
+
+
+def l18_labelled(spark, d):
+    """Counts by week, laboratory type and region with labels; regions are named by the region table, those that it lacks by their id."""
+    viruses = surveillance.flatten_viruses(surveillance.flatten_regions(_payloads(spark, d)))
+    labs = spark.createDataFrame(LAB_TYPES, "lab_type int, lab string")
+    places = read_table(spark, d, "region").select(F.col("r_regionkey").cast("int").alias("region"), F.col("r_name").alias("place"))
+    rows = frames.decode(frames.decode(viruses, labs, "lab_type", "lab"), places, "region", "place")
+    return rows.groupBy("week", "lab", "place").agg(F.sum("n").alias("n"), F.count_distinct("virus").alias("n_viruses"))
+
+
 def _docs(spark, d):
     return read_table(spark, d, "documents").select("doc_id", "text")
 
@@ -448,7 +461,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         l08_wcd_monthly, l08_wcd_relativities, l01_coverage, l02_completed_combined, l03_control_totals, l04_signals, l04_enriched, l05_train_and_project, l06_final_output, l06_fitted_output, k01_first_level, k12_fitted_backtest,
         l07_seasonality, l07_clustered_shapes, k07_sweep, k10_cluster_factors, k08_friedman, l09_complete_claims, l10_pmpm_dashboard, l10_pmpm_averages, l11_restatement_grid, l11_restatement_by_segment,
         l12_top_movers, l12_segment_change, l12_verdicts, l13_chain_ladder, f18_year_month_cube, e21_link_rebills, l14_nsaf, l14_development, l14_cohorts, l14_nsaf_classes, l15_nsaf_bridge, l16_actual_vs_expected,
-        l17_ma_bid, l17_mlr, l18_surveillance_regions, l18_surveillance_viruses, l19_transcript_report, l19_mentions, m01_page_text, m05_keywords, m12_mentions,
+        l17_ma_bid, l17_mlr, l18_surveillance_regions, l18_surveillance_viruses, l18_labelled, l19_transcript_report, l19_mentions, m01_page_text, m05_keywords, m12_mentions,
         l20_source_advanced, l21_reconcile, n11_density, j09_gaps, e18_nearest_date, c22_train_start, c24_projection_flags, d09_usable_splits,
         d13_flat_series, e07_pair_metrics, f07_weighted_mean, j04_year_month_pivot, k12_backtest,
     )
