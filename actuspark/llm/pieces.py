@@ -73,7 +73,7 @@ def _roll(h: np.ndarray, c: np.ndarray) -> np.ndarray:
 class Lattice:
     """Parts that were met, as nodes with the sampling weights of the pieces that end there."""
 
-    def __init__(self, pieces: dict[str, tuple[int, float]], byte_ids: list[int], alpha: float):
+    def __init__(self, pieces: dict[str, tuple[int, float]], byte_ids: list[int], alpha: float, most: int = NODES):
         #: By length: hashes of the pieces' prefixes, with the piece of that text or -1, its weight, and whether pieces go on.
         self.by_size = {}
         prefixes: dict[str, bool] = {}
@@ -91,7 +91,7 @@ class Lattice:
             o = np.argsort(h)
             ids, logs = zip(*[(pieces[p][0], -alpha * math.log(max(pieces[p][1], 0.0) + 2)) if p in pieces else (-1, 0.0) for p in own], strict=True)
             self.by_size[k] = h[o], np.array(ids, np.int64)[o], np.array(logs)[o], np.array([prefixes[p] for p in own])[o]
-        self.byte_ids, self.alpha = byte_ids, alpha
+        self.byte_ids, self.alpha, self.most = byte_ids, alpha, most
         self.longest = max(map(len, pieces), default=1)
         self.byte_weight = -alpha * math.log(2 * len(pieces) + 2)
         self.first_char = max([i for i, _ in pieces.values()] + byte_ids) + 1
@@ -235,7 +235,7 @@ def row_seed(key: object, seed: int) -> int:
 
 def encode_block(keys: list, texts: list[str], lattice: Lattice, seed: int) -> list[np.ndarray]:
     """The ids of each text."""
-    if lattice.n_nodes > NODES:
+    if lattice.n_nodes > lattice.most:
         lattice.clear()
     nodes: list[int] = []
     parts_of: list[int] = []
@@ -265,18 +265,21 @@ def encode_block(keys: list, texts: list[str], lattice: Lattice, seed: int) -> l
 _kept: dict[tuple, Lattice] = {}
 
 
-def _lattice(book: tuple, alpha: float, digest: str) -> Lattice:
+def _lattice(book: tuple, alpha: float, digest: str, nodes: int) -> Lattice:
     """The lattice of the model with this digest; a Python worker keeps one."""
     pieces, _, byte_ids = book
-    name = (alpha, digest)
+    name = (alpha, digest, nodes)
     if name not in _kept:
         _kept.clear()
-        _kept[name] = Lattice(pieces, byte_ids, alpha)
+        _kept[name] = Lattice(pieces, byte_ids, alpha, nodes)
     return _kept[name]
 
 
-def encode(docs: DataFrame, key: str = "doc_id", text: str = "text", model: str = MODEL, alpha: float = 1.0, seed: int = 0, keep_ids: bool = True) -> DataFrame:
-    """key, n_pieces, ids_sha256 (of the ids as little-endian 32-bit numbers), lossless and, with ``keep_ids``, ids: a row for each document."""
+def encode(docs: DataFrame, key: str = "doc_id", text: str = "text", model: str = MODEL, alpha: float = 1.0, seed: int = 0, keep_ids: bool = True, nodes: int = NODES) -> DataFrame:
+    """key, n_pieces, ids_sha256 (of the ids as little-endian 32-bit numbers), lossless and, with ``keep_ids``, ids: a row for each document.
+
+    ``nodes``: characters of distinct parts whose lattices a worker remembers; fewer take less memory and more time, and change no result.
+    """
     spark = docs.sparkSession
     ship(spark)
     book = spark.sparkContext.broadcast(vocabulary(model))
@@ -287,7 +290,7 @@ def encode(docs: DataFrame, key: str = "doc_id", text: str = "text", model: str
     schema = f"`{key}` {kind}, n_pieces bigint, ids_sha256 string, lossless boolean" + ", ids array<int>" * keep_ids
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lattice, raw = _lattice(book.value, alpha, digest), book.value[1]
+        lattice, raw = _lattice(book.value, alpha, digest, nodes), book.value[1]
         for batch in batches:
             column, a = batch.column(1), 0
             sizes = np.cumsum(pc.fill_null(pc.utf8_length(column), 0).to_numpy())
