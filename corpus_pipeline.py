@@ -25,6 +25,10 @@ from actuspark.llm import decontam, jaccard, pieces, quality, suffix
 from actuspark.llm.shared import save, table
 
 
+#: Characters of distinct parts whose lattices a worker remembers in the last stage.
+PIECE_NODES = 1_000_000
+
+
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality.keep(docs)
 
@@ -50,7 +54,8 @@ def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def pieces_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return pieces.encode(docs)
+    # Executors still hold what earlier stages needed, so the memory of lattices is kept smaller here.
+    return pieces.encode(docs, nodes=PIECE_NODES)
 
 
 STAGES = [
