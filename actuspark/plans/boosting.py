@@ -36,9 +36,9 @@ MOST_MODELS = 10_000
 
 @dataclass(frozen=True)
 class Params:
-    rounds: int = 30
+    rounds: int = 20
     depth: int = 3
-    rate: float = 0.2
+    rate: float = 0.25
     bins: int = 32
     power: float = 1.5
     least: int = 20
