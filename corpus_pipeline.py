@@ -46,7 +46,8 @@ def repeats_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     rest = tuple(c for c in docs.columns if c not in ("doc_id", "text"))
     judged = decontam.verdicts(decontam.find(docs, table(spark, sf_dir, "benchmark"), carry=rest)).where(~F.col("contaminated"))
-    cut = decontam.strip(judged)
+    # A table between the two, so that an executor runs one Python step at a time and keeps no more workers than cores.
+    cut = decontam.strip(save(judged))
     kept = {c: F.col(f"rest.{c}") for c in rest} | {"doc_id": F.col("k"), "text": F.col("text")}
     if "n_chars" in rest:
         kept["n_chars"] = F.when(F.col("n_cut") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("rest.n_chars"))
