@@ -72,17 +72,6 @@ def nearest_by_date(left: DataFrame, right: DataFrame, left_date: str, right_dat
     return met.withColumn("_rank", F.row_number().over(w)).where("_rank = 1").drop("_rank")
 
 
-def fuzzy_match(left: DataFrame, right: DataFrame, left_title: str, right_title: str, key: str, threshold: float = 0.38) -> DataFrame:
-    """The best right title for each left title that shares a word with it, by 1 - edit distance / longer length."""
-    norm = lambda c: F.trim(F.regexp_replace(F.lower(c), r"[^a-z0-9]+", " "))
-    word = lambda c: F.explode(F.array_distinct(F.filter(F.split(norm(c), " "), lambda x: F.length(x) > 3)))
-    pairs = left.withColumn("_w", word(F.col(left_title))).join(right.withColumn("_w", word(F.col(right_title))), "_w").drop("_w").distinct()
-    a, b = norm(F.col(left_title)), norm(F.col(right_title))
-    scored = pairs.withColumn("score", 1 - F.levenshtein(a, b) / F.greatest(F.length(a), F.length(b)))
-    w = Window.partitionBy(key).orderBy(F.desc("score"), right_title)
-    return scored.where(F.col("score") >= threshold).withColumn("_rank", F.row_number().over(w)).where("_rank = 1").drop("_rank")
-
-
 def search_titles(df: DataFrame, title: str, query: str) -> DataFrame:
     """Titles that hold the query; where there are none, titles that hold all of its words."""
     low, q = F.lower(title), query.lower()

@@ -191,6 +191,9 @@ SELECT SEGMENT, SERVICE_CATEGORY, count(*) AS n_splits, CAST(sum(months) AS BIGI
     "e18_nearest_date": """WITH o AS (SELECT o_orderkey, o_custkey, CAST(o_orderdate AS DATE) AS day, o_orderstatus AS s FROM orders)
 SELECT o_orderkey, near_key, near_day FROM (SELECT l.o_orderkey, r.o_orderkey AS near_key, r.day AS near_day, row_number() OVER (PARTITION BY l.o_orderkey ORDER BY abs(date_diff('day', l.day, r.day)), r.day, r.o_orderkey) AS k
   FROM o l JOIN o r ON l.o_custkey = r.o_custkey AND abs(date_diff('day', l.day, r.day)) <= 3 WHERE l.s = 'F' AND r.s = 'O') WHERE k = 1""",
+    "e19_title_pairs": r"""WITH t AS (SELECT DISTINCT starts_with(url, 'https://') AS secure, trim(regexp_replace(lower(regexp_extract(html, '<title>([^<]*)</title>', 1)), '[^a-z0-9]+', ' ', 'g')) AS t FROM pages WHERE starts_with(url, 'http://') OR starts_with(url, 'https://')),
+w AS (SELECT secure, t, list_distinct(string_split(t, ' ')) AS w FROM t WHERE t <> '')
+SELECT a.t AS l_title, b.t AS r_title FROM w a JOIN w b ON 200 * len(list_intersect(a.w, b.w)) >= 50 * (len(a.w) + len(b.w)) WHERE NOT a.secure AND b.secure""",
     "m05_keywords": """WITH w AS (SELECT doc_id, unnest(regexp_extract_all(lower(text), '[a-z]{4,}')) AS word FROM documents),
 f AS (SELECT doc_id, word, count(*) AS n FROM w WHERE word NOT IN ('that', 'with', 'from', 'this', 'were', 'have', 'they', 'their', 'dass', 'nicht', 'eine', 'pour', 'avec', 'dans', 'para', 'como') GROUP BY ALL)
 SELECT doc_id, word, n, CAST(rank AS INTEGER) AS rank FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY n DESC, word) AS rank FROM f) WHERE rank <= 5""",

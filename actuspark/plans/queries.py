@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import windows as W
 from ..functions.derive import MONEY, approx_median, rate_per_k, ratio, weighted_mean
-from ..operators import checks, frames
+from ..operators import checks, frames, titles
 from ..sources.readers import read_table
 from . import adapters, calendar_index, claims, enrichment, forecast, planning, projection, scenarios, seasonality, surveillance, text, transcripts
 
@@ -419,6 +419,26 @@ def d09_usable_splits(spark, d):
     return scenarios.usable_splits(forecast.signals(_dense(spark, d)), ["target_lag12", "slope_12"], forecast.SPLIT, 12)
 
 
+def _page_titles(spark, d):
+    """Titles of the pages by scheme: plain and secure ones."""
+    t = read_table(spark, d, "pages").select("page_id", F.regexp_extract("html", "<title>([^<]*)</title>", 1).alias("title"), "url")
+    plain = t.where(F.startswith("url", F.lit("http://"))).select("page_id", "title")
+    return plain, t.where(F.startswith("url", F.lit("https://"))).select(F.col("page_id").alias("secure_id"), F.col("title").alias("secure_title"))
+
+
+def e19_fuzzy_titles(spark, d):
+    """Each page without encryption with the encrypted page of the most similar title."""
+    return titles.fuzzy_match(*_page_titles(spark, d), "title", "secure_title")
+
+
+def e19_title_pairs(spark, d):
+    """The candidates of e19_fuzzy_titles: different normalised titles that share half of their words."""
+    plain, secure = [
+        df.select(titles.normal_title(F.col(c)).alias("title")).where("title is not null").distinct().withColumn("id", F.col("title")) for df, c in zip(_page_titles(spark, d), ("title", "secure_title"), strict=True)
+    ]
+    return titles.title_pairs(plain, secure).select("l_title", "r_title")
+
+
 def c22_train_start(spark, d):
     """First month with a year of history, and months from there to the end of 2000."""
     out = scenarios.train_start(_dense(spark, d), forecast.SPLIT, 12)
@@ -462,7 +482,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         l07_seasonality, l07_clustered_shapes, k07_sweep, k10_cluster_factors, k08_friedman, l09_complete_claims, l10_pmpm_dashboard, l10_pmpm_averages, l11_restatement_grid, l11_restatement_by_segment,
         l12_top_movers, l12_segment_change, l12_verdicts, l13_chain_ladder, f18_year_month_cube, e21_link_rebills, l14_nsaf, l14_development, l14_cohorts, l14_nsaf_classes, l15_nsaf_bridge, l16_actual_vs_expected,
         l17_ma_bid, l17_mlr, l18_surveillance_regions, l18_surveillance_viruses, l18_labelled, l19_transcript_report, l19_mentions, m01_page_text, m05_keywords, m12_mentions,
-        l20_source_advanced, l21_reconcile, n11_density, j09_gaps, e18_nearest_date, c22_train_start, c24_projection_flags, d09_usable_splits,
+        l20_source_advanced, l21_reconcile, n11_density, j09_gaps, e18_nearest_date, e19_fuzzy_titles, e19_title_pairs, c22_train_start, c24_projection_flags, d09_usable_splits,
         d13_flat_series, e07_pair_metrics, f07_weighted_mean, j04_year_month_pivot, k12_backtest,
     )
 }

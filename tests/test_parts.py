@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from actuspark.functions import derive, windows
 from actuspark.operators import checks, frames
+from actuspark.operators.titles import fuzzy_match
 from actuspark.plans import claims, forecast, scenarios, seasonality, surveillance, text
 from actuspark.sources import readers, sinks
 from actuspark.streaming import increments
@@ -139,7 +140,7 @@ def test_joins_and_sums(spark):
     assert [r["tier"] for r in frames.search_titles(titles, "title", "great market").collect()] == [1]
     assert [r["tier"] for r in frames.search_titles(titles, "title", "week market").collect()] == [2]
     left = spark.createDataFrame([(1, "Great Market Crash!"), (2, "unlike anything")], "id int, a string")
-    assert rows(frames.fuzzy_match(left, titles, "a", "title", "id").select("id", "title")) == [(1, "The Great Market Crash")]
+    assert rows(fuzzy_match(left, titles, "a", "title").select("id", "title")) == [(1, "The Great Market Crash")]
 
 
 def test_scenarios(spark):
