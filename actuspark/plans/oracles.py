@@ -208,6 +208,14 @@ b AS (SELECT page_id, regexp_replace(regexp_replace(t, '</?(p|div|br|li|h[1-6]|t
 c AS (SELECT page_id, replace(replace(replace(replace(replace(t, '&nbsp;', ' '), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&amp;', '&') AS t FROM b),
 d AS (SELECT page_id, trim(regexp_replace(t, '[ \t\r\n]+', ' ', 'g'), ' ') AS t FROM c)
 SELECT page_id, CAST(length(t) AS INTEGER) AS n_chars, CAST(CASE WHEN t = '' THEN 0 ELSE len(string_split(t, ' ')) END AS INTEGER) AS n_words, substr(t, 1, 80) AS head, t AS text FROM d""",
+    "m01_article_text": r"""WITH p AS (SELECT page_id, regexp_extract(html, '<title[^>]*>(.*?)</title>', 1, 'is') AS head, coalesce(nullif(regexp_extract(html, '<article[^>]*>(.*?)</article>', 1, 'is'), ''), html) AS body FROM pages),
+t AS (SELECT page_id, trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(replace(replace(replace(regexp_replace(regexp_replace(regexp_replace(head,
+    '<script.*?</script>|<style.*?</style>', ' ', 'gis'), '<br\s*/?>|</(p|div|li|h[1-6]|section|article)>', chr(10), 'gi'), '<[^>]+>', ' ', 'g'), '&middot;', chr(183)), '&copy;', chr(169)), '&quot;', '"'), '&amp;?', '&', 'g'),
+    '[ \t]+\n', chr(10), 'g'), '\n{3,}', chr(10) || chr(10), 'g'), '[ \t]{2,}', ' ', 'g'), ' ' || chr(9) || chr(10) || chr(13)) || chr(10) || chr(10) || trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(replace(replace(replace(regexp_replace(regexp_replace(regexp_replace(body,
+    '<script.*?</script>|<style.*?</style>', ' ', 'gis'), '<br\s*/?>|</(p|div|li|h[1-6]|section|article)>', chr(10), 'gi'), '<[^>]+>', ' ', 'g'), '&middot;', chr(183)), '&copy;', chr(169)), '&quot;', '"'), '&amp;?', '&', 'g'),
+    '[ \t]+\n', chr(10), 'g'), '\n{3,}', chr(10) || chr(10), 'g'), '[ \t]{2,}', ' ', 'g'), ' ' || chr(9) || chr(10) || chr(13)) AS text FROM p),
+w AS (SELECT *, len(string_split(trim(regexp_replace(text, '[ \t\r\n]+', ' ', 'g')), ' ')) AS n FROM t)
+SELECT page_id, text, CAST(n AS BIGINT) AS n_words, n >= 200 AS whole FROM w""",
     "m12_mentions": """WITH w AS (SELECT doc_id, unnest(regexp_extract_all(lower(text), '[a-z]+')) AS alias FROM documents),
 al(name, alias) AS (VALUES ('english', 'the'), ('english', 'and'), ('german', 'der'), ('german', 'und'), ('french', 'les'), ('spanish', 'los')),
 d AS (SELECT doc_id, name, count(*) AS n, 'dictionary' AS kind, 0 AS k FROM w JOIN al USING (alias) GROUP BY doc_id, name),

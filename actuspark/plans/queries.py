@@ -374,6 +374,13 @@ def m01_page_text(spark, d):
     return read_table(spark, d, "pages").select("page_id", F.length(t).alias("n_chars"), text.word_count(t).alias("n_words"), F.substring(t, 1, 80).alias("head"), t.alias("text"))
 
 
+def m01_article_text(spark, d):
+    """Each page as a transcript source: title and article, and whether they have the 200 words of a whole transcript."""
+    pages = read_table(spark, d, "pages").select("page_id", text.article_text(F.col("html")).alias("text"))
+    words = text.word_count(F.col("text"))
+    return pages.select("page_id", "text", words.cast("bigint").alias("n_words"), (words >= 200).alias("whole"))
+
+
 def l20_source_advanced(spark, d):
     """The source against a stored snapshot that is a month older, of the same month, a month newer, and empty."""
     raw = forecast.extract_snapshot(adapters.raw_fact(spark, d)).select("VAL_DATE").distinct()
@@ -481,7 +488,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         l08_wcd_monthly, l08_wcd_relativities, l01_coverage, l02_completed_combined, l03_control_totals, l04_signals, l04_enriched, l05_train_and_project, l06_final_output, l06_fitted_output, k01_first_level, k12_fitted_backtest,
         l07_seasonality, l07_clustered_shapes, k07_sweep, k10_cluster_factors, k08_friedman, l09_complete_claims, l10_pmpm_dashboard, l10_pmpm_averages, l11_restatement_grid, l11_restatement_by_segment,
         l12_top_movers, l12_segment_change, l12_verdicts, l13_chain_ladder, f18_year_month_cube, e21_link_rebills, l14_nsaf, l14_development, l14_cohorts, l14_nsaf_classes, l15_nsaf_bridge, l16_actual_vs_expected,
-        l17_ma_bid, l17_mlr, l18_surveillance_regions, l18_surveillance_viruses, l18_labelled, l19_transcript_report, l19_mentions, m01_page_text, m05_keywords, m12_mentions,
+        l17_ma_bid, l17_mlr, l18_surveillance_regions, l18_surveillance_viruses, l18_labelled, l19_transcript_report, l19_mentions, m01_page_text, m01_article_text, m05_keywords, m12_mentions,
         l20_source_advanced, l21_reconcile, n11_density, j09_gaps, e18_nearest_date, e19_fuzzy_titles, e19_title_pairs, c22_train_start, c24_projection_flags, d09_usable_splits,
         d13_flat_series, e07_pair_metrics, f07_weighted_mean, j04_year_month_pivot, k12_backtest,
     )

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.entities import unescape
+
 
 def squeeze(c: Column) -> Column:
     return F.trim(F.regexp_replace(c, r"[ \t\r\n]+", " "))
@@ -20,6 +22,23 @@ def html_to_text(c: Column) -> Column:
     return squeeze(out)
 
 
+def readable(c: Column) -> Column:
+    """Text of a piece of HTML with its paragraphs: block ends break the line, every reference is decoded, two line ends at most."""
+    out = F.regexp_replace(c, r"(?is)<(script|style).*?</\1>", " ")
+    out = F.regexp_replace(out, r"(?i)<br\s*/?>|</(p|div|li|h[1-6]|section|article)>", "\n")
+    out = unescape(F.regexp_replace(out, r"<[^>]+>", " "))
+    out = F.regexp_replace(F.regexp_replace(out, r"[ \t]+\n", "\n"), r"\n{3,}", "\n\n")
+    return F.regexp_replace(F.regexp_replace(out, r"[ \t]{2,}", " "), r"^[ \t\r\n]+|[ \t\r\n]+$", "")
+
+
+def article_text(c: Column) -> Column:
+    """Title, an empty line, then the page's first main or article part, or all of a page without one; null for null."""
+    title = readable(F.regexp_extract(c, r"(?is)<title[^>]*>(.*?)</title>", 1))
+    part = F.regexp_extract(c, r"(?is)<(main|article)[^>]*>(.*?)</\1>", 2)
+    body = readable(F.when(F.regexp_like(c, F.lit(r"(?is)<(main|article)[^>]*>.*?</\1>")), part).otherwise(c))
+    return F.when(F.regexp_like(c, F.lit(r"(?is)<title[^>]*>.*?</title>")), F.concat(title, F.lit("\n\n"), body)).otherwise(body)
+
+
 def sentences(docs: DataFrame, key: str, text: str, least: int = 7) -> DataFrame:
     """key, pos, sentence: sentences of at least ``least`` words, in order."""
     parts = F.split(F.regexp_replace(F.coalesce(F.col(text), F.lit("")), r"([.!?])\s+", "$1\n"), "\n")

@@ -4,6 +4,7 @@ import html
 import random
 
 from actuspark.functions.entities import unescape
+from actuspark.plans.text import article_text
 from pyspark.sql import functions as F
 
 
@@ -17,3 +18,15 @@ def test_unescape(spark):
     got = [r[0] for r in df.orderBy("k").select(unescape(F.col("t"))).collect()]
     bad = [(t, g) for t, g in zip(texts, got, strict=True) if g != (None if t is None else html.unescape(t))]
     assert bad == []
+
+
+def test_article_text(spark):
+    pages = [
+        "<TITLE>A &amp; B</TITLE><script>var t='</p>'</script><main class=x>one<br/>two</main><article>no</article>",
+        "<p>x</p><p>y &hellip;</p>",
+        "<html><title></title><article></article>outside</html>",
+        "",
+        None,
+    ]
+    df = spark.createDataFrame(list(enumerate(pages)), "k int, t string")
+    assert [r[0] for r in df.orderBy("k").select(article_text(F.col("t"))).collect()] == ["A & B\n\none\ntwo", "x\n y …", "\n\n", "", None]
