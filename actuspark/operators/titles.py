@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Sizes below this are classes of their own; above, a class is all sizes with the same number of binary digits.
-EXACT_SIZES = 16
+EXACT_SIZES = 4
 
 
 def normal_title(c: Column) -> Column:
@@ -38,11 +38,11 @@ def blocks_ratio(a: Column, b: Column) -> Column:
 
 
 def _size_class(n: Column) -> Column:
-    return F.when(n < EXACT_SIZES, n.cast("int")).otherwise(EXACT_SIZES - 5 + F.length(F.bin(n.cast("bigint")))).cast("int")
+    return F.when(n < EXACT_SIZES, n.cast("int")).otherwise(EXACT_SIZES - 3 + F.length(F.bin(n.cast("bigint")))).cast("int")
 
 
 def _class_floor(c: Column) -> Column:
-    return F.when(c < EXACT_SIZES, c.cast("double")).otherwise(F.pow(F.lit(2.0), c - EXACT_SIZES + 4))
+    return F.when(c < EXACT_SIZES, c.cast("double")).otherwise(F.pow(F.lit(2.0), c - EXACT_SIZES + 2))
 
 
 def _keys(titles: DataFrame, overlap: int, own: str, other: str) -> DataFrame:
@@ -87,7 +87,7 @@ def fuzzy_match(left: DataFrame, right: DataFrame, left_title: str, right_title:
     """
     if clash := {c.lower() for c in left.columns} & {c.lower() for c in right.columns}:
         raise ValueError(f"columns on both sides: {sorted(clash)}")
-    key = lambda df, c: df.withColumn("_title", normal_title(F.col(c))).where("_title is not null").withColumn("_id", F.sha2("_title", 256))
+    key = lambda df, c: df.withColumn("_title", normal_title(F.col(c))).where("_title is not null").withColumn("_id", F.unhex(F.sha2("_title", 256)))
     rows, others = key(left, left_title), key(right, right_title)
     names = [right_title, *[c for c in right.columns if c != right_title]]
     first = others.groupBy("_id").agg(F.first("_title").alias("_title"), F.min(F.struct(*[F.col(f"`{c}`") for c in names])).alias("_row"))
