@@ -2,7 +2,8 @@
 
 Texts are split once into pieces (words and what stands between them). A phrase of the dictionary is found by an
 equi-join of words with the first words of aliases and one comparison of the pieces that follow, so aliases may
-have several words and the dictionary any size; of matches within a longer one only the longer counts. Words are
+have several words and the dictionary any size; a dictionary of at most ``MOST_SENT`` rows goes to the texts, so that no word
+that isn't met is shuffled. Of matches within a longer one only the longer counts. Words are
 letters, digits and underscores of any script; tickers are bounded by ASCII letters and digits.
 """
 
@@ -22,6 +23,9 @@ STOP_TICKERS = "AI API CEO CFO CPI CRM CTO DC DOJ EU EV FTC GDP GPU IPO LLM NASA
 COMPANY_SUFFIXES = "AI Bank Capital Cloud Corp Energy Financial Holdings Labs Media Networks Partners Robotics Semiconductor Software Technologies Ventures".split()
 NO_FIRST_WORDS = "and but for from that the this with".split()
 
+#: Rows up to which a dictionary is broadcast; a larger one is joined by shuffles.
+MOST_SENT = 200_000
+
 WORD = r"[\p{L}\p{N}_]+"
 PIECE = r"[\p{L}\p{N}_]+|[^\p{L}\p{N}_]+"
 STAMP = r" (\(?[0-9]{1,2}:[0-9]{2})"
@@ -35,6 +39,10 @@ def every(c: Column, pattern: str) -> Column:
     return F.regexp_extract_all(c, F.lit(pattern), F.lit(0))
 
 
+def _beside(dictionary: DataFrame) -> DataFrame:
+    return F.broadcast(dictionary) if dictionary.limit(MOST_SENT + 1).count() <= MOST_SENT else dictionary
+
+
 def sentences(docs: DataFrame, key: str, text: str, least: int = 7) -> DataFrame:
     """key, pos, sentence: a time stamp begins a sentence, and so does a capital, digit, quote or bracket after a full stop; shorter ones than ``least`` words go."""
     marked = F.regexp_replace(squeeze(F.coalesce(F.col(text), F.lit(""))), STAMP, r". $1")
@@ -91,7 +99,7 @@ def phrase_hits(units: DataFrame, keys: list[str], text: str, aliases: DataFrame
     starts = F.filter(F.sequence(F.lit(1), F.size("pieces")), lambda i: F.element_at("pieces", i).rlike(f"^{WORD}"))
     tails = F.transform(starts, lambda i, k: F.struct(k.alias("at"), F.element_at("pieces", i).alias("word"), F.slice("pieces", i, F.lit(most)).alias("tail")))
     words = units.select(*keys, pieces.alias("pieces")).where(F.size("pieces") > 0).select(*keys, F.explode(tails).alias("t")).select(*keys, "t.*")
-    met = words.join(split, "word").where(F.array_join(F.slice("tail", F.lit(1), F.col("span")), "") == F.col("phrase"))
+    met = words.join(_beside(split), "word").where(F.array_join(F.slice("tail", F.lit(1), F.col("span")), "") == F.col("phrase"))
     before = Window.partitionBy(*keys).orderBy("at", F.desc("n")).rowsBetween(Window.unboundedPreceding, -1)
     longer = F.coalesce(F.max(F.col("at") + F.col("n")).over(before) >= F.col("at") + F.col("n"), F.lit(False))
     return met.withColumn("longer", longer).where("not longer").select(*keys, "at", "name")
@@ -102,22 +110,21 @@ def hits(units: DataFrame, keys: list[str], text: str, companies: DataFrame, sto
 
     ``companies``: name, ticker (or null), aliases (an array).
     """
-    known = companies.where("ticker is not null").groupBy("ticker").agg(F.min("name").alias("name"))
-    phrases = phrase_hits(units, keys, text, companies.select("name", F.explode("aliases").alias("alias"))).join(companies.select("name", "ticker").dropDuplicates(["name"]), "name")
+    known = companies.where("ticker is not null").groupBy("ticker").agg(F.min("name").alias("company"))
+    own_ticker = _beside(companies.select("name", "ticker").dropDuplicates(["name"]))
+    phrases = phrase_hits(units, keys, text, companies.select("name", F.explode("aliases").alias("alias"))).join(own_ticker, "name")
     tokens = units.select(*keys, F.posexplode(every(F.coalesce(F.col(text), F.lit("")), TICKER_TOKEN)).alias("at", "ticker")).where(F.col("ticker").rlike(r"^[A-Z]{2,5}(\.[A-Z])?$"))
-    by_ticker = tokens.join(known, "ticker")
-    loose = tokens.join(known, "ticker", "left_anti").where(~F.col("ticker").isin(*stop_tickers))
+    tickers = tokens.join(_beside(known), "ticker", "left").where(F.col("company").isNotNull() | ~F.col("ticker").isin(*stop_tickers))
     caps = units.select(*keys, F.posexplode(every(F.coalesce(F.col(text), F.lit("")), CAPITALISED)).alias("at", "raw")).withColumn("name", F.regexp_replace("raw", r"^[ .,:;!?()\[\]]+|[ .,:;!?()\[\]]+$", ""))
     parts = F.split("name", " ")
     likely = (F.size(parts) >= 2) | F.element_at(parts, -1).isin(*COMPANY_SUFFIXES)
     own = (F.length("name") >= 4) & (F.col("name") != F.upper("name")) & likely & ~F.lower(F.element_at(parts, 1)).isin(*NO_FIRST_WORDS) & ~F.lower("name").isin(*people)
     none = F.lit(None).cast("string").alias("ticker")
-    row = lambda df, kind, *c: df.select(*keys, F.lit(kind).alias("kind"), "at", *c)
+    row = lambda df, kind, *c: df.select(*keys, kind.alias("kind"), "at", *c)
     return (
-        row(phrases, 0, "name", "ticker")
-        .unionByName(row(by_ticker, 0, "name", "ticker"))
-        .unionByName(row(loose, 1, F.col("ticker").alias("name"), "ticker"))
-        .unionByName(row(caps.where(own), 2, "name", none))
+        row(phrases, F.lit(0), "name", "ticker")
+        .unionByName(row(tickers, F.when(F.col("company").isNull(), 1).otherwise(0), F.coalesce("company", "ticker").alias("name"), "ticker"))
+        .unionByName(row(caps.where(own), F.lit(2), "name", none))
     )
 
 
@@ -132,10 +139,11 @@ def mentions(docs: DataFrame, key: str, text: str, companies: DataFrame, stop_ti
     first = F.row_number().over(Window.partitionBy(key, "low").orderBy("kind"))
     rank = F.row_number().over(Window.partitionBy(key).orderBy(F.desc("n"), "low"))
     top = counted.withColumn("_first", first).where("_first = 1").withColumn("rank", rank).where(F.col("rank") <= most).drop("_first")
-    sents = sentences(docs, key, text)
-    seen = hits(sents, [key, "pos"], "sentence", companies, stop_tickers, people).select(key, "pos", "kind", F.lower("name").alias("low")).distinct()
-    seen = seen.join(top.select(key, "kind", "low"), [key, "kind", "low"], "left_semi").withColumn("k", F.row_number().over(Window.partitionBy(key, "kind", "low").orderBy("pos"))).where(F.col("k") <= contexts)
-    shown = seen.join(sents, [key, "pos"]).groupBy(key, "kind", "low").agg(F.array_sort(F.collect_list(F.struct("pos", shorten(F.col("sentence"), 220).alias("sentence")))).alias("contexts"))
+    # A hit carries its shortened sentence, and only the first ones of a mention are shuffled, so the sentences themselves are not.
+    sents = sentences(docs, key, text).withColumn("short", shorten(F.col("sentence"), 220))
+    seen = hits(sents, [key, "pos", "short"], "sentence", companies, stop_tickers, people).select(key, "pos", "short", "kind", F.lower("name").alias("low"))
+    seen = seen.withColumn("k", F.dense_rank().over(Window.partitionBy(key, "kind", "low").orderBy("pos"))).where(F.col("k") <= contexts)
+    shown = seen.groupBy(key, "kind", "low").agg(F.array_sort(F.collect_set(F.struct("pos", F.col("short").alias("sentence")))).alias("contexts"))
     confidence = F.when(F.col("kind") == 0, "high").when((F.col("kind") == 1) & (F.col("n") > 1), "medium").otherwise("low")
     source = F.element_at(F.array(F.lit("known aliases"), F.lit("ticker pattern"), F.lit("capitalized phrase heuristic")), F.col("kind") + 1)
     sentence = F.transform(F.coalesce("contexts", F.array().cast("array<struct<pos:int,sentence:string>>")), lambda c: c["sentence"])
