@@ -16,35 +16,42 @@ def link_rebills(denials: DataFrame, rebills: DataFrame, near: int = 3, window:
 
     Tier 1: the explicit reference; 2: member, provider and date; 3: dates at most ``near`` days
     apart and one candidate only; 4: the last denial within ``window`` days before it, for review, not
-    accepted. A rebill that a tier links is no candidate of the next one. The denials of a member, provider
-    and day are one row, and tier 4 takes the last one by a window over time buckets, so that a member with very many
-    claims makes no pairs and is cut by time.
+    accepted. A rebill that a tier links is no candidate of the next one. Claims are unique on each side.
+
+    Two shuffles serve all tiers: by reference and provider, and by member, provider and time bucket. Within them windows over
+    denials and rebills in the order of time find the neighbours of each rebill, so that a reference or member with very many
+    claims makes no pairs and a member is cut by time.
     """
-    d = denials.select(F.col("claim").alias("d_claim"), "ref", "member", "provider", F.col("day").alias("d_day"))
-    r = rebills.select(F.col("claim").alias("r_claim"), "ref", "member", "provider", F.col("day").alias("r_day"))
-    who = ["member", "provider"]
-    gap = F.datediff("r_day", "d_day")
-
-    def linked(rows: DataFrame, tier: int) -> DataFrame:
-        best = rows.groupBy("r_claim").agg(F.min(F.struct(F.abs(gap).alias("far"), "d_claim", gap.alias("days"))).alias("x"))
-        return best.select("r_claim", "x.d_claim", F.lit(tier).alias("tier"), "x.days")
-
-    by_ref = d.groupBy("ref", "provider", "d_day").agg(F.min("d_claim").alias("d_claim"))
-    t1 = linked(r.join(by_ref, ["ref", "provider"]), 1)
-    rest = r.join(t1.select("r_claim"), "r_claim", "left_anti")
-    days = d.groupBy(*who, "d_day").agg(F.min("d_claim").alias("d_claim"), F.count(F.lit(1)).alias("n"))
-    t2 = linked(rest.withColumn("d_day", F.col("r_day")).join(days, [*who, "d_day"]), 2)
-    rest = rest.join(t2.select("r_claim"), "r_claim", "left_anti")
-    close = rest.withColumn("d_day", F.explode(F.sequence(F.date_sub("r_day", near), F.date_add("r_day", near)))).join(days, [*who, "d_day"])
-    sole = close.groupBy("r_claim").agg(F.sum("n").alias("n"), F.min("d_claim").alias("d_claim"), F.min("d_day").alias("d_day"), F.min("r_day").alias("r_day")).where("n = 1")
-    t3 = linked(sole, 3)
-    rest = rest.join(t3.select("r_claim"), "r_claim", "left_anti")
-    bucket = lambda c: F.floor(F.unix_date(c) / window)
-    before = days.select(*who, F.explode(F.array(bucket("d_day"), bucket("d_day") + 1)).alias("bucket"), F.col("d_day").alias("at"), F.lit(0).alias("kind"), F.struct("d_day", "d_claim").alias("denial"), F.lit(None).cast(r.schema["r_claim"].dataType).alias("r_claim"))
-    after = rest.select(*who, bucket("r_day").alias("bucket"), F.col("r_day").alias("at"), F.lit(1).alias("kind"), F.lit(None).cast(before.schema["denial"].dataType).alias("denial"), "r_claim")
-    last = F.last("denial", ignorenulls=True).over(Window.partitionBy(*who, "bucket").orderBy("at", "kind").rowsBetween(Window.unboundedPreceding, 0))
-    found = before.unionByName(after).withColumn("denial", last).where("kind = 1").select("r_claim", F.col("at").alias("r_day"), "denial.*").where(gap <= window)
-    return t1.unionByName(t2).unionByName(t3).unionByName(linked(found, 4))
+    side = lambda df, kind: df.select("claim", "ref", "member", "provider", F.unix_date("day").alias("at"), F.lit(kind).alias("kind"))
+    rows = side(denials, 0).unionByName(side(rebills, 1))
+    denial = F.when((F.col("kind") == 0) & F.col("at").isNotNull(), F.struct("at", "claim"))
+
+    # Of the denials of a day the last row is the smallest claim; the second window runs back in time.
+    by_ref = Window.partitionBy("ref", "provider")
+    up, down = by_ref.orderBy("at", "kind", F.desc("claim")), by_ref.orderBy(F.desc("at"), "kind", F.desc("claim"))
+    last = lambda c, w: F.last(c, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))
+    far = lambda x: F.when(x.isNotNull(), F.struct(F.abs(F.col("at") - x["at"]).alias("far"), x["claim"].alias("claim"), x["at"].alias("at")))
+    rows = rows.withColumn("_before", last(denial, up)).withColumn("_after", last(denial, down))
+    known = F.col("ref").isNotNull() & F.col("provider").isNotNull() & F.col("at").isNotNull()
+    first = F.when((F.col("kind") == 1) & known, F.least(far(F.col("_before")), far(F.col("_after"))))
+    rows = rows.select("member", "provider", "claim", "at", "kind", first.alias("_first"))
+
+    # A denial goes to each bucket that may hold a rebill from ``near`` days before it to ``window`` days after it; wide buckets make few copies.
+    bucket = lambda c: F.floor(c / (4 * window))
+    reach = F.when(F.col("kind") == 0, F.sequence(bucket(F.col("at") - near), bucket(F.col("at") + window))).otherwise(F.array(bucket(F.col("at"))))
+    spread = rows.withColumn("bucket", F.explode_outer(reach))
+    who = Window.partitionBy("member", "provider", "bucket")
+    around = who.orderBy("at").rangeBetween(-near, near)
+    is_denial = F.when(F.col("kind") == 0, 1)
+    spread = spread.withColumn("_last", last(denial, who.orderBy("at", "kind", F.desc("claim"))))
+    spread = spread.withColumns({"_near": F.count(is_denial).over(around), "_sole": F.min(denial).over(around)}).where("kind = 1")
+    whole = F.col("member").isNotNull() & F.col("provider").isNotNull() & F.col("at").isNotNull()
+    gap = F.col("at") - F.col("_last.at")
+    link = lambda x, tier: F.struct(x["claim"].alias("d_claim"), F.lit(tier).alias("tier"), (F.col("at") - x["at"]).alias("days"))
+    found = F.when(F.col("_first").isNotNull(), link(F.col("_first"), 1))
+    for tier, holds, x in ((2, gap == 0, "_last"), (3, F.col("_near") == 1, "_sole"), (4, gap <= window, "_last")):
+        found = found.when(whole & holds, link(F.col(x), tier))
+    return spread.select(F.col("claim").alias("r_claim"), found.alias("x")).where("x is not null").select("r_claim", "x.*")
 
 
 def nsaf(denials: DataFrame, rebills: DataFrame, links: DataFrame, strata: str = "line_of_business") -> DataFrame:

@@ -222,7 +222,7 @@ def _rebill_claims(spark, d):
             F.add_months(day, F.col("l_linenumber")).alias("paid_day"),
             F.when(F.col("l_linenumber") == 7, F.date_add(day, 90)).alias("reversed_day"),
             (F.col("l_partkey") % 2 == 0).alias("recouped"),
-        ).dropDuplicates(["kind", "claim"])
+        ).dropDuplicates(["kind", "claim", "ref"])  # A claim holds its reference: with it the rows are where the join left them.
 
     claims_table = forecast.stored(spark, "rebills", [f"{d}/{t}.parquet" for t in ("lineitem", "orders")], build, "kind")
     return claims_table.where("kind = 'denial'").drop("kind"), claims_table.where("kind = 'rebill'").drop("kind")

@@ -101,3 +101,17 @@ def test_links_read_the_claims_few_times(spark):
 
     plan = queries.QUERIES["l14_nsaf"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().toString()
     assert "l_returnflag" not in plan and spark.range(1).select(F.lit(1)).count() == 1
+
+
+def test_all_tiers_take_two_shuffles(spark):
+    """One by reference and one by member; no tier reads the claims again."""
+    links = planning.link_rebills(spark.createDataFrame([], DENIAL), spark.createDataFrame([], REBILL))
+    assert links._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 2
+
+
+def test_links_at_the_edges_of_windows_and_without_dates(spark):
+    days = [-3, -2, 0, 1, 3, 4, 365, 366, 1457, 1460, 1463, 1825, 1826]
+    rebills = [(f"r{n}-{k}", None if k % 3 else 7, n, 1, D(2018, 1, 1) + dt.timedelta(days=1460 * n % 4000 + k), "A", Decimal(1), None) for n in range(12) for k in days]
+    denials = [(f"d{n}-{k}", 7 if n == 5 else -n, n, 1, D(2018, 1, 1) + dt.timedelta(days=1460 * n % 4000 + k), "A", Decimal(1), None, None) for n in range(12) for k in (0, 1460)]
+    links = planning.link_rebills(spark.createDataFrame([*denials, ("no day", 7, 5, 1, None, "A", Decimal(1), None, None)], DENIAL), spark.createDataFrame([*rebills, ("undated", 7, 5, 1, None, "A", Decimal(1), None)], REBILL))
+    assert sorted((r["r_claim"], r["d_claim"], r["tier"], r["days"]) for r in links.collect()) == brute_links([d for d in denials], rebills)
