@@ -52,7 +52,12 @@ def claims(raw: DataFrame, units: tuple[str, ...]) -> DataFrame:
 
 def completed_combined(raw: DataFrame, units: tuple[str, ...]) -> DataFrame:
     """Dense monthly rows of each observed split with exposure: MM, UTIL, PD, UTIL_K, PMPM."""
-    dense = frames.densify(claims(raw, units), exposure(raw), SPLIT, ENROL, MONTH, ["PD", "UTIL"])
+    return completed(claims(raw, units), exposure(raw))
+
+
+def completed(facts: DataFrame, exposed: DataFrame) -> DataFrame:
+    """``completed_combined`` of monthly claims and exposure. The claims are read three times, so they should be stored ones."""
+    dense = frames.densify(facts, exposed, SPLIT, ENROL, MONTH, ["PD", "UTIL"])
     return dense.withColumns({"UTIL_K": rate_per_k(F.col("UTIL"), F.col("MM")), "PMPM": pmpm(F.col("PD"), F.col("MM")), "DATE_REPORT_QTR": quarter_label(F.col(MONTH))})
 
 
@@ -201,9 +206,9 @@ def latest_slice(df: DataFrame) -> DataFrame:
     return df.join(F.broadcast(last), F.col("VAL_DATE") == F.col("_last")).drop("VAL_DATE", "_last")
 
 
-def stamped_monthly(raw: DataFrame, units: tuple[str, ...]) -> DataFrame:
-    """The monthly table with its valuation date."""
-    return completed_combined(raw, units).join(F.broadcast(derive_val_date(raw)))
+def stamped_monthly(facts: DataFrame, exposed: DataFrame) -> DataFrame:
+    """The monthly table of monthly claims and exposure with its valuation date, the latest claim month."""
+    return completed(facts, exposed).join(F.broadcast(facts.agg(F.max(MONTH).alias("VAL_DATE"))))
 
 
 def source_advanced(new: DataFrame, stored: DataFrame, c: str = "VAL_DATE") -> DataFrame:

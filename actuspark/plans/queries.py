@@ -19,9 +19,14 @@ STOP = ["that", "with", "from", "this", "were", "have", "they", "their", "dass",
 CLOSE = adapters.CLOSES[-1]
 
 
+def _facts(spark: SparkSession, d: str) -> DataFrame:
+    """The stored claims of each split and month, so that the lines are joined once."""
+    return forecast.stored(spark, "facts", _sources(d), lambda: forecast.claims(adapters.raw_fact(spark, d), adapters.UNITS), "SERVICE_CATEGORY")
+
+
 def _dense(spark: SparkSession, d: str) -> DataFrame:
     """The stored monthly table, built from the source when it is first asked for."""
-    return forecast.latest_slice(forecast.stored(spark, "monthly", _sources(d), lambda: forecast.stamped_monthly(adapters.raw_fact(spark, d), adapters.UNITS)))
+    return forecast.latest_slice(forecast.stored(spark, "monthly", _sources(d), lambda: forecast.stamped_monthly(_facts(spark, d), forecast.exposure(adapters.raw_fact(spark, d)))))
 
 
 def _sources(d: str) -> list[str]:
@@ -50,7 +55,7 @@ def l01_coverage(spark, d):
 
 def l02_completed_combined(spark, d):
     """The monthly table as it is built; the queries after it read the stored one."""
-    return _rounded(forecast.completed_combined(adapters.raw_fact(spark, d), adapters.UNITS))
+    return _rounded(forecast.completed(_facts(spark, d), forecast.exposure(adapters.raw_fact(spark, d))).select(*forecast.SPLIT, forecast.MONTH, "MM", "PD", "UTIL", "UTIL_K", "PMPM", "DATE_REPORT_QTR"))
 
 
 def l03_control_totals(spark, d):
@@ -393,8 +398,7 @@ def l20_source_advanced(spark, d):
 
 def l21_reconcile(spark, d):
     """Paid of each month by two lineages: all claims, and the dense table without orphans."""
-    raw = adapters.raw_fact(spark, d)
-    a = forecast.claims(raw, adapters.UNITS).groupBy(forecast.MONTH).agg(F.sum("PD").cast("double").alias("a"))
+    a = _facts(spark, d).groupBy(forecast.MONTH).agg(F.sum("PD").cast("double").alias("a"))
     b = _dense(spark, d).groupBy(forecast.MONTH).agg(F.sum("PD").cast("double").alias("b"))
     return forecast.reconcile_paths(a.join(b, forecast.MONTH), "a", "b")
 

@@ -218,3 +218,9 @@ def test_the_quality_bonus_multiplies_the_quartile_percentage(spark):
     row = spark.createDataFrame([(Decimal("1000.00"), 1, 4.0), (Decimal("1000.00"), 4, 3.5)], "base decimal(12,2), q int, stars double")
     got = [str(r[0]) for r in row.select(planning.benchmark(F.col("base"), F.col("q"), F.col("stars"))).collect()]
     assert got == ["1207.5000", "950.0000"]
+
+
+def test_the_monthly_table_reads_the_lines_once(spark):
+    """Its bounds, splits and amounts come from the stored monthly claims, its exposure from the orders."""
+    plan = queries.QUERIES["l02_completed_combined"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "lineitem.parquet" not in plan and "l_extendedprice" not in plan and "o_custkey" in plan
