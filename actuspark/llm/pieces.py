@@ -23,6 +23,7 @@ import hashlib
 import math
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -70,11 +71,18 @@ def _roll(h: np.ndarray, c: np.ndarray) -> np.ndarray:
     return mix64(h * np.uint64(0x9E3779B97F4A7C15) + c + np.uint64(1))
 
 
+def _slots(h: np.ndarray) -> tuple[np.ndarray, np.uint64, int]:
+    """For sorted hashes: by their first bits, the place of the first one that is not less; the bits to drop, and the most hashes that share the others."""
+    bits = (8 * len(h)).bit_length()
+    shift = np.uint64(64 - bits)
+    return np.searchsorted(h, np.arange(1 << bits, dtype=np.uint64) << shift), shift, int(np.bincount((h >> shift).astype(np.int64)).max())
+
+
 class Lattice:
     """Parts that were met, as nodes with the sampling weights of the pieces that end there."""
 
     def __init__(self, pieces: dict[str, tuple[int, float]], byte_ids: list[int], alpha: float, most: int = NODES):
-        #: By length: hashes of the pieces' prefixes, with the piece of that text or -1, its weight, and whether pieces go on.
+        #: By length: hashes of the pieces' prefixes and their slots, with the piece of that text or -1, its weight, and whether pieces go on; at last a hash that no prefix has.
         self.by_size = {}
         prefixes: dict[str, bool] = {}
         for p in pieces:
@@ -90,7 +98,8 @@ class Lattice:
                 raise ValueError("two prefixes of the vocabulary have one hash")
             o = np.argsort(h)
             ids, logs = zip(*[(pieces[p][0], -alpha * math.log(max(pieces[p][1], 0.0) + 2)) if p in pieces else (-1, 0.0) for p in own], strict=True)
-            self.by_size[k] = h[o], np.array(ids, np.int64)[o], np.array(logs)[o], np.array([prefixes[p] for p in own])[o]
+            beyond = lambda x, last: np.append(x[o], np.array(last, x.dtype))
+            self.by_size[k] = _slots(h[o]), beyond(h, 2**64 - 1), beyond(np.array(ids, np.int64), -1), beyond(np.array(logs), 0.0), beyond(np.array([prefixes[p] for p in own]), False)
         self.byte_ids, self.alpha, self.most = byte_ids, alpha, most
         self.longest = max(map(len, pieces), default=1)
         self.byte_weight = -alpha * math.log(2 * len(pieces) + 2)
@@ -103,6 +112,7 @@ class Lattice:
         self.at: dict[str, int] = {}
         self.n_nodes = self.n_edges = 0
         self.key, self.back, self.piece = np.empty(1 << 16), np.empty(1 << 16, np.int32), np.empty(1 << 16, np.int32)
+        self.head = np.empty(1 << 16, np.int32)  # each node's first edge
 
     def add(self, parts: list[str]) -> None:
         """Forward filtering over new parts, all at once, one end position after another."""
@@ -122,8 +132,10 @@ class Lattice:
             if not len(at):
                 break
             h = _roll(h, text[at + k - 1])
-            keys, ids, logs, more = self.by_size[k]
-            j = np.minimum(np.searchsorted(keys, h), len(keys) - 1)
+            (slots, shift, most), keys, ids, logs, more = self.by_size[k]
+            j = slots[h >> shift]
+            for _ in range(most):
+                j += keys[j] < h
             known = keys[j] == h
             hit = known & (ids[j] >= 0)
             begin.append(at[hit])
@@ -143,12 +155,12 @@ class Lattice:
             at, h = at[on], h[on]
         begin, size, piece, weight = (np.concatenate(x) for x in (begin, size, piece, weight))
         stop = local[begin] + size
-        o = np.lexsort((piece, begin, stop))
-        begin, size, piece, weight, stop = begin[o], size[o], piece[o], weight[o], stop[o]
         source = node[begin] - self.n_nodes
         target = source + size
-        o = np.lexsort((source, target, stop))
-        source, target, piece, weight, stop = source[o], target[o], piece[o], weight[o], stop[o]
+        # By stop, target and source, as one number: a target's sources differ in size, and no two pieces have one span.
+        span = self.longest + 1
+        o = np.argsort((stop * (total + n) + target) * span + (self.longest - size))
+        source, target, piece, weight, stop, size = source[o], target[o], piece[o], weight[o], stop[o], size[o]
         alpha = np.zeros(total + n)
         cuts = np.searchsorted(stop, np.arange(1, int(stop[-1]) + 2))
         for a, b in zip(cuts[:-1], cuts[1:], strict=True):
@@ -160,10 +172,9 @@ class Lattice:
         chance = np.exp(alpha[source] + weight - alpha[target])
         # Edges by node; a part's first node has one edge that ends the draw.
         first = starts + np.arange(n)
-        target, source = np.concatenate((target, first)), np.concatenate((source, np.full(n, -1)))
-        piece, chance = np.concatenate((piece, np.full(n, -1))), np.concatenate((chance, np.ones(n)))
-        o = np.lexsort((piece, source, target))
-        target, source, piece, chance = target[o], source[o], piece[o], chance[o]
+        o = np.argsort(np.concatenate((target * span + (self.longest - size), first * span)))
+        target, source = np.concatenate((target, first))[o], np.concatenate((source, np.full(n, -1)))[o]
+        piece, chance = np.concatenate((piece, np.full(n, -1)))[o], np.concatenate((chance, np.ones(n)))[o]
         heads = np.flatnonzero(np.concatenate(([True], np.diff(target) > 0)))
         each = np.diff(np.concatenate((heads, [len(target)])))
         cum = np.cumsum(chance)
@@ -176,6 +187,9 @@ class Lattice:
             self.key, self.back, self.piece = (np.concatenate([x[: self.n_edges], np.empty(room - self.n_edges, x.dtype)]) for x in (self.key, self.back, self.piece))
         s = slice(self.n_edges, self.n_edges + m)
         self.key[s], self.back[s], self.piece[s] = self.n_nodes + target + cum, self.n_nodes + source, piece
+        if self.n_nodes + total + n > len(self.head):
+            self.head = np.concatenate([self.head[: self.n_nodes], np.empty(max(self.n_nodes // 4, total + n), np.int32)])
+        self.head[self.n_nodes : self.n_nodes + total + n] = self.n_edges + heads
         self.at.update(zip(parts, (self.n_nodes + first + sizes).tolist(), strict=True))
         self.n_edges += m
         self.n_nodes += total + n
@@ -195,7 +209,11 @@ class Lattice:
         step = 0
         while len(which):
             u = (mix64(seeds[which] + np.uint64((step * 0x9E3779B97F4A7C15) % 2**64)) >> np.uint64(34)).astype(np.float64) * GRAIN
-            edge = np.searchsorted(key, np.minimum(node + u, np.nextafter(node + 1.0, 0)), side="right")
+            edge = self.head[node]
+            past = np.flatnonzero(key[edge] - node <= u)  # a node's last key is the next node
+            while len(past):
+                edge[past] += 1
+                past = past[key[edge[past]] - node[past] <= u[past]]
             got = self.piece[edge]
             open_ = got >= 0
             which, edge, got = which[open_], edge[open_], got[open_]
@@ -237,12 +255,11 @@ def encode_block(keys: list, texts: list[str], lattice: Lattice, seed: int) -> l
     """The ids of each text."""
     if lattice.n_nodes > lattice.most:
         lattice.clear()
-    nodes: list[int] = []
     parts_of: list[int] = []
     seeds: list[np.ndarray] = []
     found = [PARTS.findall(" " + text) for text in texts]
     at = lattice.at
-    new = list(dict.fromkeys(p for parts in found for p in parts if p not in at))
+    new = [p for p in dict.fromkeys(chain.from_iterable(found)) if p not in at]
     while new:
         k, size = 1, len(new[0])
         while k < len(new) and size + len(new[k]) <= NEW:
@@ -251,10 +268,10 @@ def encode_block(keys: list, texts: list[str], lattice: Lattice, seed: int) -> l
         lattice.add(new[:k])
         new = new[k:]
     for key, parts in zip(keys, found, strict=True):
-        nodes += [at[p] for p in parts]
         parts_of.append(len(parts))
         seeds.append(mix64(np.uint64(row_seed(key, seed)) + np.arange(len(parts), dtype=np.uint64) * np.uint64(0xD1342543DE82EF95)))
-    flat, counts = lattice.sample(np.array(nodes, np.int64), np.concatenate(seeds) if seeds else np.empty(0, np.uint64))
+    nodes = np.fromiter(map(at.__getitem__, chain.from_iterable(found)), np.int64, sum(parts_of))
+    flat, counts = lattice.sample(nodes, np.concatenate(seeds) if seeds else np.empty(0, np.uint64))
     ids, sizes = _expand(flat, lattice)
     of_part = np.concatenate(([0], np.cumsum(counts)))
     of_piece = np.concatenate(([0], np.cumsum(sizes)))

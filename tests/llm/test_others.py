@@ -125,6 +125,24 @@ def test_samples_follow_the_lattice():
         assert abs(got[w] / n - p / total) < 0.02
 
 
+def test_the_lattice_is_sorted_and_read_by_single_numbers(monkeypatch):
+    """No sort by several keys, and edges by node, then by the start of the piece: all pieces that end there, odd characters as one."""
+    vocab, _, byte_ids = pieces.vocabulary()
+    lattice = pieces.Lattice(vocab, byte_ids, 1.0)
+    monkeypatch.setattr(np, "lexsort", lambda *_: pytest.fail("sorted by several keys"))
+    rng = random.Random(8)
+    parts = sorted({" " + "".join(rng.choice("theandion漢🙂é") for _ in range(rng.randint(1, 30))) for _ in range(300)}) + ["a" * 3000, "\n\n"]
+    lattice.add(parts[:200])
+    lattice.add(parts[200:])
+    for part in parts:
+        for k in range(len(part) + 1):
+            node = lattice.at[part] - len(part) + k
+            a, b = lattice.head[node], lattice.head[node + 1] if node + 1 < lattice.n_nodes else lattice.n_edges
+            starts = [i for i in range(max(0, k - lattice.longest), k) if part[i:k] in vocab or i == k - 1] if k else [None]
+            assert [None if p < 0 else int(x) - node + k for x, p in zip(lattice.back[a:b], lattice.piece[a:b])] == starts
+            assert (np.diff(lattice.key[a:b]) >= 0).all() and lattice.key[b - 1] == node + 1
+
+
 # Token counts
 
 
