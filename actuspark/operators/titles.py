@@ -4,7 +4,10 @@ Two titles are candidates when the Dice coefficient of their sets of words reach
 by equal keys: words stand in the order of their document frequency, and titles of n and m words that share c of them
 must meet within their first n - c + 1 and m - c + 1 words. c follows from both sizes, so the key holds a word
 and the size classes of both titles; a word that most titles hold is last in that order and joins only titles so short that it alone
-makes them candidates.
+makes them candidates. Of titles that must share two words, frequent words are keys in pairs only (the second within the first n - c + 2).
+A key of titles of less than 32 words carries the words, so the join itself drops what shares too few, and keeps a pair where the key is
+the first that both share: what is shuffled follows the number of titles, not that of the pairs that meet. Longer titles
+have keys of one word without the words; their pairs are made distinct and checked after.
 """
 
 from __future__ import annotations
@@ -17,6 +20,10 @@ from pyspark.sql import functions as F
 
 #: Sizes below this are classes of their own; above, a class is all sizes with the same number of binary digits.
 EXACT_SIZES = 4
+#: Titles up to which a word is a key by itself wherever it stands.
+ALONE = 64
+#: The last size class (16 to 31 words) whose keys carry words and hold two: both grow with the square of a title's words.
+SHORT = EXACT_SIZES - 3 + 5
 
 
 def normal_title(c: Column) -> Column:
@@ -27,14 +34,14 @@ def normal_title(c: Column) -> Column:
 def blocks_ratio(a: Column, b: Column) -> Column:
     """2 M / (characters of both), M: characters in the longest matching blocks, found again and again left and right of each."""
 
-    @F.pandas_udf("double")
     def ratio(pairs: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
         from difflib import SequenceMatcher
 
         for left, right in pairs:
             yield pd.Series([SequenceMatcher(None, x, y).ratio() for x, y in zip(left, right, strict=True)], dtype="float64")
 
-    return ratio(a, b)
+    # Else the optimizer runs it twice, for a filter and for the column.
+    return F.pandas_udf(ratio, "double").asNondeterministic()(a, b)
 
 
 def _size_class(n: Column) -> Column:
@@ -45,19 +52,25 @@ def _class_floor(c: Column) -> Column:
     return F.when(c < EXACT_SIZES, c.cast("double")).otherwise(F.pow(F.lit(2.0), c - EXACT_SIZES + 2))
 
 
-def _keys(titles: DataFrame, overlap: int, own: str, other: str) -> DataFrame:
-    """word, own class, class of the partner, id: a row for each word in the prefix that a partner of that class needs."""
+def _keys(titles: DataFrame, overlap: int, own: str, other: str, rare: str = "size(words)") -> DataFrame:
+    """word (or two), own class, class of the partner, and the title's columns: a row for each key in the prefix that a partner of that class needs; the first ``rare`` words are keys alone."""
     n = F.size("words")
     least = F.ceil(n * overlap / (200 - overlap))
     most = F.floor(n * (200 - overlap) / overlap)
-    spread = titles.select("id", "words", _size_class(n).alias(own), least.alias("_least"), F.explode(F.sequence(_size_class(least), _size_class(most))).alias(other))
+    spread = titles.withColumns({"_rare": F.expr(rare), own: _size_class(n), "_least": least}).select("*", F.explode(F.sequence(_size_class(least), _size_class(most))).alias(other))
     shared = F.ceil(overlap * (n + F.greatest(_class_floor(F.col(other)), F.col("_least").cast("double"))) / 200)
     # A class that holds no size as small as needed has a floor above the title's own size at most; then the prefix is one word.
     prefix = F.greatest(n - shared + 1, F.lit(1)).cast("int")
-    return spread.select("id", own, other, F.explode(F.slice("words", F.lit(1), prefix)).alias("word"))
+    # Both sides see from the classes alone whether all partners share two words and are short.
+    two = (overlap * (_class_floor(F.col(own)) + _class_floor(F.col(other))) > 200) & (F.greatest(own, other) <= SHORT)
+    single = F.when(two, F.least("_rare", "_prefix")).otherwise(F.col("_prefix"))
+    after = lambda i: F.slice("words", i + 1, F.least(n, F.col("_prefix") + 1) - i)
+    twos = F.flatten(F.transform(F.filter(F.sequence(F.lit(1), "_prefix"), lambda i: i > F.col("_single")), lambda i: F.transform(after(i), lambda w: F.concat_ws(" ", F.element_at("words", i), w))))
+    keyed = spread.withColumn("_prefix", prefix).withColumn("_single", single)
+    return keyed.select(*titles.columns, own, other, F.explode(F.concat(F.slice("words", F.lit(1), F.col("_single")), twos)).alias("word"))
 
 
-def title_pairs(left: DataFrame, right: DataFrame, overlap: int = 50) -> DataFrame:
+def title_pairs(left: DataFrame, right: DataFrame, overlap: int = 50, alone: int = ALONE) -> DataFrame:
     """l, r, l_title, r_title: the candidates of two frames of different titles (id, title); no pair comes twice."""
     if not 0 < overlap <= 100:
         raise ValueError("overlap is a percentage above 0")
@@ -65,16 +78,22 @@ def title_pairs(left: DataFrame, right: DataFrame, overlap: int = 50) -> DataFra
     words = left.select(F.lit("l").alias("side"), "id", word).unionByName(right.select(F.lit("r").alias("side"), "id", word))
     # A title on both sides counts twice, which changes the order alone.
     held = words.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
-    order = F.transform(F.sort_array(F.collect_list(F.struct("n", "word"))), lambda x: x["word"])
-    ranked = words.join(held, "word").groupBy("side", "id").agg(order.alias("words"))
-    sides = {s: ranked.where(F.col("side") == s).drop("side") for s in "lr"}
-    a = _keys(sides["l"], overlap, "l_class", "r_class").withColumnRenamed("id", "l")
-    b = _keys(sides["r"], overlap, "r_class", "l_class").withColumnRenamed("id", "r")
-    met = a.join(b, ["word", "l_class", "r_class"]).select("l", "r").distinct()
+    order = F.sort_array(F.collect_list(F.struct("n", "word"))).alias("order")
+    ranked = words.join(held, "word").groupBy("side", "id").agg(order)
+    ranked = ranked.select("side", "id", F.col("order.word").alias("words"), F.size(F.filter("order", lambda x: x["n"] <= alone)).alias("rare"))
+    sides = {s: _keys(ranked.where(F.col("side") == s).drop("side"), overlap, f"{s}_class", f"{o}_class", "rare").drop("rare").withColumnsRenamed({"id": s, "words": f"{s}_words"}) for s, o in ("lr", "rl")}
+    a, b = sides["l"].alias("a"), sides["r"].alias("b")
+    common = F.array_intersect("l_words", "r_words")
+    enough = 200 * F.size(common) >= overlap * (F.size("l_words") + F.size("r_words"))
+    first = F.col("a.word").isin(F.get(common, F.lit(0)), F.concat_ws(" ", F.slice(common, 1, 2)))
+    same = [F.col(f"a.{c}") == F.col(f"b.{c}") for c in ("word", "l_class", "r_class")]
+    short = F.greatest("l_class", "r_class") <= SHORT
+    met = a.where(short).join(b.where(short), same[0] & same[1] & same[2] & enough & first).select("l", "r")
+    long = [df.where(~short).drop(f"{s}_words") for s, df in (("l", a), ("r", b))]
+    met = met.unionByName(long[0].join(long[1], ["word", "l_class", "r_class"]).select("l", "r").distinct())
     for s, df in (("l", left), ("r", right)):
         met = met.join(df.select(F.col("id").alias(s), F.col("title").alias(f"{s}_title"), F.array_distinct(F.split("title", " ")).alias(f"{s}_words")), s)
-    common = F.size(F.array_intersect("l_words", "r_words"))
-    return met.where(200 * common >= overlap * (F.size("l_words") + F.size("r_words"))).select("l", "r", "l_title", "r_title")
+    return met.where(enough).select("l", "r", "l_title", "r_title")
 
 
 def fuzzy_match(left: DataFrame, right: DataFrame, left_title: str, right_title: str, threshold: float = 0.38, overlap: int = 50) -> DataFrame:

@@ -62,3 +62,24 @@ def test_long_and_empty(spark):
     assert titles.fuzzy_match(spark.createDataFrame(left, L), spark.createDataFrame([], R), "a", "title").collect() == []
     with pytest.raises(ValueError):
         titles.fuzzy_match(spark.createDataFrame(left, L), spark.createDataFrame(left, L), "a", "a")
+
+
+@pytest.mark.parametrize(("overlap", "alone"), [(20, 3), (50, 0)])
+def test_pairs_of_frequent_words(spark, overlap, alone):
+    """Every pair that shares enough words, once, however many titles a word may have to be a key alone."""
+    sides = [{norm(t) for _, t in made(s, 150, 30, 9)} - {""} for s in (3, 4)]
+    frame = lambda s: spark.createDataFrame([(t, t) for t in sorted(s)], "id string, title string")
+    got = sorted((r["l"], r["r"]) for r in titles.title_pairs(frame(sides[0]), frame(sides[1]), overlap, alone).collect())
+    held = {t: set(t.split()) for s in sides for t in s}
+    want = sorted((x, y) for x in sides[0] for y in sides[1] if 200 * len(held[x] & held[y]) >= overlap * (len(held[x]) + len(held[y])))
+    assert got == want and len(want) > 20
+
+
+def test_pairs_that_meet_are_not_shuffled(spark):
+    """Pairs of short titles are whole and single as they leave the join of the keys, and the scores are computed once."""
+    left, right = spark.createDataFrame(made(5, 60), L), spark.createDataFrame(made(6, 60), R)
+    pairs = titles.title_pairs(*[df.selectExpr("k as id", "t as title") for df in (left.toDF("k", "t"), right.toDF("k", "t"))])
+    keyed = pairs._jdf.queryExecution().optimizedPlan().toString().split("Union")[0]
+    assert "Aggregate" not in keyed
+    plan = titles.fuzzy_match(left, right, "a", "title")._jdf.queryExecution().optimizedPlan().toString()
+    assert len([x for x in plan.splitlines() if "EvalPython" in x]) == 1
