@@ -77,7 +77,9 @@ def summaries(docs: DataFrame, key: str, text: str, stop: list[str] = STOPWORDS,
     """
     sents = sentences(docs, key, text).join(top_words(docs, key, text, stop), key, "left")
     low = F.lower("sentence")
-    held = F.aggregate(F.coalesce("top", F.array().cast("array<struct<word:string,points:bigint>>")), F.lit(0).cast("bigint"), lambda s, t: s + F.when(F.contains(low, t["word"]), t["points"]).otherwise(0))
+    top = F.coalesce("top", F.array().cast("array<struct<word:string,points:bigint>>"))
+    # An outer function of one element, so that a sentence is lowered once and not for each word.
+    held = F.get(F.transform(F.array(low), lambda c: F.aggregate(top, F.lit(0).cast("bigint"), lambda s, t: s + F.when(F.contains(c, t["word"]), t["points"]).otherwise(0))), F.lit(0))
     marked = 5 * F.size(F.array_intersect(every(low, WORD), F.array(*[F.lit(s) for s in signals])))
     capitals = F.when(F.col("sentence").rlike(TICKER_LIKE), 4).otherwise(0)
     score = F.round((held + marked + capitals) / F.greatest(F.lit(1.0), F.length("sentence") / 180.0), 6)
