@@ -13,6 +13,10 @@ third of all documents hold costs a row for each block only; equal sets of diffe
 their digests, and one of each goes into the bands. Shingles are made again, in one more scan, for
 those paragraphs only that share a band with another set.
 
+Given ``passage_words``, passages of that many words and more that an earlier document holds, too, are found besides
+(``passages``), wherever they begin and end in their lines. Each is a further row, removed, with its first word's line and place
+in it; classes of lines stay as they are. Their windows are read in the scan that makes the shingles again.
+
 Defined cases: null texts and lines of fewer words have no paragraphs and are left alone; a null id
 comes before all others; rows of one id are told apart by their text, equal rows are one document
 with as many results; an empty table gives an empty result; other columns are not read. The id is a whole
@@ -29,6 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import passages
 from .jaccard import ORD_BITS, PER_CENT, PIVOTS, WORDS, blocks, link
 from .shared import LOWER_BYTES, byte_texts, mix64, save, ship, whole_key
 from .suffix import NULL_ID, pair
@@ -93,8 +98,8 @@ def bands_of(sets: np.ndarray, sizes: np.ndarray, bands: int, rows: int) -> np.n
     return keys
 
 
-#: A paragraph: its place, its number of shingles and the first paragraph of its block with the same set; of those first ones, the set's digest and the bands.
-PARAGRAPHS = "node bigint, d bigint, line int, x bigint, n int, rep bigint, one bigint, two bigint, bands array<bigint>"
+#: A paragraph: its place, its number of words and of shingles and the first paragraph of its block with the same set; of those first ones, the set's digest and the bands.
+PARAGRAPHS = "node bigint, d bigint, line int, x bigint, words int, n int, rep bigint, one bigint, two bigint, bands array<bigint>"
 _NAMES = [c.split()[0] for c in PARAGRAPHS.split(", ")]
 
 
@@ -122,7 +127,8 @@ def _paragraphs(batches: Iterator[pa.RecordBatch], min_words: int, bands: int, r
         node = block << ORD_BITS
         yield pa.RecordBatch.from_arrays(
             [
-                pa.array(np.arange(len(o)) + node), pa.array(d, pa.int64()), pa.array(at, pa.int32()), pa.array(np.array(x, np.uint64).view(np.int64)), pa.array(n.astype(np.int32)), pa.array(rep + node),
+                pa.array(np.arange(len(o)) + node), pa.array(d, pa.int64()), pa.array(at, pa.int32()), pa.array(np.array(x, np.uint64).view(np.int64)), pa.array(np.array([len(w) for w in ws], np.int32)),
+                pa.array(n.astype(np.int32)), pa.array(rep + node),
                 pa.array(one.view(np.int64), mask=~first), pa.array(two.view(np.int64), mask=~first), pa.ListArray.from_arrays(pa.array(ends), pa.array(keys)),
             ],
             _NAMES,
@@ -149,23 +155,39 @@ def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last = key[-1], node[-1], n[-1], bool(many[-1] or sent[-1])
 
 
-def _sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(node, n, set) of the lines that each text is asked for."""
-    for batch in batches:
-        texts, asked = byte_texts(batch.column(0)), batch.column(1).to_pylist()
-        nodes, ws = [], []
-        for t, todo in zip(texts, asked, strict=True):
-            lines = t.translate(LOWER_BYTES).split(b"\n")
-            for x in todo:
-                nodes.append(x["node"])
-                ws.append(lines[x["line"]].split())
-        sets, n = _batch_sets(ws)
-        ends = np.cumsum(n)
-        yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(n.astype(np.int32)), pa.array([sets[b - k : b].tobytes() for k, b in zip(n.tolist(), ends.tolist(), strict=True)], pa.binary())], ["node", "n", "set"])
+#: A set of shingles, or the windows of a context (``passages``): the latter without node.
+READ = "node bigint, n int, set binary, key bigint, ctx bigint, d bigint, x bigint, p int"
+_READ_TYPES = [{"int": pa.int32(), "bigint": pa.int64(), "binary": pa.binary()}[c.split()[1]] for c in READ.split(", ")]
 
 
-def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", per_cent: int = PER_CENT, min_words: int = MIN_WORDS, recall: float = RECALL, pivots: int = PIVOTS) -> DataFrame:
-    """key, paragraph (line number from 0), n_shingles, class_doc and class_paragraph (the first of its class), removed: a row for each paragraph."""
+def _read(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
+    """The sets of the lines, and the windows of the contexts, that each text (d, x, t, todo, ats) is asked for."""
+    for batch in batches:
+        texts = byte_texts(batch.column(2))
+        d, x, lines_asked, asked = (batch.column(i).to_pylist() for i in (0, 1, 3, 4))
+        nodes, ws, rows = [], [], []
+        for i, t in enumerate(texts):
+            if lines_asked[i]:
+                lines = t.translate(LOWER_BYTES).split(b"\n")
+                for y in lines_asked[i]:
+                    nodes.append(y["node"])
+                    ws.append(lines[y["line"]].split())
+            if asked[i]:
+                found = passages.windows_of(t, asked[i], least)
+                rows += [(None, c["n"], s, c["key"], c["ctx"], d[i], x[i], c["p"]) for c, s in zip(asked[i], found, strict=True)]
+        if nodes:
+            sets, n = _batch_sets(ws)
+            ends = np.cumsum(n)
+            rows += [(node, k, sets[b - k : b].tobytes(), *[None] * 5) for node, k, b in zip(nodes, n.tolist(), ends.tolist(), strict=True)]
+        if rows:
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), _READ_TYPES, strict=True)], [c.split()[0] for c in READ.split(", ")])
+
+
+def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", per_cent: int = PER_CENT, min_words: int = MIN_WORDS, recall: float = RECALL, pivots: int = PIVOTS, passage_words: int | None = None) -> DataFrame:
+    """key, paragraph (line number from 0), n_shingles, class_doc and class_paragraph (the first of its class), removed, first_word (in the line, from 0), n_words: a row for each paragraph.
+
+    Given ``passage_words``, also a row for each passage, without n_shingles; its class is the place where its first window stands first.
+    """
     ship(docs.sparkSession)
     bands, n_rows = tune(per_cent / 100, recall)
     rows = docs.select(whole_key(docs, key).alias("d"), F.col(text).alias("t"))
@@ -178,22 +200,46 @@ def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", per_cent: in
     members = save(sole.select(F.explode("bands").alias("key"), "node", "n").repartition("key").sortWithinPartitions("key").mapInArrow(_met, MEMBERS))
     live = first.join(members.select("node").distinct(), "node", "left_semi")
     asked = live.groupBy("d", "x").agg(F.collect_list(F.struct("node", "line")).alias("todo"))
+    least = passage_words or 0
+    if least:
+        places = passages.contexts(rows, least)
+        asked = asked.join(passages.wanted(places), ["d", "x"], "full")
+    else:
+        asked = asked.withColumn("ats", F.expr("CAST(NULL AS ARRAY<STRUCT<key: BIGINT, ctx: BIGINT, p: INT, n: INT>>)"))
     texts = rows.withColumns({"d": F.coalesce("d", F.lit(NULL_ID)), "x": F.xxhash64(F.coalesce("t", F.lit("")))})
     # Equal rows are asked alike, and name the same nodes.
-    sets = save(texts.join(asked, ["d", "x"]).select("t", "todo").mapInArrow(_sets_of, "node bigint, n int, set binary").dropDuplicates(["node"]))
+    read = save(texts.join(asked, ["d", "x"]).select("d", "x", "t", "todo", "ats").mapInArrow(lambda b: _read(b, least), READ).dropDuplicates(["node", "d", "x", "p"]))
+    sets = read.where("node is not null").select("node", "n", "set")
     labels = link(members.withColumn("s", F.col("n")), sets, per_cent, pivots, LARGE)
     named = heads.join(labels.select(F.col("node").alias("head"), "component"), "head", "left").select(F.col("node").alias("rep"), F.coalesce("component", "head").alias("c"))
-    own = save(found.select("d", "line", "n", "rep").join(named, "rep").drop("rep"))
+    own = save(found.select("d", "line", "words", "n", "rep").join(named, "rep").drop("rep"))
     many = own.groupBy("c").agg(F.count(F.lit(1)).alias("copies"), F.min("d").alias("first")).where("copies > 1").select("c", "first")
     line = own.join(many, "c").where("d = first").groupBy("c", "first").agg(F.min("line").alias("first_line"))
     out = own.join(line, "c", "left").withColumns({"first": F.coalesce("first", "d"), "first_line": F.coalesce("first_line", "line")})
     kind = docs.schema[key].dataType.simpleString()
     back = lambda c: F.nullif(c, F.lit(NULL_ID)).cast(kind)
-    return out.select(
+    lines = out.select(
         back(F.col("d")).alias(key),
         F.col("line").cast("bigint").alias("paragraph"),
         F.col("n").cast("bigint").alias("n_shingles"),
         back(F.col("first")).alias("class_doc"),
         F.col("first_line").cast("bigint").alias("class_paragraph"),
         ((F.col("first") != F.col("d")) | (F.col("first_line") != F.col("line"))).alias("removed"),
+        F.lit(0).cast("bigint").alias("first_word"),
+        F.col("words").cast("bigint").alias("n_words"),
     )
+    if not least:
+        return lines
+    cut = passages.passages(places, read.where("node is null"), least)
+    again = rows.select(F.coalesce("d", F.lit(NULL_ID)).alias("d"), F.xxhash64(F.coalesce("t", F.lit(""))).alias("x"))
+    cut = again.join(cut, ["d", "x"])  # as often as the row
+    return lines.unionByName(cut.select(
+        back(F.col("d")).alias(key),
+        F.shiftright("l", 32).alias("paragraph"),
+        F.lit(None).cast("bigint").alias("n_shingles"),
+        back(F.col("f.d")).alias("class_doc"),
+        F.shiftright("f.l", 32).alias("class_paragraph"),
+        F.lit(True).alias("removed"),
+        F.col("l").bitwiseAND(F.lit(2**32 - 1)).alias("first_word"),
+        F.col("n_words").cast("bigint").alias("n_words"),
+    ))

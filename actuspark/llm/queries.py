@@ -35,8 +35,8 @@ def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_paragraph_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every line with a word is a paragraph; one of fewer words than a shingle has is one shingle."""
-    return paragraphs.dedup(table(spark, sf_dir, "documents"), min_words=1)
+    """Every line with a word is a paragraph; one of fewer words than a shingle has is one shingle. Passages of over 50 words are found within lines, too."""
+    return paragraphs.dedup(table(spark, sf_dir, "documents"), min_words=1, passage_words=51)
 
 
 def op4_maxent_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
